@@ -105,6 +105,9 @@ UNION ALL
 SELECT k, CAST(i AS INTEGER) AS i, round(value, 6) AS value FROM b"""
 
 
+PIXELS = f"""{X},
+px AS (SELECT vec_id, label, i, least(greatest(floor((v + 1) * 127.5 + 0.5), 0), 255) AS p FROM x)"""
+
 ORACLES = {
     "tensor_scan": """
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_values,
@@ -211,6 +214,15 @@ SELECT actual, predicted, CAST(n AS BIGINT) AS n FROM cm""",
     "param_average": f"""WITH {X}
 SELECT label AS chunk, i, round(avg(v), 6) AS value FROM x GROUP BY label, i""",
 
+    "image_scan": f"""WITH {PIXELS}
+SELECT vec_id, label, CAST(8 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width,
+       CAST(1 AS INTEGER) AS n_channels, CAST(sum(p) AS BIGINT) AS pixel_sum
+FROM px GROUP BY vec_id, label""",
+
+    "image_resize": f"""WITH {PIXELS}
+SELECT vec_id, CAST(i // 8 // 2 AS INTEGER) AS y, CAST(i % 8 // 2 AS INTEGER) AS x, round(avg(p) / 255, 6) AS value
+FROM px GROUP BY vec_id, i // 8 // 2, i % 8 // 2""",
+
     "train_step": CLOSED_FORM,
 
     "train_round": CLOSED_FORM,

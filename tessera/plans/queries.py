@@ -321,6 +321,98 @@ def duration_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "ms", duration_text("ms").alias("text"))
 
 
+
+# ---- whole job (rows-only checks: results depend on training) ----------------
+
+def tiny_cnn(seed: int = SEED) -> NetSpec:
+    """The tensor table read as 8x8x1 images: conv 3x3 (8) -> max-pool -> dense 32 -> softmax 10."""
+    from tessera.plans.models import Conv, Dense, Pool
+    return NetSpec("TinyCNN", (1, formula.SIDE, formula.SIDE), (
+        Conv("cnn1", 8, (3, 3), (1, 1), (1, 1), 0.0),
+        Pool("maxpool1", (2, 2)),
+        Dense("dense", 32),
+        Output("output", formula.N_CLASSES),
+    ), Rules(updater="nesterovs", lr=0.01, momentum=0.9, init="xavier"), seed)
+
+
+JOB = dict(epochs=1, batch_size=BATCH, workers=WORKERS, averaging_frequency=AVG_FREQ)
+
+
+def _job(spark, sf_dir, run_id):
+    from tessera.plans.job import JobConfig, run_job
+    ex = _emb(spark, sf_dir).select("id", "label", "features")
+    return run_job(spark, ex, tiny_cnn(), JobConfig(run_id=run_id, **JOB))
+
+
+def train_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_metrics(_job(spark, sf_dir, "train_fit").metrics)
+
+
+def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _job(spark, sf_dir, "training_metrics").training_metrics
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, write the model as Parquet chunks, read it back, compare."""
+    from tessera.plans.training import model_chunks_df, model_from_chunks
+    from tessera.session import scratch_path
+    res = _job(spark, sf_dir, "model_roundtrip")
+    path = scratch_path(spark, "model")
+    model_chunks_df(spark, res.model).write.parquet(path)
+    back = model_from_chunks(tiny_cnn(), [(r.param, r.chunk, r.values) for r in spark.read.parquet(path).collect()])
+    rows = [(k, int(v.size), float(np.abs(v - back.params[k]).max())) for k, v in sorted(res.model.params.items())]
+    return spark.createDataFrame(rows, "param string, n_values int, max_abs_diff double")
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _job(spark, sf_dir, "run_report").report
+
+
+# ---- image folders derived from the tensor table --------------------------------
+
+def _pixels(v):
+    """8-bit grey level of a value in [-1, 1]: floor((v + 1) * 127.5 + 0.5), clipped."""
+    return F.least(F.greatest(F.floor((v.cast("double") + 1) * 127.5 + 0.5), F.lit(0)), F.lit(255)).cast("int")
+
+
+def derived_image_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Spark writes every ``embeddings`` row as an 8x8 grey PNG under
+    ``<checkpoint>/.../<label>/<vec_id>.png`` and returns the folder."""
+    from tessera.session import scratch_path
+    from tessera.sources.images import write_image_folder
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.transform("embedding", _pixels).alias("pixels"))
+    root = scratch_path(spark, "images")
+    write_image_folder(e, root, "vec_id", "label", "pixels", formula.SIDE, formula.SIDE) \
+        .write.format("noop").mode("overwrite").save()
+    return root
+
+
+def image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.sources.images import image_id, read_images
+    root = derived_image_folder(spark, sf_dir)
+    imgs = read_images(spark, root, glob="*.png")
+    return imgs.select(image_id("path").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
+                       "height", "width", "n_channels", _byte_sum("data").alias("pixel_sum"))
+
+
+def _byte_sum(col):
+    @F.pandas_udf("long")
+    def byte_sum(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: int(np.frombuffer(b, dtype=np.uint8).sum(dtype=np.int64)))
+    return byte_sum(F.col(col))
+
+
+def image_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode, bilinear resize 8x8 -> 4x4, scale to [0, 1]."""
+    from tessera.sources.images import image_id, read_images, to_tensors
+    root = derived_image_folder(spark, sf_dir)
+    t = to_tensors(read_images(spark, root, glob="*.png"), 4, 4, 1)
+    scaled = A.scale_range("features", 0.0, 255.0, 0.0, 1.0)
+    return (t.select(image_id("path").cast("long").alias("vec_id"), F.posexplode(scaled).alias("i", "value"))
+            .select("vec_id", (F.col("i") / 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"),
+                    F.round("value", R6).alias("value")))
+
 QUERIES = {
     "tensor_scan": tensor_scan,
     "label_from_path": label_from_path,
@@ -350,4 +442,10 @@ QUERIES = {
     "train_round": train_round,
     "predict_named": predict_named,
     "duration_text": duration_text_q,
+    "image_scan": image_scan,
+    "image_resize": image_resize,
+    "train_fit": train_fit,
+    "training_metrics": training_metrics,
+    "model_roundtrip": model_roundtrip,
+    "run_report": run_report,
 }
