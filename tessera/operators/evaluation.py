@@ -31,16 +31,17 @@ def class_metrics(confusion: DataFrame, classes: DataFrame) -> DataFrame:
 
     ``classes`` has a ``label_idx`` column (the vocabulary). The confusion
     table has at most classes^2 rows, so this is cheap at any data size."""
-    c = confusion
-    as_actual = c.select(F.col("actual").alias("label_idx"),
-                         F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp"),
-                         F.lit(0).cast("long").alias("fp"),
-                         F.when(F.col("actual") != F.col("predicted"), F.col("n")).otherwise(0).alias("fn"))
-    as_pred = c.select(F.col("predicted").alias("label_idx"),
-                       F.lit(0).cast("long").alias("tp"),
-                       F.when(F.col("actual") != F.col("predicted"), F.col("n")).otherwise(0).alias("fp"),
-                       F.lit(0).cast("long").alias("fn"))
-    per = (as_actual.unionByName(as_pred).groupBy("label_idx")
+    hit = F.col("actual") == F.col("predicted")
+    n = F.col("n").cast("long")
+    zero = F.lit(0).cast("long")
+    # Each confusion row counts for its actual class (tp or fn) and for its
+    # predicted class (fp): one generator, so the confusion input is read once.
+    roles = F.array(
+        F.struct(F.col("actual").alias("label_idx"), F.when(hit, n).otherwise(zero).alias("tp"),
+                 zero.alias("fp"), F.when(hit, zero).otherwise(n).alias("fn")),
+        F.struct(F.col("predicted").alias("label_idx"), zero.alias("tp"),
+                 F.when(hit, zero).otherwise(n).alias("fp"), zero.alias("fn")))
+    per = (confusion.select(F.explode(roles).alias("r")).select("r.*").groupBy("label_idx")
            .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn")))
     cls = classes.select(F.col("label_idx").cast("int").alias("label_idx")).distinct()
     m = (cls.join(per, "label_idx", "left")

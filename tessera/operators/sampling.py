@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 
 DEFAULT_SEED = 42
-# A cap up to this many rows runs as a per-partition top-k (TakeOrderedAndProject);
-# above it the exact distributed rank is used, so no single task holds the cap.
+# Path lists up to this size may be collected to the driver (image caps).
 TOPK_CAP_LIMIT = 100_000
 BUCKET_BITS = 16
 
@@ -39,9 +38,14 @@ def _bucket_of(key: Column, bits: int) -> Column:
 
 
 def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
-                    total_col: str | None = "n_total", bits: int = BUCKET_BITS) -> DataFrame:
+                    total_col: str | None = "n_total", bits: int = BUCKET_BITS,
+                    max_rn: int | None = None) -> DataFrame:
     """1-based global row number in ``(key_col, tie_col)`` order, where
-    ``key_col`` is a hex md5 key. Adds ``total_col`` (row count) if given."""
+    ``key_col`` is a hex md5 key. Adds ``total_col`` (row count) if given.
+
+    With ``max_rn`` only rows numbered up to it are returned, and buckets
+    that start after it are dropped *before* the shuffle: a cap of n rows
+    moves about n + one bucket of rows, whatever the table size."""
     tagged = df.withColumn("_bucket", _bucket_of(F.col(key_col), bits))
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,10 +54,15 @@ def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
     )
+    if max_rn is not None:
+        offsets = offsets.filter(F.col("_off") < max_rn)
+    # The offsets table has at most 2**bits rows: the broadcast side by proof.
     local = Window.partitionBy("_bucket").orderBy(F.col(key_col), F.col(tie_col))
-    ranked = (tagged.withColumn("_local", F.row_number().over(local))
-              .join(F.broadcast(offsets), "_bucket")
+    ranked = (tagged.join(F.broadcast(offsets), "_bucket")
+              .withColumn("_local", F.row_number().over(local))
               .withColumn(out, (F.col("_off") + F.col("_local")).cast("long")))
+    if max_rn is not None:
+        ranked = ranked.filter(F.col(out) <= max_rn)
     if total_col:
         ranked = ranked.withColumn(total_col, F.col("_total").cast("long"))
     return ranked.drop("_bucket", "_local", "_off", "_total")
@@ -92,13 +101,13 @@ def seeded_shuffle(df: DataFrame, id_col: str, seed: int = DEFAULT_SEED,
 
 
 def sample_cap(df: DataFrame, id_col: str, max_rows: int, seed: int = DEFAULT_SEED) -> DataFrame:
-    """At most ``max_rows`` rows drawn at random (the first ones in seeded order)."""
+    """At most ``max_rows`` rows drawn at random (the first ones in seeded order).
+
+    Not ``orderBy().limit()``: its final merge takes partitions x max_rows
+    rows in one task. The bucket-pruned rank moves about max_rows rows."""
     keyed = df.withColumn("_key", seeded_key(id_col, seed))
-    if max_rows <= TOPK_CAP_LIMIT:
-        # Per-partition top-k then one merge of at most partitions * max_rows keys.
-        return keyed.orderBy("_key", id_col).limit(max_rows).drop("_key")
-    ranked = hash_row_number(keyed, "_key", id_col, out="_rn", total_col=None)
-    return ranked.filter(F.col("_rn") <= max_rows).drop("_key", "_rn")
+    ranked = hash_row_number(keyed, "_key", id_col, out="_rn", total_col=None, max_rn=max_rows)
+    return ranked.drop("_key", "_rn")
 
 
 def split_exact(df: DataFrame, id_col: str, train_share: float = 0.8,

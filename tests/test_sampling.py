@@ -53,12 +53,14 @@ def test_cap_and_shuffle(spark):
     assert sample_cap(df, "vec_id", n + 100).count() == n
 
 
-def test_cap_above_topk_limit_uses_rank(spark, monkeypatch):
-    import tessera.operators.sampling as S
-    monkeypatch.setattr(S, "TOPK_CAP_LIMIT", 10)
+def test_cap_prunes_buckets_before_shuffle(spark):
     df = _emb(spark)
-    assert _collect(S.sample_cap(df, "vec_id", 40), ["vec_id"]) == \
-        _collect(seeded_shuffle(df, "vec_id").filter("rn <= 40"), ["vec_id"])
+    plan = sample_cap(df, "vec_id", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan
+    rows = hash_row_number(df.withColumn("k", seeded_key("vec_id")), "k", "vec_id", max_rn=7,
+                           total_col="n").collect()
+    assert sorted(r.rn for r in rows) == list(range(1, 8))
+    assert all(r.n == df.count() for r in rows)
 
 
 def test_split_hash_share(spark):
