@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import nll
 
 
-def confusion_matrix(pred: DataFrame, actual_col: str = "actual",
-                     predicted_col: str = "predicted") -> DataFrame:
-    """``actual INT, predicted INT, n BIGINT`` -- partial + final hash aggregate."""
+def confusion_matrix(pred: DataFrame, actual_col: str = "actual", predicted_col: str = "predicted",
+                     probs_col: str | None = None) -> DataFrame:
+    """``actual INT, predicted INT, n BIGINT`` -- partial + final hash aggregate.
+
+    With ``probs_col`` also ``nll_sum`` (sum of -ln p[true class]) from the
+    same pass, so the mean score needs no second scoring of the data."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if probs_col:
+        aggs.append(F.sum(nll(probs_col, actual_col)).alias("nll_sum"))
     return (pred.groupBy(F.col(actual_col).cast("int").alias("actual"),
                          F.col(predicted_col).cast("int").alias("predicted"))
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(*aggs))
 
 
 def _safe_div(a, b):

@@ -15,12 +15,12 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary, nll_score
+from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary
 from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_exact
 from tessera.operators.scoring import score_batch
 from tessera.plans.models import NetSpec
-from tessera.plans.training import ModelState, new_model, prepare_training_rows, train_fit
+from tessera.plans.training import ModelState, new_model, prepare_training_rows, read_metrics, train_fit
 
 
 @dataclass(frozen=True)
@@ -72,11 +72,12 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     t0 = time.time()
     test = split.filter(F.col("split") == "test").select("id", F.col("label_idx").alias("actual"), "features")
     pred = score_batch(test, spec, model.params, keep=["id", "actual"])
-    confusion = confusion_matrix(pred).cache()
+    with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
+    confusion = with_nll.drop("nll_sum")
     metrics = class_metrics(confusion, vocab)
     summary = eval_summary(metrics)
     s = summary.first()
-    score = nll_score(pred, "probs", "actual").first()["score"]
+    score = with_nll.agg((F.sum("nll_sum") / F.sum("n")).alias("score")).first()["score"]
     test_ms = int((time.time() - t0) * 1000)
     total_ms = int((time.time() - t_total) * 1000)
 
@@ -91,7 +92,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     }
     report = spark.createDataFrame([report_row], REPORT_SCHEMA)
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     spark.read.parquet(metrics_path), report)
+                     read_metrics(spark, metrics_path), report)
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_test long, accuracy double, "

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +28,6 @@ from tessera.operators.batching import batch_assign
 from tessera.plans.models import NetSpec, backward, forward, init_params, layer_shapes
 from tessera.session import materialize, scratch_path
 
-ROUND_SCHEMA = ("kind string, worker int, batch long, param string, chunk int, "
-                "values array<double>, examples long, score double, step long")
-
-
 @dataclass
 class ModelState:
     params: dict
@@ -157,6 +152,14 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
 
 # ---- one round --------------------------------------------------------------
 
+ROUND_SCHEMA = "param string, chunk int, values array<double>, examples long"
+METRICS_PREFIX = "__metrics__/"
+METRIC_FIELDS = 4  # batch, examples, score, step
+METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long, examples long, "
+                  "score double, step long")
+METRICS_FLUSH_ROWS = 100_000  # driver-side buffer bound before an append to the sink
+
+
 def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int):
     def fit(key, pdf):
         worker = int(key[0])
@@ -164,53 +167,61 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
         model = ModelState({k: v.copy() for k, v in base.params.items()},
                            {k: v.copy() for k, v in base.state.items()}, base.step)
         pdf = pdf.sort_values(["batch_id", "pos"])
-        out = []
+        metrics = []
         examples = 0
         for batch_id, g in pdf.groupby("batch_id", sort=True):
             x, y = batch_arrays(spec, g, feature_col, label_col)
             rng = np.random.default_rng([spec.seed, epoch, round_, worker, int(batch_id)])
             score = train_batch(spec, model, x, y, rng)
             examples += len(y)
-            out.append(("metric", worker, int(batch_id), None, None, None, len(y), score, model.step))
-        for name, c, vals in to_chunk_rows({**model.params, **model.state}):
-            out.append(("param", worker, None, name, c, vals, examples, None, model.step))
-        return pd.DataFrame(out, columns=["kind", "worker", "batch", "param", "chunk", "values",
-                                          "examples", "score", "step"])
+            metrics += [float(batch_id), float(len(y)), score, float(model.step)]
+        out = [(name, c, vals, examples) for name, c, vals in to_chunk_rows({**model.params, **model.state})]
+        # A worker's metrics travel as one more chunk under a key of its own:
+        # the mean over one row is the row, so the average passes it through.
+        out.append((f"{METRICS_PREFIX}{worker}", 0, np.array(metrics), examples))
+        return pd.DataFrame(out, columns=["param", "chunk", "values", "examples"])
     return fit
 
 
 def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: str = "features",
               label_col: str = "label_idx", epoch: int = 0, round_: int = 0,
-              weighted: bool = False, metrics_path: str | None = None, run_id: str = "run"):
+              weighted: bool = False, run_id: str = "run", with_metrics: bool = False):
     """One averaging round over ``rows`` (the rows of this round, with
-    ``worker``, ``batch_id``, ``pos``). Returns the averaged model and the
-    round's per-batch metrics DataFrame (persisted)."""
+    ``worker``, ``batch_id``, ``pos``) as a single Spark job: broadcast
+    model -> per-worker fit -> vector mean per chunk -> averaged chunks
+    (model-sized) to the driver. Returns the new model, and with
+    ``with_metrics`` also the round's metric tuples (one per batch)."""
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(model)
     try:
         out = (rows.select("worker", "batch_id", "pos", feature_col, label_col)
                .groupBy("worker")
-               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_), ROUND_SCHEMA)
-               .persist(StorageLevel.MEMORY_AND_DISK))
-        avg = param_average(out.filter(F.col("kind") == "param"),
-                            weight_col="examples" if weighted else None)
-        collected = avg.select("param", "chunk", "values").collect()
-        step = out.filter(F.col("kind") == "param").agg(F.max("step")).first()[0]
-        metrics = (out.filter(F.col("kind") == "metric")
-                   .select(F.lit(run_id).alias("run_id"), F.lit(epoch).alias("epoch"),
-                           F.lit(round_).cast("long").alias("round"), "worker", "batch", "examples",
-                           "score", "step"))
-        if metrics_path:
-            metrics.coalesce(1).write.mode("append").partitionBy("run_id").parquet(metrics_path)
-        if not collected:  # no rows in this round: the model is unchanged
-            new = model
-        else:
-            new = model_from_chunks(spec, [(r["param"], r["chunk"], r["values"]) for r in collected])
-            new.step = int(step)
-        out.unpersist()
-        return new
+               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_), ROUND_SCHEMA))
+        collected = param_average(out, weight_col="examples" if weighted else None).collect()
     finally:
         bc.destroy()
+    chunks, metrics = [], []
+    for r in collected:
+        if r["param"].startswith(METRICS_PREFIX):
+            worker = int(r["param"][len(METRICS_PREFIX):])
+            v = r["values"]
+            for j in range(0, len(v), METRIC_FIELDS):
+                metrics.append((run_id, epoch, round_, worker, int(v[j]), int(v[j + 1]), float(v[j + 2]),
+                                int(v[j + 3])))
+        else:
+            chunks.append((r["param"], r["chunk"], r["values"]))
+    if chunks:
+        new = model_from_chunks(spec, chunks)
+        new.step = max(m[7] for m in metrics) if metrics else model.step
+    else:  # no rows in this round: the model is unchanged
+        new = model
+    return (new, metrics) if with_metrics else new
+
+
+def _append_metrics(spark, rows: list, path: str) -> None:
+    if rows:
+        spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append") \
+            .partitionBy("run_id").parquet(path)
 
 
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
@@ -221,21 +232,38 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
     return materialize(batched.repartition("round", "worker"), "train-rows", partition_by=["round"])
 
 
+def read_metrics(spark, path: str) -> DataFrame:
+    """The metrics sink (empty, with its schema, if nothing was written)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema(METRICS_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], METRICS_SCHEMA)
+
+
 def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: ModelState | None = None,
               feature_col: str = "features", label_col: str = "label_idx", weighted: bool = False,
               metrics_path: str | None = None, run_id: str = "run"):
     """Epochs of rounds over prepared training rows (see
-    ``prepare_training_rows``). Returns ``(model, metrics_path)``."""
+    ``prepare_training_rows``). Per-batch metrics are appended to a Parquet
+    sink (partitioned by ``run_id``) in bounded batches. Returns
+    ``(model, metrics_path)``."""
     spark = train_rows.sparkSession
     model = model or new_model(spec)
     metrics_path = metrics_path or scratch_path(spark, "metrics")
     n_rounds = train_rows.agg(F.max("round")).first()[0]
     n_rounds = -1 if n_rounds is None else int(n_rounds)
+    buffer: list = []
     for epoch in range(epochs):
         for r in range(n_rounds + 1):
             rows = train_rows.filter(F.col("round") == r)
-            model = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
-                              metrics_path, run_id)
+            model, metrics = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
+                                       run_id, with_metrics=True)
+            buffer += metrics
+            if len(buffer) >= METRICS_FLUSH_ROWS:
+                _append_metrics(spark, buffer, metrics_path)
+                buffer = []
+    _append_metrics(spark, buffer, metrics_path)
     return model, metrics_path
 
 
