@@ -63,9 +63,10 @@ class Rules:
     updater: str = "sgd"           # sgd | rmsprop | nesterovs
     lr: float = 0.1
     bias_lr: float | None = None
-    momentum: float = 0.9
+    momentum: float = 0.0
     rms_decay: float = 0.95
-    l2: float = 0.0                # applied to weights only, 0 = off
+    l2: float = 0.0                # applied to weights only
+    regularization: bool = True    # False: l2 is configured but not applied
     grad_norm: str | None = None   # None | 'l2_per_layer'
     mini_batch: bool = True        # False: gradient is the batch sum, not the mean
     lr_decay: float | None = None  # step policy: lr * decay ** (step // steps)
@@ -87,6 +88,21 @@ class NetSpec:
         return replace(self, input_shape=(channels, height, width))
 
 
+def rule_warnings(spec: NetSpec) -> list[str]:
+    """Settings that are configured but have no effect."""
+    r = spec.rules
+    out = []
+    if r.updater != "nesterovs" and r.momentum:
+        out.append(f"momentum {r.momentum} is set but only the nesterovs updater applies it")
+    if r.l2 and not r.regularization:
+        out.append(f"l2 {r.l2} is set but regularization is off")
+    return out
+
+
+def effective_l2(spec: NetSpec) -> float:
+    return spec.rules.l2 if spec.rules.regularization else 0.0
+
+
 # ---- shapes ----------------------------------------------------------------
 
 def layer_shapes(spec: NetSpec):
@@ -243,7 +259,10 @@ def lenet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
         Dense("dense", 500),
         Output("output", num_labels),
     )
-    rules = Rules(updater="rmsprop", lr=1e-4, momentum=0.9, rms_decay=0.95, l2=0.0, init="xavier")
+    # l2 is set but regularisation is off, so it is not applied; momentum is
+    # set but unused with RMSProp -- both as in the original configuration.
+    rules = Rules(updater="rmsprop", lr=1e-4, momentum=0.9, rms_decay=0.95, l2=0.005, regularization=False,
+                  init="xavier")
     return NetSpec("LeNet", (channels, height, width), layers, rules, seed)
 
 

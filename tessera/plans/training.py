@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, param_average, param_sum
 from tessera.operators.batching import batch_assign
-from tessera.plans.models import NetSpec, backward, forward, init_params, layer_shapes
+from tessera.plans.models import NetSpec, backward, effective_l2, forward, init_params, layer_shapes
 from tessera.session import materialize, scratch_path
 
 @dataclass
@@ -66,11 +66,12 @@ def apply_update(spec: NetSpec, model: ModelState, grads: dict) -> None:
                 for k in keys:
                     grads[k] = grads[k] / norm
     lr_w, lr_b = learning_rates(spec, model.step)
+    l2 = effective_l2(spec)
     for k, g in grads.items():
         p = model.params[k]
         is_bias = k.endswith(".b")
-        if r.l2 and not is_bias:
-            g = g + r.l2 * p
+        if l2 and not is_bias:
+            g = g + l2 * p
         lr = lr_b if is_bias else lr_w
         if r.updater == "sgd":
             model.params[k] = p - lr * g
@@ -89,9 +90,10 @@ def apply_update(spec: NetSpec, model: ModelState, grads: dict) -> None:
 
 
 def l2_penalty(spec: NetSpec, params: dict) -> float:
-    if not spec.rules.l2:
+    l2 = effective_l2(spec)
+    if not l2:
         return 0.0
-    return 0.5 * spec.rules.l2 * sum(float((v ** 2).sum()) for k, v in params.items() if k.endswith(".W"))
+    return 0.5 * l2 * sum(float((v ** 2).sum()) for k, v in params.items() if k.endswith(".W"))
 
 
 def batch_arrays(spec: NetSpec, pdf: pd.DataFrame, feature_col: str, label_col: str):
@@ -232,6 +234,11 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
     return materialize(batched.repartition("round", "worker"), "train-rows", partition_by=["round"])
 
 
+def every_nth_batch(metrics: DataFrame, freq: int) -> DataFrame:
+    """Keep the metrics of every ``freq``-th batch (a score listener's frequency)."""
+    return metrics.filter(F.col("batch") % freq == 0)
+
+
 def read_metrics(spark, path: str) -> DataFrame:
     """The metrics sink (empty, with its schema, if nothing was written)."""
     from pyspark.errors import AnalysisException

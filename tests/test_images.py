@@ -78,3 +78,19 @@ def test_resize_and_channels():
     assert np.allclose(half, [[2.5, 4.5], [10.5, 12.5]])  # 2x2 block means
     assert to_channels(np.ones((2, 2, 1)), 3).shape == (2, 2, 3)
     assert np.allclose(to_channels(np.ones((2, 2, 3)), 1), 1.0)
+
+
+def test_lenet_job_on_image_folder(spark, folder):
+    """The original local job's shape: image folder -> cap -> LeNet -> report."""
+    from tessera.functions.arrays import scale_range
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import preset
+    imgs = to_tensors(read_images(spark, folder, drop_invalid=True), 20, 20, 3)
+    ex = imgs.select(F.col("path").alias("id"), "label", scale_range("features").alias("features"))
+    spec = preset("LeNet", channels=3, height=20, width=20, num_labels=3)
+    res = run_job(spark, ex, spec, JobConfig(epochs=2, batch_size=6, workers=2, averaging_frequency=1,
+                                             max_examples=24))
+    rep = res.report.first()
+    assert rep.model == "LeNet" and rep.n_test == round(24 * 0.2)
+    assert res.training_metrics.count() == 2 * 4  # 2 epochs x ceil(19 / 6) batches
+    assert [r.label for r in res.vocab.orderBy("label_idx").collect()] == ["cat", "dog", "emu"]

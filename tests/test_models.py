@@ -28,3 +28,12 @@ def test_unknown_model_and_small_input():
         preset("ResNet")
     with pytest.raises(ValueError):
         n_params(preset("AlexNet", height=40, width=40))
+
+
+def test_rule_warnings_match_configuration():
+    from tessera.plans.models import effective_l2, rule_warnings
+    w = rule_warnings(preset("LeNet"))
+    assert any("momentum" in x for x in w) and any("l2" in x for x in w)
+    assert effective_l2(preset("LeNet")) == 0.0
+    assert effective_l2(preset("AlexNet")) == 5e-4
+    assert rule_warnings(preset("AlexNet")) == []
