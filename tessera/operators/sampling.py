@@ -37,9 +37,32 @@ def _bucket_of(key: Column, bits: int) -> Column:
     return F.conv(F.substring(key, 1, bits // 4), 16, 10).cast("int")
 
 
+def _bucket_offsets(tagged: DataFrame) -> DataFrame:
+    """Per non-empty bucket: ``_cnt`` rows, ``_off`` rows in earlier buckets,
+    ``_total`` rows. At most ``2**bits`` rows: the broadcast side by proof."""
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        "_bucket", "_cnt",
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
+    )
+
+
+def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,
+                     range_partitions: int | None = None) -> DataFrame:
+    """``out = _off + rank inside the bucket``. With ``range_partitions`` the
+    rows are range-partitioned by bucket first (the window then needs no
+    exchange of its own, and each task holds one contiguous run of positions)."""
+    if range_partitions:
+        joined = joined.repartitionByRange(range_partitions, "_bucket")
+    local = Window.partitionBy("_bucket").orderBy(F.col(key_col), F.col(tie_col))
+    return joined.withColumn(out, (F.col("_off") + F.row_number().over(local)).cast("long"))
+
+
 def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
                     total_col: str | None = "n_total", bits: int = BUCKET_BITS,
-                    max_rn: int | None = None) -> DataFrame:
+                    max_rn: int | None = None, range_partitions: int | None = None) -> DataFrame:
     """1-based global row number in ``(key_col, tie_col)`` order, where
     ``key_col`` is a hex md5 key. Adds ``total_col`` (row count) if given.
 
@@ -47,25 +70,16 @@ def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
     that start after it are dropped *before* the shuffle: a cap of n rows
     moves about n + one bucket of rows, whatever the table size."""
     tagged = df.withColumn("_bucket", _bucket_of(F.col(key_col), bits))
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
-    )
+    offsets = _bucket_offsets(tagged)
     if max_rn is not None:
         offsets = offsets.filter(F.col("_off") < max_rn)
-    # The offsets table has at most 2**bits rows: the broadcast side by proof.
-    local = Window.partitionBy("_bucket").orderBy(F.col(key_col), F.col(tie_col))
-    ranked = (tagged.join(F.broadcast(offsets), "_bucket")
-              .withColumn("_local", F.row_number().over(local))
-              .withColumn(out, (F.col("_off") + F.col("_local")).cast("long")))
+    ranked = _rank_in_buckets(tagged.join(F.broadcast(offsets), "_bucket"), key_col, tie_col, out,
+                              range_partitions)
     if max_rn is not None:
         ranked = ranked.filter(F.col(out) <= max_rn)
     if total_col:
         ranked = ranked.withColumn(total_col, F.col("_total").cast("long"))
-    return ranked.drop("_bucket", "_local", "_off", "_total")
+    return ranked.drop("_bucket", "_cnt", "_off", "_total")
 
 
 def range_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
@@ -127,6 +141,41 @@ def split_exact(df: DataFrame, id_col: str, train_share: float = 0.8,
             .drop("_n"))
 
 
+def split_side(df: DataFrame, id_col: str, side: str = "train", train_share: float = 0.8,
+               seed: int = DEFAULT_SEED, positions: bool = True,
+               range_partitions: int | None = None) -> DataFrame:
+    """The rows of one side of ``split_exact``, without moving the other side.
+
+    Buckets wholly on the other side are dropped before any shuffle (a
+    broadcast join with the bounded offsets table). With ``positions`` the
+    side's rows are ranked (``rn``, ``split_rn``). Without it only the one
+    bucket that straddles the quota is ranked -- about n / 65,536 rows are
+    shuffled -- and every other row is placed by its bucket alone."""
+    if side not in ("train", "test"):
+        raise ValueError("side must be 'train' or 'test'")
+    tagged = (df.withColumn("order_key", seeded_key(id_col, seed))
+              .withColumn("_bucket", _bucket_of(F.col("order_key"), BUCKET_BITS)))
+    nt = F.round(F.lit(float(train_share)) * F.col("_total")).cast("long")
+    offsets = _bucket_offsets(tagged).withColumn("_nt", nt)
+    if side == "train":
+        offsets = offsets.filter(F.col("_off") < F.col("_nt"))
+    else:
+        offsets = offsets.filter(F.col("_off") + F.col("_cnt") > F.col("_nt"))
+    joined = tagged.join(F.broadcast(offsets), "_bucket")
+    in_side = (F.col("rn") <= F.col("_nt")) if side == "train" else (F.col("rn") > F.col("_nt"))
+    n_split = F.col("_nt") if side == "train" else F.col("_total") - F.col("_nt")
+    if positions:
+        ranked = _rank_in_buckets(joined, "order_key", id_col, "rn", range_partitions).filter(in_side)
+        ranked = ranked.withColumn("split_rn", F.col("rn") if side == "train" else F.col("rn") - F.col("_nt"))
+    else:
+        edge = (F.col("_off") < F.col("_nt")) & (F.col("_off") + F.col("_cnt") > F.col("_nt"))
+        whole = joined.filter(~edge)
+        cut = _rank_in_buckets(joined.filter(edge), "order_key", id_col, "rn").filter(in_side).drop("rn")
+        ranked = whole.unionByName(cut)
+    return (ranked.withColumn("split", F.lit(side)).withColumn("n_split", n_split.cast("long"))
+            .drop("_bucket", "_cnt", "_off", "_total", "_nt"))
+
+
 def hash_threshold(share: float) -> str | None:
     """Hex threshold on the first 8 key digits for a share; None means all."""
     if share >= 1.0:

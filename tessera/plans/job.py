@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary
 from tessera.operators.labels import index_labels, label_vocab
-from tessera.operators.sampling import sample_cap, split_exact
+from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import score_batch
 from tessera.plans.models import NetSpec
 from tessera.plans.training import ModelState, new_model, prepare_training_rows, read_metrics, train_fit
@@ -60,9 +60,9 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
-    split = split_exact(indexed, "id", cfg.train_share, cfg.seed)
-    rows = prepare_training_rows(split.filter(F.col("split") == "train"), cfg.batch_size,
-                                 cfg.workers, cfg.averaging_frequency)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=parts)
+    rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency, reshuffle=False)
 
     t0 = time.time()
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,
@@ -70,7 +70,8 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     train_ms = int((time.time() - t0) * 1000)
 
     t0 = time.time()
-    test = split.filter(F.col("split") == "test").select("id", F.col("label_idx").alias("actual"), "features")
+    test = (split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)
+            .select("id", F.col("label_idx").alias("actual"), "features"))
     pred = score_batch(test, spec, model.params, keep=["id", "actual"])
     with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
     confusion = with_nll.drop("nll_sum")

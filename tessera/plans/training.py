@@ -227,11 +227,16 @@ def _append_metrics(spark, rows: list, path: str) -> None:
 
 
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
-                          averaging_frequency: int, rn_col: str = "split_rn") -> DataFrame:
+                          averaging_frequency: int, rn_col: str = "split_rn",
+                          reshuffle: bool = True) -> DataFrame:
     """Batches of the training rows, written once partitioned by round so
-    each round reads only its own files."""
+    each round reads only its own files. Pass ``reshuffle=False`` when the
+    rows already arrive range-partitioned by position (``split_side``):
+    each task then writes into the few round folders its positions cover,
+    with no second shuffle of the data."""
     batched = batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
-    return materialize(batched.repartition("round", "worker"), "train-rows", partition_by=["round"])
+    batched = batched.repartition("round", "worker") if reshuffle else batched.sortWithinPartitions("round")
+    return materialize(batched, "train-rows", partition_by=["round"])
 
 
 def every_nth_batch(metrics: DataFrame, freq: int) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_MID
 from tessera.operators.labels import label_vocab
 from tessera.operators.sampling import (hash_row_number, range_row_number, sample_cap, seeded_key,
-                                        seeded_shuffle, split_exact, split_hash)
+                                        seeded_shuffle, split_exact, split_hash, split_side)
 
 
 def _emb(spark):
@@ -80,3 +80,17 @@ def test_label_vocab_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "label string")
     v = [tuple(r) for r in label_vocab(df).orderBy("label_idx").collect()]
     assert v == [(0, "a", 2), (1, "b", 1), (2, "c", 1)]
+
+
+@pytest.mark.parametrize("share", [0.8, 0.5, 0.0, 1.0])
+def test_split_sides_equal_exact_split(spark, share):
+    df = _emb(spark)
+    full = split_exact(df, "vec_id", share)
+    train = split_side(df, "vec_id", "train", share, positions=True, range_partitions=5)
+    assert _collect(train, ["vec_id", "rn", "split_rn", "n_split"]) == \
+        _collect(full.filter("split = 'train'"), ["vec_id", "rn", "split_rn", "n_split"])
+    test_pos = split_side(df, "vec_id", "test", share, positions=True)
+    assert _collect(test_pos, ["vec_id", "rn", "split_rn"]) == \
+        _collect(full.filter("split = 'test'"), ["vec_id", "rn", "split_rn"])
+    test = split_side(df, "vec_id", "test", share, positions=False)
+    assert _collect(test, ["vec_id", "n_split"]) == _collect(full.filter("split = 'test'"), ["vec_id", "n_split"])
