@@ -50,11 +50,14 @@ def _bucket_offsets(tagged: DataFrame) -> DataFrame:
 
 
 def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,
-                     range_partitions: int | None = None) -> DataFrame:
+                     range_partitions: int | bool | None = None) -> DataFrame:
     """``out = _off + rank inside the bucket``. With ``range_partitions`` the
     rows are range-partitioned by bucket first (the window then needs no
-    exchange of its own, and each task holds one contiguous run of positions)."""
-    if range_partitions:
+    exchange of its own, and each task holds one contiguous run of positions).
+    ``True`` leaves the partition count to the session (AQE may coalesce)."""
+    if range_partitions is True:
+        joined = joined.repartitionByRange("_bucket")
+    elif range_partitions:
         joined = joined.repartitionByRange(range_partitions, "_bucket")
     local = Window.partitionBy("_bucket").orderBy(F.col(key_col), F.col(tie_col))
     return joined.withColumn(out, (F.col("_off") + F.row_number().over(local)).cast("long"))
@@ -62,7 +65,7 @@ def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,
 
 def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
                     total_col: str | None = "n_total", bits: int = BUCKET_BITS,
-                    max_rn: int | None = None, range_partitions: int | None = None) -> DataFrame:
+                    max_rn: int | None = None, range_partitions: int | bool | None = None) -> DataFrame:
     """1-based global row number in ``(key_col, tie_col)`` order, where
     ``key_col`` is a hex md5 key. Adds ``total_col`` (row count) if given.
 
@@ -143,7 +146,7 @@ def split_exact(df: DataFrame, id_col: str, train_share: float = 0.8,
 
 def split_side(df: DataFrame, id_col: str, side: str = "train", train_share: float = 0.8,
                seed: int = DEFAULT_SEED, positions: bool = True,
-               range_partitions: int | None = None) -> DataFrame:
+               range_partitions: int | bool | None = None) -> DataFrame:
     """The rows of one side of ``split_exact``, without moving the other side.
 
     Buckets wholly on the other side are dropped before any shuffle (a

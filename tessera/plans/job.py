@@ -60,8 +60,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=parts)
+    train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
     rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency, reshuffle=False)
 
     t0 = time.time()

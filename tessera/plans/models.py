@@ -248,6 +248,11 @@ def backward(spec: NetSpec, params: dict, caches, p: np.ndarray, y: np.ndarray)
 
 
 # ---- the three presets -----------------------------------------------------
+# The layer lists, initialisation, updaters and rates of the
+# three presets below must equal the original job's configurations, in
+# layer order as written there. Quirks kept: LeNet's second conv takes
+# {5,5} as its stride; the second pool is named "maxool2"; VGGNet's conv
+# inputs are inferred by shape.
 
 def lenet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
     layers = (
