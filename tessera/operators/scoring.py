@@ -8,13 +8,12 @@ opaque to the optimizer.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.models import NetSpec, forward
+from tessera.plans.models import NetSpec, batch_input, forward
 
 
 def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "features",
@@ -24,7 +23,6 @@ def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "
     spark = df.sparkSession
     keep = list(keep or [c for c in df.columns if c != feature_col])
     bc = broadcast or spark.sparkContext.broadcast(params)
-    shape = tuple(spec.input_shape)
     in_schema = df.select(*keep).schema
     out_schema = T.StructType(list(in_schema.fields) + [
         T.StructField("probs", T.ArrayType(T.DoubleType())),
@@ -40,8 +38,7 @@ def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "
                 out["predicted"] = pd.Series([], dtype="int32")
                 yield out
                 continue
-            x = np.stack(pdf[feature_col].to_numpy()).astype(np.float64).reshape(len(pdf), *shape)
-            p, _ = forward(spec, p_, x, train=False)
+            p, _ = forward(spec, p_, batch_input(spec, pdf[feature_col]), train=False)
             out["probs"] = list(p)
             out["predicted"] = p.argmax(axis=1).astype("int32")
             yield out

@@ -83,10 +83,29 @@ class NetSpec:
     layers: tuple
     rules: Rules = field(default_factory=Rules)
     seed: int = 42
+    input_scale: float = 1.0       # applied to inputs in the closures (1/255 for 8-bit pixels)
 
     def with_input(self, channels, height, width):
         return replace(self, input_shape=(channels, height, width))
 
+    def with_scale(self, scale: float):
+        return replace(self, input_scale=scale)
+
+
+def batch_input(spec: NetSpec, values) -> np.ndarray:
+    """Stack a column of examples into ``[N, *input_shape]`` doubles times
+    ``input_scale``. Examples are float arrays or raw 8-bit pixel bytes
+    (CHW), the compact form for images."""
+    vals = list(values)
+    if not vals:
+        return np.zeros((0, *spec.input_shape))
+    if isinstance(vals[0], (bytes, bytearray, memoryview)):
+        x = np.frombuffer(b"".join(bytes(v) for v in vals), dtype=np.uint8).astype(np.float64)
+    else:
+        x = np.stack(vals).astype(np.float64)
+    x = x.reshape(len(vals), *spec.input_shape)
+    return x * spec.input_scale if spec.input_scale != 1.0 else x
+
 
 def rule_warnings(spec: NetSpec) -> list[str]:
     """Settings that are configured but have no effect."""

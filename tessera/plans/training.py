@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, param_average, param_sum
 from tessera.operators.batching import batch_assign
-from tessera.plans.models import NetSpec, backward, effective_l2, forward, init_params, layer_shapes
+from tessera.plans.models import (NetSpec, backward, batch_input, effective_l2, forward, init_params,
+                                  layer_shapes)
 from tessera.session import materialize, scratch_path
 
 @dataclass
@@ -97,10 +98,7 @@ def l2_penalty(spec: NetSpec, params: dict) -> float:
 
 
 def batch_arrays(spec: NetSpec, pdf: pd.DataFrame, feature_col: str, label_col: str):
-    if len(pdf) == 0:
-        return np.zeros((0, *spec.input_shape)), np.zeros(0, dtype=np.int64)
-    x = np.stack(pdf[feature_col].to_numpy()).astype(np.float64).reshape(len(pdf), *spec.input_shape)
-    return x, pdf[label_col].to_numpy().astype(np.int64)
+    return batch_input(spec, pdf[feature_col]), pdf[label_col].to_numpy().astype(np.int64)
 
 
 def train_batch(spec: NetSpec, model: ModelState, x, y, rng) -> float:

@@ -104,13 +104,18 @@ def to_channels(img: np.ndarray, channels: int) -> np.ndarray:
 
 
 def to_tensors(images: DataFrame, height: int, width: int, channels: int,
-               keep: list[str] | None = None) -> DataFrame:
-    """Decoded images -> ``features ARRAY<FLOAT>``: resized to height x width,
-    ``channels`` planes (CHW, BGR as read), values 0..255. Invalid images
-    (height < 1) give NULL features."""
+               keep: list[str] | None = None, as_bytes: bool = False) -> DataFrame:
+    """Decoded images -> ``features``: resized to height x width, ``channels``
+    planes (CHW, BGR as read), values 0..255. Invalid images (height < 1)
+    give NULL features.
+
+    ``as_bytes`` keeps the resized pixels as 8-bit ``BINARY`` (rounded, as an
+    8-bit reader would): a quarter of the float size for the training table
+    and its shuffles; scale them with ``NetSpec.input_scale`` (1/255)."""
     keep = list(keep or ["path", "label"])
+    out_type = T.BinaryType() if as_bytes else T.ArrayType(T.FloatType())
     schema = T.StructType([f for f in images.select(*keep).schema.fields] +
-                          [T.StructField("features", T.ArrayType(T.FloatType()))])
+                          [T.StructField("features", out_type)])
 
     def conv(it):
         for pdf in it:
@@ -120,8 +125,11 @@ def to_tensors(images: DataFrame, height: int, width: int, channels: int,
                     feats.append(None)
                     continue
                 img = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
-                out = to_channels(resize_bilinear(img, height, width), channels)
-                feats.append(out.transpose(2, 0, 1).reshape(-1).astype(np.float32))
+                out = to_channels(resize_bilinear(img, height, width), channels).transpose(2, 0, 1).reshape(-1)
+                if as_bytes:
+                    feats.append(np.clip(np.floor(out + 0.5), 0, 255).astype(np.uint8).tobytes())
+                else:
+                    feats.append(out.astype(np.float32))
             res = pdf[keep].copy()
             res["features"] = pd.Series(feats, dtype=object)
             yield res

@@ -85,12 +85,25 @@ def test_lenet_job_on_image_folder(spark, folder):
     from tessera.functions.arrays import scale_range
     from tessera.plans.job import JobConfig, run_job
     from tessera.plans.models import preset
-    imgs = to_tensors(read_images(spark, folder, drop_invalid=True), 20, 20, 3)
-    ex = imgs.select(F.col("path").alias("id"), "label", scale_range("features").alias("features"))
-    spec = preset("LeNet", channels=3, height=20, width=20, num_labels=3)
+    imgs = to_tensors(read_images(spark, folder, drop_invalid=True), 20, 20, 3, as_bytes=True)
+    ex = imgs.select(F.col("path").alias("id"), "label", "features")
+    spec = preset("LeNet", channels=3, height=20, width=20, num_labels=3).with_scale(1 / 255)
     res = run_job(spark, ex, spec, JobConfig(epochs=2, batch_size=6, workers=2, averaging_frequency=1,
                                              max_examples=24))
     rep = res.report.first()
     assert rep.model == "LeNet" and rep.n_test == round(24 * 0.2)
     assert res.training_metrics.count() == 2 * 4  # 2 epochs x ceil(19 / 6) batches
     assert [r.label for r in res.vocab.orderBy("label_idx").collect()] == ["cat", "dog", "emu"]
+
+
+def test_byte_tensors_equal_scaled_floats(spark, folder):
+    from tessera.functions.arrays import scale_range
+    from tessera.plans.models import batch_input, small_dense_net
+    imgs = read_images(spark, folder, drop_invalid=True)
+    b = {r.path: r.features for r in to_tensors(imgs, 6, 5, 3, as_bytes=True).collect()}
+    f = {r.path: r.features for r in to_tensors(imgs, 6, 5, 3).select("path", scale_range("features").alias("features")).collect()}
+    spec = small_dense_net(90, 3).with_scale(1 / 255)
+    xb = batch_input(spec, [b[k] for k in sorted(b)])
+    xf = np.array([f[k] for k in sorted(f)])
+    assert len(b[next(iter(b))]) == 90
+    assert np.abs(xb - xf).max() <= 0.5 / 255 + 1e-9  # 8-bit rounding only
