@@ -10,6 +10,7 @@ examples (id, label, features)
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import score_batch
 from tessera.plans.models import NetSpec
-from tessera.plans.training import ModelState, new_model, prepare_training_rows, read_metrics, train_fit
+from tessera.plans.training import (ModelState, drop_training_rows, new_model, prepare_training_rows,
+                                    read_metrics, train_fit)
 
 
 @dataclass(frozen=True)
@@ -61,12 +63,15 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
     train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
-    rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency, reshuffle=False)
+    table_name = f"tessera_train_{uuid.uuid4().hex[:12]}"
+    rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency,
+                                 table_name=table_name)
 
     t0 = time.time()
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,
                                     run_id=cfg.run_id)
     train_ms = int((time.time() - t0) * 1000)
+    drop_training_rows(spark, table_name)
 
     t0 = time.time()
     test = (split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)

@@ -15,6 +15,7 @@ worker, batch, iteration): a retried task reproduces the same parameters.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -226,15 +227,30 @@ def _append_metrics(spark, rows: list, path: str) -> None:
 
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                           averaging_frequency: int, rn_col: str = "split_rn",
-                          reshuffle: bool = True) -> DataFrame:
-    """Batches of the training rows, written once partitioned by round so
-    each round reads only its own files. Pass ``reshuffle=False`` when the
-    rows already arrive range-partitioned by position (``split_side``):
-    each task then writes into the few round folders its positions cover,
-    with no second shuffle of the data."""
-    batched = batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
-    batched = batched.repartition("round", "worker") if reshuffle else batched.sortWithinPartitions("round")
-    return materialize(batched, "train-rows", partition_by=["round"])
+                          bucketed: bool = True, table_name: str | None = None) -> DataFrame:
+    """Batches of the training rows, written once -- partitioned by round so
+    each round reads only its own files.
+
+    ``bucketed`` (default) also buckets the files by ``worker`` into an
+    external table under the checkpoint folder: every round's
+    ``groupBy('worker')`` then reads co-located buckets with no exchange,
+    so across all epochs the training data is shuffled once, here. The
+    one-time ``repartition(round, worker)`` keeps it to about one file per
+    (round, worker). Drop the table with ``drop_training_rows`` when done."""
+    spark = examples.sparkSession
+    batched = (batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
+               .repartition("round", "worker"))
+    if not bucketed:
+        return materialize(batched, "train-rows", partition_by=["round"])
+    name = table_name or f"tessera_train_{uuid.uuid4().hex[:12]}"
+    (batched.write.partitionBy("round").bucketBy(workers, "worker").sortBy("batch_id", "pos")
+     .option("path", scratch_path(spark, "train-rows")).saveAsTable(name))
+    return spark.table(name)
+
+
+def drop_training_rows(spark, table_name: str) -> None:
+    """Forget the external table (its files stay with the checkpoint folder)."""
+    spark.sql(f"DROP TABLE IF EXISTS {table_name}")
 
 
 def every_nth_batch(metrics: DataFrame, freq: int) -> DataFrame:
