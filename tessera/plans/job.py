@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary
 from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
-from tessera.operators.scoring import score_batch
+from tessera.operators.scoring import predict_named, score_batch
 from tessera.plans.models import NetSpec
 from tessera.plans.training import (ModelState, drop_training_rows, new_model, prepare_training_rows,
                                     read_metrics, train_fit)
@@ -48,6 +48,7 @@ class JobResult:
     summary: DataFrame
     training_metrics: DataFrame
     report: DataFrame
+    sample: DataFrame
 
 
 def fmt_duration(ms: int) -> str:
@@ -74,8 +75,8 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     drop_training_rows(spark, table_name)
 
     t0 = time.time()
-    test = (split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)
-            .select("id", F.col("label_idx").alias("actual"), "features"))
+    test_side = split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)
+    test = test_side.select("id", F.col("label_idx").alias("actual"), "features")
     pred = score_batch(test, spec, model.params, keep=["id", "actual"])
     with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
     confusion = with_nll.drop("nll_sum")
@@ -96,8 +97,12 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         "total_time": fmt_duration(total_ms),
     }
     report = spark.createDataFrame([report_row], REPORT_SCHEMA)
+    # One example, as the local job prints it: the first test row in seeded order.
+    first = test_side.orderBy("order_key", "id").limit(1).select("id", F.col("label_idx").alias("actual"), "features")
+    sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"]), vocab) \
+        .select("id", "expected", "predicted_name")
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     read_metrics(spark, metrics_path), report)
+                     read_metrics(spark, metrics_path), report, sample)
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_test long, accuracy double, "

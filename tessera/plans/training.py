@@ -267,26 +267,67 @@ def read_metrics(spark, path: str) -> DataFrame:
         return spark.createDataFrame([], METRICS_SCHEMA)
 
 
+def save_model(spark, model: ModelState, path: str, epoch: int, round_: int) -> None:
+    """Append the model (chunks, updater state, step) as checkpoint (epoch, round)."""
+    (model_chunks_df(spark, model).withColumn("epoch", F.lit(epoch)).withColumn("round", F.lit(round_).cast("long"))
+     .write.mode("append").partitionBy("epoch", "round").parquet(path))
+
+
+def latest_model(spark, spec: NetSpec, path: str):
+    """``(model, epoch, round)`` of the newest checkpoint under ``path``, or None.
+    A checkpoint becomes visible only when its write job commits."""
+    from pyspark.errors import AnalysisException
+    try:
+        saved = spark.read.parquet(path)
+        last = saved.select("epoch", "round").distinct().orderBy(F.desc("epoch"), F.desc("round")).first()
+    except AnalysisException:
+        return None
+    if last is None:
+        return None
+    rows = saved.filter((F.col("epoch") == last["epoch"]) & (F.col("round") == last["round"])) \
+        .select("param", "chunk", "values").collect()  # one model: bounded by the spec
+    return model_from_chunks(spec, [(r.param, r.chunk, r.values) for r in rows]), int(last["epoch"]), int(last["round"])
+
+
 def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: ModelState | None = None,
               feature_col: str = "features", label_col: str = "label_idx", weighted: bool = False,
-              metrics_path: str | None = None, run_id: str = "run"):
+              metrics_path: str | None = None, run_id: str = "run", checkpoint_path: str | None = None,
+              checkpoint_every: int | None = None, resume: bool = False):
     """Epochs of rounds over prepared training rows (see
-    ``prepare_training_rows``). Per-batch metrics are appended to a Parquet
-    sink (partitioned by ``run_id``) in bounded batches. Returns
-    ``(model, metrics_path)``."""
+    ``prepare_training_rows``). Returns ``(model, metrics_path)``.
+
+    Per-batch metrics are appended to a Parquet sink (partitioned by
+    ``run_id``) in bounded batches. With ``checkpoint_every`` the model is
+    saved every that many rounds under ``checkpoint_path`` (metrics are then
+    flushed at the same points), and ``resume`` continues after the newest
+    checkpoint -- a restarted driver loses at most ``checkpoint_every`` rounds."""
     spark = train_rows.sparkSession
     model = model or new_model(spec)
     metrics_path = metrics_path or scratch_path(spark, "metrics")
+    if checkpoint_every and not checkpoint_path:
+        checkpoint_path = scratch_path(spark, f"model-{run_id}")
     n_rounds = train_rows.agg(F.max("round")).first()[0]
     n_rounds = -1 if n_rounds is None else int(n_rounds)
+    start_epoch, start_round = 0, 0
+    if resume and checkpoint_path:
+        found = latest_model(spark, spec, checkpoint_path)
+        if found is not None:
+            model, e, r = found
+            start_epoch, start_round = (e, r + 1) if r < n_rounds else (e + 1, 0)
     buffer: list = []
-    for epoch in range(epochs):
-        for r in range(n_rounds + 1):
+    done = 0
+    for epoch in range(start_epoch, epochs):
+        for r in range(start_round if epoch == start_epoch else 0, n_rounds + 1):
             rows = train_rows.filter(F.col("round") == r)
             model, metrics = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
                                        run_id, with_metrics=True)
             buffer += metrics
-            if len(buffer) >= METRICS_FLUSH_ROWS:
+            done += 1
+            if checkpoint_every and done % checkpoint_every == 0:
+                _append_metrics(spark, buffer, metrics_path)
+                buffer = []
+                save_model(spark, model, checkpoint_path, epoch, r)
+            elif not checkpoint_every and len(buffer) >= METRICS_FLUSH_ROWS:
                 _append_metrics(spark, buffer, metrics_path)
                 buffer = []
     _append_metrics(spark, buffer, metrics_path)

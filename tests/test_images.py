@@ -94,6 +94,8 @@ def test_lenet_job_on_image_folder(spark, folder):
     assert rep.model == "LeNet" and rep.n_test == round(24 * 0.2)
     assert res.training_metrics.count() == 2 * 4  # 2 epochs x ceil(19 / 6) batches
     assert [r.label for r in res.vocab.orderBy("label_idx").collect()] == ["cat", "dog", "emu"]
+    one = res.sample.collect()
+    assert len(one) == 1 and one[0].expected in ("cat", "dog", "emu") and one[0].predicted_name is not None
 
 
 def test_byte_tensors_equal_scaled_floats(spark, folder):

@@ -104,3 +104,17 @@ def test_updaters_descend(updater):
     for _ in range(5):
         apply_update(spec, m, {"out.W": m.params["out.W"].copy(), "out.b": np.zeros(2)})
     assert (m.params["out.W"] ** 2).sum() < before
+
+
+def test_resume_from_checkpoint_equals_uninterrupted(spark, tmp_path):
+    df = _separable(spark, n_per=30, dim=6)
+    spec = small_dense_net(6, 3, hidden=5, updater="nesterovs")
+    rows = prepare_training_rows(split_exact(df, "id", 0.8), batch_size=8, workers=2, averaging_frequency=2)
+    full, _ = train_fit(spec, rows, epochs=2, model=new_model(spec))
+    ck = str(tmp_path / "ck")
+    m1, mp = train_fit(spec, rows, epochs=1, model=new_model(spec), checkpoint_path=ck, checkpoint_every=2)
+    resumed, _ = train_fit(spec, rows, epochs=2, model=new_model(spec), checkpoint_path=ck, checkpoint_every=2,
+                           resume=True, metrics_path=mp)
+    assert resumed.step == full.step
+    for k in full.params:
+        assert np.allclose(resumed.params[k], full.params[k], atol=1e-12)
