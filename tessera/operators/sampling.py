@@ -24,6 +24,8 @@ DEFAULT_SEED = 42
 # Path lists up to this size may be collected to the driver (image caps).
 TOPK_CAP_LIMIT = 100_000
 BUCKET_BITS = 16
+HOT_BUCKET_FACTOR = 64      # times the mean bucket size
+HOT_BUCKET_SLACK = 100_000  # rows always allowed in one bucket
 
 
 def seeded_key(id_col: str | Column, seed: int = DEFAULT_SEED) -> Column:
@@ -42,11 +44,19 @@ def _bucket_offsets(tagged: DataFrame) -> DataFrame:
     ``_total`` rows. At most ``2**bits`` rows: the broadcast side by proof."""
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
+    offsets = counts.select(
         "_bucket", "_cnt",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
     )
+    # md5 buckets of distinct ids hold about total / 2**bits rows each; a bucket
+    # far above that means repeated ids (a hot key), which have no repeatable
+    # order and would land in one task. Fail in this same job, before the shuffle.
+    limit = F.col("_total") * HOT_BUCKET_FACTOR / F.lit(2 ** BUCKET_BITS) + HOT_BUCKET_SLACK
+    # (The check sits on ``_off``, which every caller reads, so it is never pruned.)
+    return offsets.withColumn("_off", F.when(F.col("_cnt") <= limit, F.col("_off")).otherwise(
+        F.raise_error(F.concat(F.lit("order key bucket holds "), F.col("_cnt").cast("string"),
+                               F.lit(" rows: the id column repeats; ids must be unique")))).cast("long"))
 
 
 def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,

@@ -94,3 +94,12 @@ def test_split_sides_equal_exact_split(spark, share):
         _collect(full.filter("split = 'test'"), ["vec_id", "rn", "split_rn"])
     test = split_side(df, "vec_id", "test", share, positions=False)
     assert _collect(test, ["vec_id", "n_split"]) == _collect(full.filter("split = 'test'"), ["vec_id", "n_split"])
+
+
+def test_repeated_ids_fail_fast(spark, monkeypatch):
+    import tessera.operators.sampling as S
+    monkeypatch.setattr(S, "HOT_BUCKET_SLACK", 10)
+    df = spark.range(200).select(F.lit(7).alias("vec_id"), F.col("id").alias("label"))
+    with pytest.raises(Exception, match="ids must be unique"):
+        S.split_exact(df, "vec_id").collect()
+    assert S.split_exact(_emb(spark), "vec_id").count() == 500
