@@ -9,8 +9,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Tensors are wide (30,000 floats for a 100x100x3 image); keep Arrow batches
-# small enough that one batch of rows stays far below executor memory.
+# Tensors are wide (30,000 values for a 100x100x3 image); keep Arrow batches
+# small enough that one batch of rows stays far below executor memory. Spark
+# also caps a batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch,
+# 64 MB by default), which bounds batches of large decoded images.
 ARROW_BATCH_ROWS = 1024
 
 
