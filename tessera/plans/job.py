@@ -23,6 +23,7 @@ from tessera.operators.scoring import predict_named, score_batch
 from tessera.plans.models import NetSpec
 from tessera.plans.training import (ModelState, drop_training_rows, new_model, prepare_training_rows,
                                     read_metrics, train_fit)
+from tessera.session import materialize
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class JobConfig:
     seed: int = 42
     max_examples: int | None = None   # random cap before the split (the local job's 300)
     weighted_average: bool = False
+    materialize_examples: bool = True  # decode/resize once; later passes read columns of a file
     run_id: str = "run"
 
 
@@ -50,6 +52,13 @@ class JobResult:
     report: DataFrame
     sample: DataFrame
 
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the cached scoring pass behind ``confusion`` and ``metrics``."""
+        if self.cached is not None:
+            self.cached.unpersist()
+
 
 def fmt_duration(ms: int) -> str:
     """Driver-side twin of ``tessera.functions.text.duration_text``."""
@@ -61,6 +70,11 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     ex = examples.select("id", F.col("label").cast("string").alias("label"), "features")
     if cfg.max_examples is not None:
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
+    if cfg.materialize_examples:
+        # Examples feed five passes (vocabulary, offsets, training rows, test
+        # split, sample). Written once, the image decode and resize run once,
+        # and the label-only passes read one column.
+        ex = materialize(ex, "examples")
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
     train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
@@ -79,7 +93,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     test = test_side.select("id", F.col("label_idx").alias("actual"), "features")
     pred = score_batch(test, spec, model.params, keep=["id", "actual"])
     with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
-    confusion = with_nll.drop("nll_sum")
+    confusion = with_nll.select("actual", "predicted", "n")
     metrics = class_metrics(confusion, vocab)
     summary = eval_summary(metrics)
     s = summary.first()
@@ -102,7 +116,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"]), vocab) \
         .select("id", "expected", "predicted_name")
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     read_metrics(spark, metrics_path), report, sample)
+                     read_metrics(spark, metrics_path), report, sample, with_nll)
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_test long, accuracy double, "

@@ -379,6 +379,22 @@ def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        "out_h int, out_w int, params long")
 
 
+def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original local job's shape on an image folder: Spark writes the
+    tensor table as PNGs, reads and resizes them to LeNet's smallest input
+    (20x20, 3 channels, 8-bit), trains LeNet one epoch (batch 18, two
+    workers, averaging every 5 batches) and evaluates on the test split."""
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import preset
+    from tessera.sources.images import image_id, read_images, to_tensors
+    root = derived_image_folder(spark, sf_dir)
+    imgs = to_tensors(read_images(spark, root, glob="*.png"), 20, 20, 3, as_bytes=True)
+    ex = imgs.select(image_id("path").cast("long").alias("id"), "label", "features")
+    spec = preset("LeNet", channels=3, height=20, width=20, num_labels=formula.N_CLASSES).with_scale(1 / 255)
+    res = run_job(spark, ex, spec, JobConfig(run_id="image_job", **JOB))
+    return _rounded_metrics(res.metrics)
+
+
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _job(spark, sf_dir, "run_report").report
 
@@ -464,4 +480,5 @@ QUERIES = {
     "model_roundtrip": model_roundtrip,
     "run_report": run_report,
     "model_summary": model_summary,
+    "image_job": image_job,
 }
