@@ -6,10 +6,12 @@ round from that model; the resulting parameters (and updater state) are
 averaged by ``param_average``; the averaged model returns to the driver for
 the next round. Only the model crosses the driver -- its size is fixed by
 the spec, not by the data. Training rows are written once, partitioned by
-round, so each round reads only its own rows (partition pruning).
+round and bucketed by worker, so each round reads only its own rows
+(partition pruning) and groups them without an exchange.
 
-Every random draw inside a worker is seeded from (seed, epoch, round,
-worker, batch, iteration): a retried task reproduces the same parameters.
+Every random draw inside a worker comes from a generator seeded with
+(seed, epoch, round, worker, batch): a retried task reproduces the same
+parameters.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from tessera.plans.models import (NetSpec, backward, batch_input, effective_l2,
                                   layer_shapes)
 from tessera.session import materialize, scratch_path
 
+
 @dataclass
 class ModelState:
     params: dict
