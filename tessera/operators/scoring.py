@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.models import NetSpec, batch_input, forward
+from tessera.plans.models import NetSpec, batch_input, predict
 
 
 def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "features",
@@ -38,7 +38,7 @@ def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "
                 out["predicted"] = pd.Series([], dtype="int32")
                 yield out
                 continue
-            p, _ = forward(spec, p_, batch_input(spec, pdf[feature_col]), train=False)
+            p = predict(spec, p_, batch_input(spec, pdf[feature_col]))
             out["probs"] = list(p)
             out["predicted"] = p.argmax(axis=1).astype("int32")
             yield out

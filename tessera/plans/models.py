@@ -237,6 +237,16 @@ def forward(spec: NetSpec, params: dict, x: np.ndarray, train: bool = False, rng
     return a, caches
 
 
+SLICE_ROWS = 64  # rows per forward pass in scoring: bounds im2col memory for wide images
+
+
+def predict(spec: NetSpec, params: dict, x: np.ndarray, rows: int = SLICE_ROWS) -> np.ndarray:
+    """Class probabilities of any number of rows, ``rows`` at a time."""
+    if len(x) <= rows:
+        return forward(spec, params, x)[0]
+    return np.concatenate([forward(spec, params, x[i:i + rows])[0] for i in range(0, len(x), rows)])
+
+
 def backward(spec: NetSpec, params: dict, caches, p: np.ndarray, y: np.ndarray) -> dict:
     """Gradients of the NLL (mean over the batch, or sum when
     ``mini_batch`` is False) for every parameter."""

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, param_average, param_sum
 from tessera.operators.batching import batch_assign
-from tessera.plans.models import (NetSpec, backward, batch_input, effective_l2, forward, init_params,
-                                  layer_shapes)
+from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
+                                  init_params, layer_shapes)
 from tessera.session import materialize, scratch_path
 
 
@@ -352,13 +352,12 @@ def full_batch_step(spec: NetSpec, model: ModelState, rows: DataFrame, feature_c
         params = bc.value
         acc, n = None, 0
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x, y = batch_arrays(spec, pdf, feature_col, label_col)
-            p, caches = forward(summing, params, x, train=False)
-            g = backward(summing, params, caches, p, y)
-            acc = g if acc is None else {k: acc[k] + g[k] for k in acc}
-            n += len(y)
+            for lo in range(0, len(pdf), SLICE_ROWS):  # bounded memory per forward/backward
+                x, y = batch_arrays(spec, pdf.iloc[lo:lo + SLICE_ROWS], feature_col, label_col)
+                p, caches = forward(summing, params, x, train=False)
+                g = backward(summing, params, caches, p, y)
+                acc = g if acc is None else {k: acc[k] + g[k] for k in acc}
+                n += len(y)
         if acc is not None:
             yield pd.DataFrame([(name, c, vals, n) for name, c, vals in to_chunk_rows(acc)],
                                columns=["param", "chunk", "values", "n"])
