@@ -1,24 +1,113 @@
 """Parameter averaging: element-wise (weighted) mean of model chunks over workers.
 
-Input rows are ``param, chunk, values ARRAY<DOUBLE>[, weight]`` -- one per
-worker and chunk. The mean runs as a vector aggregate (``Summarizer``) with
-map-side partial aggregation, so each partition ships one partial vector per
-chunk, not one row per element.
+Input rows are ``param, chunk, values[, weight]`` -- one per worker and
+chunk. Two encodings of ``values``:
+
+* ``ARRAY<DOUBLE>``: the mean runs as a JVM vector aggregate
+  (``Summarizer``) with map-side partial aggregation.
+* ``BINARY`` (raw float64 bytes, as the training closures emit them): the
+  mean runs in NumPy per ``(param, chunk)`` group. Large float arrays cross
+  the Python/JVM boundary several times faster as bytes than as arrays. A
+  fan-in level first combines groups of at most ``FANIN`` workers, so no group
+  ever holds more than ``FANIN`` model chunks, whatever the worker count.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = 65536  # values per model chunk; bounds the row size of a chunk
+FANIN = 64     # most chunks one reducer group combines
+
+
+def _is_binary(df: DataFrame) -> bool:
+    return isinstance(df.schema["values"].dataType, T.BinaryType)
+
+
+def _weighted_sums(keys, with_sum, divide=False):
+    """Grouped reducer: sum of w * v and of w (and of the second count);
+    with ``divide`` the mean sum(w * v) / sum(w) instead of the sum."""
+    def reduce(key, pdf):
+        # Arrival order after a shuffle varies; a fixed order makes the float
+        # sum, and so a retried round, reproduce bit for bit.
+        pdf = pdf.sort_values(["values", "_w"], kind="stable")
+        w = pdf["_w"].to_numpy(dtype=np.float64)
+        acc = None
+        for wi, b in zip(w, pdf["values"]):
+            v = np.frombuffer(b, dtype=np.float64) * wi
+            acc = v if acc is None else acc + v
+        if divide:
+            acc = acc / w.sum()
+        row = dict(zip(keys, key))
+        row.update(values=acc.tobytes(), _w=float(w.sum()))
+        if with_sum:
+            row["_n"] = int(pdf["_n"].sum())
+        return pd.DataFrame([row])
+    return reduce
+
+
+def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean: bool,
+                   count_col: str | None = None, fanin_col: str | None = None,
+                   fanin_groups: int = 1) -> DataFrame:
+    key_schema = [chunks.schema[k] for k in keys]
+    fields = key_schema + [T.StructField("values", T.BinaryType()), T.StructField("_w", T.DoubleType())]
+    if count_col:
+        fields.append(T.StructField("_n", T.LongType()))
+    schema = T.StructType(fields)
+    w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
+    cols = [*keys, "values", w.alias("_w")] + ([F.col(count_col).cast("long").alias("_n")] if count_col else [])
+    src = chunks.select(*cols, *([F.col(fanin_col)] if fanin_col else []))
+    if fanin_col and fanin_groups > 1:
+        # First level: groups of at most FANIN rows per chunk, summed.
+        part_keys = (*keys, "_g")
+        part_schema = T.StructType([*key_schema, T.StructField("_g", T.IntegerType()), *fields[len(keys):]])
+        src = (src.withColumn("_g", (F.col(fanin_col) % fanin_groups).cast("int"))
+               .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, bool(count_col)), part_schema)
+               .withColumnRenamed("_w", "_w0"))
+        # The partial sums already carry their weights: add them with weight 1.
+        src = src.select(*keys, "values", "_w0", *(["_n"] if count_col else []))
+        return _finish(src.groupBy(*keys).applyInPandas(_sum_partials(keys, bool(count_col), mean), schema),
+                       keys, mean, count_col)
+    out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, bool(count_col), mean), schema)
+    return _finish(out, keys, mean, count_col)
+
+
+def _sum_partials(keys, with_sum, divide=False):
+    def reduce(key, pdf):
+        pdf = pdf.sort_values(["values", "_w0"], kind="stable")
+        acc = None
+        for b in pdf["values"]:
+            v = np.frombuffer(b, dtype=np.float64)
+            acc = v.copy() if acc is None else acc + v
+        if divide:
+            acc = acc / float(pdf["_w0"].sum())
+        row = dict(zip(keys, key))
+        row.update(values=acc.tobytes(), _w=float(pdf["_w0"].sum()))
+        if with_sum:
+            row["_n"] = int(pdf["_n"].sum())
+        return pd.DataFrame([row])
+    return reduce
+
+
+def _finish(reduced: DataFrame, keys: tuple, mean: bool, count_col: str | None) -> DataFrame:
+    if not mean:
+        return reduced.select(*keys, "values", F.col("_n").alias(count_col))
+    return reduced.select(*keys, "values", F.col("_w").alias("weight"))
 
 
 def param_average(chunks: DataFrame, weight_col: str | None = None,
-                  keys: tuple = ("param", "chunk")) -> DataFrame:
-    """``param, chunk, values, weight`` averaged to ``param, chunk, values``."""
+                  keys: tuple = ("param", "chunk"), fanin_col: str | None = None,
+                  fanin_groups: int = 1) -> DataFrame:
+    """``param, chunk, values[, weight]`` averaged to ``param, chunk, values, weight``
+    (``weight`` = summed weights). Keeps the encoding of ``values``."""
+    if _is_binary(chunks):
+        return _binary_reduce(chunks, weight_col, keys, True, fanin_col=fanin_col, fanin_groups=fanin_groups)
     vec = array_to_vector(F.col("values"))
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     return (chunks.select(*keys, vec.alias("_v"), w.alias("_w"))
@@ -30,7 +119,14 @@ def param_average(chunks: DataFrame, weight_col: str | None = None,
 
 def param_sum(chunks: DataFrame, count_col: str, keys: tuple = ("param", "chunk")) -> DataFrame:
     """Element-wise sum of chunks over workers/partitions, plus the summed count."""
+    if _is_binary(chunks):
+        return _binary_reduce(chunks, None, keys, False, count_col=count_col)
     return (chunks.select(*keys, array_to_vector(F.col("values")).alias("_v"), count_col)
             .groupBy(*keys)
             .agg(Summarizer.sum(F.col("_v")).alias("_s"), F.sum(count_col).alias(count_col))
             .select(*keys, vector_to_array(F.col("_s")).alias("values"), count_col))
+
+
+def fanin_groups_for(workers: int) -> int:
+    """First-level groups so that no reducer group combines more than FANIN chunks."""
+    return max(1, -(-workers // FANIN))

@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import layers as L
-from tessera.operators.averaging import CHUNK, param_average, param_sum
+from tessera.operators.averaging import CHUNK, fanin_groups_for, param_average, param_sum
 from tessera.operators.batching import batch_assign
 from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
                                   init_params, layer_shapes)
-from tessera.session import materialize, scratch_path
+from tessera.session import collect_arrow, materialize, scratch_path
 
 
 @dataclass
@@ -124,10 +124,16 @@ def to_chunk_rows(arrays: dict):
             yield name, c, flat[c * CHUNK:(c + 1) * CHUNK]
 
 
+def _as_array(values) -> np.ndarray:
+    if isinstance(values, (bytes, bytearray, memoryview)):
+        return np.frombuffer(values, dtype=np.float64)
+    return np.asarray(values, dtype=np.float64)
+
+
 def from_chunk_rows(rows, shapes: dict) -> dict:
     parts: dict = {}
     for name, chunk, values in rows:
-        parts.setdefault(name, {})[chunk] = np.asarray(values, dtype=np.float64)
+        parts.setdefault(name, {})[chunk] = _as_array(values)
     return {n: np.concatenate([parts[n][c] for c in sorted(parts[n])]).reshape(shapes[n])
             for n in parts}
 
@@ -146,7 +152,7 @@ def model_chunks_df(spark, model: ModelState) -> DataFrame:
 def model_from_chunks(spec: NetSpec, rows) -> ModelState:
     shapes = param_shapes(spec)
     rows = list(rows)
-    step = [int(v[0]) for n, _, v in rows if n == "__step__"]
+    step = [int(_as_array(v)[0]) for n, _, v in rows if n == "__step__"]
     arrays = from_chunk_rows([r for r in rows if r[0] != "__step__"],
                              {**shapes, **{f"{p}:{k}": s for k, s in shapes.items() for p in "sv"}})
     params = {k: v for k, v in arrays.items() if ":" not in k}
@@ -156,7 +162,9 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
 
 # ---- one round --------------------------------------------------------------
 
-ROUND_SCHEMA = "param string, chunk int, values array<double>, examples long"
+# Chunks travel as raw float64 bytes: several times cheaper across the
+# Python/JVM boundary than ARRAY<DOUBLE> at model sizes.
+ROUND_SCHEMA = "worker int, param string, chunk int, values binary, examples long"
 METRICS_PREFIX = "__metrics__/"
 METRIC_FIELDS = 4  # batch, examples, score, step
 METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long, examples long, "
@@ -179,36 +187,41 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
             score = train_batch(spec, model, x, y, rng)
             examples += len(y)
             metrics += [float(batch_id), float(len(y)), score, float(model.step)]
-        out = [(name, c, vals, examples) for name, c, vals in to_chunk_rows({**model.params, **model.state})]
+        out = [(worker, name, c, vals.tobytes(), examples)
+               for name, c, vals in to_chunk_rows({**model.params, **model.state})]
         # A worker's metrics travel as one more chunk under a key of its own:
         # the mean over one row is the row, so the average passes it through.
-        out.append((f"{METRICS_PREFIX}{worker}", 0, np.array(metrics), examples))
-        return pd.DataFrame(out, columns=["param", "chunk", "values", "examples"])
+        out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), examples))
+        return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "examples"])
     return fit
 
 
 def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: str = "features",
               label_col: str = "label_idx", epoch: int = 0, round_: int = 0,
-              weighted: bool = False, run_id: str = "run", with_metrics: bool = False):
+              weighted: bool = False, run_id: str = "run", with_metrics: bool = False,
+              workers: int | None = None):
     """One averaging round over ``rows`` (the rows of this round, with
     ``worker``, ``batch_id``, ``pos``) as a single Spark job: broadcast
     model -> per-worker fit -> vector mean per chunk -> averaged chunks
     (model-sized) to the driver. Returns the new model, and with
-    ``with_metrics`` also the round's metric tuples (one per batch)."""
+    ``with_metrics`` also the round's metric tuples (one per batch).
+    ``workers`` (when known) sizes the averaging fan-in."""
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(model)
     try:
         out = (rows.select("worker", "batch_id", "pos", feature_col, label_col)
                .groupBy("worker")
                .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_), ROUND_SCHEMA))
-        collected = param_average(out, weight_col="examples" if weighted else None).collect()
+        averaged = param_average(out, weight_col="examples" if weighted else None, fanin_col="worker",
+                                 fanin_groups=fanin_groups_for(workers or 1))
+        collected = collect_arrow(averaged).to_dict("records")  # model-sized
     finally:
         bc.destroy()
     chunks, metrics = [], []
     for r in collected:
         if r["param"].startswith(METRICS_PREFIX):
             worker = int(r["param"][len(METRICS_PREFIX):])
-            v = r["values"]
+            v = _as_array(r["values"])
             for j in range(0, len(v), METRIC_FIELDS):
                 metrics.append((run_id, epoch, round_, worker, int(v[j]), int(v[j + 1]), float(v[j + 2]),
                                 int(v[j + 3])))
@@ -309,8 +322,9 @@ def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: Mode
     metrics_path = metrics_path or scratch_path(spark, "metrics")
     if checkpoint_every and not checkpoint_path:
         checkpoint_path = scratch_path(spark, f"model-{run_id}")
-    n_rounds = train_rows.agg(F.max("round")).first()[0]
-    n_rounds = -1 if n_rounds is None else int(n_rounds)
+    top = train_rows.agg(F.max("round").alias("r"), F.max("worker").alias("w")).first()
+    n_rounds = -1 if top["r"] is None else int(top["r"])
+    workers = 1 if top["w"] is None else int(top["w"]) + 1
     start_epoch, start_round = 0, 0
     if resume and checkpoint_path:
         found = latest_model(spark, spec, checkpoint_path)
@@ -323,7 +337,7 @@ def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: Mode
         for r in range(start_round if epoch == start_epoch else 0, n_rounds + 1):
             rows = train_rows.filter(F.col("round") == r)
             model, metrics = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
-                                       run_id, with_metrics=True)
+                                       run_id, with_metrics=True, workers=workers)
             buffer += metrics
             done += 1
             if checkpoint_every and done % checkpoint_every == 0:
@@ -359,13 +373,13 @@ def full_batch_step(spec: NetSpec, model: ModelState, rows: DataFrame, feature_c
                 acc = g if acc is None else {k: acc[k] + g[k] for k in acc}
                 n += len(y)
         if acc is not None:
-            yield pd.DataFrame([(name, c, vals, n) for name, c, vals in to_chunk_rows(acc)],
+            yield pd.DataFrame([(name, c, vals.tobytes(), n) for name, c, vals in to_chunk_rows(acc)],
                                columns=["param", "chunk", "values", "n"])
 
     try:
         parts = rows.select(feature_col, label_col).mapInPandas(
-            grad_sums, "param string, chunk int, values array<double>, n long")
-        collected = param_sum(parts, "n").collect()
+            grad_sums, "param string, chunk int, values binary, n long")
+        collected = collect_arrow(param_sum(parts, "n")).to_dict("records")  # model-sized
     finally:
         bc.destroy()
     new = ModelState({k: v.copy() for k, v in model.params.items()},

@@ -84,3 +84,17 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def collect_arrow(df: DataFrame):
+    """``df`` as a pandas frame through Arrow (much faster than ``collect()``
+    for large binary rows such as model chunks). Only for results of a
+    known, bounded size."""
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    spark = df.sparkSession
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return df.toPandas()
+    finally:
+        spark.conf.set(key, old)

@@ -118,3 +118,21 @@ def test_resume_from_checkpoint_equals_uninterrupted(spark, tmp_path):
     assert resumed.step == full.step
     for k in full.params:
         assert np.allclose(resumed.params[k], full.params[k], atol=1e-12)
+
+
+@pytest.mark.parametrize("fanin", [1, 3])
+def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
+    import tessera.operators.averaging as AV
+    monkeypatch.setattr(AV, "FANIN", 2)
+    rng = np.random.default_rng(5)
+    rows = [(w, "p", c, rng.normal(size=7).tolist(), int(w + 1)) for w in range(5) for c in range(2)]
+    arr = spark.createDataFrame(rows, "worker int, param string, chunk int, values array<double>, n long")
+    binv = arr.withColumn("values", F.udf(lambda v: np.array(v).tobytes(), "binary")("values"))
+    for weight in (None, "n"):
+        a = {(r.param, r.chunk): np.array(r["values"]) for r in AV.param_average(arr, weight).collect()}
+        b = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in
+             AV.param_average(binv, weight, fanin_col="worker", fanin_groups=fanin).collect()}
+        for k in a:
+            assert np.allclose(a[k], b[k], atol=1e-12)
+    s = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in AV.param_sum(binv, "n").collect()}
+    assert np.allclose(s[("p", 0)], sum(np.array(r[3]) for r in rows if r[2] == 0))

@@ -1,0 +1,24 @@
+"""One AlexNet averaging round (61x61x3, 16 random 8-bit images, 2 workers) with timing.
+
+usage: python tools/alexnet_round.py
+"""
+import time, sys
+sys.path.insert(0, '/root/repo')
+import numpy as np
+from tessera.session import build_session
+from tessera.plans.models import preset, n_params
+from tessera.plans.training import new_model, run_round
+from tessera.operators.batching import batch_assign
+spark = build_session('local[4]')
+spec = preset("AlexNet", channels=3, height=61, width=61, num_labels=3).with_scale(1/255)
+print("params", n_params(spec))
+rng = np.random.default_rng(0)
+rows = [(i, int(i % 3), rng.integers(0, 256, 61*61*3, dtype=np.uint8).tobytes()) for i in range(16)]
+df = spark.createDataFrame(rows, "rn long, label_idx int, features binary")
+df = batch_assign(df.withColumn("rn", df.rn + 1), "rn", 4, workers=2, averaging_frequency=2)
+m0 = new_model(spec)
+t = time.time()
+m1, metrics = run_round(spec, m0, df, with_metrics=True)
+print("round seconds", round(time.time() - t, 1), "step", m1.step, "metrics", len(metrics))
+print("changed", {k: float(np.abs(m1.params[k] - m0.params[k]).max()) > 0 for k in ["cnn1.W", "ffn2.W", "output.b"]})
+print("state keys", len(m1.state), "finite", all(np.isfinite(v).all() for v in m1.params.values()))
