@@ -109,3 +109,12 @@ def test_byte_tensors_equal_scaled_floats(spark, folder):
     xf = np.array([f[k] for k in sorted(f)])
     assert len(b[next(iter(b))]) == 90
     assert np.abs(xb - xf).max() <= 0.5 / 255 + 1e-9  # 8-bit rounding only
+
+
+def test_cap_above_path_limit_uses_semi_join(spark, folder, monkeypatch):
+    import tessera.sources.images as I
+    monkeypatch.setattr(I, "TOPK_CAP_LIMIT", 3)
+    capped = I.read_capped(spark, folder, 7)
+    assert capped.count() == 7
+    small = {r.path for r in read_capped(spark, folder, 7).collect()}
+    assert {r.path for r in capped.collect()} == small  # same seeded choice either way

@@ -136,3 +136,9 @@ def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
             assert np.allclose(a[k], b[k], atol=1e-12)
     s = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in AV.param_sum(binv, "n").collect()}
     assert np.allclose(s[("p", 0)], sum(np.array(r[3]) for r in rows if r[2] == 0))
+
+
+def test_every_nth_batch(spark):
+    from tessera.plans.training import METRICS_SCHEMA, every_nth_batch
+    m = spark.createDataFrame([("r", 0, 0, 0, b, 18, 1.0, b) for b in range(10)], METRICS_SCHEMA)
+    assert [r.batch for r in every_nth_batch(m, 3).orderBy("batch").collect()] == [0, 3, 6, 9]
