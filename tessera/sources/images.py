@@ -32,8 +32,14 @@ def read_images(spark: SparkSession, root: str, glob: str = "*.jpg", drop_invali
     return _image_columns(df)
 
 
+def canonical_path(col):
+    """One spelling for local file URIs: the ``image`` source reports
+    ``file:///x`` where ``binaryFile`` reports ``file:/x``."""
+    return F.regexp_replace(col, r"^file:/+", "file:///")
+
+
 def _image_columns(df: DataFrame) -> DataFrame:
-    return df.select(F.col("image.origin").alias("path"),
+    return df.select(canonical_path(F.col("image.origin")).alias("path"),
                      parent_name(F.col("image.origin"), strip_tail=False).alias("label"),
                      F.col("image.height").alias("height"), F.col("image.width").alias("width"),
                      F.col("image.nChannels").alias("n_channels"), F.col("image.mode").alias("mode"),
@@ -46,7 +52,8 @@ def list_images(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFram
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", glob)
             .load(root)
-            .select("path", parent_name(F.col("path"), strip_tail=False).alias("label")))
+            .select(canonical_path(F.col("path")).alias("path"),
+                    parent_name(F.col("path"), strip_tail=False).alias("label")))
 
 
 def read_capped(spark: SparkSession, root: str, max_examples: int, seed: int = 42,
