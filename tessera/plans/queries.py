@@ -23,6 +23,7 @@ from tessera.operators.sampling import sample_cap as cap_rows
 from tessera.operators.sampling import seeded_shuffle as shuffle_rows
 from tessera.operators.sampling import split_exact as split_rows
 from tessera.operators.sampling import split_hash as hash_split_rows
+from tessera.operators.sampling import split_side
 from tessera.operators.scoring import predict_named as name_predictions
 from tessera.operators.scoring import score_batch as score_rows
 from tessera.plans import formula
@@ -112,8 +113,8 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_rows(spark, sf_dir):
-    s = split_rows(_emb_ids(spark, sf_dir), "vec_id", TRAIN_SHARE, SEED)
-    return s.filter(F.col("split") == "train")
+    # Only the train side is ranked; buckets wholly in the test share never shuffle.
+    return split_side(_emb_ids(spark, sf_dir), "vec_id", "train", TRAIN_SHARE, SEED, positions=True)
 
 
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,8 +309,9 @@ def train_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predict_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec, params = _formula_net()
-    s = split_rows(_emb(spark, sf_dir), "id", TRAIN_SHARE, SEED)
-    first = s.filter(F.col("split") == "test").orderBy("split_rn").limit(1)
+    # The test side is placed by bucket (no ranking); the first row is a top-1.
+    test = split_side(_emb(spark, sf_dir), "id", "test", TRAIN_SHARE, SEED, positions=False)
+    first = test.orderBy("order_key", "id").limit(1)
     pred = score_rows(first.select(F.col("id").alias("vec_id"), F.col("label_idx").alias("actual"), "features"),
                       spec, params, "features", keep=["vec_id", "actual"])
     vocab = build_vocab(_emb(spark, sf_dir), "label", with_counts=False)
