@@ -8,6 +8,7 @@ Resizing and the move to a planar float tensor run in ``mapInPandas``.
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 
 import numpy as np
@@ -176,8 +177,11 @@ def write_image_folder(df: DataFrame, root: str, id_col: str, label_col: str, pi
                     filesystem.create_dir(folder, recursive=True)
                     made.add(folder)
                 path = f"{folder}/{i}.png"
-                with filesystem.open_output_stream(path) as f:
+                # Write then move: a retried or duplicate attempt never leaves a half file.
+                tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+                with filesystem.open_output_stream(tmp) as f:
                     f.write(png_bytes(np.asarray(px).reshape(height, width)))
+                filesystem.move(tmp, path)
                 paths.append(path)
             yield pd.DataFrame({id_col: pdf[id_col], "path": paths})
 
