@@ -1,6 +1,5 @@
 """Streaming scoring equals batch scoring on the same rows."""
 
-import os
 
 from pyspark.sql import functions as F
 
