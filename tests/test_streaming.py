@@ -1,6 +1,5 @@
 """Streaming scoring equals batch scoring on the same rows."""
 
-
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
