@@ -83,3 +83,4 @@ def nll(probs: str | Column, label_idx: str | Column, eps: float = 1e-15) -> Col
 
 def round_array(arr: str | Column, digits: int = 6) -> Column:
     return F.transform(_col(arr), lambda x: F.round(x, digits))
+

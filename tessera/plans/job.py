@@ -24,6 +24,7 @@ from tessera.plans.models import NetSpec
 from tessera.plans.training import (ModelState, drop_training_rows, new_model, prepare_training_rows,
                                     read_metrics, train_fit)
 from tessera.session import materialize
+from tessera.sources.tensors import pack_tensors
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,7 @@ class JobConfig:
     max_examples: int | None = None   # random cap before the split (the local job's 300)
     weighted_average: bool = False
     materialize_examples: bool = True  # decode/resize once; later passes read columns of a file
+    pack_tensors: bool = True          # numeric arrays travel as flat float32 bytes
     run_id: str = "run"
 
 
@@ -68,6 +70,8 @@ def fmt_duration(ms: int) -> str:
 def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobConfig = JobConfig()) -> JobResult:
     t_total = time.time()
     ex = examples.select("id", F.col("label").cast("string").alias("label"), "features")
+    if cfg.pack_tensors:
+        ex = pack_tensors(ex, "features")
     if cfg.max_examples is not None:
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
     if cfg.materialize_examples:

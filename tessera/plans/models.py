@@ -94,13 +94,21 @@ class NetSpec:
 
 def batch_input(spec: NetSpec, values) -> np.ndarray:
     """Stack a column of examples into ``[N, *input_shape]`` doubles times
-    ``input_scale``. Examples are float arrays or raw 8-bit pixel bytes
-    (CHW), the compact form for images."""
+    ``input_scale``. Examples are float arrays or packed bytes: 8-bit pixels
+    (one byte per value, the compact form for images) or float32 (four bytes
+    per value, see ``pack_float32``) -- told apart by length, as the shape is known."""
     vals = list(values)
     if not vals:
         return np.zeros((0, *spec.input_shape))
     if isinstance(vals[0], (bytes, bytearray, memoryview)):
-        x = np.frombuffer(b"".join(bytes(v) for v in vals), dtype=np.uint8).astype(np.float64)
+        n = int(np.prod(spec.input_shape))
+        raw = b"".join(bytes(v) for v in vals)
+        if len(raw) == n * len(vals):
+            x = np.frombuffer(raw, dtype=np.uint8).astype(np.float64)
+        elif len(raw) == 4 * n * len(vals):
+            x = np.frombuffer(raw, dtype=np.float32).astype(np.float64)
+        else:
+            raise ValueError(f"packed examples of {len(raw) // len(vals)} bytes do not fit shape {spec.input_shape}")
     else:
         x = np.stack(vals).astype(np.float64)
     x = x.reshape(len(vals), *spec.input_shape)

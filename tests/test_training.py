@@ -142,3 +142,14 @@ def test_every_nth_batch(spark):
     from tessera.plans.training import METRICS_SCHEMA, every_nth_batch
     m = spark.createDataFrame([("r", 0, 0, 0, b, 18, 1.0, b) for b in range(10)], METRICS_SCHEMA)
     assert [r.batch for r in every_nth_batch(m, 3).orderBy("batch").collect()] == [0, 3, 6, 9]
+
+
+def test_pack_tensors_roundtrip(spark):
+    from tessera.plans.models import batch_input, small_dense_net
+    from tessera.sources.tensors import pack_tensors
+    rows = [(1, [0.5, -1.25, 3.0]), (2, None), (3, [1e-3, 2.0, -7.5])]
+    df = spark.createDataFrame(rows, "id long, features array<double>").repartition(1).sortWithinPartitions("id")
+    packed = {r.id: r.features for r in pack_tensors(df).collect()}
+    assert packed[2] is None
+    x = batch_input(small_dense_net(3, 2), [packed[1], packed[3]])
+    assert np.allclose(x, np.array([[0.5, -1.25, 3.0], [1e-3, 2.0, -7.5]], dtype=np.float32))
