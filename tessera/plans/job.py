@@ -79,6 +79,9 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         # split, sample). Written once, the image decode and resize run once,
         # and the label-only passes read one column.
         ex = materialize(ex, "examples")
+    # Undecodable images arrive with NULL features: counted in the report, left out.
+    n_invalid = ex.filter(F.col("features").isNull()).count()
+    ex = ex.filter(F.col("features").isNotNull())
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
     train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
@@ -108,7 +111,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     params = {k: str(v) for k, v in asdict(cfg).items()}
     report_row = {
         "run_id": cfg.run_id, "model": spec.name, "params": params,
-        "n_test": int(s["n"] or 0), "accuracy": s["accuracy"], "macro_precision": s["macro_precision"],
+        "n_invalid": int(n_invalid), "n_test": int(s["n"] or 0), "accuracy": s["accuracy"], "macro_precision": s["macro_precision"],
         "macro_recall": s["macro_recall"], "macro_f1": s["macro_f1"], "test_score": score,
         "train_ms": train_ms, "test_ms": test_ms, "total_ms": total_ms,
         "train_time": fmt_duration(train_ms), "test_time": fmt_duration(test_ms),
@@ -123,7 +126,8 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
                      read_metrics(spark, metrics_path), report, sample, with_nll)
 
 
-REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_test long, accuracy double, "
+REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_invalid long, n_test long, "
+                 "accuracy double, "
                  "macro_precision double, macro_recall double, macro_f1 double, test_score double, "
                  "train_ms long, test_ms long, total_ms long, train_time string, test_time string, "
                  "total_time string")

@@ -118,3 +118,14 @@ def test_cap_above_path_limit_uses_semi_join(spark, folder, monkeypatch):
     assert capped.count() == 7
     small = {r.path for r in read_capped(spark, folder, 7).collect()}
     assert {r.path for r in capped.collect()} == small  # same seeded choice either way
+
+
+def test_job_reports_and_skips_invalid_images(spark, folder):
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import preset
+    imgs = to_tensors(read_images(spark, folder), 20, 20, 3, as_bytes=True)  # keeps broken.jpg
+    ex = imgs.select(F.col("path").alias("id"), "label", "features")
+    spec = preset("LeNet", channels=3, height=20, width=20, num_labels=3).with_scale(1 / 255)
+    res = run_job(spark, ex, spec, JobConfig(epochs=1, batch_size=8, workers=2, averaging_frequency=1))
+    rep = res.report.first()
+    assert rep.n_invalid == 1 and rep.n_test == round(30 * 0.2)
