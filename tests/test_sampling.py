@@ -103,3 +103,10 @@ def test_repeated_ids_fail_fast(spark, monkeypatch):
     with pytest.raises(Exception, match="ids must be unique"):
         S.split_exact(df, "vec_id").collect()
     assert S.split_exact(_emb(spark), "vec_id").count() == 500
+
+
+def test_edges_empty_and_zero(spark):
+    empty = spark.createDataFrame([], "vec_id long, label string")
+    assert label_vocab(empty).count() == 0
+    assert sample_cap(_emb(spark), "vec_id", 0).count() == 0
+    assert seeded_shuffle(empty, "vec_id").count() == 0
