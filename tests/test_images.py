@@ -96,6 +96,10 @@ def test_lenet_job_on_image_folder(spark, folder):
     assert [r.label for r in res.vocab.orderBy("label_idx").collect()] == ["cat", "dog", "emu"]
     one = res.sample.collect()
     assert len(one) == 1 and one[0].expected in ("cat", "dog", "emu") and one[0].predicted_name is not None
+    from tessera.plans.report import report_text
+    text = report_text(res)
+    assert "0: cat" in text and "Accuracy:" in text and "For a single example that is labeled" in text
+    assert "Examples labeled as" in text
 
 
 def test_byte_tensors_equal_scaled_floats(spark, folder):
