@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, fanin_groups_for, param_average, param_sum
@@ -174,7 +175,7 @@ METRICS_FLUSH_ROWS = 100_000  # driver-side buffer bound before an append to the
 
 def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int):
     def fit(key, pdf):
-        worker = int(key[0])
+        worker = int(pdf["worker"].iloc[0])  # groups are workers (by worker or by its bucket key)
         base = bc.value
         model = ModelState({k: v.copy() for k, v in base.params.items()},
                            {k: v.copy() for k, v in base.state.items()}, base.step)
@@ -209,8 +210,9 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(model)
     try:
-        out = (rows.select("worker", "batch_id", "pos", feature_col, label_col)
-               .groupBy("worker")
+        group_col = "wkey" if "wkey" in rows.columns else "worker"
+        out = (rows.select(*{group_col, "worker"}, "batch_id", "pos", feature_col, label_col)
+               .groupBy(group_col)
                .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_), ROUND_SCHEMA))
         averaged = param_average(out, weight_col="examples" if weighted else None, fanin_col="worker",
                                  fanin_groups=fanin_groups_for(workers or 1))
@@ -241,29 +243,78 @@ def _append_metrics(spark, rows: list, path: str) -> None:
             .partitionBy("run_id").parquet(path)
 
 
+TARGET_FILE_BYTES = 128 << 20  # training-table files of about this size
+MIN_ROW_GROUP_BYTES = 1 << 20
+
+
+def _row_bytes(examples: DataFrame, feature_col: str) -> int:
+    """Size of one example's features (first row), for file sizing."""
+    dt = examples.schema[feature_col].dataType
+    size = F.length(feature_col) if isinstance(dt, T.BinaryType) else F.size(feature_col) * 8
+    first = examples.select(size.alias("b")).filter(F.col("b").isNotNull()).first()
+    return max(1, int(first["b"])) if first else 1
+
+
+def worker_keys(spark, workers: int) -> dict:
+    """For each worker w a key k with ``pmod(hash(k), workers) == w``.
+
+    Spark assigns a row to bucket ``pmod(murmur3(key), buckets)``; small
+    worker ids collide (for 0..3 into 4 buckets only two are used), which
+    would idle tasks. Bucketing by these keys gives every worker its own
+    bucket. One small job; the result has ``workers`` rows."""
+    found = (spark.range(workers * 64)
+             .select(F.col("id").alias("k"), F.pmod(F.hash(F.col("id")), F.lit(workers)).alias("b"))
+             .groupBy("b").agg(F.min("k").alias("k")).collect())
+    keys = {int(r.b): int(r.k) for r in found}
+    if len(keys) < workers:
+        raise RuntimeError("no bucket key found for some workers")
+    return keys
+
+
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                           averaging_frequency: int, rn_col: str = "split_rn",
-                          bucketed: bool = True, table_name: str | None = None) -> DataFrame:
-    """Batches of the training rows, written once -- partitioned by round so
-    each round reads only its own files.
-
-    ``bucketed`` (default) also buckets the files by ``worker`` into an
-    external table under the checkpoint folder: every round's
-    ``groupBy('worker')`` then reads co-located buckets with no exchange,
-    so across all epochs the training data is shuffled once, here. The
-    one-time ``repartition(round, worker)`` keeps it to about one file per
-    (round, worker). Drop the table with ``drop_training_rows`` when done."""
+                          bucketed: bool = True, table_name: str | None = None,
+                          feature_col: str = "features") -> DataFrame:
+    """Batches of the training rows, written once so that each round reads
+    only its own rows.
+
+    ``bucketed`` (default) writes an external table under the checkpoint
+    folder, bucketed by ``wkey`` (one bucket per worker, see ``worker_keys``):
+    every round's grouping then reads co-located buckets with no exchange, so across all epochs the
+    training data is shuffled only here. Folders hold ``rounds_per_group``
+    consecutive rounds (``round_group``), sized so a (group, worker) file is
+    about ``TARGET_FILE_BYTES``: the file count is about data / 128 MB, not
+    one file per round and worker. Files are sorted by round with row groups
+    of about one round, so a round reads one folder (partition pruning) and
+    only its own row groups (Parquet statistics). Drop the table with
+    ``drop_training_rows`` when done."""
     spark = examples.sparkSession
+    per_file_round = batch_size * averaging_frequency * _row_bytes(examples, feature_col)
+    group = max(1, TARGET_FILE_BYTES // per_file_round)
+    keys = worker_keys(spark, workers)
+    key_of = F.create_map(*[F.lit(x) for w in range(workers) for x in (w, keys[w])])
     batched = (batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
-               .repartition("round", "worker"))
+               .withColumn("rounds_per_group", F.lit(group).cast("long"))
+               .withColumn("round_group", F.floor(F.col("round") / group).cast("long"))
+               .withColumn("wkey", F.element_at(key_of, F.col("worker")).cast("long"))
+               .repartition("round_group", "wkey"))
     if not bucketed:
-        return materialize(batched, "train-rows", partition_by=["round"])
+        return materialize(batched, "train-rows", partition_by=["round_group"])
     name = table_name or f"tessera_train_{uuid.uuid4().hex[:12]}"
-    (batched.write.partitionBy("round").bucketBy(workers, "worker").sortBy("batch_id", "pos")
+    (batched.write.partitionBy("round_group").bucketBy(workers, "wkey").sortBy("round", "batch_id", "pos")
+     .option("parquet.block.size", str(max(MIN_ROW_GROUP_BYTES, per_file_round)))
      .option("path", scratch_path(spark, "train-rows")).saveAsTable(name))
     return spark.table(name)
 
 
+def rows_of_round(train_rows: DataFrame, r: int, rounds_per_group: int | None) -> DataFrame:
+    """The rows of round ``r``: one folder by partition filter, then row groups by statistics."""
+    cond = F.col("round") == r
+    if rounds_per_group:
+        cond = (F.col("round_group") == r // rounds_per_group) & cond
+    return train_rows.filter(cond)
+
+
 def drop_training_rows(spark, table_name: str) -> None:
     """Forget the external table (its files stay with the checkpoint folder)."""
     spark.sql(f"DROP TABLE IF EXISTS {table_name}")
@@ -322,9 +373,12 @@ def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: Mode
     metrics_path = metrics_path or scratch_path(spark, "metrics")
     if checkpoint_every and not checkpoint_path:
         checkpoint_path = scratch_path(spark, f"model-{run_id}")
-    top = train_rows.agg(F.max("round").alias("r"), F.max("worker").alias("w")).first()
+    grouped = "rounds_per_group" in train_rows.columns
+    top = train_rows.agg(F.max("round").alias("r"), F.max("worker").alias("w"),
+                         (F.max("rounds_per_group") if grouped else F.lit(None)).alias("g")).first()
     n_rounds = -1 if top["r"] is None else int(top["r"])
     workers = 1 if top["w"] is None else int(top["w"]) + 1
+    per_group = int(top["g"]) if top["g"] is not None else None
     start_epoch, start_round = 0, 0
     if resume and checkpoint_path:
         found = latest_model(spark, spec, checkpoint_path)
@@ -335,7 +389,7 @@ def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: Mode
     done = 0
     for epoch in range(start_epoch, epochs):
         for r in range(start_round if epoch == start_epoch else 0, n_rounds + 1):
-            rows = train_rows.filter(F.col("round") == r)
+            rows = rows_of_round(train_rows, r, per_group)
             model, metrics = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
                                        run_id, with_metrics=True, workers=workers)
             buffer += metrics
