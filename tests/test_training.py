@@ -153,3 +153,16 @@ def test_pack_tensors_roundtrip(spark):
     assert packed[2] is None
     x = batch_input(small_dense_net(3, 2), [packed[1], packed[3]])
     assert np.allclose(x, np.array([[0.5, -1.25, 3.0], [1e-3, 2.0, -7.5]], dtype=np.float32))
+
+
+@pytest.mark.parametrize("workers", [4, 7])
+def test_every_worker_gets_its_own_bucket(spark, workers):
+    from tessera.plans.training import worker_keys
+    keys = worker_keys(spark, workers)
+    hashed = spark.createDataFrame([(w, k) for w, k in keys.items()], "w int, k long") \
+        .select("w", F.pmod(F.hash("k"), F.lit(workers)).alias("b")).collect()
+    assert all(r.w == r.b for r in hashed)
+    df = _separable(spark, n_per=40, dim=4)
+    rows = prepare_training_rows(split_exact(df, "id", 1.0), batch_size=5, workers=workers, averaging_frequency=1)
+    buckets = {f.split("_")[-1][:5] for f in rows.inputFiles()}
+    assert buckets == {f"{b:05d}" for b in range(workers)}
