@@ -117,10 +117,12 @@ def param_average(chunks: DataFrame, weight_col: str | None = None,
             .select(*keys, vector_to_array(F.col("_m")).alias("values"), "weight"))
 
 
-def param_sum(chunks: DataFrame, count_col: str, keys: tuple = ("param", "chunk")) -> DataFrame:
+def param_sum(chunks: DataFrame, count_col: str, keys: tuple = ("param", "chunk"),
+              fanin_col: str | None = None, fanin_groups: int = 1) -> DataFrame:
     """Element-wise sum of chunks over workers/partitions, plus the summed count."""
     if _is_binary(chunks):
-        return _binary_reduce(chunks, None, keys, False, count_col=count_col)
+        return _binary_reduce(chunks, None, keys, False, count_col=count_col, fanin_col=fanin_col,
+                              fanin_groups=fanin_groups)
     return (chunks.select(*keys, array_to_vector(F.col("values")).alias("_v"), count_col)
             .groupBy(*keys)
             .agg(Summarizer.sum(F.col("_v")).alias("_s"), F.sum(count_col).alias(count_col))

@@ -431,9 +431,14 @@ def full_batch_step(spec: NetSpec, model: ModelState, rows: DataFrame, feature_c
                                columns=["param", "chunk", "values", "n"])
 
     try:
-        parts = rows.select(feature_col, label_col).mapInPandas(
-            grad_sums, "param string, chunk int, values binary, n long")
-        collected = collect_arrow(param_sum(parts, "n")).to_dict("records")  # model-sized
+        src = rows.select(feature_col, label_col)
+        n_parts = src.rdd.getNumPartitions()
+        # One partial sum per input partition and chunk; the fan-in keeps every
+        # reducer group at most FANIN partials however many partitions there are.
+        parts = (src.mapInPandas(grad_sums, "param string, chunk int, values binary, n long")
+                 .withColumn("_part", F.spark_partition_id()))
+        summed = param_sum(parts, "n", fanin_col="_part", fanin_groups=fanin_groups_for(n_parts))
+        collected = collect_arrow(summed).to_dict("records")  # model-sized
     finally:
         bc.destroy()
     new = ModelState({k: v.copy() for k, v in model.params.items()},

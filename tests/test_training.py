@@ -166,3 +166,15 @@ def test_every_worker_gets_its_own_bucket(spark, workers):
     rows = prepare_training_rows(split_exact(df, "id", 1.0), batch_size=5, workers=workers, averaging_frequency=1)
     buckets = {f.split("_")[-1][:5] for f in rows.inputFiles()}
     assert buckets == {f"{b:05d}" for b in range(workers)}
+
+
+def test_full_batch_step_independent_of_partitions_and_fanin(spark, monkeypatch):
+    import tessera.operators.averaging as AV
+    df = _separable(spark, n_per=30, dim=5)
+    spec = NetSpec("sr", (5,), (Output("out", 3),), Rules(updater="sgd", lr=0.3, init="xavier"))
+    start = new_model(spec)
+    a = full_batch_step(spec, start, df.repartition(1))
+    monkeypatch.setattr(AV, "FANIN", 2)
+    b = full_batch_step(spec, start, df.repartition(9))
+    for k in a.params:
+        assert np.allclose(a.params[k], b.params[k], atol=1e-12)
