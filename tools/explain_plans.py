@@ -17,15 +17,21 @@ from tessera.plans import queries as Q  # noqa: E402
 from tessera.plans import training as T  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
-KEEP = re.compile(r"^(\+-|:|\s+[:+]|PushedFilters|PartitionFilters|ReadSchema|Bucketed|"
-                  r"SelectedBucketsCount|Arguments: (range|hash|Single))")
+KEEP = re.compile(r"^(\+-|:|\s+[:+]|(\* )?[A-Z]\w+[^()]* \(\d+\)$|PushedFilters|PartitionFilters|ReadSchema|"
+                  r"Bucketed|SelectedBucketsCount|Arguments: (range|hash|Single))")
+TREE_END = re.compile(r"^\(\d+\) ")
 
 
 def show(title, df):
     print(f"## {title}\n\n```")
     plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    in_tree = True
     for line in plan.splitlines():
-        if KEEP.search(line):
+        if TREE_END.search(line):
+            in_tree = False  # node details follow the tree: keep only the notable lines
+        if in_tree and line.strip() and not line.startswith("=="):
+            print(line.rstrip()[:150])
+        elif not in_tree and KEEP.search(line) and not TREE_END.search(line):
             print(line.rstrip()[:150])
     print("```\n")
 
