@@ -37,3 +37,24 @@ def test_stream_matches_batch(spark, tmp_path):
     assert got == sorted((r.id, r.predicted) for r in batch.collect())
     cm_stream = sorted(tuple(r) for r in spark.sql("SELECT actual, predicted, n FROM cm_stream").collect())
     assert cm_stream == sorted(tuple(r) for r in confusion_matrix(batch).collect())
+
+
+def test_stream_restart_from_checkpoint_adds_only_new_files(spark, tmp_path):
+    src = str(tmp_path / "in")
+    e = spark.read.parquet(f"{SF_MID}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("label").alias("label_idx"), F.col("embedding").alias("features"))
+    first, second = e.filter("vec_id % 2 = 0"), e.filter("vec_id % 2 = 1")
+    first.write.parquet(src + "/a")
+    spec, params = _net()
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    for _ in range(2):  # the second start finds nothing new
+        q = start_scoring(read_tensor_stream(spark, src + "/*"), spec, params, out, ck, test_only=False)
+        q.processAllAvailable()
+        q.stop()
+    assert spark.read.parquet(out).count() == first.count()
+    second.write.parquet(src + "/b")
+    q = start_scoring(read_tensor_stream(spark, src + "/*"), spec, params, out, ck, test_only=False)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    assert got.count() == e.count() and got.select("id").distinct().count() == e.count()
