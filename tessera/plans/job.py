@@ -21,8 +21,8 @@ from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import predict_named, score_batch
 from tessera.plans.models import NetSpec
-from tessera.plans.training import (ModelState, drop_training_rows, new_model, prepare_training_rows,
-                                    read_metrics, train_fit)
+from tessera.plans.training import (ModelState, drop_training_rows, feature_bytes, new_model,
+                                    prepare_training_rows, read_metrics, train_fit)
 from tessera.session import materialize
 from tessera.sources.tensors import pack_tensors
 
@@ -86,8 +86,9 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     indexed = index_labels(ex, vocab, "label")
     train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
     table_name = f"tessera_train_{uuid.uuid4().hex[:12]}"
+    # Row size from the written examples (one row read), not from the ranked split.
     rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency,
-                                 table_name=table_name)
+                                 table_name=table_name, row_bytes=feature_bytes(ex, "features"))
 
     t0 = time.time()
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,

@@ -247,7 +247,7 @@ TARGET_FILE_BYTES = 128 << 20  # training-table files of about this size
 MIN_ROW_GROUP_BYTES = 1 << 20
 
 
-def _row_bytes(examples: DataFrame, feature_col: str) -> int:
+def feature_bytes(examples: DataFrame, feature_col: str) -> int:
     """Size of one example's features (first row), for file sizing."""
     dt = examples.schema[feature_col].dataType
     size = F.length(feature_col) if isinstance(dt, T.BinaryType) else F.size(feature_col) * 8
@@ -274,7 +274,7 @@ def worker_keys(spark, workers: int) -> dict:
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                           averaging_frequency: int, rn_col: str = "split_rn",
                           bucketed: bool = True, table_name: str | None = None,
-                          feature_col: str = "features") -> DataFrame:
+                          feature_col: str = "features", row_bytes: int | None = None) -> DataFrame:
     """Batches of the training rows, written once so that each round reads
     only its own rows.
 
@@ -287,9 +287,13 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
     one file per round and worker. Files are sorted by round with row groups
     of about one round, so a round reads one folder (partition pruning) and
     only its own row groups (Parquet statistics). Drop the table with
-    ``drop_training_rows`` when done."""
+    ``drop_training_rows`` when done.
+
+    Pass ``row_bytes`` (one example's feature size) when ``examples`` is an
+    expensive plan: measuring it reads a row of ``examples``, which for a
+    ranked split would run its shuffle an extra time."""
     spark = examples.sparkSession
-    per_file_round = batch_size * averaging_frequency * _row_bytes(examples, feature_col)
+    per_file_round = batch_size * averaging_frequency * (row_bytes or feature_bytes(examples, feature_col))
     group = max(1, TARGET_FILE_BYTES // per_file_round)
     keys = worker_keys(spark, workers)
     key_of = F.create_map(*[F.lit(x) for w in range(workers) for x in (w, keys[w])])
@@ -427,18 +431,16 @@ def full_batch_step(spec: NetSpec, model: ModelState, rows: DataFrame, feature_c
                 acc = g if acc is None else {k: acc[k] + g[k] for k in acc}
                 n += len(y)
         if acc is not None:
-            yield pd.DataFrame([(name, c, vals.tobytes(), n) for name, c, vals in to_chunk_rows(acc)],
+            yield pd.DataFrame([(name, c, vals, n) for name, c, vals in to_chunk_rows(acc)],
                                columns=["param", "chunk", "values", "n"])
 
     try:
-        src = rows.select(feature_col, label_col)
-        n_parts = src.rdd.getNumPartitions()
-        # One partial sum per input partition and chunk; the fan-in keeps every
-        # reducer group at most FANIN partials however many partitions there are.
-        parts = (src.mapInPandas(grad_sums, "param string, chunk int, values binary, n long")
-                 .withColumn("_part", F.spark_partition_id()))
-        summed = param_sum(parts, "n", fanin_col="_part", fanin_groups=fanin_groups_for(n_parts))
-        collected = collect_arrow(summed).to_dict("records")  # model-sized
+        # One partial sum per input partition and chunk, summed by the JVM
+        # vector aggregate: map-side combine and a streaming merge keep memory
+        # bounded however many partitions the input has.
+        parts = rows.select(feature_col, label_col).mapInPandas(
+            grad_sums, "param string, chunk int, values array<double>, n long")
+        collected = collect_arrow(param_sum(parts, "n")).to_dict("records")  # model-sized
     finally:
         bc.destroy()
     new = ModelState({k: v.copy() for k, v in model.params.items()},
