@@ -297,8 +297,8 @@ def train_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four workers, one plain-SGD batch each covering the whole table, example-weighted average."""
     spec = _softmax_regression()
+    n = _emb(spark, sf_dir).count()  # the base scan: counting the ranked frame would run its shuffle
     e = shuffle_rows(_emb(spark, sf_dir), "id", SEED)
-    n = e.count()
     workers = 4
     rows = B.batch_assign(e, "rn", max(1, math.ceil(n / workers)), workers, 1)
     model = run_round(spec, new_model(spec, zeros=True), rows, weighted=True)
