@@ -1,13 +1,14 @@
 """Data-parallel training with periodic parameter averaging.
 
-One *round*: the current model is broadcast; every worker group
-(``groupBy('worker').applyInPandas``) runs up to ``k`` mini-batches of the
-round from that model; the resulting parameters (and updater state) are
-averaged by ``param_average``; the averaged model returns to the driver for
-the next round. Only the model crosses the driver -- its size is fixed by
-the spec, not by the data. Training rows are written once, partitioned by
-round and bucketed by worker, so each round reads only its own rows
-(partition pruning) and groups them without an exchange.
+One *round*: the current model is broadcast; every worker group (an
+``applyInPandas`` grouped by the worker's bucket key) runs up to ``k``
+mini-batches of the round from that model; the resulting parameters (and
+updater state) are averaged by ``param_average``; the averaged model returns
+to the driver for the next round. Only the model crosses the driver -- its
+size is fixed by the spec, not by the data. Training rows are written once,
+in round groups and bucketed one worker per bucket, so each round reads only
+its own rows (partition and row-group pruning) and groups them without an
+exchange.
 
 Every random draw inside a worker comes from a generator seeded with
 (seed, epoch, round, worker, batch): a retried task reproduces the same
