@@ -84,6 +84,7 @@ class NetSpec:
     rules: Rules = field(default_factory=Rules)
     seed: int = 42
     input_scale: float = 1.0       # applied to inputs in the closures (1/255 for 8-bit pixels)
+    dtype: str = "float64"         # compute type in the closures; "float32" halves memory and BLAS time
 
     def with_input(self, channels, height, width):
         return replace(self, input_shape=(channels, height, width))
@@ -91,6 +92,9 @@ class NetSpec:
     def with_scale(self, scale: float):
         return replace(self, input_scale=scale)
 
+    def with_dtype(self, dtype: str):
+        return replace(self, dtype=dtype)
+
 
 def batch_input(spec: NetSpec, values) -> np.ndarray:
     """Stack a column of examples into ``[N, *input_shape]`` doubles times
@@ -111,8 +115,8 @@ def batch_input(spec: NetSpec, values) -> np.ndarray:
             raise ValueError(f"packed examples of {len(raw) // len(vals)} bytes do not fit shape {spec.input_shape}")
     else:
         x = np.stack(vals).astype(np.float64)
-    x = x.reshape(len(vals), *spec.input_shape)
-    return x * spec.input_scale if spec.input_scale != 1.0 else x
+    x = x.reshape(len(vals), *spec.input_shape).astype(spec.dtype, copy=False)
+    return x * x.dtype.type(spec.input_scale) if spec.input_scale != 1.0 else x
 
 
 def rule_warnings(spec: NetSpec) -> list[str]:
@@ -205,8 +209,8 @@ def init_params(spec: NetSpec) -> dict:
             std = float(np.sqrt(2.0 / (fan_in + fan_out)))
         else:
             std = r.init_std
-        params[f"{ly.name}.W"] = rng.normal(0.0, std, size=wshape)
-        params[f"{ly.name}.b"] = np.full(shapes["b"], float(ly.bias))
+        params[f"{ly.name}.W"] = rng.normal(0.0, std, size=wshape).astype(spec.dtype)
+        params[f"{ly.name}.b"] = np.full(shapes["b"], float(ly.bias), dtype=spec.dtype)
     return params
 
 
@@ -287,7 +291,7 @@ def backward(spec: NetSpec, params: dict, caches, p: np.ndarray, y: np.ndarray)
 # ---- the three presets -----------------------------------------------------
 # The layer lists, initialisation, updaters and rates of the
 # three presets below must equal the original job's configurations, in
-# layer order as written there. Quirks kept: LeNet's second conv takes
+# layer order as written there. They compute in float32, as the original did. Quirks kept: LeNet's second conv takes
 # {5,5} as its stride; the second pool is named "maxool2"; VGGNet's conv
 # inputs are inferred by shape.
 
@@ -305,7 +309,7 @@ def lenet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
     # set but unused with RMSProp -- both as in the original configuration.
     rules = Rules(updater="rmsprop", lr=1e-4, momentum=0.9, rms_decay=0.95, l2=0.005, regularization=False,
                   init="xavier")
-    return NetSpec("LeNet", (channels, height, width), layers, rules, seed)
+    return NetSpec("LeNet", (channels, height, width), layers, rules, seed, dtype="float32")
 
 
 def alexnet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
@@ -327,7 +331,7 @@ def alexnet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec
     rules = Rules(updater="nesterovs", lr=1e-2, bias_lr=2e-2, momentum=0.9, l2=5e-4,
                   grad_norm="l2_per_layer", mini_batch=False, lr_decay=0.1, lr_steps=100000,
                   init="normal", init_std=0.01)
-    return NetSpec("AlexNet", (channels, height, width), layers, rules, seed)
+    return NetSpec("AlexNet", (channels, height, width), layers, rules, seed, dtype="float32")
 
 
 def vggnet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
@@ -346,7 +350,7 @@ def vggnet(channels=3, height=100, width=100, num_labels=3, seed=42) -> NetSpec:
     # Score-based decay is named but no score policy is chosen: the rate stays constant.
     rules = Rules(updater="nesterovs", lr=1e-1, momentum=0.9, l2=5e-4, grad_norm="l2_per_layer",
                   init="normal", init_std=0.01)
-    return NetSpec("VGGNet", (channels, height, width), layers, rules, seed)
+    return NetSpec("VGGNet", (channels, height, width), layers, rules, seed, dtype="float32")
 
 
 PRESETS = {"LeNet": lenet, "AlexNet": alexnet, "VGGNet": vggnet}

@@ -157,8 +157,9 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
     step = [int(_as_array(v)[0]) for n, _, v in rows if n == "__step__"]
     arrays = from_chunk_rows([r for r in rows if r[0] != "__step__"],
                              {**shapes, **{f"{p}:{k}": s for k, s in shapes.items() for p in "sv"}})
-    params = {k: v for k, v in arrays.items() if ":" not in k}
-    state = {k: v for k, v in arrays.items() if ":" in k}
+    # Chunks travel and average in float64; compute resumes in the spec's type.
+    params = {k: v.astype(spec.dtype, copy=False) for k, v in arrays.items() if ":" not in k}
+    state = {k: v.astype(spec.dtype, copy=False) for k, v in arrays.items() if ":" in k}
     return ModelState(params, state, step[0] if step else 0)
 
 

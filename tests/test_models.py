@@ -37,3 +37,14 @@ def test_rule_warnings_match_configuration():
     assert effective_l2(preset("LeNet")) == 0.0
     assert effective_l2(preset("AlexNet")) == 5e-4
     assert rule_warnings(preset("AlexNet")) == []
+
+
+def test_presets_compute_in_float32():
+    import numpy as np
+    from tessera.plans.models import batch_input, forward, init_params
+    spec = preset("LeNet", channels=1, height=20, width=20, num_labels=3)
+    params = init_params(spec)
+    assert all(v.dtype == np.float32 for v in params.values())
+    x = batch_input(spec.with_scale(1 / 255), [bytes(range(200)) * 2])
+    p, _ = forward(spec, params, x)
+    assert x.dtype == np.float32 and p.dtype == np.float32 and abs(float(p.sum()) - 1) < 1e-5
