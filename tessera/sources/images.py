@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tessera.functions.text import file_stem, parent_name
 from tessera.operators.sampling import TOPK_CAP_LIMIT, sample_cap
 
+
 def read_images(spark: SparkSession, root: str, glob: str = "*.jpg", drop_invalid: bool = False) -> DataFrame:
     """Decoded images with ``path, label, height, width, n_channels, mode, data``.
 
