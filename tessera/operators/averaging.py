@@ -5,11 +5,14 @@ chunk. Two encodings of ``values``:
 
 * ``ARRAY<DOUBLE>``: the mean runs as a JVM vector aggregate
   (``Summarizer``) with map-side partial aggregation.
-* ``BINARY`` (raw float64 bytes, as the training closures emit them): the
+* ``BINARY`` (raw float bytes, as the training closures emit them): the
   mean runs in NumPy per ``(param, chunk)`` group. Large float arrays cross
-  the Python/JVM boundary several times faster as bytes than as arrays. A
-  fan-in level first combines groups of at most ``FANIN`` workers, so no group
-  ever holds more than ``FANIN`` model chunks, whatever the worker count.
+  the Python/JVM boundary several times faster as bytes than as arrays. An
+  optional ``value_bytes`` column says how each row is encoded (4: float32,
+  8: float64, the default), so float32 models ship half the bytes; sums are
+  kept in float64 and results are float64. A fan-in level first combines
+  groups of at most ``FANIN`` workers, so no group ever holds more than
+  ``FANIN`` model chunks, whatever the worker count.
 """
 
 from __future__ import annotations
@@ -30,6 +33,10 @@ def _is_binary(df: DataFrame) -> bool:
     return isinstance(df.schema["values"].dataType, T.BinaryType)
 
 
+def _decode(b, value_bytes) -> np.ndarray:
+    return np.frombuffer(b, dtype=np.float32 if value_bytes == 4 else np.float64).astype(np.float64)
+
+
 def _weighted_sums(keys, with_sum, divide=False):
     """Grouped reducer: sum of w * v and of w (and of the second count);
     with ``divide`` the mean sum(w * v) / sum(w) instead of the sum."""
@@ -39,13 +46,13 @@ def _weighted_sums(keys, with_sum, divide=False):
         pdf = pdf.sort_values(["values", "_w"], kind="stable")
         w = pdf["_w"].to_numpy(dtype=np.float64)
         acc = None
-        for wi, b in zip(w, pdf["values"]):
-            v = np.frombuffer(b, dtype=np.float64) * wi
+        for wi, b, nb in zip(w, pdf["values"], pdf["_vb"]):
+            v = _decode(b, nb) * wi
             acc = v if acc is None else acc + v
         if divide:
             acc = acc / w.sum()
         row = dict(zip(keys, key))
-        row.update(values=acc.tobytes(), _w=float(w.sum()))
+        row.update(values=acc.tobytes(), _vb=8, _w=float(w.sum()))
         if with_sum:
             row["_n"] = int(pdf["_n"].sum())
         return pd.DataFrame([row])
@@ -56,12 +63,15 @@ def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean:
                    count_col: str | None = None, fanin_col: str | None = None,
                    fanin_groups: int = 1) -> DataFrame:
     key_schema = [chunks.schema[k] for k in keys]
-    fields = key_schema + [T.StructField("values", T.BinaryType()), T.StructField("_w", T.DoubleType())]
+    fields = key_schema + [T.StructField("values", T.BinaryType()), T.StructField("_vb", T.IntegerType()),
+                           T.StructField("_w", T.DoubleType())]
     if count_col:
         fields.append(T.StructField("_n", T.LongType()))
     schema = T.StructType(fields)
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    cols = [*keys, "values", w.alias("_w")] + ([F.col(count_col).cast("long").alias("_n")] if count_col else [])
+    vb = F.col("value_bytes").cast("int") if "value_bytes" in chunks.columns else F.lit(8)
+    cols = ([*keys, "values", vb.alias("_vb"), w.alias("_w")]
+            + ([F.col(count_col).cast("long").alias("_n")] if count_col else []))
     src = chunks.select(*cols, *([F.col(fanin_col)] if fanin_col else []))
     if fanin_col and fanin_groups > 1:
         # First level: groups of at most FANIN rows per chunk, summed.
@@ -71,7 +81,7 @@ def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean:
                .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, bool(count_col)), part_schema)
                .withColumnRenamed("_w", "_w0"))
         # The partial sums already carry their weights: add them with weight 1.
-        src = src.select(*keys, "values", "_w0", *(["_n"] if count_col else []))
+        src = src.select(*keys, "values", "_vb", "_w0", *(["_n"] if count_col else []))
         return _finish(src.groupBy(*keys).applyInPandas(_sum_partials(keys, bool(count_col), mean), schema),
                        keys, mean, count_col)
     out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, bool(count_col), mean), schema)
@@ -82,13 +92,13 @@ def _sum_partials(keys, with_sum, divide=False):
     def reduce(key, pdf):
         pdf = pdf.sort_values(["values", "_w0"], kind="stable")
         acc = None
-        for b in pdf["values"]:
-            v = np.frombuffer(b, dtype=np.float64)
-            acc = v.copy() if acc is None else acc + v
+        for b, nb in zip(pdf["values"], pdf["_vb"]):
+            v = _decode(b, nb)
+            acc = v if acc is None else acc + v
         if divide:
             acc = acc / float(pdf["_w0"].sum())
         row = dict(zip(keys, key))
-        row.update(values=acc.tobytes(), _w=float(pdf["_w0"].sum()))
+        row.update(values=acc.tobytes(), _vb=8, _w=float(pdf["_w0"].sum()))
         if with_sum:
             row["_n"] = int(pdf["_n"].sum())
         return pd.DataFrame([row])

@@ -167,7 +167,7 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
 
 # Chunks travel as raw float64 bytes: several times cheaper across the
 # Python/JVM boundary than ARRAY<DOUBLE> at model sizes.
-ROUND_SCHEMA = "worker int, param string, chunk int, values binary, examples long"
+ROUND_SCHEMA = "worker int, param string, chunk int, values binary, value_bytes int, examples long"
 METRICS_PREFIX = "__metrics__/"
 METRIC_FIELDS = 4  # batch, examples, score, step
 METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long, examples long, "
@@ -190,12 +190,15 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
             score = train_batch(spec, model, x, y, rng)
             examples += len(y)
             metrics += [float(batch_id), float(len(y)), score, float(model.step)]
-        out = [(worker, name, c, vals.tobytes(), examples)
+        # Parameters ship in the compute type (float32 halves the round's shuffle).
+        wire = np.dtype(spec.dtype)
+        out = [(worker, name, c, vals.astype(wire).tobytes(), wire.itemsize, examples)
                for name, c, vals in to_chunk_rows({**model.params, **model.state})]
         # A worker's metrics travel as one more chunk under a key of its own:
         # the mean over one row is the row, so the average passes it through.
-        out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), examples))
-        return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "examples"])
+        out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), 8,
+                    examples))
+        return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "value_bytes", "examples"])
     return fit
 
 

@@ -136,6 +136,14 @@ def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
             assert np.allclose(a[k], b[k], atol=1e-12)
     s = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in AV.param_sum(binv, "n").collect()}
     assert np.allclose(s[("p", 0)], sum(np.array(r[3]) for r in rows if r[2] == 0))
+    # float32-encoded rows (value_bytes = 4) average to the same values, within float32 precision
+    b32 = arr.withColumn("values", F.udf(lambda v: np.array(v, dtype=np.float32).tobytes(), "binary")("values")) \
+        .withColumn("value_bytes", F.lit(4))
+    a = {(r.param, r.chunk): np.array(r["values"]) for r in AV.param_average(arr, "n").collect()}
+    c = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in
+         AV.param_average(b32, "n", fanin_col="worker", fanin_groups=fanin).collect()}
+    for k in a:
+        assert np.allclose(a[k], c[k], atol=1e-6)
 
 
 def test_every_nth_batch(spark):

@@ -1,7 +1,7 @@
 """One averaging round of a preset at its smallest input (16 random 8-bit
 images, 2 workers, batch 4, averaging every 2 batches), timed.
 
-usage: python tools/preset_round.py [AlexNet|LeNet|VGGNet] [float64|float32]
+usage: python tools/preset_round.py [AlexNet|LeNet|VGGNet] [float32|float64]
 """
 
 import sys
@@ -19,8 +19,10 @@ from tessera.session import build_session  # noqa: E402
 spark = build_session("local[4]")
 name = sys.argv[1] if len(sys.argv) > 1 else "AlexNet"
 side = smallest_side(preset(name))
-dtype = sys.argv[2] if len(sys.argv) > 2 else "float64"
-spec = preset(name, channels=3, height=side, width=side, num_labels=3).with_scale(1/255).with_dtype(dtype)
+spec = preset(name, channels=3, height=side, width=side, num_labels=3).with_scale(1/255)
+if len(sys.argv) > 2:  # default: the preset's own compute type (float32)
+    spec = spec.with_dtype(sys.argv[2])
+dtype = spec.dtype
 print(name, "input", side, dtype)
 print("params", n_params(spec))
 rng = np.random.default_rng(0)
