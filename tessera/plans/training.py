@@ -32,7 +32,7 @@ from tessera.operators.averaging import CHUNK, fanin_groups_for, param_average,
 from tessera.operators.batching import batch_assign
 from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
                                   init_params, layer_shapes)
-from tessera.session import collect_arrow, materialize, scratch_path
+from tessera.session import collect_arrow, create_arrow, materialize, scratch_path
 
 
 @dataclass
@@ -145,10 +145,12 @@ def param_shapes(spec: NetSpec) -> dict:
 
 
 def model_chunks_df(spark, model: ModelState) -> DataFrame:
-    """The model as ``param, chunk, values`` rows (updater state included)."""
-    rows = [(n, c, v.tolist()) for n, c, v in to_chunk_rows({**model.params, **model.state})]
-    rows.append(("__step__", 0, [float(model.step)]))
-    return spark.createDataFrame(rows, "param string, chunk int, values array<double>")
+    """The model as ``param, chunk, values`` rows (updater state included),
+    built through Arrow: one model, bounded by its spec."""
+    rows = list(to_chunk_rows({**model.params, **model.state}))
+    rows.append(("__step__", 0, np.array([float(model.step)])))
+    pdf = pd.DataFrame(rows, columns=["param", "chunk", "values"])
+    return create_arrow(spark, pdf, "param string, chunk int, values array<double>")
 
 
 def model_from_chunks(spec: NetSpec, rows) -> ModelState:
@@ -360,8 +362,9 @@ def latest_model(spark, spec: NetSpec, path: str):
         return None
     if last is None:
         return None
-    rows = saved.filter((F.col("epoch") == last["epoch"]) & (F.col("round") == last["round"])) \
-        .select("param", "chunk", "values").collect()  # one model: bounded by the spec
+    one = saved.filter((F.col("epoch") == last["epoch"]) & (F.col("round") == last["round"])) \
+        .select("param", "chunk", "values")
+    rows = collect_arrow(one).itertuples(index=False)  # one model: bounded by the spec
     return model_from_chunks(spec, [(r.param, r.chunk, r.values) for r in rows]), int(last["epoch"]), int(last["round"])
 
 

@@ -90,15 +90,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def collect_arrow(df: DataFrame):
-    """``df`` as a pandas frame through Arrow (much faster than ``collect()``
-    for large binary rows such as model chunks). Only for results of a
-    known, bounded size."""
+def _with_arrow(spark: SparkSession, fn):
     key = "spark.sql.execution.arrow.pyspark.enabled"
-    spark = df.sparkSession
     old = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        return df.toPandas()
+        return fn()
     finally:
         spark.conf.set(key, old)
+
+
+def create_arrow(spark: SparkSession, pdf, schema: str) -> DataFrame:
+    """A DataFrame from a pandas frame through Arrow (NumPy arrays stay
+    arrays; no per-element Python objects). For driver data of a known,
+    bounded size, such as one model."""
+    return _with_arrow(spark, lambda: spark.createDataFrame(pdf, schema))
+
+
+def collect_arrow(df: DataFrame):
+    """``df`` as a pandas frame through Arrow (much faster than ``collect()``
+    for large binary rows such as model chunks). Only for results of a
+    known, bounded size."""
+    return _with_arrow(df.sparkSession, df.toPandas)
