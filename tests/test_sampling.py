@@ -110,3 +110,16 @@ def test_edges_empty_and_zero(spark):
     assert label_vocab(empty).count() == 0
     assert sample_cap(_emb(spark), "vec_id", 0).count() == 0
     assert seeded_shuffle(empty, "vec_id").count() == 0
+
+
+def test_read_tensors_and_index_labels(spark, tmp_path):
+    from tessera.operators.labels import index_labels
+    from tessera.sources.tensors import read_tensors
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "cat", [0.5, 1.0]), (2, "dog", [2.0, 3.0]), (3, "owl", [1.0, 1.0])],
+                          "vec_id long, cls string, emb array<float>").write.parquet(path)
+    t = read_tensors(spark, path, id_col="vec_id", feature_col="emb", label_col="cls")
+    assert t.columns == ["id", "label", "features"]
+    vocab = label_vocab(t.filter("label != 'owl'"), "label", with_counts=False)
+    got = {r.id: r.label_idx for r in index_labels(t, vocab).collect()}
+    assert got == {1: 0, 2: 1, 3: None}  # a label outside the vocabulary gets no index
