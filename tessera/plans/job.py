@@ -35,7 +35,9 @@ class JobConfig:
     averaging_frequency: int = 5
     train_share: float = 0.8
     seed: int = 42
-    max_examples: int | None = None   # random cap before the split (the local job's 300)
+    # Random cap before the split (the local job's 300). For image folders, cap the
+    # paths before decoding instead (``sources.images.read_capped``).
+    max_examples: int | None = None
     weighted_average: bool = False
     materialize_examples: bool = True  # decode/resize once; later passes read columns of a file
     pack_tensors: bool = True          # numeric arrays travel as flat float32 bytes
@@ -70,10 +72,10 @@ def fmt_duration(ms: int) -> str:
 def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobConfig = JobConfig()) -> JobResult:
     t_total = time.time()
     ex = examples.select("id", F.col("label").cast("string").alias("label"), "features")
-    if cfg.pack_tensors:
-        ex = pack_tensors(ex, "features")
     if cfg.max_examples is not None:
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
+    if cfg.pack_tensors:
+        ex = pack_tensors(ex, "features")
     if cfg.materialize_examples:
         # Examples feed five passes (vocabulary, offsets, training rows, test
         # split, sample). Written once, the image decode and resize run once,
@@ -112,8 +114,9 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     params = {k: str(v) for k, v in asdict(cfg).items()}
     report_row = {
         "run_id": cfg.run_id, "model": spec.name, "params": params,
-        "n_invalid": int(n_invalid), "n_test": int(s["n"] or 0), "accuracy": s["accuracy"], "macro_precision": s["macro_precision"],
-        "macro_recall": s["macro_recall"], "macro_f1": s["macro_f1"], "test_score": score,
+        "n_invalid": int(n_invalid), "n_test": int(s["n"] or 0), "accuracy": s["accuracy"],
+        "macro_precision": s["macro_precision"], "macro_recall": s["macro_recall"], "macro_f1": s["macro_f1"],
+        "test_score": score,
         "train_ms": train_ms, "test_ms": test_ms, "total_ms": total_ms,
         "train_time": fmt_duration(train_ms), "test_time": fmt_duration(test_ms),
         "total_time": fmt_duration(total_ms),
@@ -128,7 +131,6 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_invalid long, n_test long, "
-                 "accuracy double, "
-                 "macro_precision double, macro_recall double, macro_f1 double, test_score double, "
+                 "accuracy double, macro_precision double, macro_recall double, macro_f1 double, test_score double, "
                  "train_ms long, test_ms long, total_ms long, train_time string, test_time string, "
                  "total_time string")
