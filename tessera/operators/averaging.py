@@ -10,9 +10,9 @@ chunk. Two encodings of ``values``:
   the Python/JVM boundary several times faster as bytes than as arrays. An
   optional ``value_bytes`` column says how each row is encoded (4: float32,
   8: float64, the default), so float32 models ship half the bytes; sums are
-  kept in float64 and results are float64. A fan-in level first combines
-  groups of at most ``FANIN`` workers, so no group ever holds more than
-  ``FANIN`` model chunks, whatever the worker count.
+  kept in float64 and results are float64. With a worker id column the sum
+  runs as a tree whose every group holds at most ``FANIN`` chunks, whatever
+  the worker count.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def _weighted_sums(keys, with_sum, divide=False):
 
 def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean: bool,
                    count_col: str | None = None, fanin_col: str | None = None,
-                   fanin_groups: int = 1) -> DataFrame:
+                   fanin_workers: int = 1) -> DataFrame:
     key_schema = [chunks.schema[k] for k in keys]
     fields = key_schema + [T.StructField("values", T.BinaryType()), T.StructField("_vb", T.IntegerType()),
                            T.StructField("_w", T.DoubleType())]
@@ -73,19 +73,25 @@ def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean:
     cols = ([*keys, "values", vb.alias("_vb"), w.alias("_w")]
             + ([F.col(count_col).cast("long").alias("_n")] if count_col else []))
     src = chunks.select(*cols, *([F.col(fanin_col)] if fanin_col else []))
-    if fanin_col and fanin_groups > 1:
-        # First level: groups of at most FANIN rows per chunk, summed.
-        part_keys = (*keys, "_g")
-        part_schema = T.StructType([*key_schema, T.StructField("_g", T.IntegerType()), *fields[len(keys):]])
-        src = (src.withColumn("_g", (F.col(fanin_col) % fanin_groups).cast("int"))
-               .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, bool(count_col)), part_schema)
+    groups = -(-fanin_workers // FANIN)
+    if not fanin_col or groups <= 1:
+        out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, bool(count_col), mean), schema)
+        return _finish(out, keys, mean, count_col)
+    # A reduction tree: every level sums groups of at most FANIN rows per
+    # chunk (consecutive ids), until at most FANIN partial sums are left.
+    part_keys = (*keys, "_g")
+    part_schema = T.StructType([*key_schema, T.StructField("_g", T.LongType()), *fields[len(keys):]])
+    cur = (src.withColumn("_g", F.floor(F.col(fanin_col) / FANIN).cast("long"))
+           .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, bool(count_col)), part_schema)
+           .withColumnRenamed("_w", "_w0"))
+    while groups > FANIN:
+        cur = (cur.withColumn("_g", F.floor(F.col("_g") / FANIN).cast("long"))
+               .groupBy(*part_keys).applyInPandas(_sum_partials(part_keys, bool(count_col)), part_schema)
                .withColumnRenamed("_w", "_w0"))
-        # The partial sums already carry their weights: add them with weight 1.
-        src = src.select(*keys, "values", "_vb", "_w0", *(["_n"] if count_col else []))
-        return _finish(src.groupBy(*keys).applyInPandas(_sum_partials(keys, bool(count_col), mean), schema),
-                       keys, mean, count_col)
-    out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, bool(count_col), mean), schema)
-    return _finish(out, keys, mean, count_col)
+        groups = -(-groups // FANIN)
+    cur = cur.select(*keys, "values", "_vb", "_w0", *(["_n"] if count_col else []))
+    return _finish(cur.groupBy(*keys).applyInPandas(_sum_partials(keys, bool(count_col), mean), schema),
+                   keys, mean, count_col)
 
 
 def _sum_partials(keys, with_sum, divide=False):
@@ -113,11 +119,12 @@ def _finish(reduced: DataFrame, keys: tuple, mean: bool, count_col: str | None)
 
 def param_average(chunks: DataFrame, weight_col: str | None = None,
                   keys: tuple = ("param", "chunk"), fanin_col: str | None = None,
-                  fanin_groups: int = 1) -> DataFrame:
+                  fanin_workers: int = 1) -> DataFrame:
     """``param, chunk, values[, weight]`` averaged to ``param, chunk, values, weight``
-    (``weight`` = summed weights). Keeps the encoding of ``values``."""
+    (``weight`` = summed weights). Binary values come back as float64 bytes.
+    ``fanin_col`` holds ids 0..``fanin_workers``-1 that shape the reduction tree."""
     if _is_binary(chunks):
-        return _binary_reduce(chunks, weight_col, keys, True, fanin_col=fanin_col, fanin_groups=fanin_groups)
+        return _binary_reduce(chunks, weight_col, keys, True, fanin_col=fanin_col, fanin_workers=fanin_workers)
     vec = array_to_vector(F.col("values"))
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     return (chunks.select(*keys, vec.alias("_v"), w.alias("_w"))
@@ -128,17 +135,12 @@ def param_average(chunks: DataFrame, weight_col: str | None = None,
 
 
 def param_sum(chunks: DataFrame, count_col: str, keys: tuple = ("param", "chunk"),
-              fanin_col: str | None = None, fanin_groups: int = 1) -> DataFrame:
+              fanin_col: str | None = None, fanin_workers: int = 1) -> DataFrame:
     """Element-wise sum of chunks over workers/partitions, plus the summed count."""
     if _is_binary(chunks):
         return _binary_reduce(chunks, None, keys, False, count_col=count_col, fanin_col=fanin_col,
-                              fanin_groups=fanin_groups)
+                              fanin_workers=fanin_workers)
     return (chunks.select(*keys, array_to_vector(F.col("values")).alias("_v"), count_col)
             .groupBy(*keys)
             .agg(Summarizer.sum(F.col("_v")).alias("_s"), F.sum(count_col).alias(count_col))
             .select(*keys, vector_to_array(F.col("_s")).alias("values"), count_col))
-
-
-def fanin_groups_for(workers: int) -> int:
-    """First-level groups so that no reducer group combines more than FANIN chunks."""
-    return max(1, -(-workers // FANIN))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import layers as L
-from tessera.operators.averaging import CHUNK, fanin_groups_for, param_average, param_sum
+from tessera.operators.averaging import CHUNK, param_average, param_sum
 from tessera.operators.batching import batch_assign
 from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
                                   init_params, layer_shapes)
@@ -177,7 +177,11 @@ METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long,
 METRICS_FLUSH_ROWS = 100_000  # driver-side buffer bound before an append to the sink
 
 
-def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int):
+STEP_KEY = "__step__"
+
+
+def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int,
+            emit_metrics: bool = True):
     def fit(key, pdf):
         worker = int(pdf["worker"].iloc[0])  # groups are workers (by worker or by its bucket key)
         base = bc.value
@@ -196,10 +200,14 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
         wire = np.dtype(spec.dtype)
         out = [(worker, name, c, vals.astype(wire).tobytes(), wire.itemsize, examples)
                for name, c, vals in to_chunk_rows({**model.params, **model.state})]
-        # A worker's metrics travel as one more chunk under a key of its own:
-        # the mean over one row is the row, so the average passes it through.
-        out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), 8,
-                    examples))
+        if emit_metrics:
+            # A worker's metrics travel as one more chunk under a key of its own:
+            # the mean over one row is the row, so the average passes it through.
+            out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), 8,
+                        examples))
+        else:
+            # Only the step, under one shared key: no per-worker rows reach the driver.
+            out.append((worker, STEP_KEY, 0, np.array([float(model.step)]).tobytes(), 8, examples))
         return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "value_bytes", "examples"])
     return fit
 
@@ -212,23 +220,27 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
     ``worker``, ``batch_id``, ``pos``) as a single Spark job: broadcast
     model -> per-worker fit -> vector mean per chunk -> averaged chunks
     (model-sized) to the driver. Returns the new model, and with
-    ``with_metrics`` also the round's metric tuples (one per batch).
-    ``workers`` (when known) sizes the averaging fan-in."""
+    ``with_metrics`` also the round's metric tuples (one per batch; without
+    them no per-worker rows reach the driver). ``workers`` (the number of
+    worker ids) shapes the averaging tree."""
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(model)
     try:
         group_col = "wkey" if "wkey" in rows.columns else "worker"
         out = (rows.select(*{group_col, "worker"}, "batch_id", "pos", feature_col, label_col)
                .groupBy(group_col)
-               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_), ROUND_SCHEMA))
+               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_, with_metrics),
+                              ROUND_SCHEMA))
         averaged = param_average(out, weight_col="examples" if weighted else None, fanin_col="worker",
-                                 fanin_groups=fanin_groups_for(workers or 1))
+                                 fanin_workers=workers or 1)
         collected = collect_arrow(averaged).to_dict("records")  # model-sized
     finally:
         bc.destroy()
-    chunks, metrics = [], []
+    chunks, metrics, mean_step = [], [], None
     for r in collected:
-        if r["param"].startswith(METRICS_PREFIX):
+        if r["param"] == STEP_KEY:
+            mean_step = int(round(float(_as_array(r["values"])[0])))
+        elif r["param"].startswith(METRICS_PREFIX):
             worker = int(r["param"][len(METRICS_PREFIX):])
             v = _as_array(r["values"])
             for j in range(0, len(v), METRIC_FIELDS):
@@ -238,7 +250,8 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
             chunks.append((r["param"], r["chunk"], r["values"]))
     if chunks:
         new = model_from_chunks(spec, chunks)
-        new.step = max(m[7] for m in metrics) if metrics else model.step
+        # The step is the maximum over workers; without metrics, their mean.
+        new.step = max(m[7] for m in metrics) if metrics else (mean_step or model.step)
     else:  # no rows in this round: the model is unchanged
         new = model
     return (new, metrics) if with_metrics else new

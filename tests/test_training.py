@@ -120,7 +120,7 @@ def test_resume_from_checkpoint_equals_uninterrupted(spark, tmp_path):
         assert np.allclose(resumed.params[k], full.params[k], atol=1e-12)
 
 
-@pytest.mark.parametrize("fanin", [1, 3])
+@pytest.mark.parametrize("fanin", [1, 5])
 def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
     import tessera.operators.averaging as AV
     monkeypatch.setattr(AV, "FANIN", 2)
@@ -131,7 +131,7 @@ def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
     for weight in (None, "n"):
         a = {(r.param, r.chunk): np.array(r["values"]) for r in AV.param_average(arr, weight).collect()}
         b = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in
-             AV.param_average(binv, weight, fanin_col="worker", fanin_groups=fanin).collect()}
+             AV.param_average(binv, weight, fanin_col="worker", fanin_workers=fanin).collect()}
         for k in a:
             assert np.allclose(a[k], b[k], atol=1e-12)
     s = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in AV.param_sum(binv, "n").collect()}
@@ -141,7 +141,7 @@ def test_binary_average_equals_vector_average(spark, fanin, monkeypatch):
         .withColumn("value_bytes", F.lit(4))
     a = {(r.param, r.chunk): np.array(r["values"]) for r in AV.param_average(arr, "n").collect()}
     c = {(r.param, r.chunk): np.frombuffer(r["values"]) for r in
-         AV.param_average(b32, "n", fanin_col="worker", fanin_groups=fanin).collect()}
+         AV.param_average(b32, "n", fanin_col="worker", fanin_workers=fanin).collect()}
     for k in a:
         assert np.allclose(a[k], c[k], atol=1e-6)
 
@@ -186,3 +186,15 @@ def test_full_batch_step_independent_of_partitions_and_fanin(spark, monkeypatch)
     b = full_batch_step(spec, start, df.repartition(9))
     for k in a.params:
         assert np.allclose(a.params[k], b.params[k], atol=1e-12)
+
+
+def test_reduction_tree_with_several_levels(spark, monkeypatch):
+    import tessera.operators.averaging as AV
+    monkeypatch.setattr(AV, "FANIN", 2)  # 9 workers -> levels of 5, 3, 2 groups, then the final sum
+    rng = np.random.default_rng(9)
+    rows = [(w, "p", 0, rng.normal(size=4).tolist(), int(w % 3 + 1)) for w in range(9)]
+    arr = spark.createDataFrame(rows, "worker int, param string, chunk int, values array<double>, n long")
+    binv = arr.withColumn("values", F.udf(lambda v: np.array(v).tobytes(), "binary")("values"))
+    a = np.array(AV.param_average(arr, "n").first()["values"])
+    b = np.frombuffer(AV.param_average(binv, "n", fanin_col="worker", fanin_workers=9).first()["values"])
+    assert np.allclose(a, b, atol=1e-12)
