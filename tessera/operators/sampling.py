@@ -23,6 +23,9 @@ from tessera.session import materialize
 DEFAULT_SEED = 42
 # Path lists up to this size may be collected to the driver (image caps).
 TOPK_CAP_LIMIT = 100_000
+# 2**16 order-preserving buckets: the offsets table stays a small bounded
+# broadcast (about 2 MB). A bucket's window spills to disk when it outgrows
+# memory; for tables of many billions of rows raise this to spread them thinner.
 BUCKET_BITS = 16
 HOT_BUCKET_FACTOR = 64      # times the mean bucket size
 HOT_BUCKET_SLACK = 100_000  # rows always allowed in one bucket
