@@ -122,7 +122,9 @@ def param_average(chunks: DataFrame, weight_col: str | None = None,
                   fanin_workers: int = 1) -> DataFrame:
     """``param, chunk, values[, weight]`` averaged to ``param, chunk, values, weight``
     (``weight`` = summed weights). Binary values come back as float64 bytes.
-    ``fanin_col`` holds ids 0..``fanin_workers``-1 that shape the reduction tree."""
+    ``fanin_col`` holds ids 0..``fanin_workers``-1 that shape the reduction
+    tree; without it one group takes every row of a chunk, so pass it
+    whenever the number of rows per chunk is not small by construction."""
     if _is_binary(chunks):
         return _binary_reduce(chunks, weight_col, keys, True, fanin_col=fanin_col, fanin_workers=fanin_workers)
     vec = array_to_vector(F.col("values"))
