@@ -5,9 +5,10 @@ usage: python tools/explain_plans.py [sf_dir] > PLANS.md
 """
 
 import re
+import os
 import sys
 
-sys.path.insert(0, ".")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 

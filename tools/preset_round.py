@@ -4,10 +4,11 @@ images, 2 workers, batch 4, averaging every 2 batches), timed.
 usage: python tools/preset_round.py [AlexNet|LeNet|VGGNet] [float32|float64]
 """
 
+import os
 import sys
 import time
 
-sys.path.insert(0, ".")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import numpy as np  # noqa: E402
 
