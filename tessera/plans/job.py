@@ -23,7 +23,7 @@ from tessera.operators.scoring import predict_named, score_batch
 from tessera.plans.models import NetSpec
 from tessera.plans.training import (ModelState, drop_training_rows, feature_bytes, new_model,
                                     prepare_training_rows, read_metrics, train_fit)
-from tessera.session import materialize
+from tessera.session import delete_path, materialize, scratch_path
 from tessera.sources.tensors import pack_tensors
 
 
@@ -57,11 +57,20 @@ class JobResult:
     sample: DataFrame
 
     cached: DataFrame | None = None
+    scratch: tuple = ()
 
-    def release(self) -> None:
-        """Drop the cached scoring pass behind ``confusion`` and ``metrics``."""
+    def release(self, delete_files: bool = False) -> None:
+        """Drop the cached scoring pass behind ``confusion`` and ``metrics``.
+
+        With ``delete_files`` also delete the job's scratch folders (the
+        written examples and training rows -- at scale, a full copy of the
+        data). The result frames read those files lazily: only once done."""
         if self.cached is not None:
             self.cached.unpersist()
+        if delete_files:
+            spark = self.report.sparkSession
+            for p in self.scratch:
+                delete_path(spark, p)
 
 
 def fmt_duration(ms: int) -> str:
@@ -76,11 +85,13 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
     if cfg.pack_tensors:
         ex = pack_tensors(ex, "features")
+    scratch = []
     if cfg.materialize_examples:
         # Examples feed five passes (vocabulary, offsets, training rows, test
         # split, sample). Written once, the image decode and resize run once,
         # and the label-only passes read one column.
-        ex = materialize(ex, "examples")
+        scratch.append(scratch_path(spark, "examples"))
+        ex = materialize(ex, "examples", path=scratch[-1])
     # Undecodable images arrive with NULL features: counted in the report, left out.
     n_invalid = ex.filter(F.col("features").isNull()).count()
     ex = ex.filter(F.col("features").isNotNull())
@@ -89,8 +100,10 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
     table_name = f"tessera_train_{uuid.uuid4().hex[:12]}"
     # Row size from the written examples (one row read), not from the ranked split.
+    scratch.append(scratch_path(spark, "train-rows"))
     rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency,
-                                 table_name=table_name, row_bytes=feature_bytes(ex, "features"))
+                                 table_name=table_name, row_bytes=feature_bytes(ex, "features"),
+                                 path=scratch[-1])
 
     t0 = time.time()
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,
@@ -127,7 +140,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"]), vocab) \
         .select("id", "expected", "predicted_name")
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     read_metrics(spark, metrics_path), report, sample, with_nll)
+                     read_metrics(spark, metrics_path), report, sample, with_nll, tuple(scratch))
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_invalid long, n_test long, "

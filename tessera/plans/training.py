@@ -294,7 +294,8 @@ def worker_keys(spark, workers: int) -> dict:
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                           averaging_frequency: int, rn_col: str = "split_rn",
                           bucketed: bool = True, table_name: str | None = None,
-                          feature_col: str = "features", row_bytes: int | None = None) -> DataFrame:
+                          feature_col: str = "features", row_bytes: int | None = None,
+                          path: str | None = None) -> DataFrame:
     """Batches of the training rows, written once so that each round reads
     only its own rows.
 
@@ -323,11 +324,11 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                .withColumn("wkey", F.element_at(key_of, F.col("worker")).cast("long"))
                .repartition("round_group", "wkey"))
     if not bucketed:
-        return materialize(batched, "train-rows", partition_by=["round_group"])
+        return materialize(batched, "train-rows", partition_by=["round_group"], path=path)
     name = table_name or f"tessera_train_{uuid.uuid4().hex[:12]}"
     (batched.write.partitionBy("round_group").bucketBy(workers, "wkey").sortBy("round", "batch_id", "pos")
      .option("parquet.block.size", str(max(MIN_ROW_GROUP_BYTES, per_file_round)))
-     .option("path", scratch_path(spark, "train-rows")).saveAsTable(name))
+     .option("path", path or scratch_path(spark, "train-rows")).saveAsTable(name))
     return spark.table(name)
 
 

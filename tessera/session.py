@@ -96,13 +96,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder (or ``path``) and
+    read it back.
 
     Cuts lineage and survives executor loss: a later stage that loses a
     block re-reads the file instead of recomputing upstream work."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -110,6 +112,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a scratch folder on whatever filesystem holds it."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

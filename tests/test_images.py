@@ -133,3 +133,8 @@ def test_job_reports_and_skips_invalid_images(spark, folder):
     res = run_job(spark, ex, spec, JobConfig(epochs=1, batch_size=8, workers=2, averaging_frequency=1))
     rep = res.report.first()
     assert rep.n_invalid == 1 and rep.n_test == round(30 * 0.2)
+    import os
+    local = [p.replace("file:", "", 1) for p in res.scratch]
+    assert len(local) == 2 and all(os.path.isdir(p) for p in local)
+    res.release(delete_files=True)
+    assert not any(os.path.exists(p) for p in local)
