@@ -97,7 +97,10 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     ex = ex.filter(F.col("features").isNotNull())
     vocab = label_vocab(ex, "label", with_counts=False)
     indexed = index_labels(ex, vocab, "label")
-    train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True, range_partitions=True)
+    # Positions by the window's own hash exchange: the training rows are
+    # reshuffled by (round group, worker) for bucketing anyway, so a range
+    # partitioning (and its sampling pass over the examples) would buy nothing.
+    train = split_side(indexed, "id", "train", cfg.train_share, cfg.seed, positions=True)
     table_name = f"tessera_train_{uuid.uuid4().hex[:12]}"
     # Row size from the written examples (one row read), not from the ranked split.
     scratch.append(scratch_path(spark, "train-rows"))
