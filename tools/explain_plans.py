@@ -46,8 +46,8 @@ def main():
     e = Q._emb(spark, sf)
     show("split_exact: one data exchange, bounded offsets broadcast", split_exact(e.select("id", "label"), "id"))
     show("sample_cap: buckets past the cap dropped before the exchange", sample_cap(e.select("id", "label"), "id", 300))
-    show("split_side train: range exchange only, window reuses it",
-         split_side(e, "id", "train", 0.8, range_partitions=True))
+    show("split_side train (as the job runs it): test buckets pruned by the broadcast join, one data exchange",
+         split_side(e, "id", "train", 0.8))
     show("split_side test: narrow for whole buckets, exchange only for the boundary bucket",
          split_side(e, "id", "test", 0.8, positions=False))
     show("score_batch: narrow scan -> MapInPandas, pruned columns", Q.score_batch(spark, sf))
@@ -56,7 +56,7 @@ def main():
     show("param_average (ARRAY<DOUBLE>): partial + final ObjectHashAggregate",
          param_average(emb.select(F.lit("w").alias("param"), F.col("label").alias("chunk"),
                                   F.col("embedding").cast("array<double>").alias("values"))))
-    train = split_side(e, "id", "train", 0.8, range_partitions=True)
+    train = split_side(e, "id", "train", 0.8)
     rows = T.prepare_training_rows(train, 30, 4, 5)
     g = rows.agg(F.max("rounds_per_group")).first()[0]
     show("one training round's input: bucketed scan, partition + row-group pruning, no exchange before the fit",
