@@ -379,3 +379,29 @@ def small_dense_net(n_in: int, n_out: int, hidden: int = 0, lr: float = 0.1,
     """A dense net for tensors without spatial layout (and for tests)."""
     layers = ((Dense("hidden", hidden),) if hidden else ()) + (Output("output", n_out),)
     return NetSpec("Dense", (n_in,), layers, Rules(updater=updater, lr=lr, init="xavier"), seed)
+
+
+# ---- spec as data (saved next to a model) ------------------------------------
+
+LAYER_KINDS = {cls.__name__: cls for cls in (Conv, Pool, LRN, Dense, Output)}
+
+
+def spec_to_json(spec: NetSpec) -> str:
+    """The spec as JSON: layer kind names plus their fields."""
+    import json
+    from dataclasses import asdict
+    body = {k: v for k, v in asdict(spec).items() if k != "layers"}
+    body["layers"] = [{"kind": type(ly).__name__, **asdict(ly)} for ly in spec.layers]
+    return json.dumps(body)
+
+
+def spec_from_json(text: str) -> NetSpec:
+    import json
+
+    def tup(v):
+        return tuple(v) if isinstance(v, list) else v
+
+    body = json.loads(text)
+    layers = tuple(LAYER_KINDS[d.pop("kind")](**{k: tup(v) for k, v in d.items()}) for d in body.pop("layers"))
+    rules = Rules(**body.pop("rules"))
+    return NetSpec(body.pop("name"), tuple(body.pop("input_shape")), layers, rules, **body)

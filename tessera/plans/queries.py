@@ -358,13 +358,15 @@ def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, write the model as Parquet chunks, read it back, compare."""
-    from tessera.plans.training import model_chunks_df, model_from_chunks
+    """Train, save the model with its spec, load both back, compare."""
+    from tessera.plans.training import load_trained, save_trained
     from tessera.session import scratch_path
     res = _job(spark, sf_dir, "model_roundtrip")
     path = scratch_path(spark, "model")
-    model_chunks_df(spark, res.model).write.parquet(path)
-    back = model_from_chunks(tiny_cnn(), [(r.param, r.chunk, r.values) for r in spark.read.parquet(path).collect()])
+    save_trained(spark, tiny_cnn(), res.model, path)
+    spec, back = load_trained(spark, path)
+    if spec != tiny_cnn():
+        raise AssertionError("the saved spec does not round-trip")
     rows = [(k, int(v.size), float(np.abs(v - back.params[k]).max())) for k, v in sorted(res.model.params.items())]
     return spark.createDataFrame(rows, "param string, n_values int, max_abs_diff double")
 

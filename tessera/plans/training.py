@@ -359,6 +359,22 @@ def read_metrics(spark, path: str) -> DataFrame:
         return spark.createDataFrame([], METRICS_SCHEMA)
 
 
+def save_trained(spark, spec: NetSpec, model: ModelState, path: str) -> None:
+    """A trained model with its spec: ``path/chunks`` (Parquet) and ``path/spec`` (one JSON row)."""
+    from tessera.plans.models import spec_to_json
+    model_chunks_df(spark, model).write.mode("overwrite").parquet(f"{path}/chunks")
+    spark.createDataFrame([(spec_to_json(spec),)], "spec string").coalesce(1).write.mode("overwrite") \
+        .parquet(f"{path}/spec")
+
+
+def load_trained(spark, path: str):
+    """``(spec, model)`` saved by ``save_trained``."""
+    from tessera.plans.models import spec_from_json
+    spec = spec_from_json(spark.read.parquet(f"{path}/spec").first()["spec"])
+    rows = collect_arrow(spark.read.parquet(f"{path}/chunks")).itertuples(index=False)  # one model
+    return spec, model_from_chunks(spec, [(r.param, r.chunk, r.values) for r in rows])
+
+
 def save_model(spark, model: ModelState, path: str, epoch: int, round_: int) -> None:
     """Append the model (chunks, updater state, step) as checkpoint (epoch, round)."""
     (model_chunks_df(spark, model).withColumn("epoch", F.lit(epoch)).withColumn("round", F.lit(round_).cast("long"))

@@ -48,3 +48,10 @@ def test_presets_compute_in_float32():
     x = batch_input(spec.with_scale(1 / 255), [bytes(range(200)) * 2])
     p, _ = forward(spec, params, x)
     assert x.dtype == np.float32 and p.dtype == np.float32 and abs(float(p.sum()) - 1) < 1e-5
+
+
+@pytest.mark.parametrize("name", ["LeNet", "AlexNet", "VGGNet"])
+def test_spec_json_roundtrip(name):
+    from tessera.plans.models import spec_from_json, spec_to_json
+    spec = preset(name).with_scale(1 / 255)
+    assert spec_from_json(spec_to_json(spec)) == spec

@@ -198,3 +198,14 @@ def test_reduction_tree_with_several_levels(spark, monkeypatch):
     a = np.array(AV.param_average(arr, "n").first()["values"])
     b = np.frombuffer(AV.param_average(binv, "n", fanin_col="worker", fanin_workers=9).first()["values"])
     assert np.allclose(a, b, atol=1e-12)
+
+
+def test_save_and_load_trained(spark, tmp_path):
+    from tessera.plans.models import preset
+    from tessera.plans.training import load_trained, save_trained
+    spec = preset("LeNet", channels=1, height=20, width=20, num_labels=3)
+    m = new_model(spec)
+    save_trained(spark, spec, m, str(tmp_path / "lenet"))
+    spec2, m2 = load_trained(spark, str(tmp_path / "lenet"))
+    assert spec2 == spec
+    assert all(np.array_equal(m.params[k], m2.params[k]) and m2.params[k].dtype == np.float32 for k in m.params)
