@@ -138,3 +138,15 @@ def test_job_reports_and_skips_invalid_images(spark, folder):
     assert len(local) == 2 and all(os.path.isdir(p) for p in local)
     res.release(delete_files=True)
     assert not any(os.path.exists(p) for p in local)
+
+
+def test_command_line_runner(spark, folder, capsys):
+    import importlib.util
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools", "run_job.py")
+    spec = importlib.util.spec_from_file_location("run_job_cli", path)
+    cli = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(cli)
+    cli.main(["--dir-path", folder, "--model-type", "LeNet", "--height", "20", "--width", "20",
+              "--epochs", "1", "--batch-size-per-worker", "6", "--max-examples", "24"])
+    out = capsys.readouterr().out
+    assert "modelType: LeNet" in out and "0: cat" in out and "Accuracy:" in out
