@@ -21,7 +21,7 @@ from tessera.plans.job import JobConfig, run_job  # noqa: E402
 from tessera.plans.models import preset  # noqa: E402
 from tessera.plans.report import report_text  # noqa: E402
 from tessera.session import build_session  # noqa: E402
-from tessera.sources.images import read_capped, read_images, to_tensors  # noqa: E402
+from tessera.sources.images import list_images, read_capped, read_images, to_tensors  # noqa: E402
 
 
 def main(argv=None):
@@ -45,7 +45,8 @@ def main(argv=None):
         images = read_capped(spark, args.dir_path, args.max_examples, glob=args.glob)
     else:
         images = read_images(spark, args.dir_path, glob=args.glob)
-    n_labels = images.select("label").distinct().count()
+    # Classes from the path listing: no image is read or decoded for this.
+    n_labels = list_images(spark, args.dir_path, args.glob).select("label").distinct().count()
     spec = preset(args.model_type, channels=args.channels, height=args.height, width=args.width,
                   num_labels=n_labels).with_scale(1 / 255)
     ex = to_tensors(images, args.height, args.width, args.channels, as_bytes=True) \
