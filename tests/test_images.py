@@ -150,3 +150,18 @@ def test_command_line_runner(spark, folder, capsys):
               "--epochs", "1", "--batch-size-per-worker", "6", "--max-examples", "24"])
     out = capsys.readouterr().out
     assert "modelType: LeNet" in out and "0: cat" in out and "Accuracy:" in out
+
+
+def test_alexnet_job_runs_end_to_end(spark, folder):
+    """The original distributed job's default model through the whole job (LRN, dropout,
+    Nesterov, per-layer renormalisation, sum gradients), at its smallest input."""
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import preset
+    imgs = to_tensors(read_images(spark, folder, drop_invalid=True), 61, 61, 3, as_bytes=True)
+    ex = imgs.select(F.col("path").alias("id"), "label", "features")
+    spec = preset("AlexNet", channels=3, height=61, width=61, num_labels=3).with_scale(1 / 255)
+    res = run_job(spark, ex, spec, JobConfig(epochs=1, batch_size=8, workers=2, averaging_frequency=2))
+    rep = res.report.first()
+    assert rep.model == "AlexNet" and rep.n_test == 6 and rep.accuracy is not None
+    assert all(np.isfinite(v).all() for v in res.model.params.values())
+    res.release(delete_files=True)
