@@ -209,3 +209,17 @@ def test_save_and_load_trained(spark, tmp_path):
     spec2, m2 = load_trained(spark, str(tmp_path / "lenet"))
     assert spec2 == spec
     assert all(np.array_equal(m.params[k], m2.params[k]) and m2.params[k].dtype == np.float32 for k in m.params)
+
+
+def test_whole_job_is_bit_identical_across_input_partitionings(spark):
+    from tessera.plans.job import JobConfig, run_job
+    df = _separable(spark, n_per=30, dim=6).withColumn("label", F.col("label_idx").cast("string"))
+    spec = small_dense_net(6, 3, hidden=4, updater="nesterovs")
+    cfg = JobConfig(epochs=2, batch_size=10, workers=3, averaging_frequency=2)
+    a = run_job(spark, df.repartition(1), spec, cfg)
+    b = run_job(spark, df.repartition(7), spec, cfg)
+    for k in a.model.params:
+        assert np.array_equal(a.model.params[k], b.model.params[k]), k
+    assert a.model.step == b.model.step
+    for r in (a, b):
+        r.release(delete_files=True)
