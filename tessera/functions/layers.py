@@ -138,6 +138,7 @@ def softmax_nll_backward(p, y, mean=True):
     return d / len(y) if mean else d
 
 
-def dropout_mask(shape, keep, rng):
-    """Inverted dropout: kept units are scaled by 1/keep."""
-    return (rng.random(shape) < keep).astype(np.float64) / keep
+def dropout_mask(shape, keep, rng, dtype=np.float64):
+    """Inverted dropout: kept units are scaled by 1/keep (in the activations' type)."""
+    dt = np.dtype(dtype)
+    return (rng.random(shape) < keep).astype(dt) / dt.type(keep)

@@ -238,7 +238,7 @@ def forward(spec: NetSpec, params: dict, x: np.ndarray, train: bool = False, rng
             a = L.relu_forward(z)
             mask = None
             if train and ly.dropout > 0:
-                mask = L.dropout_mask(a.shape, 1.0 - ly.dropout, rng)
+                mask = L.dropout_mask(a.shape, 1.0 - ly.dropout, rng, a.dtype)
                 a = a * mask
             caches.append(("dense", (xin, shape_in, mask), a))
         elif isinstance(ly, Output):

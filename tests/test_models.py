@@ -55,3 +55,14 @@ def test_spec_json_roundtrip(name):
     from tessera.plans.models import spec_from_json, spec_to_json
     spec = preset(name).with_scale(1 / 255)
     assert spec_from_json(spec_to_json(spec)) == spec
+
+
+def test_float32_survives_a_training_step_with_dropout():
+    import numpy as np
+    from tessera.plans.training import new_model, train_batch
+    spec = preset("AlexNet", channels=3, height=61, width=61, num_labels=3)
+    m = new_model(spec)
+    x = np.random.default_rng(0).random((2, 3, 61, 61)).astype("float32")
+    train_batch(spec, m, x, np.array([0, 2]), np.random.default_rng(1))
+    assert {v.dtype for v in m.params.values()} == {np.dtype("float32")}
+    assert {v.dtype for v in m.state.values()} == {np.dtype("float32")}
