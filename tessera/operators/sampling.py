@@ -84,7 +84,11 @@ def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
 
     With ``max_rn`` only rows numbered up to it are returned, and buckets
     that start after it are dropped *before* the shuffle: a cap of n rows
-    moves about n + one bucket of rows, whatever the table size."""
+    moves about n + one bucket of rows, whatever the table size.
+
+    The input is evaluated twice: once for the bucket counts (projected to
+    the key, so a Parquet scan reads one column) and once for the ranking.
+    Materialize an expensive input first (``session.materialize``)."""
     tagged = df.withColumn("_bucket", _bucket_of(F.col(key_col), bits))
     offsets = _bucket_offsets(tagged)
     if max_rn is not None:
