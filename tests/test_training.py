@@ -223,3 +223,35 @@ def test_whole_job_is_bit_identical_across_input_partitionings(spark):
     assert a.model.step == b.model.step
     for r in (a, b):
         r.release(delete_files=True)
+
+
+def test_train_fit_equals_a_sequential_brute_force(spark):
+    """Distributed rounds against a plain loop: every round, every worker runs
+    its batches in order from the round's model, then parameters and updater
+    state are averaged over the workers that had batches; the step is the max."""
+    from tessera.plans.training import ModelState, batch_arrays, train_batch
+    df = _separable(spark, n_per=25, dim=5)
+    spec = small_dense_net(5, 3, hidden=4, updater="rmsprop")
+    rows = prepare_training_rows(split_exact(df, "id", 1.0), batch_size=7, workers=3, averaging_frequency=2)
+    got, _ = train_fit(spec, rows, epochs=2, model=new_model(spec))
+
+    pdf = rows.toPandas().sort_values(["round", "worker", "batch_id", "pos"])
+    model = new_model(spec)
+    for epoch in range(2):
+        for r, rr in pdf.groupby("round", sort=True):
+            outs = []
+            for w, ww in rr.groupby("worker", sort=True):
+                m = ModelState({k: v.copy() for k, v in model.params.items()},
+                               {k: v.copy() for k, v in model.state.items()}, model.step)
+                for b, bb in ww.groupby("batch_id", sort=True):
+                    x, y = batch_arrays(spec, bb, "features", "label_idx")
+                    train_batch(spec, m, x, y, np.random.default_rng([spec.seed, epoch, int(r), int(w), int(b)]))
+                outs.append(m)
+            model = ModelState({k: np.mean([o.params[k] for o in outs], axis=0) for k in model.params},
+                               {k: np.mean([o.state[k] for o in outs], axis=0) for k in outs[0].state},
+                               max(o.step for o in outs))
+    assert got.step == model.step
+    for k in model.params:
+        assert np.allclose(got.params[k], model.params[k], atol=1e-12), k
+    for k in model.state:
+        assert np.allclose(got.state[k], model.state[k], atol=1e-12), k
