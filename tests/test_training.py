@@ -255,3 +255,19 @@ def test_train_fit_equals_a_sequential_brute_force(spark):
         assert np.allclose(got.params[k], model.params[k], atol=1e-12), k
     for k in model.state:
         assert np.allclose(got.state[k], model.state[k], atol=1e-12), k
+
+
+def test_job_evaluation_equals_a_brute_force_confusion(spark):
+    from collections import Counter
+
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import batch_input, forward
+    df = _separable(spark, n_per=20, dim=4).withColumn("label", F.col("label_idx").cast("string"))
+    spec = small_dense_net(4, 3, hidden=3)
+    res = run_job(spark, df, spec, JobConfig(epochs=1, batch_size=8, workers=2, averaging_frequency=1))
+    test = split_exact(df, "id", 0.8).filter("split = 'test'").toPandas()
+    p, _ = forward(spec, res.model.params, batch_input(spec, test["features"]))
+    expect = Counter(zip(test["label_idx"].astype(int), p.argmax(axis=1).astype(int)))
+    got = {(r.actual, r.predicted): r.n for r in res.confusion.collect()}
+    assert got == dict(expect)
+    res.release(delete_files=True)
