@@ -35,7 +35,7 @@ EMBED, WIDTH, STEP, FILTERS, HIDDEN = 8, 8, 2, 32, 16
 SLICE = 512
 MAX_DOCS = 1_600
 MAX_TRAIN_BYTES = 8_192
-EPOCHS, BATCH, RATE, SEED = 8, 16, 0.004, 42
+STEPS, BATCH, RATE, SEED = 1_600, 16, 0.004, 42
 PAD = 256
 
 
@@ -96,10 +96,10 @@ def train(raws: list[bytes], labels: np.ndarray, seed: int = SEED) -> dict[str,
     raws = [*raws, *[x[a:a + n] for x, (a, n) in zip(raws, cuts)]]
     labels = np.concatenate([labels, labels])
     pieces, step = [chunks(x) for x in raws], 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - 0.9 * epoch / EPOCHS)
+    while step < STEPS:  # the same effort whatever the number of labels
         order = r.permutation(len(raws))
         for a in range(0, len(order), BATCH):
+            rate = RATE * max(0.1, 1 - 0.9 * step / STEPS)
             g = {k: np.zeros_like(v) for k, v in p.items()}
             part = order[a:a + BATCH]
             c = np.concatenate([pieces[i] for i in part])

@@ -5,17 +5,20 @@ Learning (``fit``), from labelled rows only:
 - a bounded sample of them (``max_examples``, the smallest md5 keys of the id);
 - the vocabulary: words whose document counts differ between the two labels
   (chi-square of at least ``min_chi2``; the ``max_terms`` best). Words that say
-  nothing about the label would only add noise to the distances;
+  nothing about the label would only add noise to the distances. Documents are
+  counted by their smallest word hash, so near copies, which share it, count once;
 - IDF of those words over *all* documents, one partial count per task;
 - an inverted index of the examples' unit TF-IDF vectors, its postings in blocks of
   ``BLOCK`` examples, each block with the largest weight it holds;
 - a monotone calibration of the votes, from each example's vote when it is left out.
 
+Examples without vocabulary words have cosine zero to everything and no place in the index.
+
 Scoring: for a text's words, block bounds (text weight times block maximum, summed
 over its words) are visited from the largest down, and a block is skipped once its
 bound is below the k-th best cosine found: the k nearest are exact. The k neighbours
 vote by closeness; a text without vocabulary words, whose cosine to everything is
-zero, gets the toxic share of the examples that have none either.
+zero, gets the (smoothed) toxic share of the examples that have none either.
 
 At scale: fitting reads the sample's texts and, for the IDF, every text once; the
 model is bounded by its parameters and broadcast. Scoring is a narrow map over the
@@ -30,6 +33,7 @@ place goes to the lower example number (examples are sorted by md5 key).
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_of, written
 from tessera.operators.sampling import seeded_key
 
-MAX_EXAMPLES = 16_384
+MAX_EXAMPLES = 12_288
 MAX_TERMS = 4_096
 MIN_CHI2 = 30.0
 K = 15
@@ -64,7 +68,7 @@ class Model:
     example_ids: np.ndarray
     labels: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]      # per term: examples, weights
-    block_max: list[tuple[np.ndarray, np.ndarray]]     # per term: blocks, largest weight
+    blocks: list[tuple[np.ndarray, np.ndarray]]        # per term and block: first posting, largest weight
     empty_share: float
     k: int = K
     bins: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
@@ -84,11 +88,9 @@ class Model:
         """The k examples of largest cosine (above zero) and the cosines."""
         if not len(t):
             return np.zeros(0, np.int64), np.zeros(0)
-        n_blocks = (len(self.labels) + BLOCK - 1) // BLOCK
-        bound = np.zeros(n_blocks)
+        bound = np.zeros((len(self.labels) + BLOCK - 1) // BLOCK)
         for term, weight in zip(t.tolist(), w.tolist()):
-            blocks, top = self.block_max[term]
-            bound[blocks] += weight * top
+            bound += weight * self.blocks[term][1]
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best_i, best_c = np.zeros(0, np.int64), np.zeros(0)
@@ -99,9 +101,11 @@ class Model:
             lo = b * BLOCK
             scores = np.zeros(min(BLOCK, len(self.labels) - lo))
             for term, weight in zip(t.tolist(), w.tolist()):
-                ex, ew = self.postings[term]
-                a, z = np.searchsorted(ex, (lo, lo + BLOCK))
-                scores[ex[a:z] - lo] += weight * ew[a:z]
+                first = self.blocks[term][0]
+                a, z = first[b], first[b + 1]
+                if a < z:
+                    ex, ew = self.postings[term]
+                    scores[ex[a:z] - lo] += weight * ew[a:z]
             if lo <= leave_out < lo + BLOCK:
                 scores[leave_out - lo] = 0
             hit = np.flatnonzero(scores > 0)
@@ -111,17 +115,18 @@ class Model:
         return best_i, best_c
 
     def vote(self, t: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """Closeness-weighted share of toxic neighbours, smoothed by the share
-        among examples that resemble nothing."""
+        """Closeness-weighted share of toxic neighbours; NaN without any."""
         i, c = self.nearest(t, w, leave_out)
         if not len(i):
-            return self.empty_share, i, c
+            return float("nan"), i, c
         near = 1 / (1.05 - np.minimum(c, 1.0))  # weight grows as the distance shrinks
         return float((near * self.labels[i]).sum() / near.sum()), i, c
 
     def calibrated(self, vote: float) -> float:
-        # The calibrated step plus a sliver of the vote keeps the order of votes.
-        return float(np.clip(0.999 * np.interp(vote, self.bins, self.values) + 0.001 * vote, 0, 1))
+        if np.isnan(vote):
+            return self.empty_share
+        # A sliver of the vote itself keeps the order of votes inside a step.
+        return float(np.clip(0.99 * np.interp(vote, self.bins, self.values) + 0.01 * vote, 0, 1))
 
     def score(self, text: str) -> float:
         return self.calibrated(self.vote(*self.vector(text))[0])
@@ -135,54 +140,55 @@ class Model:
 def _monotone(vote: np.ndarray, label: np.ndarray, parts: int = 20) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators over groups of equal size: vote -> toxic share."""
     order = np.argsort(vote, kind="stable")
-    groups = [g for g in np.array_split(order, parts) if len(g)]
-    pools = [[vote[g].mean(), label[g].mean(), len(g)] for g in groups]
-    out: list[list[float]] = []
-    for p in pools:
-        out.append(p)
-        while len(out) > 1 and (out[-2][1] >= out[-1][1] or out[-2][0] == out[-1][0]):
-            b, a = out.pop(), out.pop()
+    pools: list[list[float]] = []
+    for g in np.array_split(order, parts):
+        if not len(g):
+            continue
+        pools.append([vote[g].mean(), label[g].mean(), len(g)])
+        while len(pools) > 1 and (pools[-2][1] >= pools[-1][1] or pools[-2][0] >= pools[-1][0]):
+            b, a = pools.pop(), pools.pop()
             n = a[2] + b[2]
-            out.append([(a[0] * a[2] + b[0] * b[2]) / n, (a[1] * a[2] + b[1] * b[2]) / n, n])
-    x = np.array([0.0, *[p[0] for p in out], 1.0])
-    y = np.array([out[0][1], *[p[1] for p in out], out[-1][1]])
-    keep = np.append(True, np.diff(x) > 0)
+            pools.append([(a[0] * a[2] + b[0] * b[2]) / n, (a[1] * a[2] + b[1] * b[2]) / n, n])
+    # The ends of the scale stand for themselves with the weight of one example.
+    x = np.array([0.0, *[p[0] for p in pools], 1.0])
+    y = np.array([min(0.0, pools[0][1]), *[p[1] for p in pools], 1.0])
+    keep = np.append(np.diff(x) > 0, True)
     return x[keep], y[keep]
 
 
 def _build(examples: list[tuple[int, int, list[tuple[str, int]]]], terms: list[str], idf: np.ndarray, k: int) -> Model:
     """Index and calibration from (id, label, [(term, tf)]) rows."""
     number = {t: i for i, t in enumerate(terms)}
-    labels = np.array([y for _, y, _ in examples], np.float64)
-    rows, cols, vals = [], [], []
-    filled = np.zeros(len(examples), bool)
-    for r, (_, _, tf) in enumerate(examples):
+    ids, labels, rows, cols, vals, empty = [], [], [], [], [], []
+    for doc, label, tf in examples:
         pairs = sorted((number[t], 1 + np.log(n)) for t, n in tf if t in number)
         w = np.array([v * idf[t] for t, v in pairs])
         norm = np.sqrt((w * w).sum()) if len(w) else 0
         if norm > 0:
-            filled[r] = True
-            rows += [r] * len(pairs)
+            rows += [len(ids)] * len(pairs)
             cols += [t for t, _ in pairs]
             vals += (w / norm).tolist()
+            ids.append(doc)
+            labels.append(label)
+        else:
+            empty.append(label)
     rows, cols, vals = np.array(rows, np.int64), np.array(cols, np.int64), np.array(vals)
-    postings, block_max = [], []
+    n_blocks = (len(ids) + BLOCK - 1) // BLOCK
+    postings, blocks = [], []
     for t in range(len(terms)):
         at = cols == t
         ex, ew = rows[at], vals[at]
-        blocks = np.unique(ex // BLOCK)
-        top = np.zeros((len(labels) + BLOCK - 1) // BLOCK)
+        top = np.zeros(n_blocks)
         np.maximum.at(top, ex // BLOCK, ew)
         postings.append((ex, ew))
-        block_max.append((blocks, top[blocks]))
-    empty = labels[~filled]
-    m = Model(number, idf, np.array([i for i, _, _ in examples], np.int64), labels, postings, block_max,
-              float(empty.mean()) if len(empty) else float(labels.mean()) if len(labels) else 0.0, k)
-    if len(labels):
-        start = np.searchsorted(rows, np.arange(len(labels) + 1))
-        votes = np.array([m.vote(cols[a:z], vals[a:z], leave_out=r)[0]
-                          for r, (a, z) in enumerate(zip(start[:-1], start[1:]))])
-        m.bins, m.values = _monotone(votes, labels)
+        blocks.append((np.searchsorted(ex, np.arange(n_blocks + 1) * BLOCK), top))
+    share = (sum(empty) + 0.1) / (len(empty) + 1) if examples else 0.0
+    m = Model(number, idf, np.array(ids, np.int64), np.array(labels, np.float64), postings, blocks, share, k)
+    start = np.searchsorted(rows, np.arange(len(ids) + 1))
+    votes = np.array([m.vote(cols[a:z], vals[a:z], leave_out=r)[0] for r, (a, z) in enumerate(zip(start[:-1], start[1:]))])
+    voted = ~np.isnan(votes)
+    if voted.any():
+        m.bins, m.values = _monotone(votes[voted], m.labels[voted])
     return m
 
 
@@ -200,14 +206,17 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         for pdf in batches:
             for a in range(0, len(pdf), 64):
                 part = pdf.iloc[a:a + 64]
-                out = [(int(i), int(y), w, n) for i, y, t in zip(part["doc_id"], part["label"], part["text"])
-                       for w, n in Counter(words(t)).items()]
-                yield pd.DataFrame(out, columns=["doc_id", "label", "word", "n"])
-
-    counts = written(rows.mapInPandas(tokenise, "doc_id long, label int, word string, n int"), "example-words")
-    total, toxic = clean_totals(written(rows.select("doc_id", "label").distinct(), "examples"))
-    by_word = counts.groupBy("word").agg(F.countDistinct("doc_id").alias("d"),
-                                         F.countDistinct(F.when(F.col("label") == 1, F.col("doc_id"))).alias("p"))
+                out = []
+                for i, y, t in zip(part["doc_id"], part["label"], part["text"]):
+                    tf = Counter(words(t))
+                    sign = min((zlib.crc32(w.encode()) for w in tf), default=0)
+                    out += [(int(i), int(y), sign, w, n) for w, n in tf.items()] or [(int(i), int(y), sign, None, 0)]
+                yield pd.DataFrame(out, columns=["doc_id", "label", "sign", "word", "n"])
+
+    counts = written(rows.mapInPandas(tokenise, "doc_id long, label int, sign long, word string, n int"), "example-words")
+    signs = [F.countDistinct("sign").alias("d"), F.countDistinct(F.when(F.col("label") == 1, F.col("sign"))).alias("p")]
+    total, toxic = counts.agg(*signs).first()
+    by_word = counts.filter("word IS NOT NULL").groupBy("word").agg(*signs)
     share = toxic / total if total else 0.0
     expect = F.col("d") * F.lit(share)
     spread = F.col("d") * F.lit(share * (1 - share)) * (1 - F.col("d") / F.lit(float(total + 1)))
@@ -218,17 +227,12 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                  .orderBy(F.desc("chi2"), "word").limit(max_terms).select("word").collect()]
     idf = _corpus_idf(own, terms)
     kept = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "word string")), "word")
-    ex = (rows.select("doc_id", "label").distinct()
+    ex = (counts.select("doc_id", "label").distinct()
           .join(kept.groupBy("doc_id").agg(F.collect_list(F.struct("word", "n")).alias("tf")), "doc_id", "left")
           .orderBy(seeded_key("doc_id"), "doc_id").collect())  # at most max_examples rows
     return _build([(r["doc_id"], r["label"], [(x["word"], x["n"]) for x in r["tf"] or []]) for r in ex], terms, idf, k)
 
 
-def clean_totals(examples: DataFrame) -> tuple[int, int]:
-    r = examples.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p")).first()
-    return r["n"], r["p"] or 0
-
-
 def _corpus_idf(docs: DataFrame, terms: list[str]) -> np.ndarray:
     """Smoothed IDF of ``terms`` over all documents: one vector of counts per task."""
     shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
