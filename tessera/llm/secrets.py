@@ -27,8 +27,10 @@ from tessera.llm.common import attach_by_key, count_rows, text_of, written
 # Fixed patterns; ASCII letters in either case where the kind says so.
 ASSIGN = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
           r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
-ACCESS = r"(AKIA[A-Z0-9]+)"
-HEX = r"([0-9a-f]+)"
+# Longest runs: asking for the least length at once finds the same ones, and leaves the
+# many short runs of any text unmatched.
+ACCESS = r"(AKIA[A-Z0-9]{14,})"
+HEX = r"([0-9a-f]{16,})"
 LONG = r"([A-Za-z0-9+/_=-]{20,})"
 # kind, pattern, group of the secret value, least length of that group
 KINDS = (("assign", ASSIGN, 2, 12), ("access", ACCESS, 1, 18), ("hex", HEX, 1, 16), ("owned", LONG, 1, 20))
