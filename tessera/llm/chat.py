@@ -8,7 +8,7 @@ without one) make a last example with an empty mask, so no turn is lost. A turn
 
 and control strings inside texts are made harmless by one more backslash between ``<`` and
 ``|`` than the text has there, which ``unescape`` takes away again; in roles a backslash is
-doubled and a line feed written ``\\n`` as well.
+written backslash b and a line feed backslash n as well.
 
 At scale: one exchange of the turns by conversation; positions are running sums over its
 turns. Examples repeat their context, as the method says, so the output grows with the
@@ -40,13 +40,11 @@ def unescape(c: Column) -> Column:
 
 
 def escape_role(c: Column) -> Column:
-    return F.replace(F.replace(escape(c), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    return F.replace(F.replace(escape(c), F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n"))
 
 
 def unescape_role(c: Column) -> Column:
-    # Doubled backslashes step aside (a NUL can't follow one here) while \n is read.
-    c = F.replace(F.replace(c, F.lit("\\\\"), F.lit("\x00\\")), F.lit("\\n"), F.lit("\n"))
-    return unescape(F.replace(c, F.lit("\x00\n"), F.lit("\\n")))
+    return unescape(F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\")))
 
 
 def examples(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",

@@ -182,8 +182,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         yield pd.DataFrame({"model": [pickle.dumps(p)]})
 
     # One task, of at most max_docs * MAX_TRAIN_BYTES.
-    blob = rows.repartition(1).mapInPandas(run, "model binary").first()["model"]
-    return pickle.loads(bytes(blob))
+    got = rows.repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(bytes(got["model"])) if got else {"constant": 0.5}
 
 
 def score_column(spark, model: dict, text: Column) -> Column:
