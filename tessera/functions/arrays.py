@@ -66,13 +66,17 @@ def dense(arr: str | Column, weights: np.ndarray, bias: np.ndarray) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n_out - 1)), unit)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row: lambdas compute
+    what they refer to again for every element, a bound variable is only read."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def softmax(arr: str | Column) -> Column:
-    """Max-shifted softmax of a logit vector."""
-    z = _col(arr)
-    m = F.array_max(z)
-    e = F.transform(z, lambda v: F.exp(v - m))
-    s = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
+    """Max-shifted softmax of a logit vector, linear in its length."""
+    return _let(_col(arr), lambda z: _let(F.array_max(z), lambda m: _let(
+        F.transform(z, lambda v: F.exp(v - m)), lambda e: _let(
+            F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v), lambda s: F.transform(e, lambda v: v / s)))))
 
 
 def nll(probs: str | Column, label_idx: str | Column, eps: float = 1e-15) -> Column:

@@ -27,8 +27,6 @@ TOPK_CAP_LIMIT = 100_000
 # broadcast (about 2 MB). A bucket's window spills to disk when it outgrows
 # memory; for tables of many billions of rows raise this to spread them thinner.
 BUCKET_BITS = 16
-HOT_BUCKET_FACTOR = 64      # times the mean bucket size
-HOT_BUCKET_SLACK = 100_000  # rows always allowed in one bucket
 
 
 def seeded_key(id_col: str | Column, seed: int = DEFAULT_SEED) -> Column:
@@ -52,14 +50,7 @@ def _bucket_offsets(tagged: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
     )
-    # md5 buckets of distinct ids hold about total / 2**bits rows each; a bucket
-    # far above that means repeated ids (a hot key), which have no repeatable
-    # order and would land in one task. Fail in this same job, before the shuffle.
-    limit = F.col("_total") * HOT_BUCKET_FACTOR / F.lit(2 ** BUCKET_BITS) + HOT_BUCKET_SLACK
-    # (The check sits on ``_off``, which every caller reads, so it is never pruned.)
-    return offsets.withColumn("_off", F.when(F.col("_cnt") <= limit, F.col("_off")).otherwise(
-        F.raise_error(F.concat(F.lit("order key bucket holds "), F.col("_cnt").cast("string"),
-                               F.lit(" rows: the id column repeats; ids must be unique")))).cast("long"))
+    return offsets
 
 
 def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,
@@ -73,7 +64,13 @@ def _rank_in_buckets(joined: DataFrame, key_col: str, tie_col: str, out: str,
     elif range_partitions:
         joined = joined.repartitionByRange(range_partitions, "_bucket")
     local = Window.partitionBy("_bucket").orderBy(F.col(key_col), F.col(tie_col))
-    return joined.withColumn(out, (F.col("_off") + F.row_number().over(local)).cast("long"))
+    # A repeated id has no repeatable place: it fails here at any size. The check
+    # sits inside the number itself, so it can't be pruned while the number is read.
+    again = F.lag(F.col(tie_col).cast("string")).over(local).eqNullSafe(F.col(tie_col).cast("string")) & (
+        F.row_number().over(local) > 1)
+    number = F.when(again, F.raise_error(F.lit("the id column repeats; ids must be unique")).cast("long")).otherwise(
+        F.col("_off") + F.row_number().over(local))
+    return joined.withColumn(out, number.cast("long"))
 
 
 def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",

@@ -361,7 +361,7 @@ def preset(name: str, **kw) -> NetSpec:
     try:
         return PRESETS[name](**kw)
     except KeyError:
-        raise ValueError(f"Incorrect model provided: {name!r} (one of {sorted(PRESETS)})") from None
+        raise ValueError(f"no preset named {name!r}; there are {sorted(PRESETS)}") from None
 
 
 def model_summary_rows(spec: NetSpec):

@@ -73,8 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set and the master is local --
-    local runs and tests -- a fresh temporary folder is made and registered;
+    checkpoint dir). Only when neither is set and the master is a single local
+    process (``local`` or ``local[n]``; not ``local-cluster``) a fresh temporary folder is made and registered;
     on a cluster that is an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -82,7 +82,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             # A machine-local folder would split files across hosts on a cluster.
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")

@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tessera.plans.oracles import ORACLES
+from tessera.plans.queries import QUERIES
 
 TABLES = ["embeddings", "pages", "labels", "events", "orders"]
 
@@ -32,16 +34,17 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_known_rows_only():
     rows_only = {"train_fit", "training_metrics", "model_roundtrip", "run_report", "image_job"}
-    missing = set(E.queries()) - set(E.oracle_sql()) - rows_only
+    missing = set(QUERIES) - set(ORACLES) - rows_only
     assert not missing, missing
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[key])
+    res = duck.execute(ORACLES[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

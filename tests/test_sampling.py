@@ -96,13 +96,13 @@ def test_split_sides_equal_exact_split(spark, share):
     assert _collect(test, ["vec_id", "n_split"]) == _collect(full.filter("split = 'test'"), ["vec_id", "n_split"])
 
 
-def test_repeated_ids_fail_fast(spark, monkeypatch):
-    import tessera.operators.sampling as S
-    monkeypatch.setattr(S, "HOT_BUCKET_SLACK", 10)
-    df = spark.range(200).select(F.lit(7).alias("vec_id"), F.col("id").alias("label"))
-    with pytest.raises(Exception, match="ids must be unique"):
-        S.split_exact(df, "vec_id").collect()
-    assert S.split_exact(_emb(spark), "vec_id").count() == 500
+@pytest.mark.parametrize("action", [lambda d: d.collect(), lambda d: d.write.format("noop").mode("overwrite").save(),
+                                    lambda d: d.agg({"rn": "sum"}).collect()])
+def test_repeated_ids_fail_at_any_size(spark, action):
+    ids = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
+    with pytest.raises(Exception, match="repeats"):
+        action(seeded_shuffle(ids, "id"))
+
 
 
 def test_edges_empty_and_zero(spark):
