@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -22,7 +23,7 @@ _CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*|\s+")
 # part present is one piece for both tokenizers, so it can go to the merges at once.
 _PLAIN = re.compile(r"(\n)?( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)?")
 _AS_IS = "\x00"  # in front of a key that is the chunk itself
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 800_000
 MAX_CHUNK_CHARS = 4096  # longer ones are encoded but not remembered
 
 
@@ -39,6 +40,26 @@ _LETTER_OF = _byte_letters()
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _letters(part: str) -> str:
+    """A part of a chunk as the vocabulary writes its bytes."""
+    if part.isascii() and part.isprintable():
+        return part.replace(" ", chr(_LETTER_OF[32]))
+    return part.encode().decode("latin-1").translate(_LETTER_OF)
+
+
+class _Numbers(dict):
+    """Numbers keys in order of first sight; ``new`` holds those whose ids aren't known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
@@ -47,7 +68,7 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Numbers()
         self.sizes = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -73,56 +94,54 @@ class Encoder:
     def _ids(self, chunks: list[str]) -> list[list[int]]:
         """Ids of each chunk. Plain ones skip the normalizer and the splitting, of
         which they need nothing, and cost a third of a full call."""
-        merge, out, other = self.tokenizer.model.tokenize, [], []
+        merge, fold, out, other = self.tokenizer.model.tokenize, self._fold, [], []
+        marks: dict[str, list[int]] = {}  # line feed and punctuation repeat more than words
         for i, c in enumerate(chunks):
             plain = _PLAIN.fullmatch(c)
-            if plain:
-                parts = [p.encode().decode("latin-1").translate(_LETTER_OF) for p in map(self._fold, filter(None, plain.groups()))]
-                out.append([t.id for p in parts for t in merge(p)])
-            else:
+            if not plain:
                 out.append([])
                 other.append(i)
+                continue
+            feed, word, mark = plain.groups()
+            ids = [t.id for t in merge(_letters(fold(word)))]
+            for m in filter(None, (feed, mark)):
+                if m not in marks:
+                    marks[m] = [t.id for t in merge(_letters(m))]
+            out.append((marks[feed] if feed else []) + ids + (marks[mark] if mark else []) if feed or mark else ids)
         found = self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False)
         for i, e in zip(other, found):
             out[i] = e.ids
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        ids = self._ids([self._chunk(k) for k in new])
+    def _learn(self) -> None:
+        """Ids of the new chunks, appended in the order of their numbers."""
+        ids = self._ids([self._chunk(k) for k in self.index.new])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        for i, k in enumerate(new, len(self.index)):
-            self.index[k] = i
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, flat])
+        self.index.new = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids (uint32) of each whole text."""
         if len(self.index) > MAX_CHUNKS:
             self._reset()
-        found = []
-        new: set[str] = set()
+        number, numbers, ends = self.index.__getitem__, [], []
         for text in texts:
-            keys = self._keys(text)
-            at = list(map(self.index.get, keys))
-            if None in at:
-                new.update(k for k, i in zip(keys, at) if i is None)
-                found.append((keys, None))
-            else:
-                found.append((None, at))
-        if new:
-            self._learn(sorted(new))
-        out = []
-        for keys, at in found:
-            at = np.array(at if keys is None else list(map(self.index.__getitem__, keys)), np.int64)
-            size = self.sizes[at]
-            total = int(size.sum())
-            first = np.cumsum(size) - size
-            out.append(self.flat[np.repeat(self.starts[at] - first, size) + np.arange(total)])
-        if any(len(k) > MAX_CHUNK_CHARS for k in new):
+            numbers.extend(map(number, self._keys(text)))
+            ends.append(len(numbers))
+        long = any(len(k) > MAX_CHUNK_CHARS for k in self.index.new)
+        if self.index.new:
+            self._learn()
+        at = np.array(numbers, np.int64)
+        size = self.sizes[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = self.flat[np.repeat(self.starts[at] - upto[:-1], size) + np.arange(upto[-1])]
+        if long:
             self._reset()  # very long chunks aren't kept in memory
-        return out
+        cuts = [0, *upto[ends].tolist()]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class WordEncoder(Encoder):
