@@ -11,8 +11,9 @@ is what Spark's text writer puts after each row: files go through Spark's own ou
 committer on whatever store the path names, so a retried or duplicate task leaves no
 half-written or doubled file.
 
-The offset index is a table beside the records: file, place in the file, byte offset and
-size, doc_id, number of tokens. ``read_selected`` uses it for shuffled reads.
+The offset index is a table beside the records, made by reading the written files back:
+file, place in the file, byte offset and size, doc_id, number of tokens, tokens before it in
+its file and the checksum of its ids. ``read_selected`` uses it for shuffled reads.
 
 At scale: one range exchange by doc_id puts the texts in order; tokenizing, framing and
 writing follow in the same tasks. The number of files follows the bytes of text, so a file
@@ -132,8 +133,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def write_index(spark: SparkSession, records: str, index: str) -> DataFrame:
     """The offset index of a folder of records, written to ``index``."""
-    (read_records(spark, records, with_ids=False).select("file", "place", "offset", "bytes", "doc_id", "n_tokens")
-     .write.mode("overwrite").parquet(index))
+    read_records(spark, records, with_ids=False).drop("ids").write.mode("overwrite").parquet(index)
     return spark.read.parquet(index)
 
 
@@ -151,8 +151,8 @@ def read_selected(spark: SparkSession, records: str, wanted: DataFrame) -> DataF
 
 
 def encode_to_records(docs: DataFrame, tokenizer_path: str, path: str | None = None, **kw) -> DataFrame:
-    """Write records and index, read the records back. Per document: doc_id,
-    start, n_tokens, ids_crc32, file, offset."""
+    """Write records and read them back into the index. Per document: doc_id,
+    start, n_tokens, ids_crc32, file, offset, all from the files."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "llm-records")
     write_records(docs, f"{path}/data", tokenizer_path, **kw)
@@ -160,6 +160,5 @@ def encode_to_records(docs: DataFrame, tokenizer_path: str, path: str | None = N
     per_file = index.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_file.select(F.col("file").alias("_file"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
-    return (read_records(spark, f"{path}/data", with_ids=False)
-            .join(F.broadcast(starts), F.col("file") == F.col("_file"))  # one row a file
+    return (index.join(F.broadcast(starts), F.col("file") == F.col("_file"))  # one row a file
             .select("doc_id", (F.col("_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "file", "offset"))
