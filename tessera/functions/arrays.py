@@ -1,8 +1,8 @@
 """JVM-side array expressions over tensor columns (no Python in the plan).
 
 These cover scaling, one-hot labels, arg-max and small dense/softmax layers
-written with higher-order functions, so they stay inside whole-stage codegen.
-Large layers run in NumPy over Arrow batches (``tessera.functions.layers``).
+written with higher-order functions: rows never leave the JVM. Lambdas are
+interpreted, so this is for small layers. Large layers run in NumPy over Arrow batches (``tessera.functions.layers``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row: lambdas compute
+    what they refer to again for every element, a bound variable is only read."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_double(arr: str | Column) -> Column:
     return _col(arr).cast("array<double>")
 
@@ -53,23 +59,13 @@ def dense(arr: str | Column, weights: np.ndarray, bias: np.ndarray) -> Column:
     """``W x + b`` for a weight matrix ``[n_out, n_in]`` held as literals.
 
     For small layers only (the literal is part of the plan)."""
-    n_out, n_in = weights.shape
-    w = F.array(*[F.lit(float(v)) for v in weights.reshape(-1)])
+    rows = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in weights])
     b = F.array(*[F.lit(float(v)) for v in bias.reshape(-1)])
-    x = to_double(arr)
-
-    def unit(k):
-        row = F.slice(w, k * n_in + 1, n_in)
-        return F.aggregate(F.zip_with(x, row, lambda a, c: a * c), F.lit(0.0),
-                           lambda acc, y: acc + y) + F.element_at(b, k + 1)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n_out - 1)), unit)
+    def unit(x, row, c):
+        return F.aggregate(F.zip_with(x, row, lambda a, v: a * v), F.lit(0.0), lambda acc, y: acc + y) + c
 
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row: lambdas compute
-    what they refer to again for every element, a bound variable is only read."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return _let(to_double(arr), lambda x: F.zip_with(rows, b, lambda row, c: unit(x, row, c)))
 
 
 def softmax(arr: str | Column) -> Column:
@@ -84,7 +80,3 @@ def nll(probs: str | Column, label_idx: str | Column, eps: float = 1e-15) -> Col
     p = F.element_at(_col(probs), _col(label_idx) + 1)
     return -F.log(F.greatest(p, F.lit(eps)))
 
-
-def round_array(arr: str | Column, digits: int = 6) -> Column:
-    return F.transform(_col(arr), lambda x: F.round(x, digits))
-

@@ -37,9 +37,10 @@ def _decode(b, value_bytes) -> np.ndarray:
     return np.frombuffer(b, dtype=np.float32 if value_bytes == 4 else np.float64).astype(np.float64)
 
 
-def _weighted_sums(keys, with_sum, divide=False):
-    """Grouped reducer: sum of w * v and of w (and of the second count);
-    with ``divide`` the mean sum(w * v) / sum(w) instead of the sum."""
+def _weighted_sums(keys, carry, divide=False):
+    """Grouped reducer: sum of w * v and of w, and the ``carry`` ("sum" or
+    "max", None for none) of the second count; with ``divide`` the mean
+    sum(w * v) / sum(w) instead of the sum."""
     def reduce(key, pdf):
         # Arrival order after a shuffle varies; a fixed order makes the float
         # sum, and so a retried round, reproduce bit for bit.
@@ -53,8 +54,8 @@ def _weighted_sums(keys, with_sum, divide=False):
             acc = acc / w.sum()
         row = dict(zip(keys, key))
         row.update(values=acc.tobytes(), _vb=8, _w=float(w.sum()))
-        if with_sum:
-            row["_n"] = int(pdf["_n"].sum())
+        if carry:
+            row["_n"] = int(pdf["_n"].agg(carry))
         return pd.DataFrame([row])
     return reduce
 
@@ -63,6 +64,7 @@ def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean:
                    count_col: str | None = None, fanin_col: str | None = None,
                    fanin_workers: int = 1) -> DataFrame:
     key_schema = [chunks.schema[k] for k in keys]
+    carry = ("max" if mean else "sum") if count_col else None
     fields = key_schema + [T.StructField("values", T.BinaryType()), T.StructField("_vb", T.IntegerType()),
                            T.StructField("_w", T.DoubleType())]
     if count_col:
@@ -75,26 +77,26 @@ def _binary_reduce(chunks: DataFrame, weight_col: str | None, keys: tuple, mean:
     src = chunks.select(*cols, *([F.col(fanin_col)] if fanin_col else []))
     groups = -(-fanin_workers // FANIN)
     if not fanin_col or groups <= 1:
-        out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, bool(count_col), mean), schema)
+        out = src.groupBy(*keys).applyInPandas(_weighted_sums(keys, carry, mean), schema)
         return _finish(out, keys, mean, count_col)
     # A reduction tree: every level sums groups of at most FANIN rows per
     # chunk (consecutive ids), until at most FANIN partial sums are left.
     part_keys = (*keys, "_g")
     part_schema = T.StructType([*key_schema, T.StructField("_g", T.LongType()), *fields[len(keys):]])
     cur = (src.withColumn("_g", F.floor(F.col(fanin_col) / FANIN).cast("long"))
-           .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, bool(count_col)), part_schema)
+           .groupBy(*part_keys).applyInPandas(_weighted_sums(part_keys, carry), part_schema)
            .withColumnRenamed("_w", "_w0"))
     while groups > FANIN:
         cur = (cur.withColumn("_g", F.floor(F.col("_g") / FANIN).cast("long"))
-               .groupBy(*part_keys).applyInPandas(_sum_partials(part_keys, bool(count_col)), part_schema)
+               .groupBy(*part_keys).applyInPandas(_sum_partials(part_keys, carry), part_schema)
                .withColumnRenamed("_w", "_w0"))
         groups = -(-groups // FANIN)
     cur = cur.select(*keys, "values", "_vb", "_w0", *(["_n"] if count_col else []))
-    return _finish(cur.groupBy(*keys).applyInPandas(_sum_partials(keys, bool(count_col), mean), schema),
+    return _finish(cur.groupBy(*keys).applyInPandas(_sum_partials(keys, carry, mean), schema),
                    keys, mean, count_col)
 
 
-def _sum_partials(keys, with_sum, divide=False):
+def _sum_partials(keys, carry, divide=False):
     def reduce(key, pdf):
         pdf = pdf.sort_values(["values", "_w0"], kind="stable")
         acc = None
@@ -105,8 +107,8 @@ def _sum_partials(keys, with_sum, divide=False):
             acc = acc / float(pdf["_w0"].sum())
         row = dict(zip(keys, key))
         row.update(values=acc.tobytes(), _vb=8, _w=float(pdf["_w0"].sum()))
-        if with_sum:
-            row["_n"] = int(pdf["_n"].sum())
+        if carry:
+            row["_n"] = int(pdf["_n"].agg(carry))
         return pd.DataFrame([row])
     return reduce
 
@@ -114,19 +116,21 @@ def _sum_partials(keys, with_sum, divide=False):
 def _finish(reduced: DataFrame, keys: tuple, mean: bool, count_col: str | None) -> DataFrame:
     if not mean:
         return reduced.select(*keys, "values", F.col("_n").alias(count_col))
-    return reduced.select(*keys, "values", F.col("_w").alias("weight"))
+    return reduced.select(*keys, "values", F.col("_w").alias("weight"),
+                          *([F.col("_n").alias(count_col)] if count_col else []))
 
 
 def param_average(chunks: DataFrame, weight_col: str | None = None,
                   keys: tuple = ("param", "chunk"), fanin_col: str | None = None,
-                  fanin_workers: int = 1) -> DataFrame:
+                  fanin_workers: int = 1, max_col: str | None = None) -> DataFrame:
     """``param, chunk, values[, weight]`` averaged to ``param, chunk, values, weight``
     (``weight`` = summed weights). Binary values come back as float64 bytes.
     ``fanin_col`` holds ids 0..``fanin_workers``-1 that shape the reduction
     tree; without it one group takes every row of a chunk, so pass it
-    whenever the number of rows per chunk is not small by construction."""
+    whenever the number of rows per chunk is not small by construction.
+    ``max_col`` (binary values only) adds the largest of a whole-number column."""
     if _is_binary(chunks):
-        return _binary_reduce(chunks, weight_col, keys, True, fanin_col=fanin_col, fanin_workers=fanin_workers)
+        return _binary_reduce(chunks, weight_col, keys, True, max_col, fanin_col, fanin_workers)
     vec = array_to_vector(F.col("values"))
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     return (chunks.select(*keys, vec.alias("_v"), w.alias("_w"))

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from tessera.operators.sampling import range_row_number
 
 
-def label_vocab(df: DataFrame, label_col: str = "label", with_counts: bool = True) -> DataFrame:
+def label_vocab(df: DataFrame, label_col: str = "label", with_counts: bool = True,
+                path: str | None = None) -> DataFrame:
     """``label_idx INT, label STRING[, n_examples BIGINT]``.
 
     Distinct first (partial + final aggregate), then a distributed global
-    rank, so even a vocabulary with millions of names never sits in one task."""
+    rank, so even a vocabulary with millions of names never sits in one task.
+    ``path`` names the folder of the written names (default: a new scratch folder)."""
     agg = [F.count(F.lit(1)).alias("n_examples")] if with_counts else []
     labels = df.select(F.col(label_col).cast("string").alias("label")).filter(F.col("label").isNotNull())
     distinct = labels.groupBy("label").agg(*agg) if agg else labels.distinct()
-    ranked = range_row_number(distinct, ["label"], out="_rn")
+    ranked = range_row_number(distinct, ["label"], out="_rn", path=path)
     return ranked.select((F.col("_rn") - 1).cast("int").alias("label_idx"), "label",
                          *(["n_examples"] if with_counts else []))
 

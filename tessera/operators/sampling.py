@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 
 DEFAULT_SEED = 42
-# Path lists up to this size may be collected to the driver (image caps).
-TOPK_CAP_LIMIT = 100_000
 # 2**16 order-preserving buckets: the offsets table stays a small bounded
 # broadcast (about 2 MB). A bucket's window spills to disk when it outgrows
 # memory; for tables of many billions of rows raise this to spread them thinner.
@@ -100,19 +98,19 @@ def hash_row_number(df: DataFrame, key_col: str, tie_col: str, out: str = "rn",
 
 
 def range_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """1-based global row number for any total order (ties must not occur).
 
     Range-partitions, sorts inside partitions and tags each row with its
     partition-local index; the tagged frame is written to the checkpoint
-    folder first so both passes (counts, numbering) see the same placement."""
+    folder (or ``path``) first so both passes (counts, numbering) see the same placement."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = materialize(tagged, "rownum")
+    tagged = materialize(tagged, "rownum", path=path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"),
                                          F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

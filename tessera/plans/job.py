@@ -11,16 +11,18 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary
 from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import predict_named, score_batch
-from tessera.plans.models import NetSpec
+from tessera.plans.models import NetSpec, rule_warnings
 from tessera.plans.training import (ModelState, drop_training_rows, feature_bytes, new_model,
                                     prepare_training_rows, read_metrics, train_fit)
 from tessera.session import delete_path, materialize, scratch_path
@@ -57,6 +59,7 @@ class JobResult:
     sample: DataFrame
 
     cached: DataFrame | None = None
+    shared: Broadcast | None = None
     scratch: tuple = ()
 
     def release(self, delete_files: bool = False) -> None:
@@ -64,9 +67,13 @@ class JobResult:
 
         With ``delete_files`` also delete the job's scratch folders (the
         written examples and training rows -- at scale, a full copy of the
-        data). The result frames read those files lazily: only once done."""
+        data -- the vocabulary and the training metrics) and the broadcast
+        model. The result frames read those lazily: only once done."""
         if self.cached is not None:
             self.cached.unpersist()
+        if delete_files and self.shared is not None:
+            self.shared.destroy()
+            self.shared = None
         if delete_files:
             spark = self.report.sparkSession
             for p in self.scratch:
@@ -84,6 +91,8 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     if cfg.max_examples is not None:
         ex = sample_cap(ex, "id", cfg.max_examples, cfg.seed)
     if cfg.pack_tensors:
+        if isinstance(ex.schema["features"].dataType, T.ArrayType):
+            spec = replace(spec, packed="float32")
         ex = pack_tensors(ex, "features")
     scratch = []
     if cfg.materialize_examples:
@@ -92,10 +101,16 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
         # and the label-only passes read one column.
         scratch.append(scratch_path(spark, "examples"))
         ex = materialize(ex, "examples", path=scratch[-1])
-    # Undecodable images arrive with NULL features: counted in the report, left out.
-    n_invalid = ex.filter(F.col("features").isNull()).count()
-    ex = ex.filter(F.col("features").isNotNull())
-    vocab = label_vocab(ex, "label", with_counts=False)
+    # Undecodable images arrive with NULL features. They and rows without a label
+    # are counted in the report and left out.
+    bad = F.col("features").isNull()
+    left_out = ex.agg(F.count_if(bad).alias("invalid"), F.count_if(~bad & F.col("label").isNull()).alias("unlabelled")).first()
+    ex = ex.filter(~bad & F.col("label").isNotNull())
+    scratch.append(scratch_path(spark, "vocab"))
+    vocab = label_vocab(ex, "label", with_counts=False, path=scratch[-1])
+    n_labels, width = vocab.count(), spec.layers[-1].out
+    if n_labels > width:
+        raise ValueError(f"{n_labels} labels in the examples, but the model {spec.name!r} has {width} outputs")
     indexed = index_labels(ex, vocab, "label")
     # Positions by the window's own hash exchange: the training rows are
     # reshuffled by (round group, worker) for bucketing anyway, so a range
@@ -109,15 +124,17 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
                                  path=scratch[-1])
 
     t0 = time.time()
+    scratch.append(scratch_path(spark, "metrics"))
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,
-                                    run_id=cfg.run_id)
+                                    metrics_path=scratch[-1], run_id=cfg.run_id)
     train_ms = int((time.time() - t0) * 1000)
     drop_training_rows(spark, table_name)
 
     t0 = time.time()
     test_side = split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)
     test = test_side.select("id", F.col("label_idx").alias("actual"), "features")
-    pred = score_batch(test, spec, model.params, keep=["id", "actual"])
+    shared = spark.sparkContext.broadcast(model.params)  # one for both scoring passes
+    pred = score_batch(test, spec, model.params, keep=["id", "actual"], broadcast=shared)
     with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
     confusion = with_nll.select("actual", "predicted", "n")
     metrics = class_metrics(confusion, vocab)
@@ -127,10 +144,12 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     test_ms = int((time.time() - t0) * 1000)
     total_ms = int((time.time() - t_total) * 1000)
 
-    params = {k: str(v) for k, v in asdict(cfg).items()}
+    shape = dict(zip(("channels", "height", "width") if len(spec.input_shape) == 3 else ("inputs",), spec.input_shape))
+    params = {k: str(v) for k, v in {**asdict(cfg), **shape, "num_labels": n_labels, "iterations": spec.rules.iterations}.items()}
     report_row = {
         "run_id": cfg.run_id, "model": spec.name, "params": params,
-        "n_invalid": int(n_invalid), "n_test": int(s["n"] or 0), "accuracy": s["accuracy"],
+        "warnings": rule_warnings(spec),
+        "n_invalid": left_out["invalid"], "n_unlabelled": left_out["unlabelled"], "n_test": int(s["n"] or 0), "accuracy": s["accuracy"],
         "macro_precision": s["macro_precision"], "macro_recall": s["macro_recall"], "macro_f1": s["macro_f1"],
         "test_score": score,
         "train_ms": train_ms, "test_ms": test_ms, "total_ms": total_ms,
@@ -140,13 +159,14 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     report = spark.createDataFrame([report_row], REPORT_SCHEMA)
     # One example, as the local job prints it: the first test row in seeded order.
     first = test_side.orderBy("order_key", "id").limit(1).select("id", F.col("label_idx").alias("actual"), "features")
-    sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"]), vocab) \
+    sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"], broadcast=shared), vocab) \
         .select("id", "expected", "predicted_name")
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     read_metrics(spark, metrics_path), report, sample, with_nll, tuple(scratch))
+                     read_metrics(spark, metrics_path), report, sample, with_nll, shared, tuple(scratch))
 
 
-REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, n_invalid long, n_test long, "
+REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, warnings array<string>, "
+                 "n_invalid long, n_unlabelled long, n_test long, "
                  "accuracy double, macro_precision double, macro_recall double, macro_f1 double, test_score double, "
                  "train_ms long, test_ms long, total_ms long, train_time string, test_time string, "
                  "total_time string")

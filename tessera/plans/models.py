@@ -85,12 +85,14 @@ class NetSpec:
     seed: int = 42
     input_scale: float = 1.0       # applied to inputs in the closures (1/255 for 8-bit pixels)
     dtype: str = "float64"         # compute type in the closures; "float32" halves memory and BLAS time
+    packed: str = "float32"        # type of inputs that come as bytes: "float32" or "uint8"
 
     def with_input(self, channels, height, width):
         return replace(self, input_shape=(channels, height, width))
 
-    def with_scale(self, scale: float):
-        return replace(self, input_scale=scale)
+    def with_scale(self, scale: float, packed: str = "uint8"):
+        """Scaled inputs; byte inputs are 8-bit pixels unless ``packed`` says otherwise."""
+        return replace(self, input_scale=scale, packed=packed)
 
     def with_dtype(self, dtype: str):
         return replace(self, dtype=dtype)
@@ -98,21 +100,18 @@ class NetSpec:
 
 def batch_input(spec: NetSpec, values) -> np.ndarray:
     """Stack a column of examples into ``[N, *input_shape]`` doubles times
-    ``input_scale``. Examples are float arrays or packed bytes: 8-bit pixels
-    (one byte per value, the compact form for images) or float32 (four bytes
-    per value, see ``pack_float32``) -- told apart by length, as the shape is known."""
+    ``input_scale``. Examples are float arrays or packed bytes of the type
+    ``spec.packed``: 8-bit pixels (the compact form for images) or float32
+    (see ``pack_float32``). Bytes of any other length are an error."""
     vals = list(values)
     if not vals:
         return np.zeros((0, *spec.input_shape))
     if isinstance(vals[0], (bytes, bytearray, memoryview)):
-        n = int(np.prod(spec.input_shape))
-        raw = b"".join(bytes(v) for v in vals)
-        if len(raw) == n * len(vals):
-            x = np.frombuffer(raw, dtype=np.uint8).astype(np.float64)
-        elif len(raw) == 4 * n * len(vals):
-            x = np.frombuffer(raw, dtype=np.float32).astype(np.float64)
-        else:
-            raise ValueError(f"packed examples of {len(raw) // len(vals)} bytes do not fit shape {spec.input_shape}")
+        size = int(np.prod(spec.input_shape)) * np.dtype(spec.packed).itemsize
+        for v in vals:
+            if len(v) != size:
+                raise ValueError(f"a packed example of {len(v)} bytes is no {spec.packed} of shape {spec.input_shape}")
+        x = np.frombuffer(b"".join(bytes(v) for v in vals), dtype=spec.packed).astype(np.float64)
     else:
         x = np.stack(vals).astype(np.float64)
     x = x.reshape(len(vals), *spec.input_shape).astype(spec.dtype, copy=False)
@@ -178,16 +177,15 @@ def n_params(spec: NetSpec) -> int:
     return sum(int(np.prod(s)) for _, _, _, ps in layer_shapes(spec) for s in ps.values())
 
 
-def smallest_side(spec: NetSpec, upto: int = 512) -> int:
-    """Smallest square input side the net accepts."""
-    c = spec.input_shape[0]
-    for side in range(1, upto + 1):
-        try:
-            layer_shapes(spec.with_input(c, side, side))
-            return side
-        except ValueError:
-            continue
-    raise ValueError("no input side up to %d fits" % upto)
+def smallest_side(spec: NetSpec) -> int:
+    """Smallest square input side the net accepts: from a last side of 1 back
+    through every convolution and pooling layer."""
+    need = [1, 1]
+    for ly in reversed(spec.layers):
+        if isinstance(ly, (Conv, Pool)):
+            pad = ly.pad if isinstance(ly, Conv) else (0, 0)
+            need = [max(1, (n - 1) * s + k - 2 * p) for n, k, s, p in zip(need, ly.kernel, ly.stride, pad)]
+    return max(need)
 
 
 # ---- parameters ------------------------------------------------------------

@@ -108,45 +108,6 @@ SELECT k, CAST(i AS INTEGER) AS i, round(value, 6) AS value FROM b"""
 PIXELS = f"""{X},
 px AS (SELECT vec_id, label, i, least(greatest(floor((v + 1) * 127.5 + 0.5), 0), 255) AS p FROM x)"""
 
-# Per-layer output shapes and parameter counts of the three
-# presets at 100x100x3 input and 3 classes.
-PRESET_LAYERS = """
-('LeNet', 0, 'cnn1', 'conv', 50, 96, 96, 3800),
-('LeNet', 1, 'maxpool1', 'pool', 50, 48, 48, 0),
-('LeNet', 2, 'cnn2', 'conv', 100, 10, 10, 125100),
-('LeNet', 3, 'maxool2', 'pool', 100, 5, 5, 0),
-('LeNet', 4, 'dense', 'dense', 500, 1, 1, 1250500),
-('LeNet', 5, 'output', 'output', 3, 1, 1, 1503),
-('AlexNet', 0, 'cnn1', 'conv', 96, 24, 24, 34944),
-('AlexNet', 1, 'lrn1', 'lrn', 96, 24, 24, 0),
-('AlexNet', 2, 'maxpool1', 'pool', 96, 11, 11, 0),
-('AlexNet', 3, 'cnn2', 'conv', 256, 11, 11, 614656),
-('AlexNet', 4, 'lrn2', 'lrn', 256, 11, 11, 0),
-('AlexNet', 5, 'maxpool2', 'pool', 256, 5, 5, 0),
-('AlexNet', 6, 'cnn3', 'conv', 384, 5, 5, 885120),
-('AlexNet', 7, 'cnn4', 'conv', 384, 5, 5, 1327488),
-('AlexNet', 8, 'cnn5', 'conv', 256, 5, 5, 884992),
-('AlexNet', 9, 'maxpool3', 'pool', 256, 2, 2, 0),
-('AlexNet', 10, 'ffn1', 'dense', 4096, 1, 1, 4198400),
-('AlexNet', 11, 'ffn2', 'dense', 4096, 1, 1, 16781312),
-('AlexNet', 12, 'output', 'output', 3, 1, 1, 12291),
-('VGGNet', 0, 'cnn1', 'conv', 64, 100, 100, 1792),
-('VGGNet', 1, 'maxpool1', 'pool', 64, 50, 50, 0),
-('VGGNet', 2, 'cnn2', 'conv', 128, 50, 50, 73856),
-('VGGNet', 3, 'maxpool2', 'pool', 128, 25, 25, 0),
-('VGGNet', 4, 'cnn3', 'conv', 256, 25, 25, 295168),
-('VGGNet', 5, 'cnn4', 'conv', 256, 25, 25, 590080),
-('VGGNet', 6, 'maxpool3', 'pool', 256, 12, 12, 0),
-('VGGNet', 7, 'cnn5', 'conv', 512, 12, 12, 1180160),
-('VGGNet', 8, 'cnn6', 'conv', 512, 12, 12, 2359808),
-('VGGNet', 9, 'maxpool4', 'pool', 512, 6, 6, 0),
-('VGGNet', 10, 'cnn7', 'conv', 512, 6, 6, 2359808),
-('VGGNet', 11, 'cnn8', 'conv', 512, 6, 6, 2359808),
-('VGGNet', 12, 'maxpool5', 'pool', 512, 3, 3, 0),
-('VGGNet', 13, 'ffn1', 'dense', 4096, 1, 1, 18878464),
-('VGGNet', 14, 'ffn2', 'dense', 4096, 1, 1, 16781312),
-('VGGNet', 15, 'output', 'output', 3, 1, 1, 12291)"""
-
 ORACLES = {
     "tensor_scan": """
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_values,
@@ -262,19 +223,6 @@ FROM px GROUP BY vec_id, label""",
 SELECT vec_id, CAST(i // 8 // 2 AS INTEGER) AS y, CAST(i % 8 // 2 AS INTEGER) AS x, round(avg(p) / 255, 6) AS value
 FROM px GROUP BY vec_id, i // 8 // 2, i % 8 // 2""",
 
-    "model_summary": f"""WITH sd AS (SELECT CAST(sqrt(max(len(embedding))) AS INTEGER) AS s FROM embeddings),
-tiny AS (
-  SELECT 'TinyCNN' AS model, 0 AS layer, 'cnn1' AS name, 'conv' AS kind, 8 AS out_c, s AS out_h, s AS out_w,
-         8 * 9 + 8 AS params FROM sd
-  UNION ALL SELECT 'TinyCNN', 1, 'maxpool1', 'pool', 8, s // 2, s // 2, 0 FROM sd
-  UNION ALL SELECT 'TinyCNN', 2, 'dense', 'dense', 32, 1, 1, 8 * (s // 2) * (s // 2) * 32 + 32 FROM sd
-  UNION ALL SELECT 'TinyCNN', 3, 'output', 'output', 10, 1, 1, 32 * 10 + 10 FROM sd),
-presets AS (SELECT * FROM (VALUES {PRESET_LAYERS}) t(model, layer, name, kind, out_c, out_h, out_w, params)),
-allrows AS (SELECT * FROM tiny UNION ALL SELECT * FROM presets)
-SELECT model, CAST(layer AS INTEGER) AS layer, name, kind, CAST(out_c AS INTEGER) AS out_c,
-       CAST(out_h AS INTEGER) AS out_h, CAST(out_w AS INTEGER) AS out_w, CAST(params AS BIGINT) AS params
-FROM allrows""",
-
     "train_step": CLOSED_FORM,
 
     "train_round": CLOSED_FORM,

@@ -371,21 +371,6 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "param string, n_values int, max_abs_diff double")
 
 
-def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shape walk of the conv net with its input inferred from the tensor
-    table (side = sqrt of the vector length), and of the three presets at the
-    original 100x100x3 input for comparison."""
-    from tessera.plans.models import PRESETS, model_summary_rows, preset
-    n = table(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding"))).first()[0] or 0
-    side = int(math.isqrt(int(n)))
-    if side * side != n or side < 1:
-        raise ValueError(f"tensor length {n} is not a square image")
-    specs = [tiny_cnn().with_input(1, side, side)] + [preset(p) for p in PRESETS]
-    rows = [r for sp in specs for r in model_summary_rows(sp)]
-    return spark.createDataFrame(rows, "model string, layer int, name string, kind string, out_c int, "
-                                       "out_h int, out_w int, params long")
-
-
 def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original local job's shape on an image folder: Spark writes the
     tensor table as PNGs, reads and resizes them to LeNet's smallest input
@@ -486,6 +471,5 @@ QUERIES = {
     "training_metrics": training_metrics,
     "model_roundtrip": model_roundtrip,
     "run_report": run_report,
-    "model_summary": model_summary,
     "image_job": image_job,
 }

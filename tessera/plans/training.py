@@ -169,7 +169,7 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
 
 # Chunks travel as raw float64 bytes: several times cheaper across the
 # Python/JVM boundary than ARRAY<DOUBLE> at model sizes.
-ROUND_SCHEMA = "worker int, param string, chunk int, values binary, value_bytes int, examples long"
+ROUND_SCHEMA = "worker int, param string, chunk int, values binary, value_bytes int, examples long, step long"
 METRICS_PREFIX = "__metrics__/"
 METRIC_FIELDS = 4  # batch, examples, score, step
 METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long, examples long, "
@@ -177,9 +177,6 @@ METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long,
 METRICS_FLUSH_ROWS = 100_000  # driver-side buffer bound before an append to the sink
 
 
-STEP_KEY = "__step__"
-
-
 def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int,
             emit_metrics: bool = True):
     def fit(key, pdf):
@@ -198,17 +195,14 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
             metrics += [float(batch_id), float(len(y)), score, float(model.step)]
         # Parameters ship in the compute type (float32 halves the round's shuffle).
         wire = np.dtype(spec.dtype)
-        out = [(worker, name, c, vals.astype(wire).tobytes(), wire.itemsize, examples)
+        out = [(worker, name, c, vals.astype(wire).tobytes(), wire.itemsize, examples, model.step)
                for name, c, vals in to_chunk_rows({**model.params, **model.state})]
         if emit_metrics:
             # A worker's metrics travel as one more chunk under a key of its own:
             # the mean over one row is the row, so the average passes it through.
             out.append((worker, f"{METRICS_PREFIX}{worker}", 0, np.array(metrics, dtype=np.float64).tobytes(), 8,
-                        examples))
-        else:
-            # Only the step, under one shared key: no per-worker rows reach the driver.
-            out.append((worker, STEP_KEY, 0, np.array([float(model.step)]).tobytes(), 8, examples))
-        return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "value_bytes", "examples"])
+                        examples, model.step))
+        return pd.DataFrame(out, columns=["worker", "param", "chunk", "values", "value_bytes", "examples", "step"])
     return fit
 
 
@@ -232,15 +226,13 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
                .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_, with_metrics),
                               ROUND_SCHEMA))
         averaged = param_average(out, weight_col="examples" if weighted else None, fanin_col="worker",
-                                 fanin_workers=workers or 1)
+                                 fanin_workers=workers or 1, max_col="step")
         collected = collect_arrow(averaged).to_dict("records")  # model-sized
     finally:
         bc.destroy()
-    chunks, metrics, mean_step = [], [], None
+    chunks, metrics = [], []
     for r in collected:
-        if r["param"] == STEP_KEY:
-            mean_step = int(round(float(_as_array(r["values"])[0])))
-        elif r["param"].startswith(METRICS_PREFIX):
+        if r["param"].startswith(METRICS_PREFIX):
             worker = int(r["param"][len(METRICS_PREFIX):])
             v = _as_array(r["values"])
             for j in range(0, len(v), METRIC_FIELDS):
@@ -250,8 +242,7 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
             chunks.append((r["param"], r["chunk"], r["values"]))
     if chunks:
         new = model_from_chunks(spec, chunks)
-        # The step is the maximum over workers; without metrics, their mean.
-        new.step = max(m[7] for m in metrics) if metrics else (mean_step or model.step)
+        new.step = int(max(r["step"] for r in collected))  # the maximum over workers
     else:  # no rows in this round: the model is unchanged
         new = model
     return (new, metrics) if with_metrics else new
@@ -282,12 +273,13 @@ def worker_keys(spark, workers: int) -> dict:
     worker ids collide (for 0..3 into 4 buckets only two are used), which
     would idle tasks. Bucketing by these keys gives every worker its own
     bucket. One small job; the result has ``workers`` rows."""
-    found = (spark.range(workers * 64)
-             .select(F.col("id").alias("k"), F.pmod(F.hash(F.col("id")), F.lit(workers)).alias("b"))
-             .groupBy("b").agg(F.min("k").alias("k")).collect())
-    keys = {int(r.b): int(r.k) for r in found}
-    if len(keys) < workers:
-        raise RuntimeError("no bucket key found for some workers")
+    span, keys = workers * 64, {}
+    while len(keys) < workers:  # one pass in all but freak cases
+        found = (spark.range(span)
+                 .select(F.col("id").alias("k"), F.pmod(F.hash(F.col("id")), F.lit(workers)).alias("b"))
+                 .groupBy("b").agg(F.min("k").alias("k")).collect())
+        keys = {int(r.b): int(r.k) for r in found}
+        span *= 2
     return keys
 
 

@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import file_stem, parent_name
-from tessera.operators.sampling import TOPK_CAP_LIMIT, sample_cap
+from tessera.operators.sampling import hash_row_number, seeded_key
+
+
+def _scan(spark: SparkSession, source: str, root: str, glob: str) -> DataFrame:
+    return (spark.read.format(source)
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", glob)
+            .load(root))
 
 
 def read_images(spark: SparkSession, root: str, glob: str = "*.jpg", drop_invalid: bool = False) -> DataFrame:
@@ -50,24 +57,23 @@ def _image_columns(df: DataFrame) -> DataFrame:
 
 def list_images(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFrame:
     """Paths only (``binaryFile`` with ``content`` pruned: no bytes are read)."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob)
-            .load(root)
+    return (_scan(spark, "binaryFile", root, glob)
             .select(canonical_path(F.col("path")).alias("path"),
                     parent_name(F.col("path"), strip_tail=False).alias("label")))
 
 
 def read_capped(spark: SparkSession, root: str, max_examples: int, seed: int = 42,
                 glob: str = "*.jpg") -> DataFrame:
-    """At most ``max_examples`` random images, chosen on paths before decoding."""
-    chosen = sample_cap(list_images(spark, root, glob), "path", max_examples, seed).select("path")
-    if max_examples <= TOPK_CAP_LIMIT:
-        paths = [r.path for r in chosen.collect()]  # bounded by the cap
-        if not paths:
-            return read_images(spark, root, glob).limit(0)
-        return _image_columns(spark.read.format("image").load(paths))
-    return read_images(spark, root, glob).join(chosen, "path", "left_semi")
+    """At most ``max_examples`` random images, chosen on paths before decoding.
+
+    One plan at every size: the cap's last order key is found on the paths alone and the
+    image scan is filtered by it on ``_metadata.file_path``, so Spark prunes whole files
+    and opens only the chosen ones. One key comes to the driver, whatever the cap."""
+    key = seeded_key(F.col("_metadata.file_path"), seed)
+    keys = _scan(spark, "binaryFile", root, glob).select(key.alias("_key"))
+    first = hash_row_number(keys, "_key", "_key", out="_rn", total_col=None, max_rn=max_examples)
+    last = first.agg(F.max("_key")).first()[0]
+    return _image_columns(_scan(spark, "image", root, glob).filter(key <= F.lit(last or "")))
 
 
 # ---- resize and tensor layout ----------------------------------------------

@@ -55,7 +55,7 @@ def pack_tensors(df: DataFrame, col: str = "features") -> DataFrame:
     """Numeric-array column -> flat float32 ``BINARY`` (4 bytes per value).
 
     Parquet writes and reads flat binary far faster than nested arrays, and
-    rows shrink; the closures unpack by length (``NetSpec`` knows the shape).
+    rows shrink; the closures unpack by ``NetSpec.packed``.
     Arrow-native per batch (``mapInArrow``): no per-row Python objects."""
     if not isinstance(df.schema[col].dataType, T.ArrayType):
         return df

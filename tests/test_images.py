@@ -98,8 +98,8 @@ def test_lenet_job_on_image_folder(spark, folder):
     assert len(one) == 1 and one[0].expected in ("cat", "dog", "emu") and one[0].predicted_name is not None
     from tessera.plans.report import report_text
     text = report_text(res)
-    assert "0: cat" in text and "Accuracy:" in text and "For a single example that is labeled" in text
-    assert "Examples labeled as" in text
+    assert "0 = cat" in text and "accuracy" in text and "sample: expected" in text
+    assert " -> " in text
 
 
 def test_byte_tensors_equal_scaled_floats(spark, folder):
@@ -115,13 +115,26 @@ def test_byte_tensors_equal_scaled_floats(spark, folder):
     assert np.abs(xb - xf).max() <= 0.5 / 255 + 1e-9  # 8-bit rounding only
 
 
-def test_cap_above_path_limit_uses_semi_join(spark, folder, monkeypatch):
-    import tessera.sources.images as I
-    monkeypatch.setattr(I, "TOPK_CAP_LIMIT", 3)
-    capped = I.read_capped(spark, folder, 7)
-    assert capped.count() == 7
-    small = {r.path for r in read_capped(spark, folder, 7).collect()}
-    assert {r.path for r in capped.collect()} == small  # same seeded choice either way
+def test_cap_of_any_size_with_odd_file_names(spark, tmp_path):
+    """Glob characters, spaces and percent signs in names; caps below and above the folder."""
+    for cls, form in (("a", "x[{}].png"), ("b b", "y*{} z.png"), ("c%20", "100%{}.png")):
+        os.makedirs(tmp_path / cls)
+        for j in range(10):
+            (tmp_path / cls / form.format(j)).write_bytes(png_bytes(np.full((2, 2), j)))
+    root = str(tmp_path)
+    everything = {r.path for r in read_images(spark, root, "*.png").collect()}
+    assert len(everything) == 30
+    capped = {n: {r.path for r in read_capped(spark, root, n, glob="*.png").collect()} for n in (0, 7, 20, 200_000)}
+    assert [len(capped[n]) for n in (0, 7, 20, 200_000)] == [0, 7, 20, 30]
+    assert capped[7] < capped[20] < everything == capped[200_000]  # a larger cap only adds
+
+
+def test_cap_opens_only_the_chosen_files(spark, folder):
+    for n in (7, 20):
+        df = read_capped(spark, folder, n)
+        assert len(df.collect()) == n
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numFiles").value() == n
 
 
 def test_job_reports_and_skips_invalid_images(spark, folder):
@@ -135,7 +148,7 @@ def test_job_reports_and_skips_invalid_images(spark, folder):
     assert rep.n_invalid == 1 and rep.n_test == round(30 * 0.2)
     import os
     local = [p.replace("file:", "", 1) for p in res.scratch]
-    assert len(local) == 2 and all(os.path.isdir(p) for p in local)
+    assert len(local) == 4 and all(os.path.isdir(p) for p in local)
     res.release(delete_files=True)
     assert not any(os.path.exists(p) for p in local)
 
@@ -149,7 +162,7 @@ def test_command_line_runner(spark, folder, capsys):
     cli.main(["--dir-path", folder, "--model-type", "LeNet", "--height", "20", "--width", "20",
               "--epochs", "1", "--batch-size-per-worker", "6", "--max-examples", "24"])
     out = capsys.readouterr().out
-    assert "modelType: LeNet" in out and "0: cat" in out and "Accuracy:" in out
+    assert "model = LeNet" in out and "0 = cat" in out and "accuracy" in out
 
 
 def test_alexnet_job_runs_end_to_end(spark, folder):

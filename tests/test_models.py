@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from tessera.plans.models import model_summary_rows, n_params, preset, smallest_side
@@ -66,3 +67,58 @@ def test_float32_survives_a_training_step_with_dropout():
     train_batch(spec, m, x, np.array([0, 2]), np.random.default_rng(1))
     assert {v.dtype for v in m.params.values()} == {np.dtype("float32")}
     assert {v.dtype for v in m.state.values()} == {np.dtype("float32")}
+
+
+# Per-layer output shapes and parameter counts of the three
+# presets at 100x100x3 input and 3 classes (floor division).
+PRESET_LAYERS = [
+('LeNet', 0, 'cnn1', 'conv', 50, 96, 96, 3800),
+('LeNet', 1, 'maxpool1', 'pool', 50, 48, 48, 0),
+('LeNet', 2, 'cnn2', 'conv', 100, 10, 10, 125100),
+('LeNet', 3, 'maxool2', 'pool', 100, 5, 5, 0),
+('LeNet', 4, 'dense', 'dense', 500, 1, 1, 1250500),
+('LeNet', 5, 'output', 'output', 3, 1, 1, 1503),
+('AlexNet', 0, 'cnn1', 'conv', 96, 24, 24, 34944),
+('AlexNet', 1, 'lrn1', 'lrn', 96, 24, 24, 0),
+('AlexNet', 2, 'maxpool1', 'pool', 96, 11, 11, 0),
+('AlexNet', 3, 'cnn2', 'conv', 256, 11, 11, 614656),
+('AlexNet', 4, 'lrn2', 'lrn', 256, 11, 11, 0),
+('AlexNet', 5, 'maxpool2', 'pool', 256, 5, 5, 0),
+('AlexNet', 6, 'cnn3', 'conv', 384, 5, 5, 885120),
+('AlexNet', 7, 'cnn4', 'conv', 384, 5, 5, 1327488),
+('AlexNet', 8, 'cnn5', 'conv', 256, 5, 5, 884992),
+('AlexNet', 9, 'maxpool3', 'pool', 256, 2, 2, 0),
+('AlexNet', 10, 'ffn1', 'dense', 4096, 1, 1, 4198400),
+('AlexNet', 11, 'ffn2', 'dense', 4096, 1, 1, 16781312),
+('AlexNet', 12, 'output', 'output', 3, 1, 1, 12291),
+('VGGNet', 0, 'cnn1', 'conv', 64, 100, 100, 1792),
+('VGGNet', 1, 'maxpool1', 'pool', 64, 50, 50, 0),
+('VGGNet', 2, 'cnn2', 'conv', 128, 50, 50, 73856),
+('VGGNet', 3, 'maxpool2', 'pool', 128, 25, 25, 0),
+('VGGNet', 4, 'cnn3', 'conv', 256, 25, 25, 295168),
+('VGGNet', 5, 'cnn4', 'conv', 256, 25, 25, 590080),
+('VGGNet', 6, 'maxpool3', 'pool', 256, 12, 12, 0),
+('VGGNet', 7, 'cnn5', 'conv', 512, 12, 12, 1180160),
+('VGGNet', 8, 'cnn6', 'conv', 512, 12, 12, 2359808),
+('VGGNet', 9, 'maxpool4', 'pool', 512, 6, 6, 0),
+('VGGNet', 10, 'cnn7', 'conv', 512, 6, 6, 2359808),
+('VGGNet', 11, 'cnn8', 'conv', 512, 6, 6, 2359808),
+('VGGNet', 12, 'maxpool5', 'pool', 512, 3, 3, 0),
+('VGGNet', 13, 'ffn1', 'dense', 4096, 1, 1, 18878464),
+('VGGNet', 14, 'ffn2', 'dense', 4096, 1, 1, 16781312),
+('VGGNet', 15, 'output', 'output', 3, 1, 1, 12291),
+]
+
+
+def test_shape_walk_of_the_presets():
+    got = [r for name in ("LeNet", "AlexNet", "VGGNet") for r in model_summary_rows(preset(name))]
+    assert got == PRESET_LAYERS
+
+
+def test_packed_inputs_have_the_type_the_spec_names():
+    from tessera.plans.models import batch_input, small_dense_net
+    quarter = np.zeros(4, np.float32).tobytes()  # 16 bytes: four floats, or sixteen pixels
+    assert batch_input(small_dense_net(4, 2), [quarter]).shape == (1, 4)
+    with pytest.raises(ValueError, match="packed example"):
+        batch_input(small_dense_net(16, 2), [quarter])
+    assert batch_input(small_dense_net(16, 2).with_scale(1 / 255), [quarter]).shape == (1, 16)

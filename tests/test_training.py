@@ -271,3 +271,36 @@ def test_job_evaluation_equals_a_brute_force_confusion(spark):
     got = {(r.actual, r.predicted): r.n for r in res.confusion.collect()}
     assert got == dict(expect)
     res.release(delete_files=True)
+
+
+@pytest.mark.parametrize("workers", [3, 130])
+def test_step_is_the_maximum_with_and_without_metrics(spark, workers):
+    """Workers with different numbers of batches; 130 workers also take the averaging tree."""
+    from tessera.operators.batching import batch_assign
+    df = _separable(spark, n_per=47, dim=4)  # 141 rows: one worker has an extra batch
+    spec = small_dense_net(4, 3)
+    rows = batch_assign(split_exact(df, "id", 1.0), "split_rn", 1 if workers == 130 else 20, workers, 4)
+    rows = rows.filter("round = 0")
+    most = rows.groupBy("worker").agg(F.countDistinct("batch_id").alias("n")).agg(F.max("n"), F.min("n")).first()
+    assert most[0] > most[1]
+    plain = run_round(spec, new_model(spec), rows, workers=workers)
+    told, _ = run_round(spec, new_model(spec), rows, workers=workers, with_metrics=True)
+    assert plain.step == told.step == most[0]
+
+
+def test_job_checks_labels_first_and_reports_rows_without_one(spark):
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.plans.models import Rules
+    df = _separable(spark, n_per=20, dim=4).withColumn("label", F.col("label_idx").cast("string"))
+    cfg = JobConfig(epochs=1, batch_size=8, workers=2, averaging_frequency=1)
+    with pytest.raises(ValueError, match="3 labels"):
+        run_job(spark, df, small_dense_net(4, 2), cfg)
+    some = df.withColumn("label", F.when(F.col("id") % 10 == 0, None).otherwise(F.col("label")))
+    n_null = some.filter("label IS NULL").count()
+    spec = NetSpec("sr", (4,), (Output("output", 3),), Rules(momentum=0.5))
+    res = run_job(spark, some, spec, cfg)
+    rep = res.report.first()
+    assert n_null and rep.n_unlabelled == n_null and rep.n_invalid == 0 and rep.n_test == round(0.2 * (60 - n_null))
+    assert rep.params["num_labels"] == "3" and rep.params["inputs"] == "4" and rep.params["iterations"] == "1"
+    assert len(rep.warnings) == 1 and "momentum" in rep.warnings[0]
+    res.release(delete_files=True)
