@@ -82,16 +82,17 @@ def count_rows(df: DataFrame) -> int:
     return df.count()
 
 
-def keep_rows(docs: DataFrame, keepers: DataFrame, tagged: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``tagged`` (``docs`` plus ``key`` columns) whose key is in
-    ``keepers``, one row per key, with the columns of ``docs``. ``keepers``
-    has one row per key and says in ``n_tied`` how many rows share it; only
-    rows of tied keys are deduplicated."""
+def keep_rows(docs: DataFrame, keepers: DataFrame, key: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` (name -> expression over ``docs``) is in
+    ``keepers``, one row per key. ``keepers`` has one row per key, with columns of
+    those names, and says in ``n_tied`` how many rows share it; only rows of tied
+    keys are deduplicated. ``docs`` may have any column names: its rows travel packed."""
+    tagged = docs.select(F.struct("*").alias("_row"), *[c.alias(k) for k, c in key.items()])
     right = keepers.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("n_tied").alias("_tied"))
     cond = F.lit(True)
     for k in key:
         cond = cond & tagged[k].eqNullSafe(right[f"_k_{k}"])
     kept = tagged.join(right, cond, "inner")
-    once = kept.filter(F.col("_tied") == 1).select(*docs.columns)
-    tied = kept.filter(F.col("_tied") > 1).dropDuplicates([f"_k_{k}" for k in key]).select(*docs.columns)
-    return once.unionByName(tied)
+    once = kept.filter(F.col("_tied") == 1).select("_row")
+    tied = kept.filter(F.col("_tied") > 1).dropDuplicates([f"_k_{k}" for k in key]).select("_row")
+    return once.unionByName(tied).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

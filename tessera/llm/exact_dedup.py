@@ -121,5 +121,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw)
     tied = groups.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     keepers = tied.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
         F.count(F.lit(1)).alias("n_tied"))
-    tagged = docs.select("*", F.col(id_col).alias("_id"), F.sha2(_normalised(docs, text_col), 256).alias("_sha"))
-    return keep_rows(docs, keepers, tagged, ["_id", "_sha"])
+    return keep_rows(docs, keepers, {"_id": docs[id_col], "_sha": F.sha2(_normalised(docs, text_col), 256)})

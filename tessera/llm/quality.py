@@ -169,7 +169,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     half = [clean.filter(F.col("label") == y).orderBy(seeded_key("doc_id"), "doc_id").limit(max_docs // 2) for y in (0, 1)]
     chosen = half[0].unionByName(half[1]).select("doc_id", "label")
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(docs[text_col]).cast("binary").alias("raw"))
-            .filter(F.octet_length("raw") <= MAX_TRAIN_BYTES).join(F.broadcast(chosen), "doc_id"))
+            .filter(F.octet_length("raw") <= MAX_TRAIN_BYTES).join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "label").agg(F.max("raw").alias("raw")))  # one text an id, however many rows share it
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [pdf for pdf in batches if len(pdf)]

@@ -69,7 +69,8 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int) -> DataFrame:
+def fingerprints(docs: DataFrame, text_col: str, shingle: int, seed: int) -> DataFrame:
+    """``docs`` plus the fingerprint of ``text_col`` in ``_fp`` (long)."""
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -186,22 +187,27 @@ def components(edges: DataFrame) -> DataFrame:
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
-    """Per input row: doc_id, fp (long), component_id, n (rows of this fingerprint)."""
-    fps = written(fingerprints(docs.select(F.col(id_col).alias("doc_id"), text_of(docs[text_col]).alias("text")),
-                               "doc_id", "text", shingle, seed)
-                  .select("doc_id", F.col("_fp").alias("fp")), "fingerprints")
+def _grouped(keyed: DataFrame, shingle: int, max_bits: int, seed: int) -> DataFrame:
+    """``keyed`` (text and any other columns, one of them doc_id) without its text, plus fp,
+    component_id, n (rows of this fingerprint) and root (smallest fingerprint of the component)."""
+    fps = written(fingerprints(keyed, "text", shingle, seed).withColumnRenamed("_fp", "fp").drop("text"), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min(F.struct("doc_id")).alias("low"), F.count(F.lit(1)).alias("n")),
                        "distinct")
-    roots = written(components(link_forest(distinct.select("fp"))), "roots")
+    roots = written(components(link_forest(distinct.select("fp"), max_bits)), "roots")
     member = written(distinct.join(roots, distinct["fp"] == roots["node"], "left")
                      .select("fp", "low", "n", F.coalesce("root", "fp").alias("root")), "member")
     named = member.groupBy("root").agg(F.min("low").alias("first"), F.count(F.lit(1)).alias("size")).alias("c")
     named = written(named, "components")
     label = written(attach_by_key(member, named, ["root"], count_rows(member), "size")
-                    .select("fp", "n", F.col("first.doc_id").alias("component_id")), "labels")
-    return attach_by_key(fps, label, ["fp"], count_rows(fps)).select("doc_id", "fp", "component_id", "n")
+                    .select("fp", "n", "root", F.col("first.doc_id").alias("component_id")), "labels")
+    return attach_by_key(fps, label, ["fp"], count_rows(fps))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
+    """Per input row: doc_id, fp (long), component_id, n (rows of this fingerprint)."""
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text_of(docs[text_col]).alias("text"))
+    return _grouped(keyed, shingle, max_bits, seed).select("doc_id", "fp", "component_id", "n")
 
 
 def hex_fingerprint(c: str) -> Column:
@@ -209,11 +215,15 @@ def hex_fingerprint(c: str) -> Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one row of each group: the row that names its component."""
-    groups = near_duplicates(docs, id_col, text_col, **kw)
-    # Rows that tie on the smallest doc_id differ at most in text: keep one.
-    keepers = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-               .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n_tied")))
-    tagged = docs.select("*", F.col(id_col).alias("_id"))
-    return keep_rows(docs, keepers, tagged, ["_id"])
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+          max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
+    """``docs`` with one row of each group: of the rows with its smallest doc_id the one
+    whose text has the smallest SHA-256. Groups that share a doc_id (repeated or NULL
+    ids) keep a row each."""
+    digest = F.sha2(text_of(docs[text_col]), 256)
+    keyed = docs.select(F.col(id_col).alias("doc_id"), digest.alias("sha"), text_of(docs[text_col]).alias("text"))
+    first = _grouped(keyed, shingle, max_bits, seed).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    same = first.groupBy("root", "doc_id", "sha").agg(F.count(F.lit(1)).alias("n_tied"))
+    keepers = (same.groupBy("root").agg(F.min(F.struct("sha", "doc_id", "n_tied")).alias("k"))
+               .select(F.col("k.doc_id").alias("_id"), F.col("k.sha").alias("_sha"), F.col("k.n_tied").alias("n_tied")))
+    return keep_rows(docs, keepers, {"_id": docs[id_col], "_sha": digest})

@@ -26,8 +26,8 @@ texts, so no document is shuffled. A word's length is not limited, texts are rea
 whole.
 
 Defined cases: NULL text counts as empty; labels that are NULL or repeated with a
-conflict are left out; without usable labels every score is 0; a tie at the k-th
-place goes to the lower example number (examples are sorted by md5 key).
+conflict are left out; rows that share a labelled doc_id are one example, each word with
+its largest count; without usable labels every score is 0; a tie at the k-th place goes to the lower example number (examples are sorted by md5 key).
 """
 
 from __future__ import annotations
@@ -227,8 +227,10 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                  .orderBy(F.desc("chi2"), "word").limit(max_terms).select("word").collect()]
     idf = _corpus_idf(own, terms)
     kept = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "word string")), "word")
+    # Rows that share an id are one example: at most max_terms words, however many rows.
+    per_doc = kept.groupBy("doc_id", "word").agg(F.max("n").alias("n")).groupBy("doc_id")
     ex = (counts.select("doc_id", "label").distinct()
-          .join(kept.groupBy("doc_id").agg(F.collect_list(F.struct("word", "n")).alias("tf")), "doc_id", "left")
+          .join(per_doc.agg(F.collect_list(F.struct("word", "n")).alias("tf")), "doc_id", "left")
           .orderBy(seeded_key("doc_id"), "doc_id").collect())  # at most max_examples rows
     return _build([(r["doc_id"], r["label"], [(x["word"], x["n"]) for x in r["tf"] or []]) for r in ex], terms, idf, k)
 

@@ -72,6 +72,19 @@ def test_simhash_fingerprints(docs):
     assert kept.columns == docs.columns and len({brute_fingerprint(r.text) for r in kept.collect()}) == kept.count()
 
 
+def test_simhash_dedup_keeps_a_row_of_each_group_when_ids_repeat(spark):
+    """Unrelated texts under one id or under none are groups of their own."""
+    texts = [" ".join(f"w{g}x{i}" for i in range(60)) for g in range(4)]
+    got = spark.createDataFrame(
+        [(7, texts[0], "a"), (7, texts[1], "b"), (None, texts[2], "c"), (None, texts[3], "d"),
+         (7, texts[0], "e"), (None, texts[2], None), (9, texts[1], "f"), (9, None, "g"), (None, "", "h")],
+        "doc_id long, text string, _sha string")
+    kept = simhash.dedup(got)
+    assert kept.columns == got.columns and exact_dedup.dedup(got).count() == 5
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted(
+        [("7", texts[0]), ("7", texts[1]), ("None", texts[2]), ("None", texts[3]), ("None", "")])
+
+
 def test_link_components_equal_all_pairs(spark):
     r = np.random.default_rng(1)
     fps = list(r.integers(0, 1 << 63, 60, dtype=np.uint64))
@@ -225,6 +238,18 @@ def test_learned_scores(spark, docs):
     assert all(0 <= s <= 1 for s in scores)
 
 
+def test_repeated_labelled_ids_are_one_example(spark):
+    """Rows under one labelled id never meet as a group that grows with them."""
+    rows_ = [(i, ("filthy rude insult " if i % 2 else "calm kind garden ") * 3 + f"t{i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, label int")
+    once = spark.createDataFrame(rows_, "doc_id long, text string")
+    many = once.unionByName(once.filter("doc_id = 1").withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("c"))
+    a, b = (toxicity.fit(d, labels, min_chi2=5.0) for d in (once, many))
+    assert list(a.example_ids) == list(b.example_ids) and list(a.terms) == list(b.terms)
+    p, q = (quality.fit(d, labels, max_docs=20) for d in (once, many))
+    assert all(np.array_equal(p[k], q[k]) for k in p)
+
+
 def test_block_max_search_is_exact():
     r = np.random.default_rng(3)
     terms = [f"t{i}" for i in range(40)]
