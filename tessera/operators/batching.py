@@ -8,10 +8,25 @@ round ``r`` gives worker ``w`` the batches ``b`` with ``b % W == w`` and
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Averaging rounds an epoch should take at most: more rows get more workers, not more rounds.
+TARGET_ROUNDS = 20
+MIN_WORKERS = 2
+MAX_WORKERS = 100_000  # Spark's limit on the buckets of a table
+
+
+def worker_count(n_rows: int, batch_size: int, averaging_frequency: int, target_rounds: int = TARGET_ROUNDS) -> int:
+    """Workers for ``n_rows`` training rows: an epoch takes about ``target_rounds``
+    rounds whatever the number of rows, so parallelism grows with the data."""
+    batches = math.ceil(n_rows / batch_size)
+    return min(MAX_WORKERS, max(MIN_WORKERS, math.ceil(batches / (averaging_frequency * target_rounds))))
+
+
 def batch_assign(df: DataFrame, rn_col: str, batch_size: int, workers: int = 1,
                  averaging_frequency: int = 1) -> DataFrame:
     """Adds ``batch_id``, ``pos`` (row in batch), ``worker`` and ``round`` from

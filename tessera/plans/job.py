@@ -9,6 +9,7 @@ examples (id, label, features)
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from dataclasses import asdict, dataclass, replace
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.batching import worker_count
 from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_summary
 from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
@@ -33,7 +35,7 @@ from tessera.sources.tensors import pack_tensors
 class JobConfig:
     epochs: int = 50
     batch_size: int = 30
-    workers: int = 2
+    workers: int | None = None  # None: by the number of training rows (batching.worker_count)
     averaging_frequency: int = 5
     train_share: float = 0.8
     seed: int = 42
@@ -104,7 +106,11 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     # Undecodable images arrive with NULL features. They and rows without a label
     # are counted in the report and left out.
     bad = F.col("features").isNull()
-    left_out = ex.agg(F.count_if(bad).alias("invalid"), F.count_if(~bad & F.col("label").isNull()).alias("unlabelled")).first()
+    left_out = ex.agg(F.count_if(bad).alias("invalid"), F.count_if(~bad & F.col("label").isNull()).alias("unlabelled"),
+                      F.count_if(~bad & F.col("label").isNotNull()).alias("good")).first()
+    if cfg.workers is None:
+        n_train = math.floor(cfg.train_share * left_out["good"] + 0.5)
+        cfg = replace(cfg, workers=worker_count(n_train, cfg.batch_size, cfg.averaging_frequency))
     ex = ex.filter(~bad & F.col("label").isNotNull())
     scratch.append(scratch_path(spark, "vocab"))
     vocab = label_vocab(ex, "label", with_counts=False, path=scratch[-1])

@@ -6,6 +6,8 @@ columns, types and (rounded) values as the Spark query of the same key.
 
 from __future__ import annotations
 
+from tessera.plans.training_oracles import PLACED, TRAINING_ORACLES
+
 KEY = "md5('42:' || CAST(vec_id AS VARCHAR))"
 
 # embeddings unnested: one row per element, 0-based index
@@ -139,13 +141,10 @@ SELECT vec_id, label,
        CASE WHEN substr({KEY}, 1, 8) < 'cccccccd' THEN 'train' ELSE 'test' END AS split
 FROM embeddings""",
 
-    "batch_assign": f"""WITH {SPLIT}
-SELECT vec_id, CAST(split_rn AS BIGINT) AS split_rn,
-       CAST((split_rn - 1) // 18 AS BIGINT) AS batch_id,
-       CAST((split_rn - 1) % 18 AS INTEGER) AS pos,
-       CAST(((split_rn - 1) // 18) % 2 AS INTEGER) AS worker,
-       CAST(((split_rn - 1) // 18) // 10 AS BIGINT) AS round
-FROM sp WHERE split = 'train'""",
+    "batch_assign": f"""WITH {PLACED}
+SELECT vec_id, CAST(rn AS BIGINT) AS split_rn, CAST(b AS BIGINT) AS batch_id, CAST((rn - 1) % 18 AS INTEGER) AS pos,
+       CAST(worker AS INTEGER) AS worker, CAST(round AS BIGINT) AS round
+FROM bt JOIN k1 USING (vec_id)""",
 
     "epoch_repeat": f"""WITH {SPLIT},
 tr AS (SELECT vec_id, CAST((split_rn - 1) // 18 AS BIGINT) AS batch_id,
@@ -244,4 +243,5 @@ SELECT event_id, event_id * 997 AS ms,
        CAST(((event_id * 997) // 1000) % 60 AS VARCHAR) || ' sec, ' ||
        CAST((event_id * 997) % 1000 AS VARCHAR) || ' ms' AS text
 FROM events""",
+    **TRAINING_ORACLES,
 }

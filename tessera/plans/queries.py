@@ -6,6 +6,8 @@ compare with the SQL oracles in ``tessera.plans.oracles``.
 from __future__ import annotations
 
 import math
+import uuid
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -28,17 +30,18 @@ from tessera.operators.scoring import predict_named as name_predictions
 from tessera.operators.scoring import score_batch as score_rows
 from tessera.plans import formula
 from tessera.plans.models import NetSpec, Output, Rules, small_dense_net
-from tessera.plans.training import (ModelState, full_batch_step, new_model, run_round)
-from tessera.session import table
+from tessera.plans.training import (ModelState, drop_training_rows, full_batch_step, load_trained, new_model,
+                                    prepare_training_rows, read_metrics, run_round, save_trained)
+from tessera.plans.training import train_fit as fit_rounds
+from tessera.session import scratch_path, table
 from tessera.sources.tensors import embeddings, tensor_stats
 
 # Fixed values of the query set: the original job's seed and share, the
-# local job's cap and batch size, two workers averaging every 5 batches.
+# local job's cap and batch size, averaging every 5 batches.
 SEED = 42
 TRAIN_SHARE = 0.8
 CAP = 300
 BATCH = 18
-WORKERS = 2
 AVG_FREQ = 5
 EPOCHS = 3
 R6 = 6
@@ -118,12 +121,18 @@ def _train_rows(spark, sf_dir):
 
 
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = batch_assign_rows(_train_rows(spark, sf_dir))
+    b = batch_assign_rows(_train_rows(spark, sf_dir), _workers(spark, sf_dir))
     return b.select("vec_id", "split_rn", "batch_id", "pos", "worker", "round")
 
 
-def batch_assign_rows(df):
-    return B.batch_assign(df, "split_rn", BATCH, WORKERS, AVG_FREQ)
+def _workers(spark, sf_dir) -> int:
+    """Workers by the train rows (the table's count comes from Parquet footers)."""
+    n_train = math.floor(TRAIN_SHARE * _emb(spark, sf_dir).count() + 0.5)
+    return B.worker_count(n_train, BATCH, AVG_FREQ)
+
+
+def batch_assign_rows(df, workers=B.MIN_WORKERS):
+    return B.batch_assign(df, "split_rn", BATCH, workers, AVG_FREQ)
 
 
 def epoch_repeat_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +336,7 @@ def duration_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "ms", duration_text("ms").alias("text"))
 
 
-# ---- whole job (rows-only checks: results depend on training) ----------------
+# ---- whole training runs -------------------------------------------------------
 
 def tiny_cnn(seed: int = SEED) -> NetSpec:
     """The tensor table read as 8x8x1 images: conv 3x3 (8) -> max-pool -> dense 32 -> softmax 10."""
@@ -340,42 +349,56 @@ def tiny_cnn(seed: int = SEED) -> NetSpec:
     ), Rules(updater="nesterovs", lr=0.01, momentum=0.9, init="xavier"), seed)
 
 
-JOB = dict(epochs=1, batch_size=BATCH, workers=WORKERS, averaging_frequency=AVG_FREQ)
+JOB = dict(batch_size=BATCH, averaging_frequency=AVG_FREQ)
 
 
-def _job(spark, sf_dir, run_id):
-    from tessera.plans.job import JobConfig, run_job
-    ex = _emb(spark, sf_dir).select("id", "label", "features")
-    return run_job(spark, ex, tiny_cnn(), JobConfig(run_id=run_id, **JOB))
+def _regression(updater: str, lr: float, **rules) -> NetSpec:
+    """Softmax regression from zero weights: small enough to be trained in SQL as well."""
+    return replace(_softmax_regression(), rules=Rules(updater=updater, lr=lr, init="normal", init_std=0.0, **rules))
+
+
+def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str):
+    """Averaged training of ``spec`` on the train split: (model, metrics folder)."""
+    train = split_side(_emb(spark, sf_dir), "id", "train", TRAIN_SHARE, SEED, positions=True)
+    name = f"tessera_train_{uuid.uuid4().hex[:12]}"
+    rows = prepare_training_rows(train, BATCH, _workers(spark, sf_dir), AVG_FREQ, table_name=name)
+    try:
+        return fit_rounds(spec, rows, epochs, run_id=run_id)
+    finally:
+        drop_training_rows(spark, name)
 
 
 def train_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_metrics(_job(spark, sf_dir, "train_fit").metrics)
+    """Weights after two epochs of averaged SGD whose rate halves every seven steps."""
+    model, _ = _trained(spark, sf_dir, _regression("sgd", 0.5, lr_decay=0.5, lr_steps=7), 2, "train_fit")
+    return _model_rows(spark, model)
 
 
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _job(spark, sf_dir, "training_metrics").training_metrics
+    """Per-batch metrics of two epochs of Nesterov momentum with L2."""
+    spec = _regression("nesterovs", 0.1, momentum=0.9, l2=0.01)
+    _, path = _trained(spark, sf_dir, spec, 2, "training_metrics")
+    return read_metrics(spark, path).select("epoch", "round", "worker", "batch", "examples",
+                                            F.round("score", R6).alias("score"), "step")
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, save the model with its spec, load both back, compare."""
-    from tessera.plans.training import load_trained, save_trained
-    from tessera.session import scratch_path
-    res = _job(spark, sf_dir, "model_roundtrip")
+    """Weights of an RMSProp epoch, saved with their spec and read back."""
+    spec = _regression("rmsprop", 0.05)
+    model, _ = _trained(spark, sf_dir, spec, 1, "model_roundtrip")
     path = scratch_path(spark, "model")
-    save_trained(spark, tiny_cnn(), res.model, path)
-    spec, back = load_trained(spark, path)
-    if spec != tiny_cnn():
+    save_trained(spark, spec, model, path)
+    back_spec, back = load_trained(spark, path)
+    if back_spec != spec:
         raise AssertionError("the saved spec does not round-trip")
-    rows = [(k, int(v.size), float(np.abs(v - back.params[k]).max())) for k, v in sorted(res.model.params.items())]
-    return spark.createDataFrame(rows, "param string, n_values int, max_abs_diff double")
+    return _model_rows(spark, back)
 
 
 def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original local job's shape on an image folder: Spark writes the
     tensor table as PNGs, reads and resizes them to LeNet's smallest input
-    (20x20, 3 channels, 8-bit), trains LeNet one epoch (batch 18, two
-    workers, averaging every 5 batches) and evaluates on the test split."""
+    (20x20, 3 channels, 8-bit), trains LeNet one epoch (batch 18,
+    averaging every 5 batches) and evaluates on the test split."""
     from tessera.plans.job import JobConfig, run_job
     from tessera.plans.models import preset
     from tessera.sources.images import image_id, read_images, to_tensors
@@ -383,12 +406,18 @@ def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     imgs = to_tensors(read_images(spark, root, glob="*.png"), 20, 20, 3, as_bytes=True)
     ex = imgs.select(image_id("path").cast("long").alias("id"), "label", "features")
     spec = preset("LeNet", channels=3, height=20, width=20, num_labels=formula.N_CLASSES).with_scale(1 / 255)
-    res = run_job(spark, ex, spec, JobConfig(run_id="image_job", **JOB))
+    res = run_job(spark, ex, spec, JobConfig(run_id="image_job", epochs=1, **JOB))
     return _rounded_metrics(res.metrics)
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _job(spark, sf_dir, "run_report").report
+    """The whole job on the tensor table: its report but for the times."""
+    from tessera.plans.job import JobConfig, run_job
+    ex = _emb(spark, sf_dir).select("id", "label", "features")
+    r = run_job(spark, ex, _regression("sgd", 2.0), JobConfig(run_id="run_report", epochs=3, **JOB)).report
+    return r.select("run_id", "model", *[F.col("params")[c].alias(c) for c in ("epochs", "workers", "num_labels")],
+                    "n_invalid", "n_unlabelled", "n_test",
+                    *[F.round(c, R6).alias(c) for c in ("accuracy", "macro_precision", "macro_recall", "macro_f1", "test_score")])
 
 
 # ---- image folders derived from the tensor table --------------------------------

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, param_average, param_sum
-from tessera.operators.batching import batch_assign
+from tessera.operators.batching import MAX_WORKERS, batch_assign
 from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
                                   init_params, layer_shapes)
 from tessera.session import collect_arrow, create_arrow, materialize, scratch_path
@@ -266,21 +266,23 @@ def feature_bytes(examples: DataFrame, feature_col: str) -> int:
     return max(1, int(first["b"])) if first else 1
 
 
-def worker_keys(spark, workers: int) -> dict:
-    """For each worker w a key k with ``pmod(hash(k), workers) == w``.
+def worker_keys(spark, workers: int) -> DataFrame:
+    """(worker, wkey): for each worker a key with ``pmod(hash(wkey), workers) == worker``.
 
     Spark assigns a row to bucket ``pmod(murmur3(key), buckets)``; small
     worker ids collide (for 0..3 into 4 buckets only two are used), which
     would idle tasks. Bucketing by these keys gives every worker its own
-    bucket. One small job; the result has ``workers`` rows."""
-    span, keys = workers * 64, {}
-    while len(keys) < workers:  # one pass in all but freak cases
-        found = (spark.range(span)
-                 .select(F.col("id").alias("k"), F.pmod(F.hash(F.col("id")), F.lit(workers)).alias("b"))
-                 .groupBy("b").agg(F.min("k").alias("k")).collect())
-        keys = {int(r.b): int(r.k) for r in found}
+    bucket. The table has ``workers`` rows, at most ``MAX_WORKERS``."""
+    if workers > MAX_WORKERS:
+        raise ValueError(f"a bucketed table takes at most {MAX_WORKERS} workers")
+    span = workers * 64
+    while True:  # one pass in all but freak cases
+        keys = (spark.range(span)
+                .groupBy(F.pmod(F.hash(F.col("id")), F.lit(workers)).cast("int").alias("worker"))
+                .agg(F.min("id").alias("wkey")))
+        if keys.count() == workers:
+            return keys
         span *= 2
-    return keys
 
 
 def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
@@ -308,12 +310,10 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
     spark = examples.sparkSession
     per_file_round = batch_size * averaging_frequency * (row_bytes or feature_bytes(examples, feature_col))
     group = max(1, TARGET_FILE_BYTES // per_file_round)
-    keys = worker_keys(spark, workers)
-    key_of = F.create_map(*[F.lit(x) for w in range(workers) for x in (w, keys[w])])
     batched = (batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
                .withColumn("rounds_per_group", F.lit(group).cast("long"))
                .withColumn("round_group", F.floor(F.col("round") / group).cast("long"))
-               .withColumn("wkey", F.element_at(key_of, F.col("worker")).cast("long"))
+               .join(F.broadcast(worker_keys(spark, workers)), "worker")
                .repartition("round_group", "wkey"))
     if not bucketed:
         return materialize(batched, "train-rows", partition_by=["round_group"], path=path)

@@ -32,3 +32,13 @@ def test_bad_parameters(spark):
         batch_assign(df, "id", 0)
     with pytest.raises(ValueError):
         epoch_repeat(df, 0)
+
+
+def test_rounds_stay_near_the_target_however_many_rows():
+    from tessera.operators.batching import MAX_WORKERS, MIN_WORKERS, TARGET_ROUNDS, worker_count
+    assert worker_count(0, 18, 5) == worker_count(400, 18, 5) == MIN_WORKERS
+    for n in (10 ** 5, 10 ** 6, 10 ** 7):
+        w = worker_count(n, 18, 5)
+        rounds = -(-(-(-n // 18)) // (w * 5))
+        assert TARGET_ROUNDS - 1 <= rounds <= TARGET_ROUNDS
+    assert worker_count(10 ** 12, 30, 5) == MAX_WORKERS

@@ -167,9 +167,8 @@ def test_pack_tensors_roundtrip(spark):
 def test_every_worker_gets_its_own_bucket(spark, workers):
     from tessera.plans.training import worker_keys
     keys = worker_keys(spark, workers)
-    hashed = spark.createDataFrame([(w, k) for w, k in keys.items()], "w int, k long") \
-        .select("w", F.pmod(F.hash("k"), F.lit(workers)).alias("b")).collect()
-    assert all(r.w == r.b for r in hashed)
+    hashed = keys.select("worker", F.pmod(F.hash("wkey"), F.lit(workers)).alias("b")).collect()
+    assert sorted(r.worker for r in hashed) == list(range(workers)) and all(r.worker == r.b for r in hashed)
     df = _separable(spark, n_per=40, dim=4)
     rows = prepare_training_rows(split_exact(df, "id", 1.0), batch_size=5, workers=workers, averaging_frequency=1)
     buckets = {f.split("_")[-1][:5] for f in rows.inputFiles()}

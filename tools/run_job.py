@@ -1,7 +1,7 @@
 """Run the whole job on an image folder from the command line.
 
 usage: spark-submit tools/run_job.py --dir-path /data/images [--model-type AlexNet]
-       [--epochs 50] [--batch-size-per-worker 30] [--workers 2] [--averaging-frequency 5]
+       [--epochs 50] [--batch-size-per-worker 30] [--workers N] [--averaging-frequency 5]
        [--height 100] [--width 100] [--channels 3] [--max-examples N] [--glob '*.jpg']
        [--master local[2]]
 
@@ -30,7 +30,7 @@ def main(argv=None):
     a.add_argument("--model-type", default="AlexNet")
     a.add_argument("--epochs", type=int, default=50)
     a.add_argument("--batch-size-per-worker", type=int, default=30)
-    a.add_argument("--workers", type=int, default=2)
+    a.add_argument("--workers", type=int, default=None)  # by the number of rows
     a.add_argument("--averaging-frequency", type=int, default=5)
     a.add_argument("--height", type=int, default=100)
     a.add_argument("--width", type=int, default=100)
