@@ -163,9 +163,10 @@ def split_side(df: DataFrame, id_col: str, side: str = "train", train_share: flo
 
     Buckets wholly on the other side are dropped before any shuffle (a
     broadcast join with the bounded offsets table). With ``positions`` the
-    side's rows are ranked (``rn``, ``split_rn``). Without it only the one
-    bucket that straddles the quota is ranked -- about n / 65,536 rows are
-    shuffled -- and every other row is placed by its bucket alone."""
+    side's rows are ranked (``rn``, ``split_rn``). Without it the rows are read
+    once and not shuffled: only keys and ids of the one bucket that straddles the
+    quota (about n / 65,536) are ranked, to find the last row of 'train'; that
+    row's key and id decide the bucket, every other row is placed by its bucket."""
     if side not in ("train", "test"):
         raise ValueError("side must be 'train' or 'test'")
     tagged = (df.withColumn("order_key", seeded_key(id_col, seed))
@@ -176,17 +177,22 @@ def split_side(df: DataFrame, id_col: str, side: str = "train", train_share: flo
         offsets = offsets.filter(F.col("_off") < F.col("_nt"))
     else:
         offsets = offsets.filter(F.col("_off") + F.col("_cnt") > F.col("_nt"))
-    joined = tagged.join(F.broadcast(offsets), "_bucket")
-    in_side = (F.col("rn") <= F.col("_nt")) if side == "train" else (F.col("rn") > F.col("_nt"))
     n_split = F.col("_nt") if side == "train" else F.col("_total") - F.col("_nt")
     if positions:
+        in_side = (F.col("rn") <= F.col("_nt")) if side == "train" else (F.col("rn") > F.col("_nt"))
+        joined = tagged.join(F.broadcast(offsets), "_bucket")
         ranked = _rank_in_buckets(joined, "order_key", id_col, "rn", range_partitions).filter(in_side)
         ranked = ranked.withColumn("split_rn", F.col("rn") if side == "train" else F.col("rn") - F.col("_nt"))
     else:
-        edge = (F.col("_off") < F.col("_nt")) & (F.col("_off") + F.col("_cnt") > F.col("_nt"))
-        whole = joined.filter(~edge)
-        cut = _rank_in_buckets(joined.filter(edge), "order_key", id_col, "rn").filter(in_side).drop("rn")
-        ranked = whole.unionByName(cut)
+        place = F.struct(F.col("order_key"), F.col(id_col).alias("_id"))
+        edge = offsets.filter((F.col("_off") < F.col("_nt")) & (F.col("_off") + F.col("_cnt") > F.col("_nt")))
+        inside = _rank_in_buckets(tagged.select(id_col, "order_key", "_bucket").join(F.broadcast(edge), "_bucket"),
+                                  "order_key", id_col, "rn")
+        # At most one row: the last one of 'train' in the bucket of the quota.
+        last = inside.filter(F.col("rn") <= F.col("_nt")).groupBy("_bucket").agg(F.max(place).alias("_last"))
+        placed = tagged.join(F.broadcast(offsets.join(F.broadcast(last), "_bucket", "left")), "_bucket")
+        beyond = (place <= F.col("_last")) if side == "train" else (place > F.col("_last"))
+        ranked = placed.filter(F.col("_last").isNull() | beyond).drop("_last")
     return (ranked.withColumn("split", F.lit(side)).withColumn("n_split", n_split.cast("long"))
             .drop("_bucket", "_cnt", "_off", "_total", "_nt"))
 

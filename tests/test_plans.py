@@ -36,11 +36,13 @@ def test_exact_split_broadcasts_only_the_offsets(static):
     assert "SortMergeJoin" not in p
 
 
-def test_test_side_shuffles_only_the_boundary_bucket(static):
-    p = plan(split_side(Q._emb(static, SF_MID), "id", "test", 0.8, positions=False))
-    assert "Union" in p
-    # the data exchange sits under the window of the boundary branch only
-    assert p.count("Exchange hashpartitioning(_bucket") == 2  # offsets aggregate + boundary bucket
+def test_test_side_reads_the_tensors_once_and_moves_only_ids(static):
+    df = split_side(Q._emb(static, SF_MID), "id", "test", 0.8, positions=False)
+    p = plan(df)
+    assert "Union" not in p
+    tensor_scans = [x for x in p.splitlines() if "FileScan" in x and "embedding#" in x]
+    assert len(tensor_scans) == 1
+    assert not [x for x in p.splitlines() if "Exchange hashpartitioning" in x and "features" in x]
 
 
 def test_round_reads_buckets_without_exchange(static):
