@@ -5,8 +5,9 @@ Learning (``fit``), from labelled rows only:
 - a bounded sample of them (``max_examples``, the smallest md5 keys of the id);
 - the vocabulary: words whose document counts differ between the two labels
   (chi-square of at least ``min_chi2``; the ``max_terms`` best). Words that say
-  nothing about the label would only add noise to the distances. Documents are
-  counted by their smallest word hash, so near copies, which share it, count once;
+  nothing about the label would only add noise to the distances. Near copies of one
+  label count once (``near_copies``: about four fifths of their three-word runs in
+  common with the group's first document); all other documents count one by one;
 - IDF of those words over *all* documents, one partial count per task;
 - an inverted index of the examples' unit TF-IDF vectors, its postings in blocks of
   ``BLOCK`` examples, each block with the largest weight it holds;
@@ -51,6 +52,9 @@ MAX_TERMS = 4_096
 MIN_CHI2 = 30.0
 K = 15
 BLOCK = 64
+# Near copies: SHINGLE words a run, SIGN smallest hashes a text, SAME of them equal, looked up by BAND at a time.
+SHINGLE, SIGN, SAME, BAND = 3, 32, 25, 4
+_ODD = np.random.default_rng(42).integers(1, 1 << 63, SIGN + SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD = re.compile(r"\w+")
 
 
@@ -58,6 +62,38 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def signature(tokens: list[str]) -> list[int]:
+    """Min-hashes of the runs of ``SHINGLE`` words (of the whole text if it is shorter)."""
+    w = np.array([zlib.crc32(t.encode()) + 1 for t in tokens] + [0] * (SHINGLE - len(tokens)), np.uint64)
+    h = np.zeros(len(w) - SHINGLE + 1, np.uint64)
+    for i in range(SHINGLE):
+        h += w[i:len(h) + i] * _ODD[SIGN + i]
+    h ^= h >> np.uint64(29)
+    out = []
+    for odd in _ODD[:SIGN]:
+        x = h * odd
+        x ^= x >> np.uint64(32)
+        out.append(int((x * odd).min() >> np.uint64(1)))
+    return out
+
+
+def near_copies(signs: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Group of each row: the first earlier row of the same label that leads a group
+    and shares ``SAME`` of ``SIGN`` min-hashes with it, else the row itself. Members are
+    near their leader, so texts that share only a passage don't chain into one group."""
+    group, leads = np.arange(len(signs)), {}
+    for i, (sign, label) in enumerate(zip(signs, labels.tolist())):
+        keys = [(label, b, sign[b:b + BAND].tobytes()) for b in range(0, SIGN, BAND)]
+        at = np.unique([j for k in keys for j in leads.get(k, ())]).astype(np.int64)
+        near = at[(signs[at] == sign).sum(axis=1) >= SAME]
+        if len(near):
+            group[i] = near[0]
+        else:
+            for k in keys:
+                leads.setdefault(k, []).append(i)
+    return group
+
+
 @dataclass
 class Model:
     """Everything scoring needs; at most max_examples * max_terms weights, in
@@ -208,15 +244,22 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                 part = pdf.iloc[a:a + 64]
                 out = []
                 for i, y, t in zip(part["doc_id"], part["label"], part["text"]):
-                    tf = Counter(words(t))
-                    sign = min((zlib.crc32(w.encode()) for w in tf), default=0)
-                    out += [(int(i), int(y), sign, w, n) for w, n in tf.items()] or [(int(i), int(y), sign, None, 0)]
-                yield pd.DataFrame(out, columns=["doc_id", "label", "sign", "word", "n"])
-
-    counts = written(rows.mapInPandas(tokenise, "doc_id long, label int, sign long, word string, n int"), "example-words")
-    signs = [F.countDistinct("sign").alias("d"), F.countDistinct(F.when(F.col("label") == 1, F.col("sign"))).alias("p")]
-    total, toxic = counts.agg(*signs).first()
-    by_word = counts.filter("word IS NOT NULL").groupBy("word").agg(*signs)
+                    own_words = words(t)
+                    out.append((int(i), int(y), None, 0, signature(own_words)))
+                    out += [(int(i), int(y), w, n, None) for w, n in Counter(own_words).items()]
+                yield pd.DataFrame(out, columns=["doc_id", "label", "word", "n", "sign"])
+
+    counts = written(rows.mapInPandas(tokenise, "doc_id long, label int, word string, n int, sign array<long>"), "example-words")
+    # One signature an id, however many rows share it: at most max_examples rows.
+    signed = (counts.filter("word IS NULL").groupBy("doc_id", "label")
+              .agg(F.array(*[F.min(F.col("sign")[i]) for i in range(SIGN)]).alias("sign"))
+              .orderBy(seeded_key("doc_id"), "doc_id").collect())
+    labels = np.array([r["label"] for r in signed], np.int64)
+    group = near_copies(np.array([r["sign"] for r in signed], np.int64).reshape(-1, SIGN), labels)
+    total, toxic = len(np.unique(group)), len(np.unique(group[labels == 1]))
+    grouped = docs.sparkSession.createDataFrame([(r["doc_id"], g) for r, g in zip(signed, group.tolist())], "doc_id long, grp long")
+    by_word = (counts.filter("word IS NOT NULL").join(F.broadcast(grouped), "doc_id").select("word", "grp", "label").distinct()
+               .groupBy("word").agg(F.count(F.lit(1)).alias("d"), F.sum("label").alias("p")))
     share = toxic / total if total else 0.0
     expect = F.col("d") * F.lit(share)
     spread = F.col("d") * F.lit(share * (1 - share)) * (1 - F.col("d") / F.lit(float(total + 1)))
@@ -226,10 +269,10 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         terms = [r["word"] for r in by_word.withColumn("chi2", chi2).filter(F.col("chi2") >= min_chi2)
                  .orderBy(F.desc("chi2"), "word").limit(max_terms).select("word").collect()]
     idf = _corpus_idf(own, terms)
-    kept = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "word string")), "word")
+    kept = counts.filter("word IS NOT NULL").join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "word string")), "word")
     # Rows that share an id are one example: at most max_terms words, however many rows.
     per_doc = kept.groupBy("doc_id", "word").agg(F.max("n").alias("n")).groupBy("doc_id")
-    ex = (counts.select("doc_id", "label").distinct()
+    ex = (counts.filter("word IS NULL").select("doc_id", "label").distinct()
           .join(per_doc.agg(F.collect_list(F.struct("word", "n")).alias("tf")), "doc_id", "left")
           .orderBy(seeded_key("doc_id"), "doc_id").collect())  # at most max_examples rows
     return _build([(r["doc_id"], r["label"], [(x["word"], x["n"]) for x in r["tf"] or []]) for r in ex], terms, idf, k)

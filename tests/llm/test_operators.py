@@ -250,6 +250,29 @@ def test_repeated_labelled_ids_are_one_example(spark):
     assert all(np.array_equal(p[k], q[k]) for k in p)
 
 
+def test_unrelated_texts_with_a_common_word_count_one_by_one(spark):
+    """A header in all texts is no reason to count them as one; near copies of one label are."""
+    r = np.random.default_rng(5)
+    vocab = ["".join(r.choice(list("aeioubcdfg"), 6)) for _ in range(600)]
+    low = min((f"head{i}" for i in range(100_000)), key=lambda w: zlib.crc32(w.encode()))
+    copied = [f"copy{i}" for i in range(60)]
+    data = []
+    for i in range(400):
+        w = [low, *copied[:8], *r.choice(vocab, 40)]
+        if i % 4 == 0:
+            w[int(r.integers(9, 49))] = "vile"
+        data.append((i, " ".join(w), int(i % 4 == 0)))
+    for i in range(400, 500):  # one text, its last word changed
+        data.append((i, " ".join([*copied, f"end{i}"]), 1))
+    df = spark.createDataFrame(data, "doc_id long, text string, label int")
+    m = toxicity.fit(df, df.select("doc_id", "label"))
+    assert set(m.terms) == {"vile"} and all((m.score(t) >= 0.5) == (y == 1) for i, t, y in data if i < 400)
+    signs = np.array([toxicity.signature(toxicity.words(t)) for _, t, _ in data], np.int64)
+    group = toxicity.near_copies(signs, np.array([y for _, _, y in data]))
+    assert len(set(group.tolist())) == 401
+    assert len(set(toxicity.near_copies(signs[[450, 450]], np.array([0, 1])).tolist())) == 2
+
+
 def test_block_max_search_is_exact():
     r = np.random.default_rng(3)
     terms = [f"t{i}" for i in range(40)]
