@@ -4,7 +4,7 @@ Every text is scanned once for candidates: assignments, access keys, hex runs (t
 kinds) and long tokens that mix letters and digits. Candidate values are hashed and
 counted over the whole corpus by distinct repositories and distinct owners. A value that
 several owners have is a copied example; a value that few owners have and that looks random
-is live-looking. Live-looking long tokens outside the base spans are added as kind ``owned``;
+is live-looking. Live-looking long tokens that base spans don't wholly cover are added as kind ``owned``;
 base spans always stay, and are marked live or example.
 
 At scale: the scan is narrow; what it finds (lengths and hashes, no text) is written once.
@@ -97,14 +97,15 @@ def judged_spans(scanned: DataFrame, few_owners: int = FEW_OWNERS) -> DataFrame:
     freq = written(ownership(found), "ownership")
     all_ = attach_by_key(found, freq, ["hash"], count_rows(found))
     all_ = all_.withColumn("live", (F.col("owners") <= few_owners) & F.col("random"))
-    # An added span lies outside all base spans: base spans that begin before its
-    # end, in order of start, reach no further than its start.
+    # An added span is not wholly covered by base spans. Base spans that overlap or touch
+    # form an island; the last island to begin at or before a span is the one to cover it.
     base = F.col("kind") < len(BASE)
-    to_here = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    from_here = Window.partitionBy("rid").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
-    reach = F.max(F.when(base, F.col("end"))).over(to_here)
-    ahead = F.min(F.when(base, F.col("start"))).over(from_here)
-    free = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (ahead.isNull() | (ahead >= F.col("end")))
+    in_order = Window.partitionBy("rid").orderBy("start", "kind")
+    reach = F.max(F.when(base, F.col("end"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    all_ = all_.withColumn("_new", (base & F.coalesce(F.col("start") > reach, F.lit(True))).cast("int"))
+    all_ = all_.withColumn("_island", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    to = F.max(F.when(base, F.col("end"))).over(Window.partitionBy("rid", "_island"))
+    free = F.coalesce(to < F.col("end"), F.lit(True))
     return (all_.withColumn("_free", free).filter(base | (F.col("live") & F.col("_free")))
             .select("rid", "kind", "start", "end", "hash", "owners", "repos", "live"))
 

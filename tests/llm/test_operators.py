@@ -179,6 +179,14 @@ def test_widely_copied_values_are_examples(spark):
     assert got == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0, 5: 0}
 
 
+def test_long_tokens_are_added_unless_base_spans_cover_them(spark):
+    token = "Prefix_0123456789abcdefXYZ-Qw9"  # its hex run is a base span
+    texts = [token, "password=Zk3Zk9Qw2Er5Ty7Ui1Op0", f"{token} 0123456789abcdef0123"]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {g.doc_id: g.s for g in secrets.find_secrets(df).select("doc_id", secrets.spans_text("all_spans").alias("s")).collect()}
+    assert got == {0: "owned:0:30,hex:7:23", 1: "assign:0:30", 2: "owned:0:30,hex:7:23,hex:31:51"}
+
+
 def test_chat_round_trip(spark):
     t = [(1, 0, "user", "a<|im_end|>\nb"), (1, 1, "assistant", "<\\|x|> <"), (1, 2, "assistant", "|y\n"), (1, 3, "us\\er\n", None),
          (2, 0, None, "only"), (None, 1, "assistant", "")]
