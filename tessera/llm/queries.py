@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, mixing, packing, quality, records, secrets, simhash, sketches, toxicity
+from tessera.llm import (chat, exact_dedup, mixing, packing, quality, records, secrets, simhash, sketches, toxicity,
+                         whitening)
 from tessera.llm.common import written
 from tessera.session import scratch_path, table
 
@@ -86,8 +87,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_records, op4_secrets, op5_packing,
-                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash)}
+                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash, op12_whitening)}
 
 ORACLES = {
     "op6_exact_dedup": """
