@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, exact_dedup, mixing, packing, quality, records, secrets, simhash, sketches, toxicity,
-                         whitening)
+from tessera.llm import (chat, exact_dedup, filter_audit, mixing, packing, quality, records, secrets, simhash, sketches,
+                         toxicity, whitening)
 from tessera.llm.common import written
 from tessera.session import scratch_path, table
 
@@ -91,8 +91,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_records, op4_secrets, op5_packing,
-                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash, op12_whitening)}
+                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash, op12_whitening,
+                                   op13_filter_audit)}
 
 ORACLES = {
     "op6_exact_dedup": """
@@ -135,4 +140,30 @@ ORACLES = {
         SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
                CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM d""",
+    "op13_filter_audit": r"""
+        WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        d AS (SELECT part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c,
+                     regexp_matches(t, '[#$%&*|]') AS d,
+                     coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, doc_id IS NULL AND min(doc_id) OVER (PARTITION BY t) IS NOT NULL) AS e,
+                     coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+              FROM w LEFT JOIN (SELECT doc_id AS id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY 1) l ON doc_id = id),
+        m AS (SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                                  CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+                     count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY 1, 2),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM l a, l b, l c, l d, l e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT part, filter_order, step, fails, n, good, toxic, contains(fails, substr(filter_order, step, 1)) AS own,
+                     step > 1 AND fails <> translate(fails, substr(filter_order, 1, step - 1), '') AS gone
+              FROM m, o, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step)),
+        r AS (SELECT part, filter_order, step, CAST(sum(CASE WHEN NOT gone AND NOT own THEN n ELSE 0 END) AS BIGINT) AS kept,
+                     CAST(sum(CASE WHEN NOT gone AND own THEN n ELSE 0 END) AS BIGINT) AS removed,
+                     CAST(sum(CASE WHEN gone AND own THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                     CAST(sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                     CAST(sum(CASE WHEN NOT gone AND own THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+                     CAST(sum(CASE WHEN NOT gone AND own THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+              FROM s GROUP BY ALL)
+        SELECT *, CAST(sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)) AS BIGINT) AS shapley FROM r""",
 }
