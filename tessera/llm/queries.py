@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, exact_dedup, filter_audit, mixing, packing, quality, records, secrets, simhash, sketches,
-                         toxicity, whitening)
+from tessera.llm import (chat, exact_dedup, filter_audit, mixing, packing, quality, records, retrieval_packing, secrets, simhash,
+                         sketches, toxicity, whitening)
 from tessera.llm.common import written
 from tessera.session import scratch_path, table
 
@@ -87,6 +87,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -96,8 +100,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_records, op4_secrets, op5_packing,
-                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash, op12_whitening,
-                                   op13_filter_audit)}
+                                   op6_exact_dedup, op7_chat, op8_mixing, op9_toxicity, op10_simhash,
+                                   op11_retrieval_packing, op12_whitening, op13_filter_audit)}
 
 ORACLES = {
     "op6_exact_dedup": """
