@@ -2,11 +2,12 @@
 
 Each task cuts its texts into shards of about ``SHARD_BYTES`` and builds a CSR matrix per
 shard (row: document, column: word, value: count) over the shard's own words. The distinct
-words of all shards form the global dictionary: a word's number is its place in the
-dictionary table. The join of the two turns a shard's columns into global ones, once per
-(shard, word) rather than once per word of a text. Row sums are a document's words, nonzero
-entries its distinct words; they decide filters A and B. The remaining flags travel with the
-shard's documents; identical texts are found table-wide by their SHA-256.
+words of all shards are dealt by a hash to buckets of about ``BUCKET_WORDS``, and each bucket
+numbers its words in order: the global dictionary. The numbers go back to the shards, whose
+columns become global once per (shard, word) rather than once per word of a text. Row sums
+are a document's words, nonzero entries its distinct words; they decide filters A and B. The
+remaining flags travel with the shard's documents; identical texts are found table-wide by
+their SHA-256.
 
 Failure conditions (words: runs of other than ASCII white space, case-sensitive): A: fewer
 than ``min_words`` words; B: 100 * distinct < ``distinct_percent`` * words; C: 100 * ``[A-Z]`` >
@@ -14,9 +15,10 @@ than ``min_words`` words; B: 100 * distinct < ``distinct_percent`` * words; C: 1
 id. A document is then one of 32 sets of failed filters, so the counts for every order and step
 follow from at most 32 cells per part.
 
-At scale: texts are read once and never shuffled. Moved are (shard, word) pairs, the shards'
-matrices (once, to meet their column numbers) and one thin row per document. A word meets at
-most one row per shard, so a word in every text is no hot key. A digest that many texts share
+At scale: texts are read once and never shuffled. Moved are the shards' words (in blocks, one a
+bucket) with their numbers, the matrices (once, compressed) and one thin row per document. A
+word meets at most one entry per shard, so a word in every text is no hot key; the number of
+buckets follows the words. A digest that many texts share
 is joined by broadcast (``attach_by_key``); rows are pre-aggregated before labels join, so
 neither a repeated nor a NULL id is hot.
 
@@ -45,31 +47,43 @@ MIN_WORDS = 100
 DISTINCT_PERCENT = 80
 CAPITAL_PERCENT = 10
 SYMBOLS = "#$%&*|"
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
+BUCKET_WORDS = 1 << 20
+_MIX = np.random.default_rng(0).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 DOC = "struct<doc_id:bigint,part:string,digest:string,chars:bigint,capitals:bigint,symbols:bigint>"
-_LOCAL = f"shard long, words array<string>, indptr binary, indices binary, counts binary, docs array<{DOC}>"
+_LOCAL = f"shard long, n_words long, words array<string>, indptr binary, indices binary, counts binary, docs array<{DOC}>"
 _CSR = f"shard long, indptr binary, indices binary, counts binary, docs array<{DOC}>"
 
 
 # -- shards --------------------------------------------------------------------
 
-def csr(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+def csr(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray, np.ndarray]:
     """(words, indptr, indices, counts) of the texts over their own words."""
     parts = pc.ascii_split_whitespace(texts)
     flat = pc.dictionary_encode(parts.flatten())
-    codes, words = flat.indices.to_numpy().astype(np.int64), flat.dictionary.to_pylist()
+    codes, words = flat.indices.to_numpy(), flat.dictionary
     row = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
-    if "" in words:  # around white space at a text's ends
-        gap = words.index("")
+    gap = pc.index(words, "").as_py()  # around white space at a text's ends
+    if gap >= 0:
         codes, row = codes[codes != gap], row[codes != gap]
         codes = codes - (codes > gap)
-        words = words[:gap] + words[gap + 1:]
-    cells, counts = np.unique(row * max(1, len(words)) + codes, return_counts=True)
-    row, indices = np.divmod(cells, max(1, len(words)))
+        words = words.filter(pc.not_equal(words, ""))
+    width = max(1, len(words))
+    small = np.int32 if len(texts) * width < 1 << 31 else np.int64
+    cells, counts = np.unique(row.astype(small) * small(width) + codes, return_counts=True)
+    row, indices = np.divmod(cells, small(width))
     return words, np.searchsorted(row, np.arange(len(texts) + 1)), indices, counts
 
 
+def packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, 4 * n, codec="zstd", asbytes=True), "<i4")
+
+
 def character_counts(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points, ``[A-Z]`` characters and symbols of each text."""
     _, offsets, data = texts.buffers()
@@ -78,15 +92,21 @@ def character_counts(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOLS.encode())] = True
 
+    some = np.diff(ends) > 0
+
     def per_text(hit):
-        return np.diff(np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])[ends - ends[0]])
+        out = np.zeros(len(texts), np.int64)
+        if some.any():
+            out[some] = np.add.reduceat(hit, (ends[:-1] - ends[0])[some], dtype=np.int64)
+        return out
 
     return per_text((b & 0xC0) != 0x80), per_text((b >= 65) & (b <= 90)), per_text(symbol[b])
 
 
 def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per shard: its words, its matrix over them, and its documents."""
+    """One row per shard: its words, its matrix over them (``indices`` as packed differences,
+    ``counts`` packed), and its documents."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32  # tasks number their own shards
         for batch in batches:
@@ -94,18 +114,22 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             size = pc.binary_length(text).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.diff((np.cumsum(size) - size) // shard_bytes)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(text)]):
+                if a == b:
+                    continue
                 part = pa.concat_arrays([text.slice(a, b - a)])
                 words, indptr, indices, counts = csr(part)
                 infos = pa.StructArray.from_arrays(
                     [*(batch.column(i).slice(a, b - a) for i in (1, 2, 3)), *map(pa.array, character_counts(part))],
                     ["doc_id", "part", "digest", "chars", "capitals", "symbols"])
                 yield pa.record_batch([
-                    pa.array([shard], pa.int64()), pa.array([words], pa.list_(pa.string())),
-                    pa.array([indptr.astype("<i8").tobytes()], pa.binary()), pa.array([indices.astype("<i4").tobytes()], pa.binary()),
-                    pa.array([counts.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([shard], pa.int64()), pa.array([len(words)], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                    pa.array([indptr.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([packed(np.diff(indices, prepend=0))], pa.binary()), pa.array([packed(counts)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), infos)],
-                    ["shard", "words", "indptr", "indices", "counts", "docs"])
+                    ["shard", "n_words", "words", "indptr", "indices", "counts", "docs"])
                 shard += 1
+            pa.default_memory_pool().release_unused()
 
     text = text_of(docs[text_col])
     return docs.select(text.alias("text"), F.col(id_col).cast("long").alias("doc_id"),
@@ -113,37 +137,87 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        F.sha2(text, 256).alias("digest")).mapInArrow(build, _LOCAL)
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """``word, word_id``: dense numbers for the distinct words. The number is the word's
-    place in the written table: rows before its file plus its row in the file."""
-    table = written(words.select("word").distinct(), "dictionary").select(
-        "word", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = table.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(  # one row per file
-        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    return table.join(files, "_file").select("word", (F.col("_first") + F.col("_at")).cast("long").alias("word_id"))
+# -- global dictionary ---------------------------------------------------------------
+
+def bucket_of(words: pa.StringArray, buckets: int) -> np.ndarray:
+    """Each (non-empty) word's bucket, by a hash of its bytes."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    size = np.diff(ends)
+    place = np.arange(size.sum()) - np.repeat(ends[:-1] - ends[0], size)
+    h = np.add.reduceat((np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)) * _MIX[place % 64],
+                        ends[:-1] - ends[0])
+    h = (h ^ (h >> np.uint64(29))) * _MIX[0]
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def word_blocks(local: DataFrame, bucket_words: int = BUCKET_WORDS) -> DataFrame:
+    """``bucket, n_buckets, shard, words, codes``: each shard's words and their local columns, by bucket."""
+    pairs = local.agg(F.sum("n_words")).first()[0] or 0
+    buckets = -(-pairs // bucket_words) or 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, words in zip(b.column(0), b.column(1)):
+                words = words.values
+                if not len(words):
+                    continue
+                to = bucket_of(words, buckets)
+                order = np.argsort(to, kind="stable")
+                which, first = np.unique(to[order], return_index=True)
+                ends = pa.array([*first, len(order)], pa.int32())
+                yield pa.record_batch([
+                    pa.array(which), pa.array([buckets] * len(which), pa.int64()), pa.array([shard.as_py()] * len(which), pa.int64()),
+                    pa.ListArray.from_arrays(ends, words.take(pa.array(order))),
+                    pa.array([c.astype("<i4").tobytes() for c in np.split(order, first[1:])], pa.binary())],
+                    ["bucket", "n_buckets", "shard", "words", "codes"])
+
+    return local.select("shard", "words").mapInArrow(
+        deal, "bucket long, n_buckets long, shard long, words array<string>, codes binary")
+
+
+def _numbers(group: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """A bucket's words in order, the number of each, and the number of every entry."""
+    words = pa.concat_arrays([c.flatten() for c in group["words"].chunks])
+    flat = pc.dictionary_encode(words)
+    order = pc.sort_indices(flat.dictionary).to_numpy()
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order)) * group["n_buckets"][0].as_py() + group["bucket"][0].as_py()
+    return flat.dictionary, number, number[flat.indices.to_numpy()]
+
+
+def dictionary(blocks: DataFrame) -> DataFrame:
+    """``word, word_id``: the global dictionary; equal for equal blocks however they are dealt out."""
+    def run(group: pa.Table) -> pa.Table:
+        words, number, _ = _numbers(group)
+        return pa.table({"word": words, "word_id": number})
+
+    return blocks.groupBy("bucket").applyInArrow(run, "word string, word_id long")
 
 
-def csr_shards(local: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+def csr_shards(local: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
     """Shards of the document-term matrix over the global dictionary: ``indptr`` (int64),
-    ``indices`` (int64 word ids, rising within a row) and ``counts`` (int32), and the rows' ``docs``.
-    ``local``: written ``local_shards``; ``numbers``: its ``dictionary``, made here if not given."""
-    words = local.select("shard", F.posexplode("words").alias("code", "word"))
-    columns = words.join(numbers or dictionary(words), "word").select(F.col("shard").alias("_shard"), "code", "word_id")
+    ``indices`` (int64 word ids) and ``counts`` (int32), and the rows' ``docs``.
+    ``local``: written ``local_shards``; ``blocks``: its ``word_blocks``, made here if not given."""
+    def look_up(group: pa.Table) -> pa.Table:
+        _, _, ids = _numbers(group)
+        size = pc.list_value_length(group["words"]).to_numpy()
+        return pa.table({"_shard": group["shard"], "codes": group["codes"],
+                         "ids": pa.array([i.astype("<i8").tobytes() for i in np.split(ids, np.cumsum(size)[:-1])], pa.binary())})
 
     def renumber(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = np.zeros(right.num_rows, np.int64)
-        ids[right["code"].to_numpy()] = right["word_id"].to_numpy()
+        codes, ids = (np.frombuffer(b"".join(right[c].to_pylist()), t) for c, t in (("codes", "<i4"), ("ids", "<i8")))
+        by_code = np.zeros(len(ids), np.int64)
+        by_code[codes] = ids
         out = []
         for raw, ptr, counts in zip(*(left[c].to_pylist() for c in ("indices", "indptr", "counts"))):
-            ptr = np.frombuffer(ptr, "<i8")
-            row = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-            at = ids[np.frombuffer(raw, "<i4")]
-            order = np.lexsort((at, row))
-            out.append((at[order].astype("<i8").tobytes(), np.frombuffer(counts, "<i4")[order].tobytes()))
+            n = int(np.frombuffer(ptr, "<i8")[-1])
+            at = by_code[np.cumsum(unpacked(raw, n), dtype=np.int64)] if n else ids
+            out.append((at.astype("<i8").tobytes(), unpacked(counts, n).tobytes()))
         return pa.table({"shard": left["shard"], "indptr": left["indptr"], "indices": pa.array([o[0] for o in out], pa.binary()),
                          "counts": pa.array([o[1] for o in out], pa.binary()), "docs": left["docs"]})
 
+    columns = (blocks or word_blocks(local)).groupBy("bucket").applyInArrow(look_up, "_shard long, codes binary, ids binary")
     matrix = local.select("shard", "indptr", "indices", "counts", "docs")
     return matrix.groupBy("shard").cogroup(columns.groupBy("_shard")).applyInArrow(renumber, _CSR)
 
