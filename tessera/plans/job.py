@@ -25,9 +25,11 @@ from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import predict_named, score_batch
 from tessera.plans.models import NetSpec, rule_warnings
+from tessera.plans.rounds import barrier_slots
 from tessera.plans.training import (ModelState, drop_training_rows, feature_bytes, new_model,
-                                    prepare_training_rows, read_metrics, train_fit)
+                                    prepare_training_rows, train_fit)
 from tessera.session import delete_path, materialize, scratch_path
+from tessera.sources.metrics import read_metrics
 from tessera.sources.tensors import pack_tensors
 
 
@@ -46,6 +48,14 @@ class JobConfig:
     materialize_examples: bool = True  # decode/resize once; later passes read columns of a file
     pack_tensors: bool = True          # numeric arrays travel as flat float32 bytes
     run_id: str = "run"
+    metrics_every: int = 1             # keep the metrics of every n-th batch (a score listener's frequency)
+    save_path: str | None = None       # model store that gets the trained model as its next version
+    checkpoint_path: str | None = None  # rounds stay here, and ``resume`` goes on from them
+    resume: bool = False
+
+
+# Where a run leaves things is no parameter of the model: not in the report.
+_NOT_REPORTED = ("metrics_every", "save_path", "checkpoint_path", "resume")
 
 
 @dataclass
@@ -127,12 +137,13 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     scratch.append(scratch_path(spark, "train-rows"))
     rows = prepare_training_rows(train, cfg.batch_size, cfg.workers, cfg.averaging_frequency,
                                  table_name=table_name, row_bytes=feature_bytes(ex, "features"),
-                                 path=scratch[-1])
+                                 path=scratch[-1], slots=barrier_slots(spark, cfg.workers))
 
     t0 = time.time()
     scratch.append(scratch_path(spark, "metrics"))
     model, metrics_path = train_fit(spec, rows, cfg.epochs, new_model(spec), weighted=cfg.weighted_average,
-                                    metrics_path=scratch[-1], run_id=cfg.run_id)
+                                    metrics_path=scratch[-1], run_id=cfg.run_id, checkpoint_path=cfg.checkpoint_path,
+                                    resume=cfg.resume, metrics_every=cfg.metrics_every, save_path=cfg.save_path)
     train_ms = int((time.time() - t0) * 1000)
     drop_training_rows(spark, table_name)
 
@@ -151,7 +162,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     total_ms = int((time.time() - t_total) * 1000)
 
     shape = dict(zip(("channels", "height", "width") if len(spec.input_shape) == 3 else ("inputs",), spec.input_shape))
-    params = {k: str(v) for k, v in {**asdict(cfg), **shape, "num_labels": n_labels, "iterations": spec.rules.iterations}.items()}
+    params = {k: str(v) for k, v in {**{k: v for k, v in asdict(cfg).items() if k not in _NOT_REPORTED}, **shape, "num_labels": n_labels, "iterations": spec.rules.iterations}.items()}
     report_row = {
         "run_id": cfg.run_id, "model": spec.name, "params": params,
         "warnings": rule_warnings(spec),

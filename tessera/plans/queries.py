@@ -31,9 +31,11 @@ from tessera.operators.scoring import score_batch as score_rows
 from tessera.plans import formula
 from tessera.plans.models import NetSpec, Output, Rules, small_dense_net
 from tessera.plans.training import (ModelState, drop_training_rows, full_batch_step, load_trained, new_model,
-                                    prepare_training_rows, read_metrics, run_round, save_trained)
+                                    prepare_training_rows, run_round)
 from tessera.plans.training import train_fit as fit_rounds
-from tessera.session import scratch_path, table
+from tessera.plans.rounds import barrier_slots
+from tessera.session import delete_path, scratch_path, table
+from tessera.sources.metrics import read_metrics
 from tessera.sources.tensors import embeddings, tensor_stats
 
 # Fixed values of the query set: the original job's seed and share, the
@@ -357,15 +359,19 @@ def _regression(updater: str, lr: float, **rules) -> NetSpec:
     return replace(_softmax_regression(), rules=Rules(updater=updater, lr=lr, init="normal", init_std=0.0, **rules))
 
 
-def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str):
-    """Averaged training of ``spec`` on the train split: (model, metrics folder)."""
+def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str, save_path: str | None = None):
+    """Averaged training of ``spec`` on the train split: (model, metrics folder). The
+    training rows are deleted once the model is there."""
     train = split_side(_emb(spark, sf_dir), "id", "train", TRAIN_SHARE, SEED, positions=True)
-    name = f"tessera_train_{uuid.uuid4().hex[:12]}"
-    rows = prepare_training_rows(train, BATCH, _workers(spark, sf_dir), AVG_FREQ, table_name=name)
+    name, workers = f"tessera_train_{uuid.uuid4().hex[:12]}", _workers(spark, sf_dir)
+    folder = scratch_path(spark, "train-rows")
+    rows = prepare_training_rows(train, BATCH, workers, AVG_FREQ, table_name=name, path=folder,
+                                 slots=barrier_slots(spark, workers))
     try:
-        return fit_rounds(spec, rows, epochs, run_id=run_id)
+        return fit_rounds(spec, rows, epochs, run_id=run_id, save_path=save_path)
     finally:
         drop_training_rows(spark, name)
+        delete_path(spark, folder)
 
 
 def train_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,11 +390,10 @@ def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of an RMSProp epoch, saved with their spec and read back."""
-    spec = _regression("rmsprop", 0.05)
-    model, _ = _trained(spark, sf_dir, spec, 1, "model_roundtrip")
-    path = scratch_path(spark, "model")
-    save_trained(spark, spec, model, path)
+    spec, path = _regression("rmsprop", 0.05), scratch_path(spark, "model")
+    _trained(spark, sf_dir, spec, 1, "model_roundtrip", save_path=path)
     back_spec, back = load_trained(spark, path)
+    delete_path(spark, path)
     if back_spec != spec:
         raise AssertionError("the saved spec does not round-trip")
     return _model_rows(spark, back)

@@ -1,14 +1,16 @@
 """Data-parallel training with periodic parameter averaging.
 
-One *round*: the current model is broadcast; every worker group (an
-``applyInPandas`` grouped by the worker's bucket key) runs up to ``k``
-mini-batches of the round from that model; the resulting parameters (and
-updater state) are averaged by ``param_average``; the averaged model returns
-to the driver for the next round. Only the model crosses the driver -- its
-size is fixed by the spec, not by the data. Training rows are written once,
-in round groups and bucketed one worker per bucket, so each round reads only
-its own rows (partition and row-group pruning) and groups them without an
-exchange.
+One *round*: every worker runs up to ``k`` mini-batches of the round from the
+current model; the resulting parameters (and updater state) are averaged over
+the workers. An epoch is one Spark job: a barrier stage whose tasks run all its
+rounds and exchange the model through the shared folder (``rounds``), so the
+model reaches the driver only at the end of the fit. Training rows are written
+once, bucketed by task slot, so an epoch reads them without an exchange.
+
+Where a barrier stage can't run (dynamic allocation, or more buckets than task
+slots) a round is a job of its own: the model is broadcast, worker groups fit in
+``applyInPandas``, ``param_average`` averages, and the model returns to the
+driver; it reads only the round's rows (partition and row-group pruning).
 
 Every random draw inside a worker comes from a generator seeded with
 (seed, epoch, round, worker, batch): a retried task reproduces the same
@@ -19,10 +21,12 @@ from __future__ import annotations
 
 import math
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +34,12 @@ from pyspark.sql import types as T
 from tessera.functions import layers as L
 from tessera.operators.averaging import CHUNK, param_average, param_sum
 from tessera.operators.batching import MAX_WORKERS, batch_assign
+from tessera.plans import model_store
+from tessera.plans import rounds as R
 from tessera.plans.models import (SLICE_ROWS, NetSpec, backward, batch_input, effective_l2, forward,
                                   init_params, layer_shapes)
-from tessera.session import collect_arrow, create_arrow, materialize, scratch_path
+from tessera.session import collect_arrow, create_arrow, delete_path, materialize, scratch_path
+from tessera.sources.metrics import ARROW_SCHEMA, METRICS_SCHEMA, read_metrics, write_metrics
 
 
 @dataclass
@@ -117,6 +124,9 @@ def train_batch(spec: NetSpec, model: ModelState, x, y, rng) -> float:
     return score
 
 
+STEP = "__step__"  # the chunk that holds the step
+
+
 # ---- chunks -----------------------------------------------------------------
 
 def to_chunk_rows(arrays: dict):
@@ -148,7 +158,7 @@ def model_chunks_df(spark, model: ModelState) -> DataFrame:
     """The model as ``param, chunk, values`` rows (updater state included),
     built through Arrow: one model, bounded by its spec."""
     rows = list(to_chunk_rows({**model.params, **model.state}))
-    rows.append(("__step__", 0, np.array([float(model.step)])))
+    rows.append((STEP, 0, np.array([float(model.step)])))
     pdf = pd.DataFrame(rows, columns=["param", "chunk", "values"])
     return create_arrow(spark, pdf, "param string, chunk int, values array<double>")
 
@@ -156,8 +166,8 @@ def model_chunks_df(spark, model: ModelState) -> DataFrame:
 def model_from_chunks(spec: NetSpec, rows) -> ModelState:
     shapes = param_shapes(spec)
     rows = list(rows)
-    step = [int(_as_array(v)[0]) for n, _, v in rows if n == "__step__"]
-    arrays = from_chunk_rows([r for r in rows if r[0] != "__step__"],
+    step = [int(_as_array(v)[0]) for n, _, v in rows if n == STEP]
+    arrays = from_chunk_rows([r for r in rows if r[0] != STEP],
                              {**shapes, **{f"{p}:{k}": s for k, s in shapes.items() for p in "sv"}})
     # Chunks travel and average in float64; compute resumes in the spec's type.
     params = {k: v.astype(spec.dtype, copy=False) for k, v in arrays.items() if ":" not in k}
@@ -172,27 +182,35 @@ def model_from_chunks(spec: NetSpec, rows) -> ModelState:
 ROUND_SCHEMA = "worker int, param string, chunk int, values binary, value_bytes int, examples long, step long"
 METRICS_PREFIX = "__metrics__/"
 METRIC_FIELDS = 4  # batch, examples, score, step
-METRICS_SCHEMA = ("run_id string, epoch int, round long, worker int, batch long, examples long, "
-                  "score double, step long")
-METRICS_FLUSH_ROWS = 100_000  # driver-side buffer bound before an append to the sink
+
+
+def fit_worker(spec: NetSpec, model: ModelState, pdf: pd.DataFrame, epoch: int, round_: int, worker: int,
+               feature_col: str = "features", label_col: str = "label_idx") -> tuple[int, list]:
+    """A worker's batches of one round, in order, on ``model`` in place: examples seen, and
+    (batch, examples, score, step) of each batch."""
+    metrics, examples = [], 0
+    for batch_id, g in pdf.sort_values(["batch_id", "pos"]).groupby("batch_id", sort=True):
+        x, y = batch_arrays(spec, g, feature_col, label_col)
+        rng = np.random.default_rng([spec.seed, epoch, round_, worker, int(batch_id)])
+        score = train_batch(spec, model, x, y, rng)
+        examples += len(y)
+        metrics.append((int(batch_id), len(y), float(score), model.step))
+    return examples, metrics
 
 
 def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, round_: int,
-            emit_metrics: bool = True):
+            emit_metrics: bool = True, metrics_root: str | None = None, run_id: str = "run"):
     def fit(key, pdf):
-        worker = int(pdf["worker"].iloc[0])  # groups are workers (by worker or by its bucket key)
+        worker = int(pdf["worker"].iloc[0])  # groups are workers
         base = bc.value
         model = ModelState({k: v.copy() for k, v in base.params.items()},
                            {k: v.copy() for k, v in base.state.items()}, base.step)
-        pdf = pdf.sort_values(["batch_id", "pos"])
-        metrics = []
-        examples = 0
-        for batch_id, g in pdf.groupby("batch_id", sort=True):
-            x, y = batch_arrays(spec, g, feature_col, label_col)
-            rng = np.random.default_rng([spec.seed, epoch, round_, worker, int(batch_id)])
-            score = train_batch(spec, model, x, y, rng)
-            examples += len(y)
-            metrics += [float(batch_id), float(len(y)), score, float(model.step)]
+        examples, told = fit_worker(spec, model, pdf, epoch, round_, worker, feature_col, label_col)
+        if metrics_root:  # a repeated task replaces its file by an equal one
+            rows = [(run_id, epoch, round_, worker, *m) for m in told]
+            R.RoundStore(metrics_root).write_metrics(epoch, round_, worker, pa.table(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW_SCHEMA)], schema=ARROW_SCHEMA))
+        metrics = [float(v) for m in told for v in m]
         # Parameters ship in the compute type (float32 halves the round's shuffle).
         wire = np.dtype(spec.dtype)
         out = [(worker, name, c, vals.astype(wire).tobytes(), wire.itemsize, examples, model.step)
@@ -209,21 +227,23 @@ def _fit_fn(spec: NetSpec, bc, feature_col: str, label_col: str, epoch: int, rou
 def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: str = "features",
               label_col: str = "label_idx", epoch: int = 0, round_: int = 0,
               weighted: bool = False, run_id: str = "run", with_metrics: bool = False,
-              workers: int | None = None):
+              workers: int | None = None, metrics_root: str | None = None):
     """One averaging round over ``rows`` (the rows of this round, with
     ``worker``, ``batch_id``, ``pos``) as a single Spark job: broadcast
     model -> per-worker fit -> vector mean per chunk -> averaged chunks
     (model-sized) to the driver. Returns the new model, and with
     ``with_metrics`` also the round's metric tuples (one per batch; without
-    them no per-worker rows reach the driver). ``workers`` (the number of
+    them no per-worker rows reach the driver; with ``metrics_root`` the tasks leave them
+    in that round folder instead). ``workers`` (the number of
     worker ids) shapes the averaging tree."""
     spark = rows.sparkSession
     bc = spark.sparkContext.broadcast(model)
     try:
-        group_col = "wkey" if "wkey" in rows.columns else "worker"
-        out = (rows.select(*{group_col, "worker"}, "batch_id", "pos", feature_col, label_col)
-               .groupBy(group_col)
-               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_, with_metrics),
+        # Rows bucketed by ``wkey`` are grouped where they are.
+        by = ["wkey", "worker"] if "wkey" in rows.columns else ["worker"]
+        out = (rows.select(*by, "batch_id", "pos", feature_col, label_col)
+               .groupBy(*by)
+               .applyInPandas(_fit_fn(spec, bc, feature_col, label_col, epoch, round_, with_metrics, metrics_root, run_id),
                               ROUND_SCHEMA))
         averaged = param_average(out, weight_col="examples" if weighted else None, fanin_col="worker",
                                  fanin_workers=workers or 1, max_col="step")
@@ -248,12 +268,6 @@ def run_round(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: st
     return (new, metrics) if with_metrics else new
 
 
-def _append_metrics(spark, rows: list, path: str) -> None:
-    if rows:
-        spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append") \
-            .partitionBy("run_id").parquet(path)
-
-
 TARGET_FILE_BYTES = 128 << 20  # training-table files of about this size
 MIN_ROW_GROUP_BYTES = 1 << 20
 
@@ -289,13 +303,14 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
                           averaging_frequency: int, rn_col: str = "split_rn",
                           bucketed: bool = True, table_name: str | None = None,
                           feature_col: str = "features", row_bytes: int | None = None,
-                          path: str | None = None) -> DataFrame:
+                          path: str | None = None, slots: int | None = None) -> DataFrame:
     """Batches of the training rows, written once so that each round reads
     only its own rows.
 
     ``bucketed`` (default) writes an external table under the checkpoint
-    folder, bucketed by ``wkey`` (one bucket per worker, see ``worker_keys``):
-    every round's grouping then reads co-located buckets with no exchange, so across all epochs the
+    folder, bucketed by ``wkey`` (see ``worker_keys``): one bucket per task slot, which takes
+    the workers congruent to it (``slots``: ``rounds.barrier_slots``; by default a slot per worker).
+    Every epoch then reads co-located buckets with no exchange, so across all epochs the
     training data is shuffled only here. Folders hold ``rounds_per_group``
     consecutive rounds (``round_group``), sized so a (group, worker) file is
     about ``TARGET_FILE_BYTES``: the file count is about data / 128 MB, not
@@ -308,17 +323,19 @@ def prepare_training_rows(examples: DataFrame, batch_size: int, workers: int,
     expensive plan: measuring it reads a row of ``examples``, which for a
     ranked split would run its shuffle an extra time."""
     spark = examples.sparkSession
-    per_file_round = batch_size * averaging_frequency * (row_bytes or feature_bytes(examples, feature_col))
+    slots = slots or workers
+    per_file_round = batch_size * averaging_frequency * -(-workers // slots) * (row_bytes or feature_bytes(examples, feature_col))
     group = max(1, TARGET_FILE_BYTES // per_file_round)
     batched = (batch_assign(examples, rn_col, batch_size, workers, averaging_frequency)
                .withColumn("rounds_per_group", F.lit(group).cast("long"))
                .withColumn("round_group", F.floor(F.col("round") / group).cast("long"))
-               .join(F.broadcast(worker_keys(spark, workers)), "worker")
+               .withColumn("slot", (F.col("worker") % slots).cast("int"))
+               .join(F.broadcast(worker_keys(spark, slots).withColumnRenamed("worker", "slot")), "slot")
                .repartition("round_group", "wkey"))
     if not bucketed:
         return materialize(batched, "train-rows", partition_by=["round_group"], path=path)
     name = table_name or f"tessera_train_{uuid.uuid4().hex[:12]}"
-    (batched.write.partitionBy("round_group").bucketBy(workers, "wkey").sortBy("round", "batch_id", "pos")
+    (batched.write.partitionBy("round_group").bucketBy(slots, "wkey").sortBy("round", "worker", "batch_id", "pos")
      .option("parquet.block.size", str(max(MIN_ROW_GROUP_BYTES, per_file_round)))
      .option("path", path or scratch_path(spark, "train-rows")).saveAsTable(name))
     return spark.table(name)
@@ -342,103 +359,107 @@ def every_nth_batch(metrics: DataFrame, freq: int) -> DataFrame:
     return metrics.filter(F.col("batch") % freq == 0)
 
 
-def read_metrics(spark, path: str) -> DataFrame:
-    """The metrics sink (empty, with its schema, if nothing was written)."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(METRICS_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], METRICS_SCHEMA)
-
-
-def save_trained(spark, spec: NetSpec, model: ModelState, path: str) -> None:
-    """A trained model with its spec: ``path/chunks`` (Parquet) and ``path/spec`` (one JSON row)."""
-    from tessera.plans.models import spec_to_json
-    model_chunks_df(spark, model).write.mode("overwrite").parquet(f"{path}/chunks")
-    spark.createDataFrame([(spec_to_json(spec),)], "spec string").coalesce(1).write.mode("overwrite") \
-        .parquet(f"{path}/spec")
-
+def save_trained(spark, spec: NetSpec, model: ModelState, path: str, info: dict | None = None) -> int:
+    """Save a trained model with its spec as the next version of the store at ``path``."""
+    rows = [(n, c, v.tobytes()) for n, c, v in to_chunk_rows({**model.params, **model.state})]
+    rows.append((STEP, 0, np.float64(model.step).tobytes()))
+    chunks = create_arrow(spark, pd.DataFrame(rows, columns=["param", "chunk", "values"]), model_store.CHUNK_COLUMNS)
+    return model_store.save_version(spark, spec, chunks, model.step, path, info)
 
-def load_trained(spark, path: str):
-    """``(spec, model)`` saved by ``save_trained``."""
-    from tessera.plans.models import spec_from_json
-    spec = spec_from_json(spark.read.parquet(f"{path}/spec").first()["spec"])
-    rows = collect_arrow(spark.read.parquet(f"{path}/chunks")).itertuples(index=False)  # one model
-    return spec, model_from_chunks(spec, [(r.param, r.chunk, r.values) for r in rows])
 
+def load_trained(spark, path: str, version: int | None = None):
+    """``(spec, model)`` of a saved version (the newest by default); see ``model_store``."""
+    spec, _, rows = model_store.open_version(spark, path, version)
+    return spec, model_from_chunks(spec, rows)
 
-def save_model(spark, model: ModelState, path: str, epoch: int, round_: int) -> None:
-    """Append the model (chunks, updater state, step) as checkpoint (epoch, round)."""
-    (model_chunks_df(spark, model).withColumn("epoch", F.lit(epoch)).withColumn("round", F.lit(round_).cast("long"))
-     .write.mode("append").partitionBy("epoch", "round").parquet(path))
 
-
-def latest_model(spark, spec: NetSpec, path: str):
-    """``(model, epoch, round)`` of the newest checkpoint under ``path``, or None.
-    A checkpoint becomes visible only when its write job commits."""
-    from pyspark.errors import AnalysisException
+@contextmanager
+def _bucketed_scan(spark):
+    """Spark reads a bucketed table bucket by bucket here, though no join asks for it."""
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
     try:
-        saved = spark.read.parquet(path)
-        last = saved.select("epoch", "round").distinct().orderBy(F.desc("epoch"), F.desc("round")).first()
-    except AnalysisException:
-        return None
-    if last is None:
-        return None
-    one = saved.filter((F.col("epoch") == last["epoch"]) & (F.col("round") == last["round"])) \
-        .select("param", "chunk", "values")
-    rows = collect_arrow(one).itertuples(index=False)  # one model: bounded by the spec
-    return model_from_chunks(spec, [(r.param, r.chunk, r.values) for r in rows]), int(last["epoch"]), int(last["round"])
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: ModelState | None = None,
               feature_col: str = "features", label_col: str = "label_idx", weighted: bool = False,
               metrics_path: str | None = None, run_id: str = "run", checkpoint_path: str | None = None,
-              checkpoint_every: int | None = None, resume: bool = False):
+              checkpoint_every: int | None = None, resume: bool = False, barrier: bool | None = None,
+              metrics_every: int = 1, on_round=None, save_path: str | None = None):
     """Epochs of rounds over prepared training rows (see
     ``prepare_training_rows``). Returns ``(model, metrics_path)``.
 
-    Per-batch metrics are appended to a Parquet sink (partitioned by
-    ``run_id``) in bounded batches. With ``checkpoint_every`` the model is
-    saved every that many rounds under ``checkpoint_path`` (metrics are then
-    flushed at the same points), and ``resume`` continues after the newest
-    checkpoint -- a restarted driver loses at most ``checkpoint_every`` rounds."""
+    An epoch is one barrier job where the rows' buckets fit the session's task slots
+    (``barrier`` forces either way), else a job per round. Rounds leave the model in
+    ``checkpoint_path`` (every round in a barrier job, else every ``checkpoint_every`` rounds and
+    at an epoch's end), and ``resume`` continues after the newest complete one, be it in the
+    middle of an epoch. Per-batch metrics (of every ``metrics_every``-th batch) are committed to
+    the sink once per epoch by the executors. Without a ``checkpoint_path`` the rounds are
+    deleted at the end. With ``save_path`` executors save the model there as the next version
+    (``model_store``). ``on_round``: see ``rounds.epoch_metrics``."""
     spark = train_rows.sparkSession
     model = model or new_model(spec)
     metrics_path = metrics_path or scratch_path(spark, "metrics")
-    if checkpoint_every and not checkpoint_path:
-        checkpoint_path = scratch_path(spark, f"model-{run_id}")
-    grouped = "rounds_per_group" in train_rows.columns
+    root = checkpoint_path or scratch_path(spark, f"rounds-{run_id}")
+    grouped, slotted = ("rounds_per_group" in train_rows.columns), ("slot" in train_rows.columns and "wkey" in train_rows.columns)
     top = train_rows.agg(F.max("round").alias("r"), F.max("worker").alias("w"),
                          (F.max("rounds_per_group") if grouped else F.lit(None)).alias("g")).first()
-    n_rounds = -1 if top["r"] is None else int(top["r"])
-    workers = 1 if top["w"] is None else int(top["w"]) + 1
+    if top["r"] is None:  # no rows: the model is unchanged
+        if save_path:
+            save_trained(spark, spec, model, save_path, {"run_id": run_id})
+        return model, metrics_path
+    n_rounds, workers = int(top["r"]) + 1, int(top["w"]) + 1
     per_group = int(top["g"]) if top["g"] is not None else None
-    start_epoch, start_round = 0, 0
-    if resume and checkpoint_path:
-        found = latest_model(spark, spec, checkpoint_path)
-        if found is not None:
-            model, e, r = found
-            start_epoch, start_round = (e, r + 1) if r < n_rounds else (e + 1, 0)
-    buffer: list = []
-    done = 0
-    for epoch in range(start_epoch, epochs):
-        for r in range(start_round if epoch == start_epoch else 0, n_rounds + 1):
-            rows = rows_of_round(train_rows, r, per_group)
-            model, metrics = run_round(spec, model, rows, feature_col, label_col, epoch, r, weighted,
-                                       run_id, with_metrics=True, workers=workers)
-            buffer += metrics
-            done += 1
-            if checkpoint_every and done % checkpoint_every == 0:
-                _append_metrics(spark, buffer, metrics_path)
-                buffer = []
-                save_model(spark, model, checkpoint_path, epoch, r)
-            elif not checkpoint_every and len(buffer) >= METRICS_FLUSH_ROWS:
-                _append_metrics(spark, buffer, metrics_path)
-                buffer = []
-    _append_metrics(spark, buffer, metrics_path)
+    layout, store = R.Layout(spec, param_shapes(spec)), R.RoundStore(root)
+    last = store.last() if resume else None
+    if last is None:
+        store.write_slice(0, -1, 0, 1, layout.pack(model.params, model.state), model.step)
+        last = (0, -1)
+    # An epoch whose metrics wait in the folder isn't committed yet, even if all its rounds are complete.
+    open_ = last[1] < n_rounds - 1 or R.metrics_wait(root, last[0])
+    start_epoch, start_round = last if open_ else (last[0] + 1, -1)
+
+    def fit(params, state, step, table, epoch, round_, worker):
+        m = ModelState(params, state, step)
+        examples, metrics = fit_worker(spec, m, table.to_pandas(), epoch, round_, worker, feature_col, label_col)
+        return m.params, m.state, m.step, examples, metrics
+
+    with _bucketed_scan(spark):
+        slots = train_rows.select("wkey").rdd.getNumPartitions() if slotted else None
+        if barrier is None:
+            barrier = slots is not None and slots <= (R.barrier_slots(spark, workers) or 0)
+        for epoch in range(start_epoch, epochs):
+            if barrier:
+                rows = train_rows.select("round", "worker", "batch_id", "pos", feature_col, label_col)
+                told = R.epoch_metrics(spec, layout, rows, root, epoch, n_rounds, fit, run_id, slots, weighted, on_round)
+                # Behind an exchange the barrier stage is no result stage, which Spark wouldn't repeat.
+                told = told.repartition("worker")
+            else:
+                model = _state(layout, *store.read_model(*store.last()))
+                for r in range(start_round + 1 if epoch == start_epoch else 0, n_rounds):
+                    model = run_round(spec, model, rows_of_round(train_rows, r, per_group), feature_col, label_col, epoch, r,
+                                      weighted, run_id, workers=workers, metrics_root=root)
+                    if r == n_rounds - 1 or (checkpoint_every and (r + 1) % checkpoint_every == 0):
+                        store.write_slice(epoch, r, 0, 1, layout.pack(model.params, model.state), model.step)
+                told = R.told_metrics(spark, root, epoch)
+            write_metrics(told, metrics_path, run_id, epoch, metrics_every)
+            R.clean_up(root, epoch)
+    model = _state(layout, *store.read_model(*store.last()))
+    if save_path:
+        model_store.save_version(spark, spec, R.model_chunks(spark, layout, root, CHUNK), model.step, save_path, {"run_id": run_id})
+    if not checkpoint_path:
+        delete_path(spark, root)
     return model, metrics_path
 
 
+def _state(layout: R.Layout, vector: np.ndarray, step: int) -> ModelState:
+    return ModelState(*layout.unpack(vector), step)
+
+
 # ---- full-batch gradient ----------------------------------------------------
 
 def full_batch_step(spec: NetSpec, model: ModelState, rows: DataFrame, feature_col: str = "features",
