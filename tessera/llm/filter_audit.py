@@ -48,7 +48,7 @@ DISTINCT_PERCENT = 80
 CAPITAL_PERCENT = 10
 SYMBOLS = "#$%&*|"
 SHARD_BYTES = 4 << 20
-BUCKET_WORDS = 1 << 20
+BUCKET_WORDS = 1 << 18
 _MIX = np.random.default_rng(0).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 DOC = "struct<doc_id:bigint,part:string,digest:string,chars:bigint,capitals:bigint,symbols:bigint>"
@@ -201,6 +201,7 @@ def csr_shards(local: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
     ``local``: written ``local_shards``; ``blocks``: its ``word_blocks``, made here if not given."""
     def look_up(group: pa.Table) -> pa.Table:
         _, _, ids = _numbers(group)
+        pa.default_memory_pool().release_unused()
         size = pc.list_value_length(group["words"]).to_numpy()
         return pa.table({"_shard": group["shard"], "codes": group["codes"],
                          "ids": pa.array([i.astype("<i8").tobytes() for i in np.split(ids, np.cumsum(size)[:-1])], pa.binary())})
