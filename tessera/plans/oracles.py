@@ -6,7 +6,7 @@ columns, types and (rounded) values as the Spark query of the same key.
 
 from __future__ import annotations
 
-from tessera.plans.training_oracles import PLACED, TRAINING_ORACLES
+from tessera.plans.training_oracles import PLACED, TRAINING_ORACLES, image_report
 
 KEY = "md5('42:' || CAST(vec_id AS VARCHAR))"
 
@@ -110,6 +110,19 @@ SELECT k, CAST(i AS INTEGER) AS i, round(value, 6) AS value FROM b"""
 PIXELS = f"""{X},
 px AS (SELECT vec_id, label, i, least(greatest(floor((v + 1) * 127.5 + 0.5), 0), 255) AS p FROM x)"""
 
+# Grey level of the derived colour images: blue, green, red by the BT.601 luma weights.
+GREY = "(0.114::DOUBLE * ((7 * p + px.i) % 256) + 0.587::DOUBLE * (255 - p) + 0.299::DOUBLE * p)"
+
+
+def axis_weights(name: str, n_in: int, n_out: int) -> str:
+    """CTE ``name(o, i, w)``: bilinear weights with half-pixel centres along one axis."""
+    pos = f"greatest(0, least({n_in - 1}, (range + 0.5)::DOUBLE * ({n_in}::DOUBLE / {n_out}) - 0.5))"
+    return f"""{name} AS (
+  SELECT o, i, sum(w) AS w FROM (
+    SELECT range AS o, unnest([floor({pos}), least(floor({pos}) + 1, {n_in - 1})]) AS i,
+           unnest([1 - ({pos} - floor({pos})), {pos} - floor({pos})]) AS w FROM range({n_out})) GROUP BY o, i)"""
+
+
 ORACLES = {
     "tensor_scan": """
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_values,
@@ -222,6 +235,21 @@ FROM px GROUP BY vec_id, label""",
 SELECT vec_id, CAST(i // 8 // 2 AS INTEGER) AS y, CAST(i % 8 // 2 AS INTEGER) AS x, round(avg(p) / 255, 6) AS value
 FROM px GROUP BY vec_id, i // 8 // 2, i % 8 // 2""",
 
+    "image_resize_up": f"""WITH {PIXELS}, {axis_weights('wy', 8, 11)}, {axis_weights('wx', 8, 5)}
+SELECT vec_id, CAST(c.range AS INTEGER) AS c, CAST(wy.o AS INTEGER) AS y, CAST(wx.o AS INTEGER) AS x,
+       round(sum(wy.w * wx.w * p) / 255, 6) AS value
+FROM px JOIN wy ON wy.i = px.i // 8 JOIN wx ON wx.i = px.i % 8, range(3) c GROUP BY ALL""",
+
+    "image_grey": f"""WITH {PIXELS}, {axis_weights('wy', 8, 3)}, {axis_weights('wx', 8, 13)}
+SELECT vec_id, CAST(wy.o AS INTEGER) AS y, CAST(wx.o AS INTEGER) AS x, round(sum(wy.w * wx.w * {GREY}) / 255, 6) AS value
+FROM px JOIN wy ON wy.i = px.i // 8 JOIN wx ON wx.i = px.i % 8 GROUP BY ALL""",
+
+    "image_train": image_report(f"""{PIXELS.replace('embeddings', 'main.embeddings')}, {axis_weights('wy', 8, 4)}, {axis_weights('wx', 8, 16)},
+embeddings AS (
+  SELECT vec_id, label, list(v ORDER BY j) AS embedding FROM (
+    SELECT vec_id, label, wy.o * 16 + wx.o AS j, sum(wy.w * wx.w * {GREY}) / 255 AS v
+    FROM px JOIN wy ON wy.i = px.i // 8 JOIN wx ON wx.i = px.i % 8 GROUP BY ALL) GROUP BY vec_id, label)"""),
+
     "train_step": CLOSED_FORM,
 
     "train_round": CLOSED_FORM,

@@ -11,6 +11,7 @@ from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -400,75 +401,123 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The original local job's shape on an image folder: Spark writes the
+    """The original local job's shape on image shards: Spark packs the
     tensor table as PNGs, reads and resizes them to LeNet's smallest input
     (20x20, 3 channels, 8-bit), trains LeNet one epoch (batch 18,
     averaging every 5 batches) and evaluates on the test split."""
     from tessera.plans.job import JobConfig, run_job
     from tessera.plans.models import preset
-    from tessera.sources.images import image_id, read_images, to_tensors
-    root = derived_image_folder(spark, sf_dir)
-    imgs = to_tensors(read_images(spark, root, glob="*.png"), 20, 20, 3, as_bytes=True)
+    from tessera.sources.images import image_id, to_tensors
+    imgs = to_tensors(_derived_images(spark, sf_dir), 20, 20, 3, as_bytes=True)
     ex = imgs.select(image_id("path").cast("long").alias("id"), "label", "features")
     spec = preset("LeNet", channels=3, height=20, width=20, num_labels=formula.N_CLASSES).with_scale(1 / 255)
     res = run_job(spark, ex, spec, JobConfig(run_id="image_job", epochs=1, **JOB))
     return _rounded_metrics(res.metrics)
 
 
+def image_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on colour images from shards (8x8 RGB -> 4x16 grey): its report but for the times."""
+    from tessera.plans.job import JobConfig, run_job
+    from tessera.sources.images import image_id, to_tensors
+    imgs = to_tensors(_derived_images(spark, sf_dir, rgb=True), 4, 16, 1, doubles=True)
+    ex = imgs.select(image_id("path").cast("long").alias("id"), "label", "features")
+    spec = _regression("sgd", 0.5).with_scale(1 / 255)
+    cfg = JobConfig(run_id="image_train", epochs=2, pack_tensors=False, **JOB)
+    return _report_columns(run_job(spark, ex, spec, cfg).report)
+
+
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on the tensor table: its report but for the times."""
     from tessera.plans.job import JobConfig, run_job
     ex = _emb(spark, sf_dir).select("id", "label", "features")
-    r = run_job(spark, ex, _regression("sgd", 2.0), JobConfig(run_id="run_report", epochs=3, **JOB)).report
+    return _report_columns(run_job(spark, ex, _regression("sgd", 2.0), JobConfig(run_id="run_report", epochs=3, **JOB)).report)
+
+
+def _report_columns(r: DataFrame) -> DataFrame:
     return r.select("run_id", "model", *[F.col("params")[c].alias(c) for c in ("epochs", "workers", "num_labels")],
                     "n_invalid", "n_unlabelled", "n_test",
                     *[F.round(c, R6).alias(c) for c in ("accuracy", "macro_precision", "macro_recall", "macro_f1", "test_score")])
 
 
-# ---- image folders derived from the tensor table --------------------------------
+# ---- image shards derived from the tensor table ---------------------------------
 
 def _pixels(v):
     """8-bit grey level of a value in [-1, 1]: floor((v + 1) * 127.5 + 0.5), clipped."""
     return F.least(F.greatest(F.floor((v.cast("double") + 1) * 127.5 + 0.5), F.lit(0)), F.lit(255)).cast("int")
 
 
-def derived_image_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Spark writes every ``embeddings`` row as an 8x8 grey PNG under
-    ``<checkpoint>/.../<label>/<vec_id>.png`` and returns the folder."""
-    from tessera.session import scratch_path
-    from tessera.sources.images import write_image_folder
+def derived_shards(spark: SparkSession, sf_dir: str, rgb: bool = False) -> str:
+    """Spark packs every ``embeddings`` row as an 8x8 PNG ``<label>/<vec_id>.png`` (grey; or red p,
+    green 255 - p, blue (7 p + i) mod 256), each beside a ``.jpg`` entry with other pixels, which
+    only the extension filter keeps out. Returns the folder."""
+    from tessera.sources.images import png_bytes
+    from tessera.sources.shards import ENTRY, raw_body, write_shards
+    side = formula.SIDE
     e = table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", F.transform("embedding", _pixels).alias("pixels"))
-    root = scratch_path(spark, "images")
-    write_image_folder(e, root, "vec_id", "label", "pixels", formula.SIDE, formula.SIDE) \
-        .write.format("noop").mode("overwrite").save()
+        F.concat_ws("/", "label", "vec_id").alias("name"), F.transform("embedding", _pixels).alias("pixels"))
+
+    def pack(batches):
+        for b in batches:
+            out = []
+            for name, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                p = np.array(p)
+                px = np.stack([p, 255 - p, (7 * p + np.arange(len(p))) % 256], axis=-1) if rgb else p
+                out.append((f"{name}.png", "png", png_bytes(px.reshape(side, side, 3) if rgb else px.reshape(side, side))))
+                out.append((f"{name}.jpg", "raw", raw_body(side, side, 1, (255 - p).astype(np.uint8).tobytes())))
+            if out:
+                yield pa.record_batch([pa.array(c) for c in zip(*out)], ["path", "kind", "body"])
+
+    root = scratch_path(spark, "shards")
+    write_shards(e.mapInArrow(pack, ENTRY), root)
     return root
 
 
+def _derived_images(spark, sf_dir, rgb=False):
+    from tessera.sources.shards import read_shards
+    return read_shards(spark, derived_shards(spark, sf_dir, rgb), [".png"])
+
+
 def image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.sources.images import image_id, read_images
-    root = derived_image_folder(spark, sf_dir)
-    imgs = read_images(spark, root, glob="*.png")
-    return imgs.select(image_id("path").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
-                       "height", "width", "n_channels", _byte_sum("data").alias("pixel_sum"))
+    from tessera.sources.images import image_id
+    return _derived_images(spark, sf_dir).select(
+        image_id("path").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
+        "height", "width", "n_channels", _byte_sum("data").alias("pixel_sum"))
 
 
 def _byte_sum(col):
     @F.pandas_udf("long")
     def byte_sum(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: int(np.frombuffer(b, dtype=np.uint8).sum(dtype=np.int64)))
+        upto = np.concatenate([[0], np.cumsum(np.frombuffer(b"".join(s), np.uint8), dtype=np.int64)])
+        return pd.Series(np.diff(upto[np.concatenate([[0], np.cumsum([len(b) for b in s], dtype=np.int64)])]))
     return byte_sum(F.col(col))
 
 
+def _resized(images: DataFrame, height: int, width: int, channels: int) -> DataFrame:
+    """Long rows of the resized images, scaled to [0, 1]: vec_id, c, y, x, value."""
+    from tessera.sources.images import image_id, to_tensors
+    t = to_tensors(images, height, width, channels, doubles=True)
+    plane = height * width
+    return (t.select(image_id("path").cast("long").alias("vec_id"),
+                     F.posexplode(A.scale_range("features", 0.0, 255.0, 0.0, 1.0)).alias("i", "value"))
+            .select("vec_id", F.floor(F.col("i") / plane).cast("int").alias("c"),
+                    F.floor(F.col("i") % plane / width).cast("int").alias("y"), (F.col("i") % width).alias("x"),
+                    F.round("value", R6).alias("value")))
+
+
 def image_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode, bilinear resize 8x8 -> 4x4, scale to [0, 1]."""
-    from tessera.sources.images import image_id, read_images, to_tensors
-    root = derived_image_folder(spark, sf_dir)
-    t = to_tensors(read_images(spark, root, glob="*.png"), 4, 4, 1)
-    scaled = A.scale_range("features", 0.0, 255.0, 0.0, 1.0)
-    return (t.select(image_id("path").cast("long").alias("vec_id"), F.posexplode(scaled).alias("i", "value"))
-            .select("vec_id", (F.col("i") / 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"),
-                    F.round("value", R6).alias("value")))
+    return _resized(_derived_images(spark, sf_dir), 4, 4, 1).drop("c")
+
+
+def image_resize_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratios that are no whole numbers, up and down, and grey -> 3 channels: 8x8x1 -> 11x5x3."""
+    return _resized(_derived_images(spark, sf_dir), 11, 5, 3)
+
+
+def image_grey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colour -> grey: 8x8x3 -> 3x13x1."""
+    return _resized(_derived_images(spark, sf_dir, rgb=True), 3, 13, 1).drop("c")
+
 
 QUERIES = {
     "tensor_scan": tensor_scan,
@@ -501,6 +550,9 @@ QUERIES = {
     "duration_text": duration_text_q,
     "image_scan": image_scan,
     "image_resize": image_resize,
+    "image_resize_up": image_resize_up,
+    "image_grey": image_grey,
+    "image_train": image_train,
     "train_fit": train_fit,
     "training_metrics": training_metrics,
     "model_roundtrip": model_roundtrip,

@@ -106,6 +106,12 @@ SELECT 'run_report' AS run_id, 'SoftmaxRegression' AS model, CAST({epochs} AS VA
        round(avg(r), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1, (SELECT round(avg(nll), 6) FROM tp) AS test_score
 FROM f"""
 
+def image_report(examples: str) -> str:
+    """The report of a job on examples made by CTEs that end in one named ``embeddings``."""
+    run = training("sgd", 0.5, 2).replace("RECURSIVE ", f"RECURSIVE {examples},\n", 1)
+    return f"WITH {run}{SCORED.format(epochs=2)}".replace("'run_report'", "'image_train'")
+
+
 TRAINING_ORACLES = {
     "train_fit": f"WITH {training('sgd', 0.5, 2, decay=0.5, decay_steps=7)}\n{WEIGHTS}",
     "training_metrics": f"WITH {training('nesterovs', 0.1, 2, l2=0.01)}{METRICS.format(epochs=2, l2=0.01)}",

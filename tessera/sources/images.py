@@ -2,7 +2,8 @@
 
 Spark's ``image`` source lists and decodes on the executors (data is
 interleaved rows in BGR order). The label is the parent folder's name.
-Resizing and the move to a planar float tensor run in ``mapInPandas``.
+Resizing and the move to a planar float tensor run on stacks of images in ``mapInArrow``.
+At scale, a folder is packed into shards once (``shards``) and read from there.
 """
 
 from __future__ import annotations
@@ -10,15 +11,18 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import file_stem, parent_name
 from tessera.operators.sampling import hash_row_number, seeded_key
+from tessera.sources.files import filesystem
 
 
 def _scan(spark: SparkSession, source: str, root: str, glob: str) -> DataFrame:
@@ -118,38 +122,87 @@ def to_channels(img: np.ndarray, channels: int) -> np.ndarray:
     raise ValueError(f"cannot turn {c} channels into {channels}")
 
 
+def axis_weights(n_in: int, n_out: int) -> np.ndarray:
+    """``[n_out, n_in]`` bilinear weights with half-pixel centres along one axis."""
+    pos = np.clip((np.arange(n_out) + 0.5) * (n_in / n_out) - 0.5, 0, n_in - 1)
+    lo = np.floor(pos).astype(int)
+    out = np.zeros((n_out, n_in))
+    out[np.arange(n_out), lo] += 1 - (pos - lo)
+    out[np.arange(n_out), np.minimum(lo + 1, n_in - 1)] += pos - lo
+    return out
+
+
+def resize_stack(stack: np.ndarray, height: int, width: int) -> np.ndarray:
+    """``[N, H, W, C]`` images resized by one matrix per axis."""
+    n, h, w, c = stack.shape
+    x = stack.astype(np.float64)
+    if h != height:
+        x = np.matmul(axis_weights(h, height), x.reshape(n, h, w * c)).reshape(n, height, w, c)
+    if w != width:
+        x = np.matmul(axis_weights(w, width), x.reshape(n * height, w, c)).reshape(n, height, width, c)
+    return x
+
+
+def stack_channels(stack: np.ndarray, channels: int) -> np.ndarray:
+    """``to_channels`` for a stack ``[N, H, W, C]``."""
+    c = stack.shape[3]
+    if c == 4 and channels in (1, 3):
+        stack, c = stack[..., :3], 3
+    if c == channels:
+        return stack
+    if c == 1 and channels == 3:
+        return np.repeat(stack, 3, axis=3)
+    if c == 3 and channels == 1:
+        return stack @ np.array(LUMA_BGR)[:, None]
+    raise ValueError(f"cannot turn {c} channels into {channels}")
+
+
+STACK_VALUES = 4 << 20  # most pixel values resized at once
+
+
 def to_tensors(images: DataFrame, height: int, width: int, channels: int,
-               keep: list[str] | None = None, as_bytes: bool = False) -> DataFrame:
+               keep: list[str] | None = None, as_bytes: bool = False, doubles: bool = False) -> DataFrame:
     """Decoded images -> ``features``: resized to height x width, ``channels``
-    planes (CHW, BGR as read), values 0..255. Invalid images (height < 1)
-    give NULL features.
+    planes (CHW, BGR as read), values 0..255, as float32 (float64 with ``doubles``). Invalid
+    images (height < 1) give NULL features.
 
+    Images of one size and channel count are resized as one stack, by a matrix per axis.
     ``as_bytes`` keeps the resized pixels as 8-bit ``BINARY`` (rounded, as an
     8-bit reader would): a quarter of the float size for the training table
     and its shuffles; scale them with ``NetSpec.input_scale`` (1/255)."""
     keep = list(keep or ["path", "label"])
-    out_type = T.BinaryType() if as_bytes else T.ArrayType(T.FloatType())
+    value = T.DoubleType() if doubles else T.FloatType()
     schema = T.StructType([f for f in images.select(*keep).schema.fields] +
-                          [T.StructField("features", out_type)])
-
-    def conv(it):
-        for pdf in it:
-            feats = []
-            for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["n_channels"], pdf["data"]):
-                if h is None or h < 1 or data is None:
-                    feats.append(None)
-                    continue
-                img = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
-                out = to_channels(resize_bilinear(img, height, width), channels).transpose(2, 0, 1).reshape(-1)
-                if as_bytes:
-                    feats.append(np.clip(np.floor(out + 0.5), 0, 255).astype(np.uint8).tobytes())
-                else:
-                    feats.append(out.astype(np.float32))
-            res = pdf[keep].copy()
-            res["features"] = pd.Series(feats, dtype=object)
-            yield res
-
-    return images.select(*keep, "height", "width", "n_channels", "data").mapInPandas(conv, schema)
+                          [T.StructField("features", T.BinaryType() if as_bytes else T.ArrayType(value))])
+    size = height * width * channels
+    rows, kind = max(1, STACK_VALUES // size), np.uint8 if as_bytes else np.float64 if doubles else np.float32
+
+    def conv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
+            dims = np.stack([b.column(i).fill_null(-1).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
+            data = b.column(3)
+            good = (dims[:, 0] > 0) & data.is_valid().to_numpy(zero_copy_only=False)
+            out = np.zeros((len(dims), size), kind)
+            for h, w, c in np.unique(dims[good], axis=0).tolist():
+                members = np.flatnonzero(good & (dims == (h, w, c)).all(axis=1))
+                at_once = max(1, STACK_VALUES // (h * w * c))
+                for at in range(0, len(members), at_once):
+                    some = members[at:at + at_once]
+                    stack = np.frombuffer(b"".join(data.take(pa.array(some)).to_pylist()), np.uint8).reshape(len(some), h, w, c)
+                    x = stack_channels(resize_stack(stack, height, width), channels).transpose(0, 3, 1, 2).reshape(len(some), size)
+                    out[some] = np.clip(np.floor(x + 0.5), 0, 255) if as_bytes else x
+            ends = np.concatenate([[0], np.cumsum(np.where(good, size, 0))])
+            null = pa.array(~good)
+            if as_bytes:
+                offsets = pa.array(ends.astype(np.int32))
+                column = pa.Array.from_buffers(pa.binary(), len(dims), [pa.array(good).buffers()[1], offsets.buffers()[1],
+                                                                        pa.py_buffer(out[good].tobytes())])
+            else:
+                column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out[good].reshape(-1)), mask=null)
+            yield pa.RecordBatch.from_arrays([*b.columns[4:], column], names=[*keep, "features"])
+
+    return images.select("height", "width", "n_channels", "data", *[F.col(k).alias(f"_{i}_{k}") for i, k in enumerate(keep)]) \
+        .mapInArrow(conv, schema)
 
 
 # ---- writing image folders (derived data) -----------------------------------
@@ -174,21 +227,21 @@ def write_image_folder(df: DataFrame, root: str, id_col: str, label_col: str, pi
     executors (any filesystem pyarrow can open). Returns ``id, path`` rows;
     a retried task rewrites the same bytes to the same names."""
     def write(it):
-        filesystem, base = _filesystem(root)
+        fs, base = filesystem(root)
         made = set()
         for pdf in it:
             paths = []
             for i, lab, px in zip(pdf[id_col], pdf[label_col], pdf[pixels_col]):
                 folder = f"{base}/{lab}"
                 if folder not in made:
-                    filesystem.create_dir(folder, recursive=True)
+                    fs.create_dir(folder, recursive=True)
                     made.add(folder)
                 path = f"{folder}/{i}.png"
                 # Write then move: a retried or duplicate attempt never leaves a half file.
                 tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-                with filesystem.open_output_stream(tmp) as f:
+                with fs.open_output_stream(tmp) as f:
                     f.write(png_bytes(np.asarray(px).reshape(height, width)))
-                filesystem.move(tmp, path)
+                fs.move(tmp, path)
                 paths.append(path)
             yield pd.DataFrame({id_col: pdf[id_col], "path": paths})
 
@@ -196,15 +249,6 @@ def write_image_folder(df: DataFrame, root: str, id_col: str, label_col: str, pi
     return df.select(id_col, label_col, pixels_col).mapInPandas(write, f"{id_col} {id_type}, path string")
 
 
-def _filesystem(root: str):
-    from pyarrow import fs as pafs
-    if root.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + root[len("file:"):].lstrip("/")
-    if "://" in root:
-        return pafs.FileSystem.from_uri(root)
-    return pafs.LocalFileSystem(), root
-
-
 def image_id(path_col: str = "path"):
     """The file name without extension -- the example id of a written folder."""
     return file_stem(path_col)
