@@ -188,11 +188,14 @@ def epoch_metrics(spec: NetSpec, layout: Layout, rows: DataFrame, root: str, epo
         else:
             done = -1
         lo, hi = (layout.size * i // n for i in (t, t + 1))
-        groups, started = _groups(batches), done + 1
+        groups, started, slot = _groups(batches), done + 1, None
         ahead = next(groups, None)
         for r in range(n_rounds):
             sums, weight, top, metrics = np.zeros(layout.size), 0.0, step, []
             while ahead is not None and ahead[0] == r:
+                if slot not in (None, ahead[1] % n):
+                    raise ValueError("workers of several slots in one task")
+                slot = ahead[1] % n
                 if r > done:
                     params, state = layout.unpack(vector)
                     params, state, at, examples, told = fit_worker(params, state, step, ahead[2], epoch, r, ahead[1])

@@ -434,7 +434,8 @@ def train_fit(spec: NetSpec, train_rows: DataFrame, epochs: int = 1, model: Mode
             barrier = slots is not None and slots <= (R.barrier_slots(spark, workers) or 0)
         for epoch in range(start_epoch, epochs):
             if barrier:
-                rows = train_rows.select("round", "worker", "batch_id", "pos", feature_col, label_col)
+                # Spark reads by bucket only if the bucket column is read.
+                rows = train_rows.select("wkey", "round", "worker", "batch_id", "pos", feature_col, label_col)
                 told = R.epoch_metrics(spec, layout, rows, root, epoch, n_rounds, fit, run_id, slots, weighted, on_round)
                 # Behind an exchange the barrier stage is no result stage, which Spark wouldn't repeat.
                 told = told.repartition("worker")

@@ -50,6 +50,21 @@ def test_barrier_epochs_equal_a_job_per_round(spark, updater, weighted):
     assert len({r[:5] for r in a}) == len(a)  # each (run, epoch, round, worker, batch) once
 
 
+def test_a_task_gets_whole_buckets_however_files_are_split(spark):
+    spec, rows = small_dense_net(5, 3), prepared(spark, workers=7, slots=3)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "500b" if "max" in k else "0b")
+        assert rows.select("features").rdd.getNumPartitions() > 3  # read by file ranges
+        one, _ = train_fit(spec, rows, 1, new_model(spec), barrier=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    many, _ = train_fit(spec, rows, 1, new_model(spec), barrier=False)
+    assert all(np.allclose(one.params[k], many.params[k], atol=1e-12) for k in many.params)
+
+
 def test_jobs_per_epoch_do_not_depend_on_rounds(spark):
     spec = small_dense_net(5, 3)
     sc = spark.sparkContext
