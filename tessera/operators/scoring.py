@@ -1,14 +1,15 @@
 """Distributed scoring: class probabilities and arg-max for every row.
 
 The model is broadcast once (its size is fixed by the spec); rows stream
-through ``mapInPandas`` in Arrow batches, so scoring is one narrow stage
-with no shuffle. Filter and prune *before* calling: the Python stage is
+through ``mapInArrow``, so scoring is one narrow stage with no shuffle, and the
+kept columns pass through untouched (ids stay exact beside NULLs). Filter and prune *before* calling: the Python stage is
 opaque to the optimizer.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,27 +24,29 @@ def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "
     spark = df.sparkSession
     keep = list(keep or [c for c in df.columns if c != feature_col])
     bc = broadcast or spark.sparkContext.broadcast(params)
-    in_schema = df.select(*keep).schema
-    out_schema = T.StructType(list(in_schema.fields) + [
-        T.StructField("probs", T.ArrayType(T.DoubleType())),
-        T.StructField("predicted", T.IntegerType()),
-    ])
+    # Kept columns travel under names of their own: they may repeat the feature column.
+    out_schema = T.StructType(df.select(*keep).schema.fields + [
+        T.StructField("probs", T.ArrayType(T.DoubleType())), T.StructField("predicted", T.IntegerType())])
 
-    def score(it):
+    def score(batches):
         p_ = bc.value
-        for pdf in it:
-            out = pdf[keep].copy()
-            if len(pdf) == 0:
-                out["probs"] = pd.Series([], dtype=object)
-                out["predicted"] = pd.Series([], dtype="int32")
-                yield out
-                continue
-            p = predict(spec, p_, batch_input(spec, pdf[feature_col]))
-            out["probs"] = list(p)
-            out["predicted"] = p.argmax(axis=1).astype("int32")
-            yield out
-
-    return df.select(*keep, feature_col).mapInPandas(score, out_schema)
+        for b in batches:
+            p = predict(spec, p_, batch_input(spec, _rows(b.column(0)))) if b.num_rows else np.zeros((0, 1))
+            ends = pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32())
+            probs = pa.ListArray.from_arrays(ends, pa.array(p.astype(np.float64).reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], probs, pa.array(p.argmax(axis=1).astype(np.int32))],
+                                             names=[*keep, "probs", "predicted"])
+
+    cols = [F.col(feature_col).alias("_x")] + [F.col(k).alias(f"_{i}_{k}") for i, k in enumerate(keep)]
+    return df.select(*cols).mapInArrow(score, out_schema)
+
+
+def _rows(column: pa.Array) -> list:
+    """A feature column as arrays or bytes, one per row."""
+    if pa.types.is_list(column.type):
+        flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        return np.split(flat, ends[:-1])
+    return column.to_pylist()
 
 
 def predict_named(pred: DataFrame, vocab: DataFrame, actual_col: str = "actual",

@@ -37,3 +37,20 @@ def test_parent_name_and_duration(spark):
     assert r.label == "cats"
     assert r.t == "62 min, 3 sec, 456 ms"
     assert r.q == "62 min, 3 sec, 3723456 ms"
+
+
+def test_scoring_keeps_ids_exact_beside_nulls(spark):
+    import numpy as np
+
+    from tessera.operators.scoring import score_batch
+    from tessera.plans.models import predict, small_dense_net
+    from tessera.plans.training import new_model
+    spec = small_dense_net(3, 2)
+    params = new_model(spec).params
+    rows = [(2 ** 53 + 1, None, "a", [1.0, 2.0, 3.0]), (None, 2 ** 53 + 3, None, [0.0, -1.0, 0.5]), (2 ** 53 + 3, 1, "b", [4.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, actual long, note string, features array<double>").coalesce(1)
+    out = score_batch(df, spec, params, keep=["id", "actual", "note"]).collect()
+    assert [(r.id, r.actual, r.note) for r in out] == [r[:3] for r in rows]
+    want = predict(spec, params, np.array([r[3] for r in rows]))
+    assert np.allclose([r.probs for r in out], want) and [r.predicted for r in out] == want.argmax(axis=1).tolist()
+    assert score_batch(df.filter("id = 0"), spec, params, keep=["id"]).collect() == []
