@@ -29,8 +29,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,16 +42,17 @@ END_ID = 0
 BIN = 32
 DEPTH = 4
 RANK_BUCKETS = 64
+PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
 # -- pieces ----------------------------------------------------------------
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, ids (little-endian uint32 bytes);
-    only documents longer than ``capacity`` are cut."""
+    """doc_id, piece, start, length, ids_crc32, ids (little-endian uint32 bytes) and a number of the
+    row (``tag``); only documents longer than ``capacity`` are cut."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc, tag = encoder(tokenizer_path), TaskContext.get().partitionId() << 33
         for batch in rows:
             doc, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in batches(texts):
@@ -60,14 +61,15 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for p, s in enumerate(range(0, len(ids), capacity)):
                         raw = ids[s:s + capacity].tobytes()
-                        out.append((d, p, s, len(raw) // 4, zlib.crc32(raw), raw))
+                        out.append((d, p, s, len(raw) // 4, zlib.crc32(raw), raw, tag))
+                        tag += 1
                 cols = list(zip(*out))
                 yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
                                        pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()),
-                                       pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.binary())],
-                                      ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                                       pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.binary()), pa.array(cols[6], pa.int64())],
+                                      ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "tag"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(docs[text_col]).alias("text")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, tag long")
 
 
 # -- the plan, from the histogram alone -------------------------------------
@@ -227,16 +229,17 @@ def plan_table(plan: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
 # -- assignment ---------------------------------------------------------------
 
 def _ranked(pieces: DataFrame) -> DataFrame:
-    """0-based rank of each piece among those of its length."""
-    tagged = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_BUCKETS)).cast("int"))
+    """0-based rank of each piece among those of its length. Row tags deal the ranks out, so
+    rows that are equal in every other column spread too."""
+    tagged = pieces.withColumn("_b", F.pmod(F.xxhash64("tag"), F.lit(RANK_BUCKETS)).cast("int"))
     before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tagged.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n")).select(
         F.col("length").alias("_len"), F.col("_b").alias("_bb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("length", "_b").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "_b").orderBy("tag")
     return (tagged.withColumn("_rn", F.row_number().over(inside))
             .join(F.broadcast(offsets), (F.col("length") == F.col("_len")) & (F.col("_b") == F.col("_bb")))
             .withColumn("rank", (F.col("_off") + F.col("_rn") - 1).cast("long"))
-            .drop("_b", "_bb", "_len", "_off", "_rn"))
+            .drop("_b", "_bb", "_len", "_off", "_rn", "tag"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -249,22 +252,25 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
 def assign(pieces: DataFrame, capacity: int = CAPACITY, bin_width: int = BIN, depth: int = DEPTH) -> DataFrame:
     """Sequence and offset for a written table of pieces."""
-    thin = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
+    thin = pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "tag")
     counts = np.zeros(capacity + 1, np.int64)
     for r in thin.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[r["length"]] = r["count"]
     table = plan_table(plan_patterns(counts, capacity, bin_width, depth))
     shared = pieces.sparkSession.sparkContext.broadcast(table)
 
-    def place(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
-        for pdf in batches_:
-            at = np.searchsorted(t["key"], (pdf["length"].to_numpy() << 44) | pdf["rank"].to_numpy(), "right") - 1
-            yield pdf.drop(columns="rank").assign(
-                sequence_id=t["sequence"][at] + pdf["rank"].to_numpy() - t["rank"][at], offset=t["offset"][at])
-
-    return _ranked(thin).mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                            "sequence_id long, offset long")
+        for b in batches_:  # ids pass through as they are: beside NULLs pandas would make them doubles
+            length, rank = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("length", "rank"))
+            at = np.searchsorted(t["key"], (length << 44) | rank, "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(b.schema.get_field_index(c)) for c in PIECE_COLUMNS),
+                 pa.array(t["sequence"][at] + rank - t["rank"][at]), pa.array(t["offset"][at])],
+                names=[*PIECE_COLUMNS, "sequence_id", "offset"])
+
+    return _ranked(thin).mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
+                                           "sequence_id long, offset long")
 
 
 def sequences(assigned: DataFrame, pieces: DataFrame) -> DataFrame:

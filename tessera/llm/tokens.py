@@ -10,6 +10,7 @@ started anew when full.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from itertools import chain
@@ -87,14 +88,10 @@ class Encoder:
     def _chunk(key: str) -> str:
         return key[1:] if key[0] == _AS_IS else key if key[0] == "\n" else " " + key
 
-    def _fold(self, chunk: str) -> str:
-        """What the tokenizer's normalizer makes of a plain chunk."""
-        return chunk
-
     def _ids(self, chunks: list[str]) -> list[list[int]]:
         """Ids of each chunk. Plain ones skip the normalizer and the splitting, of
         which they need nothing, and cost a third of a full call."""
-        merge, fold, out, other = self.tokenizer.model.tokenize, self._fold, [], []
+        merge, out, other = self.tokenizer.model.tokenize, [], []
         marks: dict[str, list[int]] = {}  # line feed and punctuation repeat more than words
         for i, c in enumerate(chunks):
             plain = _PLAIN.fullmatch(c)
@@ -103,7 +100,7 @@ class Encoder:
                 other.append(i)
                 continue
             feed, word, mark = plain.groups()
-            ids = [t.id for t in merge(_letters(fold(word)))]
+            ids = [t.id for t in merge(_letters(word))]
             for m in filter(None, (feed, mark)):
                 if m not in marks:
                     marks[m] = [t.id for t in merge(_letters(m))]
@@ -157,8 +154,38 @@ class WordEncoder(Encoder):
     def _chunk(key: str) -> str:
         return key
 
-    def _fold(self, chunk: str) -> str:
-        return chunk.lower()
+    def _reset(self) -> None:
+        super()._reset()
+        self.words: dict[str, list[int]] = {}  # a word's ids, whatever its case and the marks around it
+
+    def _ids(self, chunks: list[str]) -> list[list[int]]:
+        merge, words, out, other = self.tokenizer.model.tokenize, self.words, [], []
+        collecting = gc.isenabled()
+        gc.disable()  # millions of small lists and no cycles: collections would only cost time
+        try:
+            for i, c in enumerate(chunks):
+                plain = _PLAIN.fullmatch(c)
+                if not plain:
+                    out.append([])
+                    other.append(i)
+                    continue
+                feed, word, mark = plain.groups()
+                word = word.lower()
+                if word not in words:
+                    words[word] = [t.id for t in merge(_letters(word))]
+                ids = words[word]
+                if mark:
+                    if mark not in words:
+                        words[mark] = [t.id for t in merge(_letters(mark))]
+                    ids = ids + words[mark]
+                out.append([t.id for t in merge(_letters(feed))] + ids if feed else ids)
+        finally:
+            if collecting:
+                gc.enable()
+        found = self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False)
+        for i, e in zip(other, found):
+            out[i] = e.ids
+        return out
 
 
 def encoder(path: str) -> Encoder:
