@@ -138,6 +138,31 @@ def softmax_nll_backward(p, y, mean=True):
     return d / len(y) if mean else d
 
 
+# Fixed values of the counter-based draws: a prime modulus and two multipliers.
+DRAW_MODULUS, DRAW_STEP, DRAW_MIX = 2 ** 31 - 1, 48271, 69621
+
+
+class Draws:
+    """Uniform numbers in [0, 1) that are a pure function of counters, such as (seed, epoch,
+    round, worker, batch), of how often ``random`` was called, and of the place in its result.
+    Plain integer arithmetic, so that SQL can draw the same numbers. Stands in for a NumPy
+    generator."""
+
+    def __init__(self, *counters: int):
+        self.key, self.calls = 0, 0
+        for c in counters:
+            self.key = (self.key * DRAW_STEP + int(c) + 1) % DRAW_MODULUS
+
+    def random(self, shape) -> np.ndarray:
+        key = (self.key * DRAW_STEP + self.calls + 1) % DRAW_MODULUS
+        self.calls += 1
+        at = np.arange(int(np.prod(shape)), dtype=np.int64)
+        x = (key * DRAW_STEP + at + 1) % DRAW_MODULUS
+        x = x * x % DRAW_MODULUS
+        x = (x * DRAW_MIX + at + 1) % DRAW_MODULUS
+        return (x * x % DRAW_MODULUS / DRAW_MODULUS).reshape(shape)
+
+
 def dropout_mask(shape, keep, rng, dtype=np.float64):
     """Inverted dropout: kept units are scaled by 1/keep (in the activations' type)."""
     dt = np.dtype(dtype)

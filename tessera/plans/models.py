@@ -50,6 +50,12 @@ class Dense:
     std: float | None = None
 
 
+@dataclass(frozen=True)
+class Dropout:
+    name: str
+    rate: float = 0.5  # probability of dropping an input in training
+
+
 @dataclass(frozen=True)
 class Output:
     name: str
@@ -155,6 +161,8 @@ def layer_shapes(spec: NetSpec):
         elif isinstance(ly, LRN):
             _need_spatial(ly, shape)
             out, params = shape, {}
+        elif isinstance(ly, Dropout):
+            out, params = shape, {}
         elif isinstance(ly, (Dense, Output)):
             n_in = int(np.prod(shape))
             out = (ly.out,)
@@ -230,6 +238,10 @@ def forward(spec: NetSpec, params: dict, x: np.ndarray, train: bool = False, rng
         elif isinstance(ly, LRN):
             a, cache = L.lrn_forward(a, ly.k, ly.n, ly.alpha, ly.beta)
             caches.append(("lrn", cache, None))
+        elif isinstance(ly, Dropout):
+            mask = L.dropout_mask(a.shape, 1.0 - ly.rate, rng, a.dtype) if train and ly.rate > 0 else None
+            a = a if mask is None else a * mask
+            caches.append(("drop", mask, None))
         elif isinstance(ly, Dense):
             shape_in = a.shape
             z, xin = L.dense_forward(a.reshape(len(a), -1), params[f"{ly.name}.W"], params[f"{ly.name}.b"])
@@ -283,6 +295,8 @@ def backward(spec: NetSpec, params: dict, caches, p: np.ndarray, y: np.ndarray)
             d = L.maxpool_backward(d, cache)
         elif kind == "lrn":
             d = L.lrn_backward(d, cache)
+        elif kind == "drop" and cache is not None:
+            d = d * cache
     return grads
 
 
@@ -381,7 +395,7 @@ def small_dense_net(n_in: int, n_out: int, hidden: int = 0, lr: float = 0.1,
 
 # ---- spec as data (saved next to a model) ------------------------------------
 
-LAYER_KINDS = {cls.__name__: cls for cls in (Conv, Pool, LRN, Dense, Output)}
+LAYER_KINDS = {cls.__name__: cls for cls in (Conv, Pool, LRN, Dense, Dropout, Output)}
 
 
 def spec_to_json(spec: NetSpec) -> str:

@@ -30,7 +30,7 @@ from tessera.operators.sampling import split_side
 from tessera.operators.scoring import predict_named as name_predictions
 from tessera.operators.scoring import score_batch as score_rows
 from tessera.plans import formula
-from tessera.plans.models import NetSpec, Output, Rules, small_dense_net
+from tessera.plans.models import Dropout, NetSpec, Output, Rules, small_dense_net
 from tessera.plans.training import (ModelState, drop_training_rows, full_batch_step, load_trained, new_model,
                                     prepare_training_rows, run_round)
 from tessera.plans.training import train_fit as fit_rounds
@@ -76,6 +76,13 @@ def _native_predictions(spark, sf_dir) -> DataFrame:
             .drop("_z"))
 
 
+def _scored_predictions(spark, sf_dir) -> DataFrame:
+    """The same predictions by one batch-scoring pass, for the evaluation keys."""
+    spec, params = _formula_net()
+    e = _emb(spark, sf_dir).select(F.col("id").alias("vec_id"), F.col("label_idx").alias("actual"), "features")
+    return score_rows(e, spec, params, "features", keep=["vec_id", "actual"])
+
+
 # ---- scans, labels ------------------------------------------------------------
 
 def tensor_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,9 +185,7 @@ def softmax_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec, params = _formula_net()
-    e = _emb(spark, sf_dir).select(F.col("id").alias("vec_id"), F.col("label_idx").alias("actual"), "features")
-    return _prediction_columns(score_rows(e, spec, params, "features", keep=["vec_id", "actual"]))
+    return _prediction_columns(_scored_predictions(spark, sf_dir))
 
 
 def _long_frame(ids, arr, names):
@@ -235,7 +240,7 @@ def _classes(spark, sf_dir):
 
 
 def confusion_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return confusion_matrix(_native_predictions(spark, sf_dir))
+    return confusion_matrix(_scored_predictions(spark, sf_dir))
 
 
 def _rounded_metrics(m: DataFrame) -> DataFrame:
@@ -244,7 +249,7 @@ def _rounded_metrics(m: DataFrame) -> DataFrame:
 
 
 def class_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cm = confusion_matrix(_native_predictions(spark, sf_dir))
+    cm = confusion_matrix(_scored_predictions(spark, sf_dir))
     return _rounded_metrics(class_metrics(cm, _classes(spark, sf_dir)))
 
 
@@ -254,12 +259,12 @@ def _rounded_summary(s: DataFrame) -> DataFrame:
 
 
 def eval_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cm = confusion_matrix(_native_predictions(spark, sf_dir))
+    cm = confusion_matrix(_scored_predictions(spark, sf_dir))
     return _rounded_summary(eval_summary(class_metrics(cm, _classes(spark, sf_dir))))
 
 
 def nll_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = nll_score(_native_predictions(spark, sf_dir), "probs", "actual")
+    s = nll_score(_scored_predictions(spark, sf_dir), "probs", "actual")
     return s.select("n", F.round("score", R6).alias("score"))
 
 
@@ -360,7 +365,8 @@ def _regression(updater: str, lr: float, **rules) -> NetSpec:
     return replace(_softmax_regression(), rules=Rules(updater=updater, lr=lr, init="normal", init_std=0.0, **rules))
 
 
-def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str, save_path: str | None = None):
+def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str, save_path: str | None = None,
+             model: ModelState | None = None):
     """Averaged training of ``spec`` on the train split: (model, metrics folder). The
     training rows are deleted once the model is there."""
     train = split_side(_emb(spark, sf_dir), "id", "train", TRAIN_SHARE, SEED, positions=True)
@@ -369,7 +375,7 @@ def _trained(spark, sf_dir, spec: NetSpec, epochs: int, run_id: str, save_path:
     rows = prepare_training_rows(train, BATCH, workers, AVG_FREQ, table_name=name, path=folder,
                                  slots=barrier_slots(spark, workers))
     try:
-        return fit_rounds(spec, rows, epochs, run_id=run_id, save_path=save_path)
+        return fit_rounds(spec, rows, epochs, model, run_id=run_id, save_path=save_path)
     finally:
         drop_training_rows(spark, name)
         delete_path(spark, folder)
@@ -381,6 +387,16 @@ def train_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model_rows(spark, model)
 
 
+def train_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights after an epoch from the formula weights, with dropout of the inputs, gradients summed over
+    the batch and scaled to length 1 per layer, and a rate of its own for biases."""
+    spec = NetSpec("DroppedRegression", (formula.SIDE * formula.SIDE,),
+                   (Dropout("drop", 0.25), Output("output", formula.N_CLASSES)),
+                   Rules(updater="sgd", lr=0.1, bias_lr=0.2, grad_norm="l2_per_layer", mini_batch=False))
+    model, _ = _trained(spark, sf_dir, spec, 1, "train_rules", model=ModelState(_formula_net()[1]))
+    return _model_rows(spark, model)
+
+
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch metrics of two epochs of Nesterov momentum with L2."""
     spec = _regression("nesterovs", 0.1, momentum=0.9, l2=0.01)
@@ -554,6 +570,7 @@ QUERIES = {
     "image_grey": image_grey,
     "image_train": image_train,
     "train_fit": train_fit,
+    "train_rules": train_rules,
     "training_metrics": training_metrics,
     "model_roundtrip": model_roundtrip,
     "run_report": run_report,

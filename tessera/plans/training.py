@@ -12,9 +12,9 @@ slots) a round is a job of its own: the model is broadcast, worker groups fit in
 ``applyInPandas``, ``param_average`` averages, and the model returns to the
 driver; it reads only the round's rows (partition and row-group pruning).
 
-Every random draw inside a worker comes from a generator seeded with
-(seed, epoch, round, worker, batch): a retried task reproduces the same
-parameters.
+Every random draw inside a worker is a function of (seed, epoch, round, worker,
+batch) and its place (``layers.Draws``): a retried task reproduces the same
+parameters, and SQL can draw the same numbers.
 """
 
 from __future__ import annotations
@@ -191,8 +191,7 @@ def fit_worker(spec: NetSpec, model: ModelState, pdf: pd.DataFrame, epoch: int,
     metrics, examples = [], 0
     for batch_id, g in pdf.sort_values(["batch_id", "pos"]).groupby("batch_id", sort=True):
         x, y = batch_arrays(spec, g, feature_col, label_col)
-        rng = np.random.default_rng([spec.seed, epoch, round_, worker, int(batch_id)])
-        score = train_batch(spec, model, x, y, rng)
+        score = train_batch(spec, model, x, y, L.Draws(spec.seed, epoch, round_, worker, batch_id))
         examples += len(y)
         metrics.append((int(batch_id), len(y), float(score), model.step))
     return examples, metrics

@@ -105,3 +105,43 @@ def test_softmax_rows_sum_to_one():
     p = L.softmax(z)
     assert np.allclose(p.sum(axis=1), 1.0)
     assert p[0].argmax() == 0  # first maximum wins
+
+
+def test_counter_draws_are_uniform_and_repeatable():
+    from tessera.functions.layers import Draws
+    a, b = Draws(42, 0, 3, 1, 7), Draws(42, 0, 3, 1, 7)
+    first = a.random((18, 64))
+    assert np.array_equal(first, b.random((18, 64)))
+    second = a.random((18, 64))  # the next call draws anew
+    other = Draws(42, 0, 3, 1, 8).random((18, 64))
+    for x, y in ((first, second), (first, other)):
+        assert abs(np.corrcoef(x.ravel(), y.ravel())[0, 1]) < 0.1
+    many = np.concatenate([Draws(1, e, r, w, 0).random(500) for e in range(4) for r in range(5) for w in range(5)])
+    assert 0 <= many.min() and many.max() < 1 and sum((n - len(many) / 20) ** 2 / (len(many) / 20) for n in np.histogram(many, 20, (0, 1))[0]) < 45
+    assert abs(np.corrcoef(many[:-1], many[1:])[0, 1]) < 0.02
+
+
+def test_dropout_layer_gradient():
+    from dataclasses import replace
+
+    from tessera.functions.layers import Draws, nll_loss
+    from tessera.plans.models import Dense, Dropout, NetSpec, Output, Rules, backward, forward, init_params
+    spec = NetSpec("d", (6,), (Dropout("drop", 0.4), Dense("h", 5), Dropout("drop2", 0.3), Output("out", 3)), Rules(init="xavier"))
+    params = init_params(spec)
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(7, 6)), rng.integers(0, 3, 7)
+
+    def loss(p):
+        return nll_loss(forward(spec, p, x, train=True, rng=Draws(1, 2))[0], y)
+
+    out, caches = forward(spec, params, x, train=True, rng=Draws(1, 2))
+    grads = backward(spec, params, caches, out, y)
+    for k, g in grads.items():
+        for at in list(np.ndindex(g.shape))[:6]:
+            up, down = ({**params, k: params[k].copy()} for _ in range(2))
+            up[k][at] += 1e-6
+            down[k][at] -= 1e-6
+            assert abs((loss(up) - loss(down)) / 2e-6 - g[at]) < 1e-6
+    assert (forward(spec, params, x)[0] != out).any()  # off in scoring
+    plain = replace(spec, layers=tuple(ly for ly in spec.layers if not isinstance(ly, Dropout)))
+    assert np.allclose(forward(spec, params, x)[0], forward(plain, params, x)[0])

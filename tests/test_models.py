@@ -58,6 +58,12 @@ def test_spec_json_roundtrip(name):
     assert spec_from_json(spec_to_json(spec)) == spec
 
 
+def test_spec_with_dropout_layers_roundtrips():
+    from tessera.plans.models import Dropout, NetSpec, Output, spec_from_json, spec_to_json
+    spec = NetSpec("d", (4,), (Dropout("drop", 0.25), Output("out", 2)))
+    assert spec_from_json(spec_to_json(spec)) == spec
+
+
 def test_float32_survives_a_training_step_with_dropout():
     import numpy as np
     from tessera.plans.training import new_model, train_batch
