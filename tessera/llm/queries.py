@@ -21,8 +21,8 @@ def learnable(labels: DataFrame, label: str, n: int, held: int) -> DataFrame:
     return labels.filter(remainder(F.col("doc_id"), n) != held).select("doc_id", F.col(label).alias("label"))
 
 
-def _scored(docs: DataFrame, score: Column, n: int, held: int, cut: float) -> DataFrame:
-    return docs.select("doc_id", (remainder(F.col("doc_id"), n) == held).alias("held_out"), score.alias("score")).withColumn(
+def _scored(docs: DataFrame, score: Column, n: int, held: int, cut: float, more: list[str] | None = None) -> DataFrame:
+    return docs.select("doc_id", (remainder(F.col("doc_id"), n) == held).alias("held_out"), score.alias("score"), *more or []).withColumn(
         "predicted", (F.col("score") >= cut).cast("int"))
 
 
@@ -79,7 +79,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, learnable(table(spark, sf_dir, "labels"), "toxic", 5, 0))
-    return _scored(docs, toxicity.score_column(spark, model, docs["text"]), 5, 0, 0.5)
+    told = docs.select("doc_id", toxicity.evidence_column(spark, model, docs["text"]).alias("e")).select("doc_id", "e.*")
+    return _scored(told, F.col("score"), 5, 0, 0.5, ["neighbours", "labels", "cosines"])
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

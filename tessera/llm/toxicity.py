@@ -3,23 +3,22 @@
 Learning (``fit``), from labelled rows only:
 
 - a bounded sample of them (``max_examples``, the smallest md5 keys of the id);
-- the vocabulary: words whose document counts differ between the two labels
-  (chi-square of at least ``min_chi2``; the ``max_terms`` best). Words that say
-  nothing about the label would only add noise to the distances. Near copies of one
-  label count once (``near_copies``: about four fifths of their three-word runs in
-  common with the group's first document); all other documents count one by one;
+- the vocabulary: every word of at least two examples (at most ``max_terms``, those that say
+  most about the label). A word's weight is its IDF times how sure its evidence on the label
+  is, ``(chi2 / (chi2 + PRIOR)) ** 2 + FLOOR``: it falls smoothly to a small one, so a text
+  without telling words is still compared by all its other words. For the chi-square near
+  copies of one label count once (``near_copies``: about four fifths of their three-word
+  runs in common with the group's first document); all other documents count one by one;
 - IDF of those words over *all* documents, one partial count per task;
-- an inverted index of the examples' unit TF-IDF vectors, its postings in blocks of
-  ``BLOCK`` examples, each block with the largest weight it holds;
+- an inverted index of the examples' unit vectors, its postings in blocks of ``BLOCK``
+  examples, each block with the largest weight it holds;
 - a monotone calibration of the votes, from each example's vote when it is left out.
 
-Examples without vocabulary words have cosine zero to everything and no place in the index.
-
-Scoring: for a text's words, block bounds (text weight times block maximum, summed
-over its words) are visited from the largest down, and a block is skipped once its
-bound is below the k-th best cosine found: the k nearest are exact. The k neighbours
-vote by closeness; a text without vocabulary words, whose cosine to everything is
-zero, gets the (smoothed) toxic share of the examples that have none either.
+Scoring: for a text's words, block bounds (text weight times block maximum, summed over its
+words) are taken from the largest down: the ``FIRST`` best blocks are scored, then all others
+whose bound reaches the k-th best cosine found, so the k nearest are exact. They vote by
+closeness. Only a text without any vocabulary word, whose cosine to everything is zero,
+gets the (smoothed) toxic share of the examples that have none either.
 
 At scale: fitting reads the sample's texts and, for the IDF, every text once; the
 model is bounded by its parameters and broadcast. Scoring is a narrow map over the
@@ -28,7 +27,9 @@ whole.
 
 Defined cases: NULL text counts as empty; labels that are NULL or repeated with a
 conflict are left out; rows that share a labelled doc_id are one example, each word with
-its largest count; without usable labels every score is 0; a tie at the k-th place goes to the lower example number (examples are sorted by md5 key).
+its largest count; without usable labels every score is 0, and with labels of one kind only
+every score is the share of the examples without words; a tie at the k-th place goes to the
+lower example number (examples are sorted by md5 key).
 """
 
 from __future__ import annotations
@@ -46,12 +47,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import text_of, written
 from tessera.operators.sampling import seeded_key
+from tessera.session import collect_arrow, create_arrow
 
 MAX_EXAMPLES = 12_288
-MAX_TERMS = 4_096
-MIN_CHI2 = 30.0
+MAX_TERMS = 1 << 17
+PRIOR, FLOOR = 10.0, 1e-3
 K = 15
 BLOCK = 64
+FIRST = 4  # blocks scored before any other is ruled out
 # Near copies: SHINGLE words a run, SIGN smallest hashes a text, SAME of them equal, looked up by BAND at a time.
 SHINGLE, SIGN, SAME, BAND = 3, 32, 25, 4
 _ODD = np.random.default_rng(42).integers(1, 1 << 63, SIGN + SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,15 +99,18 @@ def near_copies(signs: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Everything scoring needs; at most max_examples * max_terms weights, in
-    practice a few per example."""
+    """Everything scoring needs: at most ``max_terms`` words and the examples' postings of them."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray         # per term: IDF times evidence
     example_ids: np.ndarray
     labels: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]      # per term: examples, weights
-    blocks: list[tuple[np.ndarray, np.ndarray]]        # per term and block: first posting, largest weight
+    examples: np.ndarray       # postings, by term: example, weight in its unit vector
+    values_: np.ndarray
+    block_of: np.ndarray       # a term's blocks: number, first posting, largest weight; and each term's first block
+    block_at: np.ndarray
+    block_max: np.ndarray
+    first_block: np.ndarray
     empty_share: float
     k: int = K
     bins: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
@@ -116,39 +122,41 @@ class Model:
         if not tf:
             return np.zeros(0, np.int64), np.zeros(0)
         t = np.array(sorted(tf), np.int64)
-        w = (1 + np.log([tf[i] for i in t.tolist()])) * self.idf[t]
+        w = (1 + np.log([tf[i] for i in t.tolist()])) * self.weight[t]
         norm = np.sqrt((w * w).sum())
         return (t, w / norm) if norm > 0 else (t[:0], w[:0])
 
     def nearest(self, t: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine (above zero) and the cosines."""
-        if not len(t):
+        at, w_at = _spans(self.first_block[t], self.first_block[t + 1], w)
+        if not len(at):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.zeros((len(self.labels) + BLOCK - 1) // BLOCK)
-        for term, weight in zip(t.tolist(), w.tolist()):
-            bound += weight * self.blocks[term][1]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best_i, best_c = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            # A block that could only tie with the k-th best still counts.
-            if len(best_c) == self.k and bound[b] < best_c[-1] - 1e-12:
-                break
-            lo = b * BLOCK
-            scores = np.zeros(min(BLOCK, len(self.labels) - lo))
-            for term, weight in zip(t.tolist(), w.tolist()):
-                first = self.blocks[term][0]
-                a, z = first[b], first[b + 1]
-                if a < z:
-                    ex, ew = self.postings[term]
-                    scores[ex[a:z] - lo] += weight * ew[a:z]
-            if lo <= leave_out < lo + BLOCK:
-                scores[leave_out - lo] = 0
-            hit = np.flatnonzero(scores > 0)
-            i, c = np.append(best_i, hit + lo), np.append(best_c, scores[hit])
-            top = np.lexsort((i, -np.round(c, 12)))[: self.k]
-            best_i, best_c = i[top], c[top]
-        return best_i, best_c
+        block = self.block_of[at]
+        n_blocks = -(-len(self.labels) // BLOCK)
+        bound = np.bincount(block, w_at * self.block_max[at], minlength=n_blocks)
+
+        def scored(chosen: np.ndarray) -> np.ndarray:
+            """Exact cosines of the examples in the chosen blocks (zero elsewhere)."""
+            on = chosen[block]
+            p, w_p = _spans(self.block_at[at[on]], self.block_at[at[on] + 1], w_at[on])
+            return np.bincount(self.examples[p], w_p * self.values_[p], minlength=len(self.labels))
+
+        best = np.zeros(n_blocks, bool)
+        best[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        scores = scored(best)
+        if leave_out >= 0:
+            scores[leave_out] = 0
+        kth = np.partition(scores, -self.k)[-self.k] if len(scores) > self.k else 0.0
+        # A block that could only tie with the k-th best still counts.
+        more = ~best & (bound > 0) & (bound >= kth - 1e-9)
+        if more.any():
+            scores += scored(more)
+            if leave_out >= 0:
+                scores[leave_out] = 0
+            kth = np.partition(scores, -self.k)[-self.k] if len(scores) > self.k else 0.0
+        i = np.flatnonzero((scores > 0) & (scores >= kth - 1e-9))
+        top = i[np.lexsort((i, -np.round(scores[i], 12)))[: self.k]]
+        return top, scores[top]
 
     def vote(self, t: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         """Closeness-weighted share of toxic neighbours; NaN without any."""
@@ -192,35 +200,40 @@ def _monotone(vote: np.ndarray, label: np.ndarray, parts: int = 20) -> tuple[np.
     return x[keep], y[keep]
 
 
-def _build(examples: list[tuple[int, int, list[tuple[str, int]]]], terms: list[str], idf: np.ndarray, k: int) -> Model:
+def _spans(first: np.ndarray, end: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges first..end, each with its range's weight."""
+    size = end - first
+    upto = np.cumsum(size)
+    n = int(upto[-1]) if len(upto) else 0
+    return np.arange(n) + np.repeat(first - upto + size, size), np.repeat(w, size)
+
+
+def _build(examples: list[tuple[int, int, list[tuple[str, int]]]], terms: list[str], weight: np.ndarray, k: int) -> Model:
     """Index and calibration from (id, label, [(term, tf)]) rows."""
     number = {t: i for i, t in enumerate(terms)}
-    ids, labels, rows, cols, vals, empty = [], [], [], [], [], []
-    for doc, label, tf in examples:
-        pairs = sorted((number[t], 1 + np.log(n)) for t, n in tf if t in number)
-        w = np.array([v * idf[t] for t, v in pairs])
-        norm = np.sqrt((w * w).sum()) if len(w) else 0
-        if norm > 0:
-            rows += [len(ids)] * len(pairs)
-            cols += [t for t, _ in pairs]
-            vals += (w / norm).tolist()
-            ids.append(doc)
-            labels.append(label)
-        else:
-            empty.append(label)
-    rows, cols, vals = np.array(rows, np.int64), np.array(cols, np.int64), np.array(vals)
-    n_blocks = (len(ids) + BLOCK - 1) // BLOCK
-    postings, blocks = [], []
-    for t in range(len(terms)):
-        at = cols == t
-        ex, ew = rows[at], vals[at]
-        top = np.zeros(n_blocks)
-        np.maximum.at(top, ex // BLOCK, ew)
-        postings.append((ex, ew))
-        blocks.append((np.searchsorted(ex, np.arange(n_blocks + 1) * BLOCK), top))
-    share = (sum(empty) + 0.1) / (len(empty) + 1) if examples else 0.0
-    m = Model(number, idf, np.array(ids, np.int64), np.array(labels, np.float64), postings, blocks, share, k)
-    start = np.searchsorted(rows, np.arange(len(ids) + 1))
+    cells = [(r, number[t], n) for r, (_, _, tf) in enumerate(examples) for t, n in tf if t in number]
+    rows, cols, tf = np.array(cells, np.int64).reshape(-1, 3).T
+    return _index([e[0] for e in examples], [e[1] for e in examples], rows, cols, tf, terms, weight, k)
+
+
+def _index(ids: list[int], labels: list[int], rows: np.ndarray, cols: np.ndarray, tf: np.ndarray, terms: list[str],
+           weight: np.ndarray, k: int) -> Model:
+    """Index and calibration from the examples' (row, term, count) cells."""
+    order = np.lexsort((cols, rows))
+    rows, cols, vals = rows[order], cols[order], (1 + np.log(tf[order])) * weight[cols[order]]
+    norm = np.sqrt(np.bincount(rows, vals * vals, minlength=len(ids)))
+    known = norm > 0  # examples without words are no neighbours
+    keep = known[rows]
+    rows, cols, vals = (np.cumsum(known) - 1)[rows[keep]], cols[keep], (vals[keep] / norm[rows[keep]])
+    ids, labels = np.array(ids, np.int64), np.array(labels, np.float64)
+    share = (labels[~known].sum() + 0.1) / ((~known).sum() + 1) if len(ids) else 0.0
+    by_term = np.argsort(cols, kind="stable")
+    ex, ew, of = rows[by_term], vals[by_term], cols[by_term]
+    new = np.flatnonzero(np.diff(of * (len(ids) // BLOCK + 1) + ex // BLOCK, prepend=-1))  # a term's next block begins
+    m = Model({t: i for i, t in enumerate(terms)}, np.asarray(weight, np.float64), ids[known], labels[known],
+              ex.astype(np.int32), ew, (ex[new] // BLOCK).astype(np.int32), np.append(new, len(ex)).astype(np.int64),
+              np.maximum.reduceat(ew, new) if len(new) else np.zeros(0), np.searchsorted(of[new], np.arange(len(terms) + 1)), share, k)
+    start = np.searchsorted(rows, np.arange(len(m.labels) + 1))
     votes = np.array([m.vote(cols[a:z], vals[a:z], leave_out=r)[0] for r, (a, z) in enumerate(zip(start[:-1], start[1:]))])
     voted = ~np.isnan(votes)
     if voted.any():
@@ -229,7 +242,7 @@ def _build(examples: list[tuple[int, int, list[tuple[str, int]]]], terms: list[s
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, k: int = K) -> Model:
+        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = K) -> Model:
     """``labelled``: (doc_id, label) rows to learn from, label 0 or 1."""
     clean = (labelled.select(F.col("doc_id").cast("long"), F.col("label").cast("int"))
              .filter("doc_id IS NOT NULL AND label IN (0, 1)")
@@ -264,18 +277,22 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     expect = F.col("d") * F.lit(share)
     spread = F.col("d") * F.lit(share * (1 - share)) * (1 - F.col("d") / F.lit(float(total + 1)))
     chi2 = (F.col("p") - expect) * (F.col("p") - expect) / spread
-    terms = []
+    terms, sure = [], np.zeros(0)
     if 0 < share < 1:
-        terms = [r["word"] for r in by_word.withColumn("chi2", chi2).filter(F.col("chi2") >= min_chi2)
-                 .orderBy(F.desc("chi2"), "word").limit(max_terms).select("word").collect()]
-    idf = _corpus_idf(own, terms)
-    kept = counts.filter("word IS NOT NULL").join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "word string")), "word")
+        chosen_words = (by_word.filter("d > 1").select("word", chi2.alias("chi2")).orderBy(F.desc("chi2"), "word")
+                        .limit(max_terms).collect())
+        terms = [r["word"] for r in chosen_words]
+        found = np.array([r["chi2"] for r in chosen_words])
+        sure = (found / (found + PRIOR)) ** 2 + FLOOR
+    weight = _corpus_idf(own, terms) * sure
+    spark = docs.sparkSession
+    numbered = create_arrow(spark, pd.DataFrame({"word": pd.Series(terms, dtype=object), "term": np.arange(len(terms))}), "word string, term long")
+    placed = create_arrow(spark, pd.DataFrame({"doc_id": np.array([r["doc_id"] for r in signed], np.int64),
+                                               "row": np.arange(len(signed))}), "doc_id long, row long")
     # Rows that share an id are one example: at most max_terms words, however many rows.
-    per_doc = kept.groupBy("doc_id", "word").agg(F.max("n").alias("n")).groupBy("doc_id")
-    ex = (counts.filter("word IS NULL").select("doc_id", "label").distinct()
-          .join(per_doc.agg(F.collect_list(F.struct("word", "n")).alias("tf")), "doc_id", "left")
-          .orderBy(seeded_key("doc_id"), "doc_id").collect())  # at most max_examples rows
-    return _build([(r["doc_id"], r["label"], [(x["word"], x["n"]) for x in r["tf"] or []]) for r in ex], terms, idf, k)
+    cells = collect_arrow(counts.filter("word IS NOT NULL").join(F.broadcast(numbered), "word").join(F.broadcast(placed), "doc_id")
+                          .groupBy("row", "term").agg(F.max("n").alias("n")))
+    return _index([r["doc_id"] for r in signed], labels.tolist(), *(cells[c].to_numpy(np.int64) for c in ("row", "term", "n")), terms, weight, k)
 
 
 def _corpus_idf(docs: DataFrame, terms: list[str]) -> np.ndarray:
@@ -287,12 +304,12 @@ def _corpus_idf(docs: DataFrame, terms: list[str]) -> np.ndarray:
         seen, n = np.zeros(len(number) + 1, np.int64), 0
         for pdf in batches:
             for text in pdf["text"]:
-                for w in number.keys() & set(words(text)):
-                    seen[number[w]] += 1
+                at = [n_ for n_ in map(number.get, set(words(text))) if n_ is not None]
+                seen[at] += 1
             n += len(pdf)
         seen[-1] = n
         at = np.flatnonzero(seen)
-        yield pd.DataFrame({"term": at, "n": seen[at]})
+        yield pd.DataFrame({"term": at, "n": seen[at]})  # one vector a task
 
     per = docs.select("text").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     seen = np.zeros(len(terms) + 1)
@@ -312,12 +329,20 @@ def score_column(spark, model: Model, text: Column) -> Column:
     return score(text_of(text))
 
 
+EVIDENCE = "score double, neighbours array<bigint>, labels array<int>, cosines array<double>"
+
+
 def evidence_column(spark, model: Model, text: Column) -> Column:
-    """array<struct<doc_id, label, cosine>>: the neighbours behind a score."""
+    """struct of ``EVIDENCE``: the score and the neighbours behind it, nearest first."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<struct<doc_id:bigint,label:int,cosine:double>>")
-    def evidence(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"doc_id": a, "label": b, "cosine": c} for a, b, c in shared.value.evidence(t)]
-                          for t in texts])
+    @F.pandas_udf(EVIDENCE)
+    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for texts in batches:
+            found = [m.vote(*m.vector(t)) for t in texts]
+            yield pd.DataFrame({"score": [m.calibrated(v) for v, _, _ in found],
+                                "neighbours": [m.example_ids[i] for _, i, _ in found],
+                                "labels": [m.labels[i].astype(np.int32) for _, i, _ in found],
+                                "cosines": [c for _, _, c in found]})
     return evidence(text_of(text))
