@@ -49,6 +49,7 @@ CAPITAL_PERCENT = 10
 SYMBOLS = "#$%&*|"
 SHARD_BYTES = 4 << 20
 BUCKET_WORDS = 1 << 18
+SHARDS_PER_TASK = 4
 _MIX = np.random.default_rng(0).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 DOC = "struct<doc_id:bigint,part:string,digest:string,chars:bigint,capitals:bigint,symbols:bigint>"
@@ -172,8 +173,9 @@ def word_blocks(local: DataFrame, bucket_words: int = BUCKET_WORDS) -> DataFrame
                     pa.array([c.astype("<i4").tobytes() for c in np.split(order, first[1:])], pa.binary())],
                     ["bucket", "n_buckets", "shard", "words", "codes"])
 
+    # Partitions follow the buckets, so a task's share doesn't grow with the corpus.
     return local.select("shard", "words").mapInArrow(
-        deal, "bucket long, n_buckets long, shard long, words array<string>, codes binary")
+        deal, "bucket long, n_buckets long, shard long, words array<string>, codes binary").repartition(buckets, "bucket")
 
 
 def _numbers(group: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -218,8 +220,10 @@ def csr_shards(local: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
         return pa.table({"shard": left["shard"], "indptr": left["indptr"], "indices": pa.array([o[0] for o in out], pa.binary()),
                          "counts": pa.array([o[1] for o in out], pa.binary()), "docs": left["docs"]})
 
-    columns = (blocks or word_blocks(local)).groupBy("bucket").applyInArrow(look_up, "_shard long, codes binary, ids binary")
-    matrix = local.select("shard", "indptr", "indices", "counts", "docs")
+    tasks = -(-local.count() // SHARDS_PER_TASK) or 1
+    columns = (blocks or word_blocks(local)).groupBy("bucket").applyInArrow(look_up, "_shard long, codes binary, ids binary") \
+        .repartition(tasks, "_shard")
+    matrix = local.select("shard", "indptr", "indices", "counts", "docs").repartition(tasks, "shard")
     return matrix.groupBy("shard").cogroup(columns.groupBy("_shard")).applyInArrow(renumber, _CSR)
 
 

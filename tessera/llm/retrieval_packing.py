@@ -41,7 +41,7 @@ from tessera.llm.tokens import batches, encoder
 
 CAPACITY = 2048
 END_ID = 1
-SHARD_DOCS = 1024
+SHARD_DOCS = 512
 LOOK = 16
 MAX_BUCKET_BITS = 16
 K1, B = 1.2, 0.75

@@ -164,16 +164,22 @@ class WordEncoder(Encoder):
         gc.disable()  # millions of small lists and no cycles: collections would only cost time
         try:
             for i, c in enumerate(chunks):
-                plain = _PLAIN.fullmatch(c)
-                if not plain:
-                    out.append([])
-                    other.append(i)
-                    continue
-                feed, word, mark = plain.groups()
+                feed, word, mark = None, c, c[-1]
+                if c.isascii() and c.isalpha():  # most words, without the pattern
+                    mark = None
+                elif c.isascii() and mark in ",.;:!?" and c[:-1].isalpha():
+                    word = c[:-1]
+                else:
+                    plain = _PLAIN.fullmatch(c)
+                    if not plain:
+                        out.append([])
+                        other.append(i)
+                        continue
+                    feed, word, mark = plain.groups()
                 word = word.lower()
-                if word not in words:
-                    words[word] = [t.id for t in merge(_letters(word))]
-                ids = words[word]
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = [t.id for t in merge(_letters(word))]
                 if mark:
                     if mark not in words:
                         words[mark] = [t.id for t in merge(_letters(mark))]

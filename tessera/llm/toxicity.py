@@ -5,9 +5,10 @@ Learning (``fit``), from labelled rows only:
 - a bounded sample of them (``max_examples``, the smallest md5 keys of the id);
 - the vocabulary: every word of at least two examples (at most ``max_terms``, those that say
   most about the label). A word's weight is its IDF times how sure its evidence on the label
-  is, ``(chi2 / (chi2 + PRIOR)) ** 2 + FLOOR``: it falls smoothly to a small one, so a text
-  without telling words is still compared by all its other words. For the chi-square near
-  copies of one label count once (``near_copies``: about four fifths of their three-word
+  is, ``(chi2 - SIGNIFICANT)+ / (chi2 + PRIOR)`` squared, which falls smoothly to nothing; a rare
+  word (IDF over ``RARE``) also weighs ``FLOOR`` of the excess, whatever its evidence, so a text
+  without telling words is still compared by its other words. Common words that say nothing
+  weigh nothing and have no postings. For the chi-square near copies of one label count once (``near_copies``: about four fifths of their three-word
   runs in common with the group's first document); all other documents count one by one;
 - IDF of those words over *all* documents, one partial count per task;
 - an inverted index of the examples' unit vectors, its postings in blocks of ``BLOCK``
@@ -51,7 +52,8 @@ from tessera.session import collect_arrow, create_arrow
 
 MAX_EXAMPLES = 12_288
 MAX_TERMS = 1 << 17
-PRIOR, FLOOR = 10.0, 1e-3
+SIGNIFICANT, PRIOR = 3.84, 10.0  # chance alone passes the first for one word in twenty
+RARE, FLOOR = 3.0, 1e-3         # rare: in less than one document in twenty
 K = 15
 BLOCK = 64
 FIRST = 4  # blocks scored before any other is ruled out
@@ -229,7 +231,7 @@ def _index(ids: list[int], labels: list[int], rows: np.ndarray, cols: np.ndarray
     share = (labels[~known].sum() + 0.1) / ((~known).sum() + 1) if len(ids) else 0.0
     by_term = np.argsort(cols, kind="stable")
     ex, ew, of = rows[by_term], vals[by_term], cols[by_term]
-    new = np.flatnonzero(np.diff(of * (len(ids) // BLOCK + 1) + ex // BLOCK, prepend=-1))  # a term's next block begins
+    new = np.flatnonzero(np.diff(of.astype(np.int64) * (len(ids) // BLOCK + 1) + ex // BLOCK, prepend=-1))  # a term's next block begins
     m = Model({t: i for i, t in enumerate(terms)}, np.asarray(weight, np.float64), ids[known], labels[known],
               ex.astype(np.int32), ew, (ex[new] // BLOCK).astype(np.int32), np.append(new, len(ex)).astype(np.int64),
               np.maximum.reduceat(ew, new) if len(new) else np.zeros(0), np.searchsorted(of[new], np.arange(len(terms) + 1)), share, k)
@@ -283,16 +285,18 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                         .limit(max_terms).collect())
         terms = [r["word"] for r in chosen_words]
         found = np.array([r["chi2"] for r in chosen_words])
-        sure = (found / (found + PRIOR)) ** 2 + FLOOR
-    weight = _corpus_idf(own, terms) * sure
+        sure = (np.maximum(0, found - SIGNIFICANT) / (found + PRIOR)) ** 2
+    idf = _corpus_idf(own, terms)
+    weight = idf * sure + FLOOR * np.maximum(0, idf - RARE)
+    terms, weight = [t for t, w in zip(terms, weight) if w > 0], weight[weight > 0]
     spark = docs.sparkSession
-    numbered = create_arrow(spark, pd.DataFrame({"word": pd.Series(terms, dtype=object), "term": np.arange(len(terms))}), "word string, term long")
+    numbered = create_arrow(spark, pd.DataFrame({"word": pd.Series(terms, dtype=object), "term": np.arange(len(terms))}), "word string, term int")
     placed = create_arrow(spark, pd.DataFrame({"doc_id": np.array([r["doc_id"] for r in signed], np.int64),
-                                               "row": np.arange(len(signed))}), "doc_id long, row long")
+                                               "row": np.arange(len(signed))}), "doc_id long, row int")
     # Rows that share an id are one example: at most max_terms words, however many rows.
     cells = collect_arrow(counts.filter("word IS NOT NULL").join(F.broadcast(numbered), "word").join(F.broadcast(placed), "doc_id")
-                          .groupBy("row", "term").agg(F.max("n").alias("n")))
-    return _index([r["doc_id"] for r in signed], labels.tolist(), *(cells[c].to_numpy(np.int64) for c in ("row", "term", "n")), terms, weight, k)
+                          .groupBy("row", "term").agg(F.max("n").cast("int").alias("n")))
+    return _index([r["doc_id"] for r in signed], labels.tolist(), *(cells[c].to_numpy() for c in ("row", "term", "n")), terms, weight, k)
 
 
 def _corpus_idf(docs: DataFrame, terms: list[str]) -> np.ndarray:

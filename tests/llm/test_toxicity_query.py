@@ -17,7 +17,7 @@ def test_query_scores_every_text_by_neighbours(spark):
     assert (out["held_out"] == [zlib.crc32(str(d).encode()) % 5 == 0 for d in out["doc_id"]]).all()
     assert ((out["score"] >= 0.5) == (out["predicted"] == 1)).all() and out["score"].between(0, 1).all()
     assert out["score"].round(9).nunique() > 200  # no constant for texts without a telling word
-    assert (out["neighbours"].str.len() > 0).sum() >= len(out) - 5
+    assert (out["neighbours"].str.len() > 0).mean() > 0.95
     held = out[out["held_out"] & out["doc_id"].isin(labels.index)]
     truth = labels[held["doc_id"]].to_numpy()
     assert held["predicted"].to_numpy()[truth == 1].mean() >= 0.6 and held["predicted"].to_numpy()[truth == 0].mean() <= 0.05
