@@ -57,6 +57,7 @@ RARE, FLOOR = 3.0, 1e-3         # rare: in less than one document in twenty
 K = 15
 BLOCK = 64
 FIRST = 4  # blocks scored before any other is ruled out
+FEW_POSTINGS = 1 << 15  # a text with no more postings than that is scored without block bounds
 # Near copies: SHINGLE words a run, SIGN smallest hashes a text, SAME of them equal, looked up by BAND at a time.
 SHINGLE, SIGN, SAME, BAND = 3, 32, 25, 4
 _ODD = np.random.default_rng(42).integers(1, 1 << 63, SIGN + SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,9 +131,14 @@ class Model:
 
     def nearest(self, t: np.ndarray, w: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine (above zero) and the cosines."""
-        at, w_at = _spans(self.first_block[t], self.first_block[t + 1], w)
-        if not len(at):
-            return np.zeros(0, np.int64), np.zeros(0)
+        first, end = self.first_block[t], self.first_block[t + 1]
+        if (self.block_at[end] - self.block_at[first]).sum() <= FEW_POSTINGS:  # cheaper read than ruled out
+            p, w_p = _spans(self.block_at[first], self.block_at[end], w)
+            scores = np.bincount(self.examples[p], w_p * self.values_[p], minlength=len(self.labels))
+            if leave_out >= 0:
+                scores[leave_out] = 0
+            return self._best(scores)
+        at, w_at = _spans(first, end, w)
         block = self.block_of[at]
         n_blocks = -(-len(self.labels) // BLOCK)
         bound = np.bincount(block, w_at * self.block_max[at], minlength=n_blocks)
@@ -155,7 +161,10 @@ class Model:
             scores += scored(more)
             if leave_out >= 0:
                 scores[leave_out] = 0
-            kth = np.partition(scores, -self.k)[-self.k] if len(scores) > self.k else 0.0
+        return self._best(scores)
+
+    def _best(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        kth = np.partition(scores, -self.k)[-self.k] if len(scores) > self.k else 0.0
         i = np.flatnonzero((scores > 0) & (scores >= kth - 1e-9))
         top = i[np.lexsort((i, -np.round(scores[i], 12)))[: self.k]]
         return top, scores[top]

@@ -284,7 +284,9 @@ def test_unrelated_texts_with_a_common_word_count_one_by_one(spark):
     assert len(set(toxicity.near_copies(signs[[450, 450]], np.array([0, 1])).tolist())) == 2
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("few", [0, 1 << 15])
+def test_block_max_search_is_exact(monkeypatch, few):
+    monkeypatch.setattr(toxicity, "FEW_POSTINGS", few)
     r = np.random.default_rng(3)
     terms = [f"t{i}" for i in range(40)]
     ex = [(i, int(r.integers(0, 2)), [(terms[j], int(r.integers(1, 4))) for j in r.choice(40, 6, replace=False)]) for i in range(500)]
