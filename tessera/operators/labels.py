@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.sampling import range_row_number
 
@@ -23,10 +24,25 @@ def label_vocab(df: DataFrame, label_col: str = "label", with_counts: bool = Tru
                          *(["n_examples"] if with_counts else []))
 
 
-def index_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label") -> DataFrame:
+BROADCAST_LABELS = 100_000  # names a broadcast dictionary may hold
+LABEL_SALTS = 32
+
+
+def index_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label", salt_col: str | None = None,
+                 broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
     """Adds ``label_idx`` by an equi-join on the label name (unknown -> NULL).
 
-    The vocabulary is as large as the class count; the planner (AQE) picks a
-    broadcast only when its measured size allows it."""
+    The vocabulary is counted first. Up to ``broadcast_labels`` names it is a broadcast
+    dictionary, and the examples' wide rows stay where they are. A larger one is joined by
+    shuffle, each name ``LABEL_SALTS`` times, with the examples dealt over the salts by a hash
+    of ``salt_col`` (their id; by default all other columns but the widest types), so a label
+    that holds a third of the rows is spread over as many tasks."""
     v = vocab.select(F.col("label").alias("_lbl"), "label_idx")
-    return (df.join(v, F.col(label_col).cast("string") == F.col("_lbl"), "left").drop("_lbl"))
+    name = F.col(label_col).cast("string")
+    if v.count() <= broadcast_labels:
+        return df.join(F.broadcast(v), name == F.col("_lbl"), "left").drop("_lbl")
+    by = [salt_col] if salt_col else [f.name for f in df.schema.fields
+                                      if not isinstance(f.dataType, (T.ArrayType, T.BinaryType, T.MapType, T.StructType))]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(LABEL_SALTS)).cast("int"))
+    names = v.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    return salted.join(names, (name == F.col("_lbl")) & (F.col("_salt") == F.col("_s")), "left").drop("_lbl", "_salt", "_s")

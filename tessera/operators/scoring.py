@@ -1,7 +1,7 @@
 """Distributed scoring: class probabilities and arg-max for every row.
 
-The model is broadcast once (its size is fixed by the spec); rows stream
-through ``mapInArrow``, so scoring is one narrow stage with no shuffle, and the
+The model is one file that the workers of a host map together (``shared_model``; a small one
+travels in the closure); rows stream through ``mapInArrow``, so scoring is one narrow stage with no shuffle, and the
 kept columns pass through untouched (ids stay exact beside NULLs). Filter and prune *before* calling: the Python stage is
 opaque to the optimizer.
 """
@@ -14,22 +14,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.shared_model import open_params, share_params
 from tessera.plans.models import NetSpec, batch_input, predict
 
 
+CLOSURE_BYTES = 1 << 20  # a smaller model travels with the closure
+
+
 def score_batch(df: DataFrame, spec: NetSpec, params: dict, feature_col: str = "features",
-                keep: list[str] | None = None, broadcast=None) -> DataFrame:
+                keep: list[str] | None = None, shared: str | None = None) -> DataFrame:
     """Adds ``probs ARRAY<DOUBLE>`` and ``predicted INT`` (first maximum wins)
-    to the ``keep`` columns."""
-    spark = df.sparkSession
+    to the ``keep`` columns. ``shared``: the parameters' file, if ``share_params`` wrote it already."""
     keep = list(keep or [c for c in df.columns if c != feature_col])
-    bc = broadcast or spark.sparkContext.broadcast(params)
+    small = shared is None and sum(v.nbytes for v in params.values()) <= CLOSURE_BYTES
+    path = None if small else shared or share_params(df.sparkSession, params)
+    held = params if small else None
     # Kept columns travel under names of their own: they may repeat the feature column.
     out_schema = T.StructType(df.select(*keep).schema.fields + [
         T.StructField("probs", T.ArrayType(T.DoubleType())), T.StructField("predicted", T.IntegerType())])
 
     def score(batches):
-        p_ = bc.value
+        p_ = held if path is None else open_params(path)
         for b in batches:
             p = predict(spec, p_, batch_input(spec, _rows(b.column(0)))) if b.num_rows else np.zeros((0, 1))
             ends = pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32())

@@ -14,8 +14,7 @@ import time
 import uuid
 from dataclasses import asdict, dataclass, replace
 
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +23,7 @@ from tessera.operators.evaluation import class_metrics, confusion_matrix, eval_s
 from tessera.operators.labels import index_labels, label_vocab
 from tessera.operators.sampling import sample_cap, split_side
 from tessera.operators.scoring import predict_named, score_batch
+from tessera.operators.shared_model import share_params
 from tessera.plans.models import NetSpec, rule_warnings
 from tessera.plans.rounds import barrier_slots
 from tessera.plans.training import (ModelState, drop_training_rows, feature_bytes, new_model,
@@ -71,7 +71,6 @@ class JobResult:
     sample: DataFrame
 
     cached: DataFrame | None = None
-    shared: Broadcast | None = None
     scratch: tuple = ()
 
     def release(self, delete_files: bool = False) -> None:
@@ -79,13 +78,10 @@ class JobResult:
 
         With ``delete_files`` also delete the job's scratch folders (the
         written examples and training rows -- at scale, a full copy of the
-        data -- the vocabulary and the training metrics) and the broadcast
-        model. The result frames read those lazily: only once done."""
+        data -- the vocabulary, the training metrics and the scoring model's
+        file). The result frames read those lazily: only once done."""
         if self.cached is not None:
             self.cached.unpersist()
-        if delete_files and self.shared is not None:
-            self.shared.destroy()
-            self.shared = None
         if delete_files:
             spark = self.report.sparkSession
             for p in self.scratch:
@@ -107,17 +103,21 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
             spec = replace(spec, packed="float32")
         ex = pack_tensors(ex, "features")
     scratch = []
+    # Undecodable images arrive with NULL features. They and rows without a label
+    # are counted in the report and left out.
+    bad = F.col("features").isNull()
+    counts = [F.count_if(bad).alias("invalid"), F.count_if(~bad & F.col("label").isNull()).alias("unlabelled"),
+              F.count_if(~bad & F.col("label").isNotNull()).alias("good")]
     if cfg.materialize_examples:
         # Examples feed five passes (vocabulary, offsets, training rows, test
         # split, sample). Written once, the image decode and resize run once,
-        # and the label-only passes read one column.
+        # the label-only passes read one column, and the write itself counts the rows.
         scratch.append(scratch_path(spark, "examples"))
-        ex = materialize(ex, "examples", path=scratch[-1])
-    # Undecodable images arrive with NULL features. They and rows without a label
-    # are counted in the report and left out.
-    bad = F.col("features").isNull()
-    left_out = ex.agg(F.count_if(bad).alias("invalid"), F.count_if(~bad & F.col("label").isNull()).alias("unlabelled"),
-                      F.count_if(~bad & F.col("label").isNotNull()).alias("good")).first()
+        seen = Observation(f"examples-{uuid.uuid4().hex[:8]}")
+        ex = materialize(ex.observe(seen, *counts), "examples", path=scratch[-1])
+        left_out = seen.get
+    else:
+        left_out = ex.agg(*counts).first().asDict()
     if cfg.workers is None:
         n_train = math.floor(cfg.train_share * left_out["good"] + 0.5)
         cfg = replace(cfg, workers=worker_count(n_train, cfg.batch_size, cfg.averaging_frequency))
@@ -127,7 +127,7 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     n_labels, width = vocab.count(), spec.layers[-1].out
     if n_labels > width:
         raise ValueError(f"{n_labels} labels in the examples, but the model {spec.name!r} has {width} outputs")
-    indexed = index_labels(ex, vocab, "label")
+    indexed = index_labels(ex, vocab, "label", salt_col="id")
     # Positions by the window's own hash exchange: the training rows are
     # reshuffled by (round group, worker) for bucketing anyway, so a range
     # partitioning (and its sampling pass over the examples) would buy nothing.
@@ -150,8 +150,8 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     t0 = time.time()
     test_side = split_side(indexed, "id", "test", cfg.train_share, cfg.seed, positions=False)
     test = test_side.select("id", F.col("label_idx").alias("actual"), "features")
-    shared = spark.sparkContext.broadcast(model.params)  # one for both scoring passes
-    pred = score_batch(test, spec, model.params, keep=["id", "actual"], broadcast=shared)
+    scratch.append(share_params(spark, model.params, "scoring"))  # one file for both scoring passes
+    pred = score_batch(test, spec, model.params, keep=["id", "actual"], shared=scratch[-1])
     with_nll = confusion_matrix(pred, probs_col="probs").cache()  # the one scoring pass
     confusion = with_nll.select("actual", "predicted", "n")
     metrics = class_metrics(confusion, vocab)
@@ -176,10 +176,10 @@ def run_job(spark: SparkSession, examples: DataFrame, spec: NetSpec, cfg: JobCon
     report = spark.createDataFrame([report_row], REPORT_SCHEMA)
     # One example, as the local job prints it: the first test row in seeded order.
     first = test_side.orderBy("order_key", "id").limit(1).select("id", F.col("label_idx").alias("actual"), "features")
-    sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"], broadcast=shared), vocab) \
+    sample = predict_named(score_batch(first, spec, model.params, keep=["id", "actual"], shared=scratch[-1]), vocab) \
         .select("id", "expected", "predicted_name")
     return JobResult(model, vocab, pred, confusion, metrics, summary,
-                     read_metrics(spark, metrics_path), report, sample, with_nll, shared, tuple(scratch))
+                     read_metrics(spark, metrics_path), report, sample, with_nll, tuple(scratch))
 
 
 REPORT_SCHEMA = ("run_id string, model string, params map<string,string>, warnings array<string>, "

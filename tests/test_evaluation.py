@@ -54,3 +54,32 @@ def test_scoring_keeps_ids_exact_beside_nulls(spark):
     want = predict(spec, params, np.array([r[3] for r in rows]))
     assert np.allclose([r.probs for r in out], want) and [r.predicted for r in out] == want.argmax(axis=1).tolist()
     assert score_batch(df.filter("id = 0"), spec, params, keep=["id"]).collect() == []
+
+
+def test_a_large_model_is_mapped_once_per_host(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import scoring
+    from tessera.operators.shared_model import open_params, share_params
+    from tessera.plans.models import predict, small_dense_net
+    from tessera.plans.training import new_model
+    from tessera.session import delete_path
+    spec = small_dense_net(3, 2, hidden=4)
+    params = new_model(spec).params
+    path = share_params(spark, params)
+    back = open_params(path)
+    assert all(np.array_equal(back[k], params[k]) and isinstance(back[k], np.memmap) and not back[k].flags.writeable for k in params)
+    df = spark.createDataFrame([(i, [float(i), 1.0, -1.0]) for i in range(50)], "id long, features array<double>").repartition(4)
+    want = predict(spec, params, np.array([[float(i), 1.0, -1.0] for i in range(50)]))
+    monkeypatch.setattr(scoring, "CLOSURE_BYTES", 0)
+    for shared in (path, None):
+        out = scoring.score_batch(df, spec, params, keep=["id"], shared=shared).orderBy("id").collect()
+        assert np.allclose([r.probs for r in out], want)
+
+    def kinds(batches):  # what the workers hold
+        import pyarrow as pa
+        for b in batches:
+            yield pa.record_batch([pa.array([type(v).__name__ for v in open_params(path).values()])], ["kind"])
+
+    assert {r.kind for r in df.mapInArrow(kinds, "kind string").collect()} == {"memmap"}
+    delete_path(spark, path)

@@ -148,7 +148,7 @@ def test_job_reports_and_skips_invalid_images(spark, folder):
     assert rep.n_invalid == 1 and rep.n_test == round(30 * 0.2)
     import os
     local = [p.replace("file:", "", 1) for p in res.scratch]
-    assert len(local) == 4 and all(os.path.isdir(p) for p in local)
+    assert len(local) == 5 and all(os.path.exists(p) for p in local)
     res.release(delete_files=True)
     assert not any(os.path.exists(p) for p in local)
 
