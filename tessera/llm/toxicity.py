@@ -50,7 +50,7 @@ from tessera.llm.common import text_of, written
 from tessera.operators.sampling import seeded_key
 from tessera.session import collect_arrow, create_arrow
 
-MAX_EXAMPLES = 12_288
+MAX_EXAMPLES = 4_096
 MAX_TERMS = 1 << 17
 SIGNIFICANT, PRIOR = 3.84, 10.0  # chance alone passes the first for one word in twenty
 RARE, FLOOR = 3.0, 1e-3         # rare: in less than one document in twenty
